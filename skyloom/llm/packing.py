@@ -4,7 +4,9 @@ none is padded."""
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,27 +34,75 @@ def cuts(totals: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 
 class WordTokenizer:
-    """Ids of a tokenizer whose tokens never reach over white space: every different word is encoded once a chunk."""
+    """Ids of a tokenizer whose tokens never reach over white space: every different word is encoded once.
 
-    def __init__(self, path: str):
+    Words met before come from a cache that is emptied at `most` words. New ones are encoded many at a time, in one
+    text, with a mark between them whose single id shows where each word's ids end; words that hold the mark go alone.
+    """
+
+    MARK = "`"
+
+    def __init__(self, path: str, most: int = 1_500_000):
         from tokenizers import Tokenizer
 
         self.inner = Tokenizer.from_file(path)
         self.inner.encode_special_tokens = True
         self.inner.no_padding()
         self.inner.no_truncation()
+        mark = self.inner.encode(self.MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+        self.most = most
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[int, int] = {}
+        self.flat, self.heads, self.counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        self.size = 0
+
+    def new(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some words, and how many each has."""
+        alone = [i for i, w in enumerate(found) if self.mark is None or self.MARK in w]
+        own = dict(zip(alone, (x.ids for x in self.inner.encode_batch_fast([found[i] for i in alone], add_special_tokens=False)), strict=True))
+        blocks = [" ".join(f"{'' if i in own else found[i]} {self.MARK}" for i in range(at, min(at + 4096, len(found)))) for at in range(0, len(found), 4096)] if len(own) < len(found) else []
+        made = [np.array(x.ids, np.uint32) for x in self.inner.encode_batch_fast(blocks, add_special_tokens=False)]
+        ids = np.concatenate(made) if made else np.full(len(found), self.mark or 0, np.uint32)
+        ends = np.flatnonzero(ids == self.mark) if made else np.arange(len(found))
+        counts = np.diff(ends, prepend=-1) - 1
+        ids = np.delete(ids, ends)
+        if own:
+            parts = np.split(ids, np.cumsum(counts)[:-1])
+            parts = [np.array(own[i], np.uint32) if i in own else x for i, x in enumerate(parts)]
+            ids, counts = np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+        return ids, counts
 
     def encode(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts, stops, bounds = words(data, ends)
         if not len(starts):
             return np.zeros(0, np.uint32), bounds
-        _, where, which = np.unique(Coder(data, lower=False).code(starts, stops), return_index=True, return_inverse=True)
-        raw = data.tobytes()
-        made = [x.ids for x in self.inner.encode_batch([raw[a:b].decode() for a, b in zip(starts[where].tolist(), stops[where].tolist(), strict=True)], add_special_tokens=False)]
-        counts = np.fromiter(map(len, made), np.int64, len(made))
-        flat = np.fromiter((i for ids in made for i in ids), np.uint32, int(counts.sum()))
-        each = counts[which]
-        return flat[np.repeat((np.cumsum(counts) - counts)[which], each) + runs(each)], np.concatenate([[0], np.cumsum(each)])[bounds]
+        codes, where, which = np.unique(Coder(data, lower=False).code(starts, stops), return_index=True, return_inverse=True)
+        if len(self.place) + len(codes) > self.most:
+            self.clear()
+        known = np.fromiter(map(self.place.get, codes.tolist(), itertools.repeat(-1)), np.int64, len(codes))
+        if len(miss := np.flatnonzero(known < 0)):
+            raw = data.tobytes()
+            ids, counts = self.new([raw[a:b].decode() for a, b in zip(starts[where[miss]].tolist(), stops[where[miss]].tolist(), strict=True)])
+            known[miss] = len(self.place) + np.arange(len(miss))
+            self.place.update(zip(codes[miss].tolist(), known[miss].tolist(), strict=True))
+            self.flat.append(ids)
+            self.heads.append(self.size + np.cumsum(counts) - counts)
+            self.counts.append(counts)
+            self.size += len(ids)
+            for held in (self.flat, self.heads, self.counts):
+                held[:] = [np.concatenate(held)]
+        own = known[which]
+        each = self.counts[0][own]
+        return self.flat[0][np.repeat(self.heads[0][own], each) + runs(each)], np.concatenate([[0], np.cumsum(each)])[bounds]
+
+
+@cache
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One for each Python worker, so that its cache serves all tasks there."""
+    return WordTokenizer(path)
 
 
 def pack(docs: DataFrame, path: str, end_id: int = 2, most: int = 4096, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -72,7 +122,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, most: int = 4096, key: str
         from pyspark import TaskContext
 
         task = TaskContext.get().partitionId()
-        tokenizer, made = WordTokenizer(path), np.zeros(most.bit_length(), np.int64)
+        tokenizer, made = word_tokenizer(path), np.zeros(most.bit_length(), np.int64)
         for batch in batches:
             for part in chunks(batch, text):
                 ids, bounds = tokenizer.encode(*utf8(part.column(part.schema.get_field_index(text))))
