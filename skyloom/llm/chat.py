@@ -59,9 +59,10 @@ def paths(messages: DataFrame, best: int | None = None) -> DataFrame:
     jump = saved(up.select("tree_id", "msg_id", F.col("p").alias("above"), "score", F.lit(1).cast("long").alias("n")), "jump")
     levels, most = [jump], max(1, nodes.count())
     while jump.where("above is not null").limit(1).count() and 2 ** len(levels) <= 2 * most:
-        a, b = jump.alias("a"), jump.alias("b")
+        a, b = jump.where("above is not null").alias("a"), jump.alias("b")  # what has reached its root is not joined again
         on = F.col("a.tree_id").eqNullSafe(F.col("b.tree_id")) & (F.col("a.above") == F.col("b.msg_id"))
-        jump = saved(a.join(b, on, "left").select("a.tree_id", "a.msg_id", F.col("b.above").alias("above"), (F.col("a.score") + F.coalesce("b.score", F.lit(0.0))).alias("score"), (F.col("a.n") + F.coalesce("b.n", F.lit(0))).alias("n")), "jump")
+        further = a.join(b, on, "left").select("a.tree_id", "a.msg_id", F.col("b.above").alias("above"), (F.col("a.score") + F.coalesce("b.score", F.lit(0.0))).alias("score"), (F.col("a.n") + F.coalesce("b.n", F.lit(0))).alias("n"))
+        jump = saved(jump.where("above is null").unionByName(further), "jump")
         levels.append(jump)
     parents = nodes.where("parent_id is not null").select(F.col("tree_id").alias("t"), F.col("parent_id").alias("p")).distinct()
     leaves = jump.where("above is null").join(parents, F.col("tree_id").eqNullSafe(F.col("t")) & (F.col("msg_id") == F.col("p")), "left_anti")
