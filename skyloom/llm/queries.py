@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, packing, sharding
+from . import bpe, chat, kneser_ney, packing, pivots, postings, repeats, setsketch, sharding, toxicity
 from .shared import seen_by_workers
 
 
@@ -62,10 +62,56 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.select("doc_id", (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(F.encode(body, "utf-8")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def remainder(key: str, by: int):
+    """crc32(key as text) mod by; null for a null key."""
+    return F.pmod(F.crc32(F.encode(F.col(key).cast("string"), "utf-8")), F.lit(by))
+
+
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(remainder("doc_id", 7) == 2, F.lit(False)).alias("held_out"))
+    model = kneser_ney.train(docs.where("not held_out"))
+    return kneser_ney.perplexity(docs, model).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=100)
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["stop"] - x["start"])
+    return cut.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Fitted on labelled documents whose crc32 remainder by 3 is not 1; a document's labels count once, 1 before 0."""
+    labels = table(spark, sf_dir, "labels").where("toxic is not null and doc_id is not null").where(remainder("doc_id", 3) != 1)
+    labels = labels.groupBy("doc_id").agg(F.max("toxic").alias("label"))
+    wanted = F.broadcast(labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(toxicity.Settings.most_rows))
+    return toxicity.fit(table(spark, sf_dir, "documents").select("doc_id", "text").join(wanted, "doc_id"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf_dir, "documents").select("doc_id", "text"), toxicity_model(spark, sf_dir))
+    return scored.select("doc_id", F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {"op1_chat": op1_chat, "op2_bpe": op2_bpe, "op3_sharding": op3_sharding, "op7_packing": op7_packing}
+def op8_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return postings.search(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+def op9_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op10_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), setsketch.Settings(shingle=3, percent=85))
+
+
+QUERIES = {
+    "op1_chat": op1_chat, "op2_bpe": op2_bpe, "op3_sharding": op3_sharding, "op4_kneser_ney": op4_kneser_ney, "op5_repeats": op5_repeats,
+    "op6_toxicity": op6_toxicity, "op7_packing": op7_packing, "op8_postings": op8_postings, "op9_pivots": op9_pivots, "op10_setsketch": op10_setsketch,
+}
 ORACLES = {"op1_chat": OP1_SQL}

@@ -80,10 +80,10 @@ def shingles(codes: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray,
     out_bounds = np.concatenate([[0], np.cumsum(out_counts)])
     first = np.repeat(bounds[:-1], out_counts) + (np.arange(out_bounds[-1]) - np.repeat(out_bounds[:-1], out_counts))
     out = mix(rolled[first]) if len(first) else np.zeros(0, np.uint64)
-    for d in np.flatnonzero(short):
-        row = codes[bounds[d] : bounds[d + 1]]
-        total = np.uint64(len(row))
-        for i, c in enumerate(row):
-            total = mix(np.array([total + c * np.uint64(2 * i + 3)], np.uint64))[0]
-        out[out_bounds[d]] = total
+    few, at = np.flatnonzero(short), out_bounds[:-1][short]
+    total = counts[few].astype(np.uint64)
+    for i in range(k - 1):
+        more = counts[few] > i
+        total[more] = mix(total[more] + codes[bounds[few[more]] + i] * np.uint64(2 * i + 3))
+    out[at] = total
     return out, out_bounds
