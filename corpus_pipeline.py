@@ -1,13 +1,51 @@
-"""The corpus pipeline: STAGES in order, each over all rows that the one before it kept."""
+"""The corpus pipeline: STAGES in order, each over all rows that the one before it kept, as Parquet files.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from skyloom.llm import packing, repeats, setsketch, toxicity
+from skyloom.llm.queries import toxicity_model, vocabulary
+from skyloom.llm.shared import saved, seen_by_workers
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score reaches 0.7 go."""
+    seen_by_workers(spark)
+    return toxicity.score(docs, toxicity_model(spark, sf_dir), name="_score").where("_score < 0.7").drop("_score")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a similarity of 0.8 or more over five-word shingles the one with the least doc_id stays."""
+    seen_by_workers(spark)
+    return setsketch.one_of_each(docs, setsketch.Settings(shingle=5, percent=80))
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Characters in strings of 100 bytes that also start earlier go; every document stays, and n_chars follows its text."""
+    seen_by_workers(spark)
+    cut = repeats.without_repeats(docs, length=100, whole_characters=True)
+    text = F.when(F.col("text").isNotNull(), F.decode("kept", "utf-8"))
+    return cut.withColumns({"text": text, "n_chars": F.when(F.size("spans") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))}).drop("n_bytes", "spans", "kept")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in buckets of powers of two, with their ids."""
+    seen_by_workers(spark)
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"))
+
+
+STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates), ("repeats", cut_repeats), ("packing", pack)]
 
-STAGES = []
+#: Tokenising, a fitted model and sketches can't be written in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of sf_dir; what a stage returns is written and read again for the next one."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
