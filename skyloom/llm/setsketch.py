@@ -21,6 +21,8 @@ from .words import Coder, mix, shingles, words
 
 #: Rows of ids (8 bytes each) up to which a side is sent to all executors; beyond that the join shuffles.
 BROADCAST_ROWS = 500_000
+#: Documents on either side of a task that compares in blocks.
+BLOCK = 256
 
 
 @dataclass(frozen=True)
@@ -122,9 +124,8 @@ def likely(pairs: DataFrame, s: Settings) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, s: Settings, key: str, text: str) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the threshold. Each text that a pair needs is read and cut up once."""
-    needed = saved(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "needed")
+def full_sets(docs: DataFrame, needed: DataFrame, s: Settings, key: str, text: str) -> DataFrame:
+    """(id, codes): the shingle sets of the documents whose ids are needed. Each text is read and cut up once."""
     side = F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,12 +137,64 @@ def verified(pairs: DataFrame, docs: DataFrame, s: Settings, key: str, text: str
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(body))], ["id", "codes"])
 
     texts = docs.select(F.col(key).cast("long").alias("id"), text).join(side, "id", "left_semi")
-    sets = saved(texts.mapInArrow(run, "id long, codes array<long>"), "sets")
+    return saved(texts.mapInArrow(run, "id long, codes array<long>"), "sets")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, s: Settings, key: str, text: str) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets reach the threshold."""
+    needed = saved(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "needed")
+    sets = full_sets(docs, needed, s, key, text)
     a, b = sets.select(F.col("id").alias("a"), F.col("codes").alias("codes_a")), sets.select(F.col("id").alias("b"), F.col("codes").alias("codes_b"))
     both = F.size(F.array_intersect("codes_a", "codes_b"))
     return pairs.join(a, "a").join(b, "b").where(100 * both >= s.percent * (F.size("codes_a") + F.size("codes_b") - both)).select("a", "b")
 
 
+def across(groups: DataFrame, nodes: DataFrame, docs: DataFrame, s: Settings, key: str, text: str) -> DataFrame:
+    """Links between documents of one group that are not connected yet; groups: (node, grp, root), root the component so far.
+
+    The documents outside a group's largest component are its queries, and are compared with all its documents, in
+    blocks: sizes first, then the likelihood of the sketches, then the full sets. Only links come out of a task, one for
+    each query and component.
+    """
+    sizes = saved(groups.groupBy("grp", "root").agg(F.count("*").alias("c")), "sizes")
+    most = sizes.groupBy("grp").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.sum("c").alias("n"), (F.sum("c") - F.max("c")).alias("q"))
+    most = saved(most.select("grp", "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("jn"), F.ceil(F.col("q") / BLOCK).cast("int").alias("in")).where("in > 0"), "most")
+    rows = saved(groups.join(most, "grp"), "rows")
+    sets = full_sets(docs, saved(rows.select(F.col("node").alias("id")).distinct(), "needed"), s, key, text)
+    full = rows.join(sets.withColumnRenamed("id", "node"), "node").join(nodes.select("node", "registers"), "node")
+    upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    mine = lambda c: F.pmod(F.xxhash64("node"), c).cast("int")
+    asking = full.where("root <> main").select("grp", mine("in").alias("i"), upto("jn").alias("j"), F.lit(True).alias("asks"), "node", "root", "codes", "registers")
+    asked = full.select("grp", upto("in").alias("i"), mine("jn").alias("j"), F.lit(False).alias("asks"), "node", "root", "codes", "registers")
+
+    def compare(table: pa.Table) -> pa.Table:
+        asks = table.column("asks").to_numpy(zero_copy_only=False)
+        node, root = table.column("node").to_numpy(), table.column("root").to_numpy()
+        lists = table.column("codes").combine_chunks()
+        edges, flat = lists.offsets.to_numpy(), lists.flatten().to_numpy().view(np.uint64)
+        edges = edges - edges[0]
+        size = np.diff(edges)
+        reg = np.frombuffer(utf8(table.column("registers"))[0].tobytes(), "<u2").reshape(len(node), -1)
+        other = np.flatnonzero(~asks)
+        a, b = [], []
+        for q in np.flatnonzero(asks):
+            some = other[(root[other] != root[q]) & (100 * np.minimum(size[other], size[q]) >= s.percent * np.maximum(size[other], size[q]))]
+            above, below = (reg[q] > reg[some]).sum(1), (reg[q] < reg[some]).sum(1)
+            some = some[estimate(np.full(len(some), float(size[q])), size[some].astype(float), above, below, reg.shape[1] - above - below, s.base) >= s.percent / 100 - s.margin] if len(some) else some
+            own, done = flat[edges[q] : edges[q + 1]], set()
+            for m in some.tolist():
+                if root[m] not in done:
+                    theirs = flat[edges[m] : edges[m + 1]]
+                    both = int((own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs).sum())
+                    if 100 * both >= s.percent * (len(own) + len(theirs) - both):
+                        done.add(root[m])
+                        a.append(node[q])
+                        b.append(node[m])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return saved(asking.unionByName(asked).groupBy("grp", "i", "j").applyInArrow(compare, "a long, b long"), "links")
+
+
 def near_duplicates(docs: DataFrame, s: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each document: key, n_shingles, component_id, kept.
 
@@ -151,7 +204,7 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), key: str = "doc_i
     links with nothing and has no component. An empty table gives an empty result.
 
     No bucket of a band makes all its pairs: each member is compared with the bucket's least member, then components are
-    found, then only members outside that member's component are compared, with the bucket's members of other components.
+    found. Buckets that hold several components form groups, within which across() compares what is still apart.
     """
     marks = saved(sketch(docs, s, key, text), "sketches")
     classes = saved(marks.where("n_shingles > 0 and id is not null").groupBy("set_hi", "set_lo").agg(F.min("id").alias("node")), "classes")
@@ -172,18 +225,16 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), key: str = "doc_i
 
     links = linked(members.select(F.col("node").alias("a"), F.col("hub").alias("b")))
     found = components(links)
-    of = lambda name, to: found.select(F.col("node").alias(name), F.col("root").alias(to))
-    placed = members.join(of("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node")).join(of("hub", "hub_root"), "hub", "left").withColumn("hub_root", F.coalesce("hub_root", "hub"))
-    placed = saved(placed, "placed")
-    outside = placed.where("root <> hub_root").select("bucket", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    open_buckets = saved(outside.select("bucket").distinct(), "open")
-    inside = placed.join(open_buckets, "bucket", "left_semi").select("bucket", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    left = outside.join(inside, "bucket").where("root_a <> root_b").select("a", "b")
-    links = saved(links.unionByName(linked(left)), "links")
+    placed = saved(members.join(found, "node", "left").select("bucket", "node", "hub", F.coalesce("root", "node").alias("root")), "placed")
+    open_buckets = saved(placed.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("bucket"), "open")
+    unsure = saved(placed.join(open_buckets, "bucket").groupBy("node", "hub").agg(F.min("root").alias("root")), "unsure")
+    groups = components(unsure.select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    groups = saved(groups.withColumnRenamed("root", "grp").join(unsure.select("node", "root").distinct(), "node"), "groups")
+    links = saved(links.unionByName(across(groups, nodes, docs, s, key, text)), "links")
     found = components(links)
     least = saved(found.groupBy("root").agg(F.min("node").alias("component_id")), "least")
     label = saved(found.join(least, "root").select("node", "component_id"), "labels")
-    out = marks.join(classes.withColumn("_c", F.lit(1)), ["set_hi", "set_lo"], "left").where("id is null or true")
+    out = marks.join(classes, ["set_hi", "set_lo"], "left")
     out = out.withColumn("node", F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("node")).otherwise(F.col("id")))
     out = out.join(label, "node", "left").select(F.col("id").alias(key), "n_shingles", F.coalesce("component_id", "node").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(False)))
