@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import binary, chunks, runs, saved, utf8, without
-from .words import Coder
+from .words import Coder, mix
 
 GRAM = 32
 
@@ -70,13 +70,37 @@ def window_runs(data: np.ndarray, ends: np.ndarray, coder: Coder, length: int, g
     return doc[back], starts[back] + runs(parts), np.where(twice, 1, stops - starts)[back], digit[back]
 
 
+def _first_of_each(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Places, in order, of the first row of each text with the same a and b."""
+    both = mix(a * np.uint64(0x9E3779B97F4A7C15) ^ b) + mix(doc.astype(np.uint64) + np.uint64(1))
+    return np.sort(np.unique(both, return_index=True)[1])
+
+
+def inner_repeats(data: np.ndarray, ends: np.ndarray, coder: Coder, length: int, gram: int) -> np.ndarray:
+    """Starts of the windows which the same text has had before."""
+    doc, start, n, digit = window_runs(data, ends, coder, length, gram)
+    if not len(doc):
+        return start
+    order = np.lexsort((digit, doc))
+    same = (doc[order][1:] == doc[order][:-1]) & (digit[order][1:] == digit[order][:-1])
+    some = order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
+    some.sort()
+    count = n[some]
+    at = np.repeat(start[some], count) + runs(count)
+    if not len(at):
+        return at
+    first = np.zeros(len(at), bool)
+    first[_first_of_each(np.repeat(doc[some], count), coder.code(at, at + length // 2), coder.code(at + length // 2, at + length))] = True
+    return at[~first]
+
+
 def _tags(coder: Coder, ends: np.ndarray) -> np.ndarray:
     """32 bits of each text's code: rows with the same key but other texts stay apart."""
     return (coder.code(ends[:-1], ends[1:]) & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
 def _runs_of(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """(digit, code, key, place, n): place is the first window << 32 | tag; n is negative for runs met earlier in the text."""
+    """(digit, code, key, place, n): place is the first window << 32 | tag. Runs that a text has had before are left out (see inner_repeats)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,19 +111,17 @@ def _runs_of(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 if not len(doc):
                     continue
                 code = coder.code(start, start + n + length - 1)
-                order = np.lexsort((start, code, digit, doc))
-                again = np.zeros(len(doc), bool)
-                a, b = order[:-1], order[1:]
-                again[b] = (doc[a] == doc[b]) & (digit[a] == digit[b]) & (code[a] == code[b])
+                some = _first_of_each(doc, digit, code)
+                doc, start, n, digit, code = (x[some] for x in (doc, start, n, digit, code))
                 place = ((start - ends[doc]) << 32) | _tags(coder, ends)[doc]
                 keys = part.column(part.schema.get_field_index("key")).take(pa.array(doc))
-                yield pa.RecordBatch.from_arrays([pa.array(digit.view(np.int64)), pa.array(code.view(np.int64)), keys, pa.array(place), pa.array(np.where(again, -n, n).astype(np.int32))], ["digit", "code", "key", "place", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(digit.view(np.int64)), pa.array(code.view(np.int64)), keys, pa.array(place), pa.array(n.astype(np.int32))], ["digit", "code", "key", "place", "n"])
 
     return docs.mapInArrow(run, "digit long, code long, key long, place long, n int")
 
 
 def _opened(docs: DataFrame, picked: DataFrame, length: int) -> DataFrame:
-    """(high, low, key, place, again) of every window in the picked runs: codes of its halves; `again`: met earlier in the text."""
+    """(high, low, key, place) of every different window in the picked runs, with the codes of its halves."""
     lists = picked.groupBy("key", F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).alias("tag")).agg(F.collect_list(F.struct(F.shiftright("place", 32).alias("start"), "n")).alias("picked"))
     lists = saved(lists.withColumnRenamed("key", "k"), "picked")
     rows = docs.join(lists, F.col("key").eqNullSafe(F.col("k"))).select("key", "tag", "picked", "text")
@@ -122,43 +144,40 @@ def _opened(docs: DataFrame, picked: DataFrame, length: int) -> DataFrame:
                 at = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
                 doc = np.repeat(doc, count)
                 high, low = coder.code(at, at + half), coder.code(at + half, at + length)
-                order = np.lexsort((at, low, high, doc))
-                a, b = order[:-1], order[1:]
-                again = np.zeros(len(at), bool)
-                again[b] = (doc[a] == doc[b]) & (high[a] == high[b]) & (low[a] == low[b])
+                some = _first_of_each(doc, high, low)
+                doc, at, high, low = (x[some] for x in (doc, at, high, low))
                 keys = part.column(0).take(pa.array(doc))
-                yield pa.RecordBatch.from_arrays([pa.array(high.view(np.int64)), pa.array(low.view(np.int64)), keys, pa.array(((at - ends[doc]) << 32) | tags[doc]), pa.array(again)], ["high", "low", "key", "place", "again"])
+                yield pa.RecordBatch.from_arrays([pa.array(high.view(np.int64)), pa.array(low.view(np.int64)), keys, pa.array(((at - ends[doc]) << 32) | tags[doc])], ["high", "low", "key", "place"])
 
-    return rows.mapInArrow(run, "high long, low long, key long, place long, again boolean")
+    return rows.mapInArrow(run, "high long, low long, key long, place long")
 
 
 def repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, tag, cover): for each text with repeats, places start << 32 | bytes that are covered by strings of `length` bytes that start earlier.
+    """(key, tag, cover): for texts that repeat strings of `length` bytes of rows with smaller keys, places start << 32 | bytes.
 
-    Earlier means in a row with a smaller key, or further up in the same text. Rows with the same key don't count as
-    earlier for each other, nor rows without a key for any.
+    What a text repeats of itself is not in it (see inner_repeats). Rows with the same key don't count as earlier for
+    each other, nor rows without a key for any.
     """
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(text, F.lit("")).alias("text"))
     gram = min(GRAM, length)
     found = _runs_of(rows, length, gram)
-    # pass 1: values of digit 1 that occur once go
-    often = saved(found.groupBy("digit").agg(F.count("*").alias("c")).where("c > 1").select("digit"), "digits")
+    # pass 1: values of digit 1 that no two keys share go
+    often = saved(found.groupBy("digit").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a < b").select("digit"), "digits")
     left = saved(found.join(often, "digit"), "runs")
     # pass 2: of equal runs the first goes on
     groups = saved(left.groupBy("digit", "code").agg(F.min("key").alias("first")), "groups")
-    mixed = saved(groups.groupBy("digit").agg(F.count("*").alias("c")).where("c > 1").select("digit", F.lit(1).alias("mixed")), "mixed")
-    placed = left.join(groups, ["digit", "code"])
-    gone = (F.col("n") < 0) | F.coalesce(F.col("first") < F.col("key"), F.lit(False))
+    mixed = saved(groups.groupBy("digit").agg(F.count("*").alias("c")).where("c > 1").select("digit"), "mixed")
+    placed = saved(left.join(groups, ["digit", "code"]).withColumn("gone", F.coalesce(F.col("first") < F.col("key"), F.lit(False))).select("digit", "key", "place", "n", "gone"), "placed")
     start = F.shiftright("place", 32)
     tag = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).alias("tag")
     covered = lambda n: F.shiftleft(start, 32).bitwiseOR(n.cast("long")).alias("cover")
-    whole = placed.where(gone).select("key", tag, covered(F.abs("n") + length - 1))
-    picked = saved(placed.where(~gone).join(mixed, "digit").select("key", "place", "n"), "picked")
+    whole = placed.where("gone").select("key", tag, covered(F.col("n") + length - 1))
+    picked = placed.where("not gone").join(mixed, "digit").select("key", "place", "n")
     # last passes: windows of the runs that differ
     windows = saved(_opened(rows, picked, length), "windows")
     firsts = saved(windows.groupBy("high", "low").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last").select("high", "low", "first"), "firsts")
-    again = windows.where("again").select("key", "place").unionByName(windows.where("not again").join(firsts, ["high", "low"]).where("first < key").select("key", "place"))
-    return whole.unionByName(again.select("key", tag, covered(F.lit(length)))).groupBy("key", "tag").agg(F.collect_list("cover").alias("cover"))
+    again = windows.join(firsts, ["high", "low"]).where("first < key").select("key", tag, covered(F.lit(length)))
+    return whole.unionByName(again).groupBy("key", "tag").agg(F.collect_list("cover").alias("cover"))
 
 
 def without_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text: str = "text", whole_characters: bool = False) -> DataFrame:
@@ -173,6 +192,8 @@ def without_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", tex
     rows = plain.join(per_key, F.col(f"`{key}`").cast("long").eqNullSafe(F.col("_key")), "left").select(*[plain[f"`{c}`"] for c in plain.columns], "_cover")
 
     def cut(data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, list[dict]]:
+        if not len(places):
+            return data, []
         mark = np.zeros(len(data) + 1, np.int32)
         np.add.at(mark, places >> 32, 1)
         np.add.at(mark, (places >> 32) + (places & 0xFFFFFFFF), -1)
@@ -187,12 +208,14 @@ def without_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", tex
         for batch in batches:
             for part in chunks(batch, text):
                 data, ends = _bytes(part, text)
-                tags = _tags(Coder(data, lower=False), ends)
+                coder = Coder(data, lower=False)
+                tags, own = _tags(coder, ends), inner_repeats(data, ends, coder, length, min(GRAM, length))
+                edges = np.searchsorted(own, ends)
                 made, spans = [], []
                 for i, found in enumerate(part.column(part.schema.get_field_index("_cover"))):
-                    own = data[ends[i] : ends[i + 1]]
+                    places = ((own[edges[i] : edges[i + 1]] - ends[i]) << 32) | length
                     mine = [x["_cover"].values.to_numpy() for x in found if x["_tag"].as_py() == tags[i]] if found.is_valid else []
-                    kept, gone = cut(own, mine[0]) if mine else (own, [])
+                    kept, gone = cut(data[ends[i] : ends[i + 1]], np.concatenate([places, *mine]))
                     made.append(kept)
                     spans.append(gone)
                 body = binary(np.concatenate(made), np.concatenate([[0], np.cumsum([len(x) for x in made])]))

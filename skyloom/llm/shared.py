@@ -35,7 +35,11 @@ def seen_by_workers(spark: SparkSession) -> None:
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to shared storage and reads it back: cuts the lineage and survives lost executors."""
+    """Writes df to shared storage and reads it back: cuts the lineage and survives lost executors.
+
+    Shuffle files of queries that have ended go at once, as nothing reads them again.
+    """
+    df.sparkSession.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
