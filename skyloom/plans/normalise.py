@@ -122,18 +122,18 @@ def assign_expected_grid(spark, folder):
 
 
 BOX = (600000, -36500, 500000, 80000)
-SETS_SQL = f"sets as (select init_time, alias from field_ev group by 1, 2 having max(lat_e4) between {BOX[2]} and {BOX[0]} and max(lon_e4) between {BOX[1]} and {BOX[3]} and min(step) between 0 and 4)"
+SETS_SQL = f"sets as (select init_time, alias from field_ev group by 1, 2 having max(lat_e4) between {BOX[2]} and {BOX[0]} and max(lon_e4) between {BOX[1]} and {BOX[3]} and min(step) between 1 and 4)"
 
 
 @query("select init_time, alias from sets", t.FIELD_SQL, SETS_SQL)
 def relevant_datasets(spark, folder):
-    return n.relevant(t.field_events(spark, folder), ["init_time", "alias"], BOX, (0, 4))
+    return n.relevant(t.field_events(spark, folder), ["init_time", "alias"], BOX, (1, 4))
 
 
 @query("select distinct init_time, 'convert' as stage, 'nothing relevant' as rule from field_ev where init_time not in (select init_time from sets)", t.FIELD_SQL, SETS_SQL)
 def files_without_fields(spark, folder):
     fields = t.field_events(spark, folder)
-    kept = n.relevant(fields, ["init_time", "alias"], BOX, (0, 4)).select("init_time").distinct()
+    kept = n.relevant(fields, ["init_time", "alias"], BOX, (1, 4)).select("init_time").distinct()
     return fields.select("init_time").distinct().join(kept, "init_time", "left_anti").select("init_time", F.lit("convert").alias("stage"), F.lit("nothing relevant").alias("rule"))
 
 
