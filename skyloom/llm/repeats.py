@@ -3,12 +3,12 @@
 Suffixes are told apart only through the first `length` bytes, by digits of falling significance; groups that are still
 equal after the last digit are exactly the repeated windows.
 
-Digit 1 of a window is the least code among its short grams. Neighbouring windows share it, so that a whole run of
-windows goes through a pass as one row, and windows with different first digits are never compared. A pass counts the
-digit's values and drops those that occur once. Digit 2 is the code of the run's bytes: of equal runs the first one
-goes on and the windows of the others are repeats. Runs that share digit 1 but differ in digit 2 are opened into
-windows, and the last two digits, the codes of a window's halves, decide. All passes are sums with partial aggregation,
-joined back; no group is gathered anywhere.
+A digit of a window is what it shares with its neighbours, so that a run of windows goes through a pass as one row.
+Digit 1 is the least code among a window's short grams. Digit 2, of blocks of a run, is the bytes that all windows of
+the block cover, placed by that gram. The last digits, of single windows, are the codes of their halves. Each pass
+drops the values that no two texts share; of equal runs or blocks the first goes on, and the windows of the others are
+repeats; what shares the digit but differs is opened for the next pass. All passes are sums with partial aggregation,
+joined back; no group is gathered anywhere. What a text repeats of itself is found with the text at hand, in the last step.
 """
 
 from __future__ import annotations
@@ -120,12 +120,15 @@ def _runs_of(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return docs.mapInArrow(run, "digit long, code long, key long, place long, n int")
 
 
-def _opened(docs: DataFrame, picked: DataFrame, length: int) -> DataFrame:
-    """(high, low, key, place) of every different window in the picked runs, with the codes of its halves."""
+def _inside(docs: DataFrame, picked: DataFrame, length: int, make, kept: str) -> DataFrame:
+    """What make(data, coder, text number, first window, number of windows) gives for the picked runs of each text.
+
+    make returns the text number and place of its rows, and the columns `kept` in between.
+    """
     lists = picked.groupBy("key", F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).alias("tag")).agg(F.collect_list(F.struct(F.shiftright("place", 32).alias("start"), "n")).alias("picked"))
     lists = saved(lists.withColumnRenamed("key", "k"), "picked")
     rows = docs.join(lists, F.col("key").eqNullSafe(F.col("k"))).select("key", "tag", "picked", "text")
-    half = length // 2
+    names = [c.split()[0] for c in kept.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,15 +144,66 @@ def _opened(docs: DataFrame, picked: DataFrame, length: int) -> DataFrame:
                 doc, first, count = doc[right], first[right] + ends[doc[right]], count[right]
                 if not len(doc):
                     continue
-                at = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
-                doc = np.repeat(doc, count)
-                high, low = coder.code(at, at + half), coder.code(at + half, at + length)
-                some = _first_of_each(doc, high, low)
-                doc, at, high, low = (x[some] for x in (doc, at, high, low))
+                doc, start, columns = make(data, coder, doc, first, count)
                 keys = part.column(0).take(pa.array(doc))
-                yield pa.RecordBatch.from_arrays([pa.array(high.view(np.int64)), pa.array(low.view(np.int64)), keys, pa.array(((at - ends[doc]) << 32) | tags[doc])], ["high", "low", "key", "place"])
+                yield pa.RecordBatch.from_arrays([keys, pa.array(((start - ends[doc]) << 32) | tags[doc]), *(pa.array(x.view(np.int64)) for x in columns)], ["key", "place", *names])
+
+    return rows.mapInArrow(run, f"key long, place long, {kept}")
+
+
+def _blocks_of(docs: DataFrame, picked: DataFrame, length: int, gram: int) -> DataFrame:
+    """(key, place, digit, code, n) of the blocks of picked runs: windows whose least gram comes at about the same place."""
+    wide, block = np.arange(length - gram + 1), max(1, (length - gram + 1) // 4)
+
+    def make(data, coder, doc, first, count):
+        anchor = first.copy()
+        for i in range(0, len(first), 8192):
+            at = first[i : i + 8192, None] + wide
+            anchor[i : i + 8192] += coder.code(at.ravel(), at.ravel() + gram).reshape(at.shape).argmin(1)
+        low, high = (anchor - first - count + 1) // block, (anchor - first) // block
+        parts = high - low + 1
+        back = np.repeat(np.arange(len(first)), parts)
+        k = low[back] + runs(parts)
+        doc, first, last, anchor = doc[back], first[back], (first + count - 1)[back], anchor[back]
+        core = anchor - k * block
+        start, stop = np.maximum(first, core - block + 1), np.minimum(last, core)
+        digit = coder.code(core, core - block + 1 + length) ^ mix(k.astype(np.uint64))
+        code = mix(coder.code(start, stop + length) + mix((anchor - start).astype(np.uint64)))
+        some = _first_of_each(doc, digit, code)
+        return doc[some], start[some], (digit[some], code[some], (stop - start + 1)[some])
+
+    return _inside(docs, picked, length, make, "digit long, code long, n long")
+
+
+def _windows_of(docs: DataFrame, picked: DataFrame, length: int) -> DataFrame:
+    """(key, place, high, low) of every different window in the picked blocks, with the codes of its halves."""
+    half = length // 2
 
-    return rows.mapInArrow(run, "high long, low long, key long, place long")
+    def make(data, coder, doc, first, count):
+        at = np.repeat(first, count) + runs(count)
+        doc = np.repeat(doc, count)
+        high, low = coder.code(at, at + half), coder.code(at + half, at + length)
+        some = _first_of_each(doc, high, low)
+        return doc[some], at[some], (high[some], low[some])
+
+    return _inside(docs, picked, length, make, "high long, low long")
+
+
+def _covered(n) -> list:
+    """Columns key, tag and cover of rows with a place and n windows of `length` bytes."""
+    start = F.shiftleft(F.shiftright("place", 32), 32)
+    return [F.col("key"), F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).alias("tag"), start.bitwiseOR(n.cast("long")).alias("cover")]
+
+
+def _pass(found: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """Of rows (digit, code, key, place, n): what is covered by repeats, and the rows to open for the next digit."""
+    often = saved(found.groupBy("digit").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a < b").select("digit"), "digits")
+    left = saved(found.join(often, "digit").select("digit", "code", "key", "place", "n"), "runs")
+    groups = saved(left.groupBy("digit", "code").agg(F.min("key").alias("first")), "groups")
+    mixed = saved(groups.groupBy("digit").agg(F.count("*").alias("c")).where("c > 1").select("digit"), "mixed")
+    gone = F.coalesce(F.col("first") < F.col("key"), F.lit(False)).alias("gone")
+    placed = saved(left.join(groups, ["digit", "code"]).select("digit", "key", "place", "n", gone), "placed")
+    return placed.where("gone").select(_covered(F.col("n") + length - 1)), placed.where("not gone").join(mixed, "digit").select("key", "place", "n")
 
 
 def repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -160,24 +214,12 @@ def repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text: str =
     """
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(text, F.lit("")).alias("text"))
     gram = min(GRAM, length)
-    found = _runs_of(rows, length, gram)
-    # pass 1: values of digit 1 that no two keys share go
-    often = saved(found.groupBy("digit").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a < b").select("digit"), "digits")
-    left = saved(found.join(often, "digit"), "runs")
-    # pass 2: of equal runs the first goes on
-    groups = saved(left.groupBy("digit", "code").agg(F.min("key").alias("first")), "groups")
-    mixed = saved(groups.groupBy("digit").agg(F.count("*").alias("c")).where("c > 1").select("digit"), "mixed")
-    placed = saved(left.join(groups, ["digit", "code"]).withColumn("gone", F.coalesce(F.col("first") < F.col("key"), F.lit(False))).select("digit", "key", "place", "n", "gone"), "placed")
-    start = F.shiftright("place", 32)
-    tag = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).alias("tag")
-    covered = lambda n: F.shiftleft(start, 32).bitwiseOR(n.cast("long")).alias("cover")
-    whole = placed.where("gone").select("key", tag, covered(F.col("n") + length - 1))
-    picked = placed.where("not gone").join(mixed, "digit").select("key", "place", "n")
-    # last passes: windows of the runs that differ
-    windows = saved(_opened(rows, picked, length), "windows")
+    runs_gone, mixed = _pass(_runs_of(rows, length, gram), length)
+    blocks_gone, mixed = _pass(saved(_blocks_of(rows, mixed, length, gram), "blocks"), length)
+    windows = saved(_windows_of(rows, mixed, length), "windows")
     firsts = saved(windows.groupBy("high", "low").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last").select("high", "low", "first"), "firsts")
-    again = windows.join(firsts, ["high", "low"]).where("first < key").select("key", tag, covered(F.lit(length)))
-    return whole.unionByName(again).groupBy("key", "tag").agg(F.collect_list("cover").alias("cover"))
+    again = windows.join(firsts, ["high", "low"]).where("first < key").select(_covered(F.lit(length)))
+    return runs_gone.unionByName(blocks_gone).unionByName(again).groupBy("key", "tag").agg(F.collect_list("cover").alias("cover"))
 
 
 def without_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text: str = "text", whole_characters: bool = False) -> DataFrame:
