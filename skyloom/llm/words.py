@@ -72,9 +72,9 @@ def shingles(codes: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray,
     full = np.maximum(counts - k + 1, 0)
     n = len(codes)
     rolled = np.zeros(n, np.uint64)
-    for i in range(k):
+    for i in range(min(k, n)):
         part = codes[i:] * np.uint64((2 * i + 3) * 0x9E3779B97F4A7C15 & (2**64 - 1) | 1)
-        rolled[: n - i] += mix(part) if n > i else part
+        rolled[: n - i] += mix(part)
     short = (counts > 0) & (full == 0)
     out_counts = full + short
     out_bounds = np.concatenate([[0], np.cumsum(out_counts)])
