@@ -31,6 +31,8 @@ class Settings:
     most_pivots: int = 16_384
     block: int = 512
     group_rows: int = 8_000
+    apart: float = 0.7
+    seed: int = 19
 
 
 def describe(nodes: DataFrame, pivots: np.ndarray, depth: int) -> DataFrame:
@@ -50,6 +52,25 @@ def describe(nodes: DataFrame, pivots: np.ndarray, depth: int) -> DataFrame:
     return nodes.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in nodes.schema) + ", near array<int>")
 
 
+def reference_points(found: np.ndarray, size: int, s: Settings) -> np.ndarray:
+    """Unit vectors of a sample that lie apart, in its order, and random directions up to the least number.
+
+    Pivots inside one crowd would order differently for each of its members; one of them describes them all alike.
+    """
+    x = unit(found)
+    kept = np.zeros((0, x.shape[1]))
+    for at in range(0, len(x), 256):
+        part = x[at : at + 256]
+        part = part[(part @ kept.T < s.apart).all(1)] if len(kept) else part
+        near, own = part @ part.T, []
+        for i in range(len(part)):
+            if not own or (near[i, own] < s.apart).all():
+                own.append(i)
+        kept = np.concatenate([kept, part[own]])[:size]
+    more = np.random.default_rng(s.seed).normal(size=(max(0, s.least_pivots - len(kept)), x.shape[1]))
+    return np.concatenate([kept, unit(more)]) if len(more) else kept
+
+
 def _judge(left: np.ndarray, right: np.ndarray, near_l: np.ndarray, near_r: np.ndarray, p: int, q: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
     """(linked, counted) of all pairs of two blocks of a list (p, q): counted are links whose first shared list this is."""
     linked = left @ right.T >= cosine
@@ -84,10 +105,10 @@ def links(nodes: DataFrame, s: Settings) -> DataFrame:
     and edges that connect what is linked (other is null where a row only counts)."""
     n = nodes.count()
     size = min(s.most_pivots, max(s.least_pivots, int(s.per_root * n**0.5)))
-    found = sample(nodes, size)
-    if n < 2 or len(found) < 2:
+    if n < 2:
         return nodes.where("false").select("node", F.lit(None).cast("long").alias("other"), F.lit(0).cast("long").alias("n"))
-    known = saved(describe(nodes.select("node", "times", "vec"), unit(found), min(s.depth, len(found))), "described")
+    found = reference_points(sample(nodes, 2 * size), size, s)
+    known = saved(describe(nodes.select("node", "times", "vec"), found, min(s.depth, len(found))), "described")
     ordered = F.sort_array("near")
     two = F.flatten(F.transform(ordered, lambda a: F.transform(F.filter(ordered, lambda b: b > a), lambda b: F.struct(a.alias("p"), b.alias("q")))))
     rows = known.select("node", F.explode(two).alias("list"))

@@ -92,8 +92,16 @@ def walk(q: np.ndarray, c: np.ndarray, near: np.ndarray, wanted: int) -> tuple[n
     return top, np.take_along_axis(seen, top, 1)
 
 
-def _lists(rows: DataFrame, c: np.ndarray, near: np.ndarray | None, wanted: int, ratio: float) -> DataFrame:
-    """(node, vec, list): the lists of each vector, by the graph if given, with distances up to `ratio` times the least."""
+def usual_distance(x: np.ndarray, c: np.ndarray) -> float:
+    """The median distance to the second nearest centroid: vectors that lie on a centroid are judged as if this near."""
+    if len(c) < 2 or not len(x):
+        return 2.0
+    second = np.concatenate([np.partition(-(x[i : i + 1024] @ c.T), 1, axis=1)[:, 1] for i in range(0, len(x), 1024)])
+    return float(np.sqrt(np.maximum(2 + 2 * np.median(second), 0)))
+
+
+def _lists(rows: DataFrame, c: np.ndarray, near: np.ndarray | None, wanted: int, ratio: float, usual: float) -> DataFrame:
+    """(node, vec, list): the lists of each vector, by the graph if given, with distances up to `ratio` times the least, or the usual one if that is more."""
     sent = rows.sparkSession.sparkContext.broadcast((c.astype(np.float32), near))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,7 +117,7 @@ def _lists(rows: DataFrame, c: np.ndarray, near: np.ndarray | None, wanted: int,
                 else:
                     top, cos = walk(x, c, near, wanted)
                 far = np.sqrt(np.maximum(2 - 2 * cos, 1e-6))
-                row, col = np.nonzero((far <= ratio * far[:, :1]) & (cos > -1.5))
+                row, col = np.nonzero((far <= ratio * np.maximum(far[:, :1], usual)) & (cos > -1.5))
                 picked = batch.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays([*picked.columns, pa.array(top[row, col].astype(np.int32))], ["node", "vec", "list"])
 
@@ -131,11 +139,13 @@ def search(vectors: DataFrame, queries: DataFrame, s: Settings = Settings(), key
     if not n:
         return rows.where("false").select(F.col("key").alias("query_id"), F.lit(0).alias("rank"), F.col("key").alias("vec_id"), F.lit(0.0).alias("score"))
     many = min(s.most_lists, max(s.least_lists, n // s.list_rows))
-    c = centroids(unit(sample(index, s.sample_rows)), many, s)
-    posted = saved(_lists(index.withColumn("vec", F.col("vec").cast("array<float>")), c, None, s.copies, s.copy_ratio), "posted")
+    some = unit(sample(index, s.sample_rows))
+    c = centroids(some, many, s)
+    usual = usual_distance(some, c)
+    posted = saved(_lists(index.withColumn("vec", F.col("vec").cast("array<float>")), c, None, s.copies, s.copy_ratio, usual), "posted")
     blocks = saved(posted.groupBy("list").agg(F.ceil(F.count("*") / s.block).cast("int").alias("blocks")), "blocks")
     probes = max(s.copies * 4, int(np.ceil(s.probe_factor * len(c) ** 0.5)))
-    probed = _lists(ask.withColumn("vec", F.col("vec").cast("array<float>")), c, graph(c, min(s.edges, len(c) - 1)), probes, s.probe_ratio)
+    probed = _lists(ask.withColumn("vec", F.col("vec").cast("array<float>")), c, graph(c, min(s.edges, len(c) - 1)), probes, s.probe_ratio, usual)
     inside = posted.join(F.broadcast(blocks), "list").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     wanting = probed.join(F.broadcast(blocks), "list").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     both = inside.select("list", "block", "node", "vec", F.lit(False).alias("asks")).unionByName(wanting.select("list", "block", "node", "vec", F.lit(True).alias("asks")))
