@@ -175,21 +175,25 @@ def across(groups: DataFrame, nodes: DataFrame, docs: DataFrame, s: Settings, ke
         edges = edges - edges[0]
         size = np.diff(edges)
         reg = np.frombuffer(utf8(table.column("registers"))[0].tobytes(), "<u2").reshape(len(node), -1)
-        other = np.flatnonzero(~asks)
-        a, b = [], []
+        other, pairs = np.flatnonzero(~asks), []
         for q in np.flatnonzero(asks):
             some = other[(root[other] != root[q]) & (100 * np.minimum(size[other], size[q]) >= s.percent * np.maximum(size[other], size[q]))]
             above, below = (reg[q] > reg[some]).sum(1), (reg[q] < reg[some]).sum(1)
-            some = some[estimate(np.full(len(some), float(size[q])), size[some].astype(float), above, below, reg.shape[1] - above - below, s.base) >= s.percent / 100 - s.margin] if len(some) else some
-            own, done = flat[edges[q] : edges[q + 1]], set()
-            for m in some.tolist():
-                if root[m] not in done:
-                    theirs = flat[edges[m] : edges[m + 1]]
-                    both = int((own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs).sum())
-                    if 100 * both >= s.percent * (len(own) + len(theirs) - both):
-                        done.add(root[m])
-                        a.append(node[q])
-                        b.append(node[m])
+            pairs.append(np.stack([np.full(len(some), q), some, above, below]))
+        q, m, above, below = np.concatenate(pairs, axis=1) if pairs else np.zeros((4, 0), np.int64)
+        near = estimate(size[q].astype(float), size[m].astype(float), above, below, reg.shape[1] - above - below, s.base) >= s.percent / 100 - s.margin
+        q, m = q[near], m[near]
+        names, place = np.unique(flat, return_inverse=True)
+        mark, a, b = np.zeros(len(names), bool), [], []
+        for query in np.unique(q):
+            own, some = place[edges[query] : edges[query + 1]], m[q == query]
+            mark[own] = True
+            both = np.add.reduceat(mark[np.concatenate([place[edges[x] : edges[x + 1]] for x in some])], np.cumsum(size[some]) - size[some], dtype=np.int64)
+            mark[own] = False
+            hit = some[100 * both >= s.percent * (size[query] + size[some] - both)]
+            hit = hit[np.unique(root[hit], return_index=True)[1]]
+            a += [int(node[query])] * len(hit)
+            b += node[hit].tolist()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return saved(asking.unionByName(asked).groupBy("grp", "i", "j").applyInArrow(compare, "a long, b long"), "links")
