@@ -7,6 +7,7 @@ from __future__ import annotations
 import itertools
 from collections.abc import Iterator
 from functools import cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,8 @@ class WordTokenizer:
     """Ids of a tokenizer whose tokens never reach over white space: every different word is encoded once.
 
     Words met before come from a cache that is emptied at `most` words. New ones are encoded many at a time, in one
-    text, with a mark between them whose single id shows where each word's ids end; words that hold the mark go alone.
+    text, with a mark between them whose single id shows where each word's ids end; words that hold the mark, as they
+    are or normalised, go alone.
     """
 
     MARK = "`"
@@ -59,20 +61,34 @@ class WordTokenizer:
         self.flat, self.heads, self.counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         self.size = 0
 
+    def apart(self, word: str) -> bool:
+        """Whether a word holds the mark, also only after normalisation (U+1FEF becomes the mark)."""
+        if self.mark is None or self.MARK in word:
+            return True
+        return not word.isascii() and not is_normalized("NFC", word) and (self.inner.normalizer is None or self.MARK in self.inner.normalizer.normalize_str(word))
+
+    def each(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some texts, one after another, and how many each has."""
+        made = [x.ids for x in self.inner.encode_batch_fast(found, add_special_tokens=False)]
+        return np.array(list(itertools.chain.from_iterable(made)), np.uint32), np.array([len(x) for x in made], np.int64)
+
+    def together(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As each, of words without the mark, encoded as one text."""
+        ids, _ = self.each([" ".join(f"{w} {self.MARK}" for w in found)])
+        ends = np.flatnonzero(ids == self.mark)
+        if len(ends) != len(found):  # marks that don't tell the words apart are not relied on
+            return self.each(found)
+        return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
+
     def new(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some words, and how many each has."""
-        alone = [i for i, w in enumerate(found) if self.mark is None or self.MARK in w]
-        own = dict(zip(alone, (x.ids for x in self.inner.encode_batch_fast([found[i] for i in alone], add_special_tokens=False)), strict=True))
-        blocks = [" ".join(f"{'' if i in own else found[i]} {self.MARK}" for i in range(at, min(at + 4096, len(found)))) for at in range(0, len(found), 4096)] if len(own) < len(found) else []
-        made = [np.array(x.ids, np.uint32) for x in self.inner.encode_batch_fast(blocks, add_special_tokens=False)]
-        ids = np.concatenate(made) if made else np.full(len(found), self.mark or 0, np.uint32)
-        ends = np.flatnonzero(ids == self.mark) if made else np.arange(len(found))
-        counts = np.diff(ends, prepend=-1) - 1
-        ids = np.delete(ids, ends)
-        if own:
-            parts = np.split(ids, np.cumsum(counts)[:-1])
-            parts = [np.array(own[i], np.uint32) if i in own else x for i, x in enumerate(parts)]
-            ids, counts = np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+        alone = np.array([self.apart(w) for w in found], bool)
+        rest = [w for w, x in zip(found, alone, strict=True) if not x]
+        made = [self.each([found[i] for i in np.flatnonzero(alone)]), *(self.together(rest[at : at + 4096]) for at in range(0, len(rest), 4096))]
+        counts = np.zeros(len(found), np.int64)
+        counts[alone], counts[~alone] = made[0][1], np.concatenate([np.zeros(0, np.int64), *(c for _, c in made[1:])])
+        ids, own = np.zeros(counts.sum(), np.uint32), np.repeat(alone, counts)
+        ids[own], ids[~own] = made[0][0], np.concatenate([np.zeros(0, np.uint32), *(x for x, _ in made[1:])])
         return ids, counts
 
     def encode(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

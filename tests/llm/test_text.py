@@ -94,6 +94,21 @@ def test_pieces_are_powers_of_two_and_hold_all_ids(spark):
     assert [list(length[doc == d]) for d in range(4)] == [[1], [4096], [4096, 1], [4096, 4096, 1024, 512, 256, 16]] and list(start[doc == 3])[-1] == 9984
 
 
+def test_a_word_that_normalises_to_the_mark_leaves_other_words_their_ids(spark):
+    from tokenizers import Tokenizer
+
+    t, own = Tokenizer.from_file(WORDS), packing.WordTokenizer(WORDS)
+    texts = ["some plain words", "a\u1fefb \u1fef \u1fef\u1fef", "other plain words", "cafe\u0301 \u0300 \u212b", "`\u1fef", "last words of all"]
+    for part in (texts, ["words that are new afterwards", "a\u1fefb and \u1fefmore", "the end"]):
+        data = "".join(part).encode()
+        ids, bounds = own.encode(np.frombuffer(data, np.uint8), np.cumsum([0] + [len(x.encode()) for x in part]))
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)] == [t.encode(x, add_special_tokens=False).ids for x in part]
+    own.apart = lambda word: False  # marks that can't be trusted are noticed
+    own.clear()
+    ids, counts = own.new(["a", "a\u1fefb", "b"])
+    assert ids.tolist() == [x for w in ("a", "a\u1fefb", "b") for x in t.encode(w, add_special_tokens=False).ids] and counts.tolist() == [1, 3, 1]
+
+
 def test_kneser_ney_is_the_formula(spark):
     texts = ODD + [BASE.replace("dog", w) for w in ("cat", "owl", "cat")]
     train, other = texts[::2], texts
