@@ -2,7 +2,8 @@
 
 Each vector is described by its nearest reference points, in order. Inverted lists, one for every two pivots that a
 description has, retrieve the vectors that share at least two; each pair is judged once, in its first shared list, by
-its cosine in double precision.
+its cosine in double precision. The more pivots there are, the longer descriptions must be for a pair at the threshold
+to share two: their length is measured on the sample that the pivots come from.
 """
 
 from __future__ import annotations
@@ -22,7 +23,10 @@ from .vectors import classes, matrix, sample, unit, usable
 
 @dataclass(frozen=True)
 class Settings:
-    """per_root: pivots for each root of the number of vectors, so that lists keep their length; most_pivots bounds them and so what is sent to executors."""
+    """per_root: pivots for each root of the number of vectors, so that lists keep their length; most_pivots bounds them and so what is sent to executors.
+
+    depth: pivots of a description at least; more are taken until a share `recall` of `trials` pairs at the threshold share two.
+    """
 
     cosine: float = 0.9
     depth: int = 6
@@ -32,6 +36,8 @@ class Settings:
     block: int = 512
     group_rows: int = 8_000
     apart: float = 0.7
+    recall: float = 0.95
+    trials: int = 2_000
     seed: int = 19
 
 
@@ -71,6 +77,28 @@ def reference_points(found: np.ndarray, size: int, s: Settings) -> np.ndarray:
     return np.concatenate([kept, unit(more)]) if len(more) else kept
 
 
+def depth_for(drawn: np.ndarray, pivots: np.ndarray, s: Settings) -> int:
+    """The least depth, from s.depth on, at which a share s.recall of pairs at the threshold share two pivots.
+
+    The pairs are vectors of the sample and the same turned in random directions. A vector that is a pivot is tried without it.
+    """
+    if len(pivots) <= s.depth:
+        return len(pivots)
+    rng, p = np.random.default_rng(s.seed), pivots.astype(np.float32).T
+    x = unit(drawn[rng.choice(len(drawn), s.trials)])
+    side = rng.normal(size=x.shape)
+    side -= (side * x).sum(1)[:, None] * x
+    y = s.cosine * x + (1 - s.cosine**2) ** 0.5 * side / np.maximum(np.linalg.norm(side, axis=1, keepdims=True), 1e-12)
+    needed = []
+    for i in range(0, s.trials, 256):
+        left, right = (v[i : i + 256].astype(np.float32) @ p for v in (x, y))
+        right[left > 1 - 1e-6] = left[left > 1 - 1e-6] = -2
+        places = [np.argsort(np.argsort(-v, axis=1, kind="stable"), axis=1, kind="stable") for v in (left, right)]
+        # two are shared from the depth on that takes in the second pivot of both
+        needed.append(np.partition(np.maximum(*places), 1, axis=1)[:, 1] + 1)
+    return max(s.depth, int(np.quantile(np.concatenate(needed), s.recall, method="higher")))
+
+
 def _judge(left: np.ndarray, right: np.ndarray, near_l: np.ndarray, near_r: np.ndarray, p: int, q: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
     """(linked, counted) of all pairs of two blocks of a list (p, q): counted are links whose first shared list this is."""
     linked = left @ right.T >= cosine
@@ -107,8 +135,9 @@ def links(nodes: DataFrame, s: Settings) -> DataFrame:
     size = min(s.most_pivots, max(s.least_pivots, int(s.per_root * n**0.5)))
     if n < 2:
         return nodes.where("false").select("node", F.lit(None).cast("long").alias("other"), F.lit(0).cast("long").alias("n"))
-    found = reference_points(sample(nodes, 2 * size), size, s)
-    known = saved(describe(nodes.select("node", "times", "vec"), found, min(s.depth, len(found))), "described")
+    drawn = sample(nodes, 2 * size)
+    found = reference_points(drawn, size, s)
+    known = saved(describe(nodes.select("node", "times", "vec"), found, depth_for(drawn, found, s)), "described")
     ordered = F.sort_array("near")
     two = F.flatten(F.transform(ordered, lambda a: F.transform(F.filter(ordered, lambda b: b > a), lambda b: F.struct(a.alias("p"), b.alias("q")))))
     rows = known.select("node", F.explode(two).alias("list"))

@@ -43,6 +43,18 @@ def test_near_duplicates_find_nearly_all_links_and_no_others(spark):
     assert pivots.near_duplicates(df.where("false")).count() == 0
 
 
+def test_links_at_the_threshold_are_found_among_many_pivots(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x, side, many = (rng.normal(size=(n, 64)) for n in (400, 400, 8000))
+    x, many = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in (x, many))
+    side -= (side * x).sum(1)[:, None] * x
+    y = 0.902 * x + (1 - 0.902**2) ** 0.5 * side / np.linalg.norm(side, axis=1, keepdims=True)
+    monkeypatch.setattr(pivots, "reference_points", lambda *_: many)
+    rows = [(i, [float(c) for c in v], 0, "x") for i, v in enumerate(np.concatenate([x, y]))]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in pivots.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert sum(got[i] == (1, i) and got[400 + i] == (1, i) for i in range(400)) >= 0.9 * 400
+
+
 def test_blocks_of_a_crowded_list_count_every_link_once(spark):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in np.ones(16) + rng.normal(size=16) * 0.02], 0, "x") for i in range(300)]
