@@ -94,9 +94,9 @@ def inner_repeats(data: np.ndarray, ends: np.ndarray, coder: Coder, length: int,
     return at[~first]
 
 
-def _tags(coder: Coder, ends: np.ndarray) -> np.ndarray:
-    """32 bits of each text's code: rows with the same key but other texts stay apart."""
-    return (coder.code(ends[:-1], ends[1:]) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+def _tag(text):
+    """32 bits of each text's hash, as a column: rows with the same key but other texts stay apart."""
+    return F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
 def _runs_of(docs: DataFrame, length: int, gram: int) -> DataFrame:
@@ -113,7 +113,7 @@ def _runs_of(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 code = coder.code(start, start + n + length - 1)
                 some = _first_of_each(doc, digit, code)
                 doc, start, n, digit, code = (x[some] for x in (doc, start, n, digit, code))
-                place = ((start - ends[doc]) << 32) | _tags(coder, ends)[doc]
+                place = ((start - ends[doc]) << 32) | part.column(part.schema.get_field_index("tag")).to_numpy()[doc]
                 keys = part.column(part.schema.get_field_index("key")).take(pa.array(doc))
                 yield pa.RecordBatch.from_arrays([pa.array(digit.view(np.int64)), pa.array(code.view(np.int64)), keys, pa.array(place), pa.array(n.astype(np.int32))], ["digit", "code", "key", "place", "n"])
 
@@ -125,9 +125,9 @@ def _inside(docs: DataFrame, picked: DataFrame, length: int, make, kept: str) ->
 
     make returns the text number and place of its rows, and the columns `kept` in between.
     """
-    lists = picked.groupBy("key", F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).alias("tag")).agg(F.collect_list(F.struct(F.shiftright("place", 32).alias("start"), "n")).alias("picked"))
-    lists = saved(lists.withColumnRenamed("key", "k"), "picked")
-    rows = docs.join(lists, F.col("key").eqNullSafe(F.col("k"))).select("key", "tag", "picked", "text")
+    pieces = F.sort_array(F.collect_set(F.struct(F.shiftright("place", 32).alias("start"), "n")))  # once for rows that are equal
+    lists = saved(picked.groupBy("key", F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).alias("tag")).agg(pieces.alias("picked")), "picked")
+    rows = docs.join(lists, ["key", "tag"]).select("key", "tag", "picked", "text")
     names = [c.split()[0] for c in kept.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,16 +135,12 @@ def _inside(docs: DataFrame, picked: DataFrame, length: int, make, kept: str) ->
             for part in chunks(batch, "text"):
                 data, ends = _bytes(part, "text")
                 coder = Coder(data, lower=False)
-                tags, wanted = _tags(coder, ends), part.column(1).to_numpy()
+                tags = part.column(1).to_numpy()
                 lists = part.column(2)
                 edges, flat = lists.offsets.to_numpy(), lists.flatten()
                 first, count = flat.field(0).to_numpy(), flat.field(1).to_numpy().astype(np.int64)
                 doc = np.repeat(np.arange(part.num_rows), np.diff(edges))
-                right = (tags == wanted)[doc]
-                doc, first, count = doc[right], first[right] + ends[doc[right]], count[right]
-                if not len(doc):
-                    continue
-                doc, start, columns = make(data, coder, doc, first, count)
+                doc, start, columns = make(data, coder, doc, first + ends[doc], count)
                 keys = part.column(0).take(pa.array(doc))
                 yield pa.RecordBatch.from_arrays([keys, pa.array(((start - ends[doc]) << 32) | tags[doc]), *(pa.array(x.view(np.int64)) for x in columns)], ["key", "place", *names])
 
@@ -210,16 +206,16 @@ def repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text: str =
     """(key, tag, cover): for texts that repeat strings of `length` bytes of rows with smaller keys, places start << 32 | bytes.
 
     What a text repeats of itself is not in it (see inner_repeats). Rows with the same key don't count as earlier for
-    each other, nor rows without a key for any.
+    each other, nor rows without a key for any; the latter are left out, and rows meet their finds by key and tag.
     """
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(text, F.lit("")).alias("text"))
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(text, F.lit("")).alias("text")).where("key is not null").withColumn("tag", _tag("text"))
     gram = min(GRAM, length)
     runs_gone, mixed = _pass(_runs_of(rows, length, gram), length)
     blocks_gone, mixed = _pass(saved(_blocks_of(rows, mixed, length, gram), "blocks"), length)
     windows = saved(_windows_of(rows, mixed, length), "windows")
     firsts = saved(windows.groupBy("high", "low").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last").select("high", "low", "first"), "firsts")
     again = windows.join(firsts, ["high", "low"]).where("first < key").select(_covered(F.lit(length)))
-    return runs_gone.unionByName(blocks_gone).unionByName(again).groupBy("key", "tag").agg(F.collect_list("cover").alias("cover"))
+    return runs_gone.unionByName(blocks_gone).unionByName(again).groupBy("key", "tag").agg(F.collect_set("cover").alias("cover"))
 
 
 def without_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text: str = "text", whole_characters: bool = False) -> DataFrame:
@@ -230,8 +226,8 @@ def without_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", tex
     """
     plain = without(docs, "n_bytes", "spans", "kept", "_tag", "_cover", "_key")
     cover = saved(repeats(docs, length, key, text).select(F.col("key").alias("_key"), F.col("tag").alias("_tag"), F.col("cover").alias("_cover")), "cover")
-    per_key = cover.groupBy("_key").agg(F.collect_list(F.struct("_tag", "_cover")).alias("_cover"))  # one element but for keys with several texts
-    rows = plain.join(per_key, F.col(f"`{key}`").cast("long").eqNullSafe(F.col("_key")), "left").select(*[plain[f"`{c}`"] for c in plain.columns], "_cover")
+    tagged = plain.withColumn("_tag", _tag(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+    rows = tagged.join(cover, (F.col(f"`{key}`").cast("long") == cover["_key"]) & (tagged["_tag"] == cover["_tag"]), "left").select(*[tagged[f"`{c}`"] for c in plain.columns], "_cover")
 
     def cut(data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, list[dict]]:
         if not len(places):
@@ -251,12 +247,12 @@ def without_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", tex
             for part in chunks(batch, text):
                 data, ends = _bytes(part, text)
                 coder = Coder(data, lower=False)
-                tags, own = _tags(coder, ends), inner_repeats(data, ends, coder, length, min(GRAM, length))
+                own = inner_repeats(data, ends, coder, length, min(GRAM, length))
                 edges = np.searchsorted(own, ends)
                 made, spans = [], []
                 for i, found in enumerate(part.column(part.schema.get_field_index("_cover"))):
                     places = ((own[edges[i] : edges[i + 1]] - ends[i]) << 32) | length
-                    mine = [x["_cover"].values.to_numpy() for x in found if x["_tag"].as_py() == tags[i]] if found.is_valid else []
+                    mine = [found.values.to_numpy()] if found.is_valid else []
                     kept, gone = cut(data[ends[i] : ends[i + 1]], np.concatenate([places, *mine]))
                     made.append(kept)
                     spans.append(gone)
