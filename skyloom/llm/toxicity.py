@@ -25,15 +25,14 @@ PREFIXES = (4, 5, 6)
 class Settings:
     """most_rows bounds the labelled sample that one task fits; the smallest hashes of the keys are taken.
 
-    A slot counts if it occurs in least_rows rows and its shares in both classes differ by least_z standard errors.
-    lean is the weight of a row of label 1.
+    A slot counts if it occurs in least_rows rows, whatever it says alone: pairs of such slots may tell. Shrinking deals
+    with noise. lean is the weight of a row of label 1.
     """
 
     most_rows: int = 16_000
     slot_bits: int = 18
     factors: int = 4
     least_rows: int = 3
-    least_z: float = 4.0
     epochs: int = 12
     batch: int = 128
     rate: float = 0.2
@@ -97,11 +96,7 @@ def fit_sample(label: np.ndarray, slots: list[np.ndarray], s: Settings) -> Model
     size = 1 << s.slot_bits
     rng = np.random.default_rng(s.seed)
     seen = np.bincount(np.concatenate(slots) if slots else np.zeros(0, np.int64), minlength=size)
-    hits = np.bincount(np.concatenate(slots) if slots else np.zeros(0, np.int64), np.repeat(label, [len(x) for x in slots]) if slots else None, size)
-    ones, zeros = max(label.sum(), 1), max((1 - label).sum(), 1)
-    part = seen / max(len(slots), 1)
-    z = np.abs(hits / ones - (seen - hits) / zeros) / np.sqrt(np.maximum(part * (1 - part), 1e-9) * (1 / ones + 1 / zeros))
-    useful = (seen >= s.least_rows) & (z >= s.least_z)
+    useful = seen >= s.least_rows
     names = np.flatnonzero(useful)
     place = np.full(size, -1, np.int64)
     place[names] = np.arange(len(names))
