@@ -40,6 +40,9 @@ class WordTokenizer:
     Words met before come from a cache that is emptied at `most` words. New ones are encoded many at a time, in one
     text, with a mark between them whose single id shows where each word's ids end; words that hold the mark, as they
     are or normalised, go alone.
+
+    Names of special tokens in a text ('<|endoftext|>') are encoded as the characters they are, unlike the library's
+    default: a text must not forge control tokens.
     """
 
     MARK = "`"

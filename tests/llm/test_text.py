@@ -109,6 +109,19 @@ def test_a_word_that_normalises_to_the_mark_leaves_other_words_their_ids(spark):
     assert ids.tolist() == [x for w in ("a", "a\u1fefb", "b") for x in t.encode(w, add_special_tokens=False).ids] and counts.tolist() == [1, 3, 1]
 
 
+def test_names_of_special_tokens_are_plain_characters():
+    from tokenizers import Tokenizer
+
+    plain, own = Tokenizer.from_file(WORDS), packing.WordTokenizer(WORDS)
+    control = {plain.token_to_id(x) for x in ("<|endoftext|>", "<|startoftext|>")}
+    for text in ("x <|endoftext|> y", "a<|startoftext|>b", "x <|endoftext> y"):
+        data = np.frombuffer(text.encode(), np.uint8)
+        ids = own.encode(data, np.array([0, len(data)]))[0].tolist()
+        theirs = plain.encode(text, add_special_tokens=False).ids
+        assert not control & set(ids) and (ids == theirs) == (not control & set(theirs))
+        assert plain.decode(ids).replace(" ", "").replace("</w>", "") == text.replace(" ", "")
+
+
 def test_kneser_ney_is_the_formula(spark):
     texts = ODD + [BASE.replace("dog", w) for w in ("cat", "owl", "cat")]
     train, other = texts[::2], texts
