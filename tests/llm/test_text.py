@@ -303,21 +303,6 @@ def test_toxicity_learns_words_and_pairs(spark):
     assert prior.select(F.countDistinct("score")).first()[0] == 1 and prior.count() == len(ODD)
 
 
-def test_toxicity_learns_a_pair_whose_words_say_nothing_alone(spark):
-    rng = np.random.default_rng(8)
-    plain = [f"w{i}" for i in range(200)]
-
-    def text(*extra):
-        return " ".join([*rng.choice(plain, 30), *extra])
-
-    rows = [(i, text("folks", "vermin") if i % 2 else text("scumbag"), 1) for i in range(400)]
-    rows += [(400 + i, text("folks") if i % 2 else text("vermin"), 0) for i in range(800)]  # either word is in half of both classes
-    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, label int"), toxicity.Settings(epochs=40))
-    fresh = [text("folks", "vermin") for _ in range(30)] + [text("folks") for _ in range(30)] + [text("vermin") for _ in range(30)]
-    got = {r.doc_id: r.score for r in toxicity.score(table(spark, fresh), model).collect()}
-    assert np.mean([got[i] for i in range(30)]) > 0.7 and np.mean([got[i] for i in range(30, 90)]) < 0.4
-
-
 def test_crc_of_text_is_that_of_the_contract(spark):
     from skyloom.llm.queries import remainder
 
