@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .shared import binary, chunks, runs, utf8, without
-from .words import Coder
+from .words import alike
 
 # Classes of code points. SHORT and LONG are apostrophes that begin 's 't 'm 'd, and 'll 've 're.
 # GLUE is a blank before a code point that is no space; LAST another space in that place.
@@ -158,7 +158,7 @@ def merge(piece: bytes, rank: dict[bytes, int]) -> list[int]:
 class Encoder:
     """Encodes chunks of texts; pieces met before come from a cache that is emptied at `most` entries."""
 
-    def __init__(self, path: str, most: int = 200_000):
+    def __init__(self, path: str, most: int = 500_000):
         self.rank, self.cache, self.most = ranks(path), {}, most
         self.length = np.zeros(max(self.rank.values()) + 1, np.int32)
         for token, i in self.rank.items():
@@ -178,7 +178,7 @@ class Encoder:
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(len(ends), np.int64)
         stops = np.append(starts[1:], len(data))
-        _, where, which = np.unique(Coder(data, lower=False).code(starts, stops), return_index=True, return_inverse=True)
+        _, where, which = alike(data, starts, stops)
         raw, made = data.tobytes(), []
         for a, b in zip(starts[where].tolist(), stops[where].tolist(), strict=True):
             piece = raw[a:b]
@@ -201,6 +201,22 @@ class Encoder:
         return ids, offsets - np.repeat(ends[:-1], np.diff(bounds)), bounds
 
 
+@cache
+def encoder(path: str) -> Encoder:
+    """One for each Python worker, so that its cache serves all tasks there."""
+    return Encoder(path)
+
+
+@cache
+def token_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all tokens in a row, by id, with each one's first place and length."""
+    table = ranks(path)
+    width = np.zeros(max(table.values()) + 1, np.int64)
+    for token, i in table.items():
+        width[i] = len(token)
+    return np.frombuffer(b"".join(sorted(table, key=table.get)), np.uint8), np.cumsum(width) - width, width
+
+
 def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """docs less its text, with `ids` and `offsets`: packed little-endian unsigned 32-bit numbers, one for each token.
 
@@ -211,10 +227,9 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     kept = [c for c in plain.columns if c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
         for batch in batches:
             for part in chunks(batch, text):
-                ids, offsets, bounds = encoder.encode(*utf8(part.column(part.schema.get_field_index(text))))
+                ids, offsets, bounds = encoder(path).encode(*utf8(part.column(part.schema.get_field_index(text))))
                 packed = [binary(x.astype("<u4").view(np.uint8), bounds * 4) for x in (ids, offsets)]
                 yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in kept), *packed], [*kept, "ids", "offsets"])
 
@@ -227,14 +242,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     plain = without(encoded, "decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = ranks(path)
-        width = np.zeros(max(table.values()) + 1, np.int64)
-        for token, i in table.items():
-            width[i] = len(token)
-        heads = np.cumsum(width) - width
-        body = np.zeros(int(width.sum()), np.uint8)
-        for token, i in table.items():
-            body[heads[i] : heads[i] + len(token)] = np.frombuffer(token, np.uint8)
+        body, heads, width = token_bytes(path)
         for batch in batches:
             for part in chunks(batch, ids):
                 data, ends = utf8(part.column(part.schema.get_field_index(ids)))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .shared import binary, chunks, runs, utf8, without
-from .words import Coder, words
+from .words import alike, words
 
 # A sequence id holds the bucket (log2 of the length), the task and the task's count in that bucket.
 BUCKET_BIT, TASK_BIT = 58, 34
@@ -37,12 +37,10 @@ def cuts(totals: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndar
 class WordTokenizer:
     """Ids of a tokenizer whose tokens never reach over white space: every different word is encoded once.
 
-    Words met before come from a cache that is emptied at `most` words. New ones are encoded many at a time, in one
-    text, with a mark between them whose single id shows where each word's ids end; words that hold the mark, as they
-    are or normalised, go alone.
-
-    Names of special tokens in a text ('<|endoftext|>') are encoded as the characters they are, unlike the library's
-    default: a text must not forge control tokens.
+    Words met before come from a cache that is emptied at `most` words; a word is known by its code, and its bytes are
+    compared with those of the word in the cache. New ones are encoded many at a time, in one text, with a mark between
+    them whose single id shows where each word's ids end; words that hold the mark, as they are or normalised, and words
+    that hold a name of a special token ('<|endoftext|>', whose id the library gives by default) go alone.
     """
 
     MARK = "`"
@@ -51,22 +49,22 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.inner = Tokenizer.from_file(path)
-        self.inner.encode_special_tokens = True
         self.inner.no_padding()
         self.inner.no_truncation()
         mark = self.inner.encode(self.MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
+        self.special = [x.content for x in self.inner.get_added_tokens_decoder().values()]
         self.most = most
         self.clear()
 
     def clear(self) -> None:
         self.place: dict[int, int] = {}
-        self.flat, self.heads, self.counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        self.size = 0
+        self.flat, self.heads, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.body, self.at, self.size = np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def apart(self, word: str) -> bool:
-        """Whether a word holds the mark, also only after normalisation (U+1FEF becomes the mark)."""
-        if self.mark is None or self.MARK in word:
+        """Whether a word holds a special token, or the mark, also only after normalisation (U+1FEF becomes the mark)."""
+        if self.mark is None or self.MARK in word or any(x in word for x in self.special):
             return True
         return not word.isascii() and not is_normalized("NFC", word) and (self.inner.normalizer is None or self.MARK in self.inner.normalizer.normalize_str(word))
 
@@ -94,28 +92,43 @@ class WordTokenizer:
         ids[own], ids[~own] = made[0][0], np.concatenate([np.zeros(0, np.uint32), *(x for x, _ in made[1:])])
         return ids, counts
 
+    def keep(self, ids: np.ndarray, counts: np.ndarray, body: np.ndarray, size: np.ndarray) -> None:
+        """Takes words, with their ids and bytes, into the cache's arrays."""
+        self.heads = np.concatenate([self.heads, len(self.flat) + np.cumsum(counts) - counts])
+        self.at = np.concatenate([self.at, len(self.body) + np.cumsum(size) - size])
+        self.flat, self.counts = np.concatenate([self.flat, ids]), np.concatenate([self.counts, counts])
+        self.body, self.size = np.concatenate([self.body, body]), np.concatenate([self.size, size])
+
+    def same(self, data: np.ndarray, starts: np.ndarray, size: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """Whether words have the bytes of the cached ones."""
+        out = size == self.size[known]
+        some = np.flatnonzero(out)
+        inside = runs(size[some])
+        differ = data[np.repeat(starts[some], size[some]) + inside] != self.body[np.repeat(self.at[known[some]], size[some]) + inside]
+        out[np.repeat(some, size[some])[differ]] = False
+        return out
+
     def encode(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts, stops, bounds = words(data, ends)
         if not len(starts):
             return np.zeros(0, np.uint32), bounds
-        codes, where, which = np.unique(Coder(data, lower=False).code(starts, stops), return_index=True, return_inverse=True)
-        if len(self.place) + len(codes) > self.most:
+        codes, where, which = alike(data, starts, stops)
+        first, size = starts[where], (stops - starts)[where]
+        if len(self.counts) + len(codes) > self.most:
             self.clear()
         known = np.fromiter(map(self.place.get, codes.tolist(), itertools.repeat(-1)), np.int64, len(codes))
+        hit = np.flatnonzero(known >= 0)
+        known[hit[~self.same(data, first[hit], size[hit], known[hit])]] = -2  # another word has this code: encoded each time
         if len(miss := np.flatnonzero(known < 0)):
-            raw = data.tobytes()
-            ids, counts = self.new([raw[a:b].decode() for a, b in zip(starts[where[miss]].tolist(), stops[where[miss]].tolist(), strict=True)])
-            known[miss] = len(self.place) + np.arange(len(miss))
-            self.place.update(zip(codes[miss].tolist(), known[miss].tolist(), strict=True))
-            self.flat.append(ids)
-            self.heads.append(self.size + np.cumsum(counts) - counts)
-            self.counts.append(counts)
-            self.size += len(ids)
-            for held in (self.flat, self.heads, self.counts):
-                held[:] = [np.concatenate(held)]
+            raw, new = data.tobytes(), known[miss] == -1
+            found = [raw[a : a + n] for a, n in zip(first[miss].tolist(), size[miss].tolist(), strict=True)]
+            ids, counts = self.new([x.decode() for x in found])
+            known[miss] = len(self.counts) + np.arange(len(miss))
+            self.place.update(zip(codes[miss[new]].tolist(), known[miss[new]].tolist(), strict=True))
+            self.keep(ids, counts, np.frombuffer(b"".join(found), np.uint8), size[miss])
         own = known[which]
-        each = self.counts[0][own]
-        return self.flat[0][np.repeat(self.heads[0][own], each) + runs(each)], np.concatenate([[0], np.cumsum(each)])[bounds]
+        each = self.counts[own]
+        return self.flat[np.repeat(self.heads[own], each) + runs(each)], np.concatenate([[0], np.cumsum(each)])[bounds]
 
 
 @cache

@@ -5,7 +5,7 @@ equal after the last digit are exactly the repeated windows.
 
 A digit of a window is what it shares with its neighbours, so that a run of windows goes through a pass as one row.
 Digit 1 is the least code among a window's short grams. Digit 2, of blocks of a run, is the bytes that all windows of
-the block cover, placed by that gram. The last digits, of single windows, are the codes of their halves. Each pass
+the block cover, placed by that gram. The last digits, of single windows, are two codes of all their bytes. Each pass
 drops the values that no two texts share; of equal runs or blocks the first goes on, and the windows of the others are
 repeats; what shares the digit but differs is opened for the next pass. All passes are sums with partial aggregation,
 joined back; no group is gathered anywhere. What a text repeats of itself is found with the text at hand, in the last step.
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import binary, chunks, runs, saved, utf8, without
-from .words import Coder, mix
+from .words import NEAR, Coder, codes_at, loads, mix, window_codes
 
 GRAM = 32
 
@@ -32,6 +32,9 @@ def _bytes(part: pa.RecordBatch, text: str) -> tuple[np.ndarray, np.ndarray]:
 
 def _least(codes: np.ndarray, width: int) -> np.ndarray:
     """The least of each `width` codes in a row, by doubling."""
+    n = len(codes) - width + 1
+    if n > NEAR:
+        return np.concatenate([_least(codes[at : min(at + NEAR, n) + width - 1], width) for at in range(0, n, NEAR)])
     reach, low = 1, codes
     while reach * 2 <= width:
         low = np.minimum(low[:-reach], low[reach:])
@@ -39,13 +42,12 @@ def _least(codes: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(low[: len(low) - (width - reach)], low[width - reach :]) if width > reach else low
 
 
-def window_runs(data: np.ndarray, ends: np.ndarray, coder: Coder, length: int, gram: int) -> tuple[np.ndarray, ...]:
+def window_runs(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
     """Longest runs of windows of one text with the same first digit: text number, first window, number of windows, digit."""
     none = np.zeros(0, np.int64)
     if len(data) < length:
         return none, none, none, np.zeros(0, np.uint64)
-    at = np.arange(len(data) - gram + 1)
-    codes = coder.code(at, at + gram)
+    codes = window_codes(data, gram)
     low = _least(codes, length - gram + 1)
     usable = np.zeros(len(data), bool)
     edge = np.zeros(len(low) + 1, bool)
@@ -78,7 +80,7 @@ def _first_of_each(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def inner_repeats(data: np.ndarray, ends: np.ndarray, coder: Coder, length: int, gram: int) -> np.ndarray:
     """Starts of the windows which the same text has had before."""
-    doc, start, n, digit = window_runs(data, ends, coder, length, gram)
+    doc, start, n, digit = window_runs(data, ends, length, gram)
     if not len(doc):
         return start
     order = np.lexsort((digit, doc))
@@ -90,7 +92,7 @@ def inner_repeats(data: np.ndarray, ends: np.ndarray, coder: Coder, length: int,
     if not len(at):
         return at
     first = np.zeros(len(at), bool)
-    first[_first_of_each(np.repeat(doc[some], count), coder.code(at, at + length // 2), coder.code(at + length // 2, at + length))] = True
+    first[_first_of_each(np.repeat(doc[some], count), codes_at(loads(data), at, length), coder.code(at, at + length))] = True
     return at[~first]
 
 
@@ -107,7 +109,7 @@ def _runs_of(docs: DataFrame, length: int, gram: int) -> DataFrame:
             for part in chunks(batch, "text"):
                 data, ends = _bytes(part, "text")
                 coder = Coder(data, lower=False)
-                doc, start, n, digit = window_runs(data, ends, coder, length, gram)
+                doc, start, n, digit = window_runs(data, ends, length, gram)
                 if not len(doc):
                     continue
                 code = coder.code(start, start + n + length - 1)
@@ -152,10 +154,10 @@ def _blocks_of(docs: DataFrame, picked: DataFrame, length: int, gram: int) -> Da
     wide, block = np.arange(length - gram + 1), max(1, (length - gram + 1) // 4)
 
     def make(data, coder, doc, first, count):
-        anchor = first.copy()
+        anchor, codes = first.copy(), window_codes(data, gram)
         for i in range(0, len(first), 8192):
             at = first[i : i + 8192, None] + wide
-            anchor[i : i + 8192] += coder.code(at.ravel(), at.ravel() + gram).reshape(at.shape).argmin(1)
+            anchor[i : i + 8192] += codes[at].argmin(1)
         low, high = (anchor - first - count + 1) // block, (anchor - first) // block
         parts = high - low + 1
         back = np.repeat(np.arange(len(first)), parts)
@@ -172,13 +174,12 @@ def _blocks_of(docs: DataFrame, picked: DataFrame, length: int, gram: int) -> Da
 
 
 def _windows_of(docs: DataFrame, picked: DataFrame, length: int) -> DataFrame:
-    """(key, place, high, low) of every different window in the picked blocks, with the codes of its halves."""
-    half = length // 2
+    """(key, place, high, low) of every different window in the picked blocks, with its two codes."""
 
     def make(data, coder, doc, first, count):
         at = np.repeat(first, count) + runs(count)
         doc = np.repeat(doc, count)
-        high, low = coder.code(at, at + half), coder.code(at + half, at + length)
+        high, low = codes_at(loads(data), at, length), coder.code(at, at + length)
         some = _first_of_each(doc, high, low)
         return doc[some], at[some], (high[some], low[some])
 
@@ -208,6 +209,8 @@ def repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text: str =
     What a text repeats of itself is not in it (see inner_repeats). Rows with the same key don't count as earlier for
     each other, nor rows without a key for any; the latter are left out, and rows meet their finds by key and tag.
     """
+    if length < 8:
+        raise ValueError("strings of under 8 bytes repeat everywhere")
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(text, F.lit("")).alias("text")).where("key is not null").withColumn("tag", _tag("text"))
     gram = min(GRAM, length)
     runs_gone, mixed = _pass(_runs_of(rows, length, gram), length)

@@ -81,7 +81,6 @@ def test_pieces_hold_the_ids_of_the_texts(spark, docs):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     found = {}
     for r in corpus_pipeline.pack(spark, docs, DATA).collect():
         found.setdefault(r.doc_id, []).append((r.start, np.frombuffer(r.ids, "<u4").tolist()))

@@ -15,7 +15,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from skyloom.llm import bpe, kneser_ney, packing, repeats, setsketch, sharding, toxicity
-from skyloom.llm.words import Coder, shingles, words
+from skyloom.llm import words as text_words
+from skyloom.llm.words import Coder, alike, codes_at, loads, shingles, window_codes, words
 
 BPE, WORDS = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("word_bpe_49k.json")
 BASE = "the quick brown fox jumps over the lazy dog while seven wizards quietly brew a potion of great power and little taste near the old stone bridge at dawn before anyone else in the village wakes up to see it"
@@ -81,7 +82,6 @@ def test_pieces_are_powers_of_two_and_hold_all_ids(spark):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
     rows = packing.pack(table(spark, [*ODD, "word " * 9000]), WORDS).collect()
     assert len({r.sequence_id for r in rows}) == len(rows) and all(r.length & (r.length - 1) == 0 and r.length <= 4096 and r.offset == 0 for r in rows)
     for i, text in enumerate([*ODD, "word " * 9000]):
@@ -109,17 +109,62 @@ def test_a_word_that_normalises_to_the_mark_leaves_other_words_their_ids(spark):
     assert ids.tolist() == [x for w in ("a", "a\u1fefb", "b") for x in t.encode(w, add_special_tokens=False).ids] and counts.tolist() == [1, 3, 1]
 
 
-def test_names_of_special_tokens_are_plain_characters():
+def test_names_of_special_tokens_get_the_ids_that_the_library_gives_by_default():
     from tokenizers import Tokenizer
 
     plain, own = Tokenizer.from_file(WORDS), packing.WordTokenizer(WORDS)
-    control = {plain.token_to_id(x) for x in ("<|endoftext|>", "<|startoftext|>")}
-    for text in ("x <|endoftext|> y", "a<|startoftext|>b", "x <|endoftext> y"):
+    texts = ["x <|endoftext|> y", "a<|startoftext|>b c", "x <|endoftext> y", "<|endoftext|><|endoftext|>", "plain words", "` <|ENDOFTEXT|> `"]
+    data = "".join(texts).encode()
+    ids, bounds = own.encode(np.frombuffer(data, np.uint8), np.cumsum([0] + [len(x.encode()) for x in texts]))
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)] == [plain.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [512, 2048])
+def test_words_whose_polynomials_modulo_powers_of_two_are_equal_stay_apart(n):
+    word = thue_morse(n)
+    other = word.translate({97: "b", 98: "a"})
+    data = np.frombuffer((word + " " + other).encode(), np.uint8)
+    starts, stops, _ = words(data, np.array([0, len(data)]))
+    assert len(set(Coder(data).code(starts, stops).tolist())) == 2
+    codes, first, which = alike(data, starts, stops)
+    assert len(codes) == 2 and which.tolist() in ([0, 1], [1, 0])
+
+
+def test_equal_codes_of_different_words_are_noticed(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(Coder, "code", lambda self, a, b: (np.asarray(b) - np.asarray(a)).astype(np.uint64))  # words of one length collide
+    plain, own, bpe_own = Tokenizer.from_file(WORDS), packing.WordTokenizer(WORDS), bpe.Encoder(BPE)
+    import tiktoken
+
+    theirs = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks(BPE), special_tokens={})
+    for text in ("the cat saw dogs and hens, the end of it all", "abcdefghij abcdefghik and the abcdefghij", "not one new tea"):
         data = np.frombuffer(text.encode(), np.uint8)
-        ids = own.encode(data, np.array([0, len(data)]))[0].tolist()
-        theirs = plain.encode(text, add_special_tokens=False).ids
-        assert not control & set(ids) and (ids == theirs) == (not control & set(theirs))
-        assert plain.decode(ids).replace(" ", "").replace("</w>", "") == text.replace(" ", "")
+        ends = np.array([0, len(data)])
+        assert own.encode(data, ends)[0].tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert bpe_own.encode(data, ends)[0].tolist() == theirs.encode_ordinary(text)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.binary(min_size=1, max_size=300), st.integers(1, 120))
+def test_codes_of_windows_are_equal_where_their_bytes_are(raw, width):
+    data = np.frombuffer(raw * 2, np.uint8)
+    at = np.arange(max(0, len(data) - width + 1))
+    whole = [data[i : i + width].tobytes() for i in at]
+    kinds = [window_codes(data, width), Coder(data, lower=False).code(at, at + width)] + ([codes_at(loads(data), at, width)] if width >= 8 else [])
+    for codes in kinds:
+        assert len(codes) == len(at) and len(set(zip(codes.tolist(), whole, strict=True))) == len(set(codes.tolist())) == len(set(whole))
+
+
+def test_codes_of_very_long_runs_come_from_their_parts(monkeypatch):
+    monkeypatch.setattr(text_words, "LONGEST", 50)
+    data = np.frombuffer(b"x" + b"abcdefg" * 40 + b"y" + b"abcdefg" * 40 + b"z", np.uint8)
+    one, two, three = Coder(data).code(np.array([1, 282, 282]), np.array([281, 562, 563]))
+    assert one == two != three
 
 
 def test_kneser_ney_is_the_formula(spark):
