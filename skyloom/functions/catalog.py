@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,14 +62,14 @@ SOURCES = [("CEDA", True, False, 20), ("NOAA-GFS-S3", False, False, 100), ("ECMW
 
 # Source, name there, model, region, running hours, delay, extra parameters, last step, block counts.
 OFFERED = [
-    ("CEDA", "default", "MO_UM_GLOBAL_17KM", None, [0, 12], None, [], None, "latitude=8,longitude=8"),
-    ("CEDA", "mo-um-global", "MO_UM_GLOBAL_17KM", None, [0, 12], None, [], None, "latitude=8,longitude=8"),
+    ("CEDA", "default", "MO_UM_GLOBAL_17KM", None, [0, 12], None, [], None, {"latitude": 8, "longitude": 8}),
+    ("CEDA", "mo-um-global", "MO_UM_GLOBAL_17KM", None, [0, 12], None, [], None, {"latitude": 8, "longitude": 8}),
     ("CEDA", "mo-um-ukv", "MO_UM_UKV_2KM_OSGB", None, None, None, [], None, None),
     ("NOAA-GFS-S3", "default", "NCEP_GFS_1DEGREE", None, None, None, [], None, None),
     ("NOAA-GFS-S3", "gfs-1deg", "NCEP_GFS_1DEGREE", None, None, None, [], None, None),
     ("ECMWF-Realtime-S3", "default", "ECMWF_HRES_IFS_0P1DEGREE", "uk-north60", None, 420, [], None, None),
     ("ECMWF-Realtime-S3", "hres-ifs-uk", "ECMWF_HRES_IFS_0P1DEGREE", "uk-north60", None, 420, [], None, None),
-    ("ECMWF-Realtime-S3", "hres-ifs-india", "ECMWF_HRES_IFS_0P1DEGREE", "india", None, 420, [], None, "variable=1"),
+    ("ECMWF-Realtime-S3", "hres-ifs-india", "ECMWF_HRES_IFS_0P1DEGREE", "india", None, 420, [], None, {"variable": 1}),
     ("ECMWF-Realtime-S3", "hres-ifs-nl", "ECMWF_HRES_IFS_0P1DEGREE", "nl", None, 420, [], 84, None),
     ("ECMWF-MARS", "default", "ECMWF_HRES_IFS_0P1DEGREE", "uk", None, None, [], None, None),
     ("ECMWF-MARS", "hres-ifs-uk", "ECMWF_HRES_IFS_0P1DEGREE", "uk", None, None, [], None, None),
@@ -75,7 +77,7 @@ OFFERED = [
     ("ECMWF-MARS", "hres-ifs-west-europe", "ECMWF_HRES_IFS_0P1DEGREE", "west-europe", None, None, [], None, None),
     ("ECMWF-MARS", "ens-stat-india", "ECMWF_ENS_STAT_0P1DEGREE", "india", None, None, [], None, None),
     ("ECMWF-MARS", "ens-stat-uk", "ECMWF_ENS_STAT_0P1DEGREE", "uk", None, None, [], None, None),
-    ("ECMWF-MARS", "ens-uk", "ECMWF_ENS_0P1DEGREE", "uk", None, None, [], None, "latitude=1,longitude=1"),
+    ("ECMWF-MARS", "ens-uk", "ECMWF_ENS_0P1DEGREE", "uk", None, None, [], None, {"latitude": 1, "longitude": 1}),
     ("MetOffice-Weather-Datahub", "default", "MO_UM_GLOBAL_10KM", "india", None, None, [], None, None),
     ("MetOffice-Weather-Datahub", "um-global-10km-india", "MO_UM_GLOBAL_10KM", "india", None, None, [], None, None),
     ("MetOffice-Weather-Datahub", "um-global-10km-uk", "MO_UM_GLOBAL_10KM", "uk", None, None, [], None, None),
@@ -83,8 +85,35 @@ OFFERED = [
     ("MetOffice-Weather-Datahub", "um-ukv-2km", "MO_UM_UKV_2KM_LAEA", None, None, None, [], None, None),
 ]
 
-# Labels of the coordinate systems, by kind of grid.
-CRS = {"latlon": "EPSG:4326", "osgb": "OSGB", "laea": "LAEA"}
+# The coordinate system of each kind of grid, as it is carried with the data. The OSGB scale factor of 0 is
+# what files of that model say, and physically wrong (see CRS_FLAGS).
+CRS = {
+    "latlon": {"geodesic_ellipsiodal": {"crs": "EPSG:4326"}},
+    "osgb": {
+        "transverse_mercator": {
+            "latitude_of_projection_origin": 49.0, "longitude_of_central_meridian": -2.0, "false_easting": 400000.0, "false_northing": -100000.0,
+            "scale_factor_at_central_meridian": 0.0, "ellipsoid": {"semi_major_axis": 6377563.4, "semi_minor_axis": 6356256.91},
+        }
+    },
+    "laea": {
+        "lambert_azimuthal_equal_area": {
+            "latitude_of_projection_origin": 54.9, "longitude_of_projection_origin": -2.5, "false_easting": 0.0, "false_northing": 0.0,
+            "ellipsoid": {"semi_major_axis": 6378137.0, "semi_minor_axis": 6356752.314140356},
+        }
+    },
+}
+CRS_FLAGS = {"osgb": "scale factor 0 as given"}
+
+#: What the parameters are, in our words.
+DESCRIPTIONS = {
+    "temperature_sl": "air temperature near the surface", "downward_shortwave_radiation_flux_gl": "sunlight that reaches the ground, direct and diffuse", "downward_longwave_radiation_flux_gl": "heat radiation that reaches the ground",
+    "relative_humidity_sl": "relative humidity near the surface", "visibility_sl": "distance that can be seen near the surface", "wind_u_component_10m": "eastward wind at 10 m", "wind_v_component_10m": "northward wind at 10 m",
+    "wind_u_component_100m": "eastward wind at 100 m", "wind_v_component_100m": "northward wind at 100 m", "wind_u_component_200m": "eastward wind at 200 m", "wind_v_component_200m": "northward wind at 200 m",
+    "snow_depth_gl": "depth of snow on the ground", "cloud_cover_high": "share of sky under high clouds", "cloud_cover_medium": "share of sky under medium clouds", "cloud_cover_low": "share of sky under low clouds",
+    "cloud_cover_total": "share of sky under any cloud", "total_precipitation_rate_gl": "rain and snow that reach the ground in a second", "downward_ultraviolet_radiation_flux_gl": "ultraviolet light that reaches the ground",
+    "direct_shortwave_radiation_flux_gl": "direct sunlight that reaches the ground", "wind_speed_10m": "wind speed at 10 m", "wind_speed_100m": "wind speed at 100 m", "wind_direction_10m": "direction the wind at 10 m comes from",
+    "pressure_msl": "air pressure at mean sea level",
+}
 
 
 def model(key: str) -> dict:
@@ -98,8 +127,8 @@ def rows_of(spark: SparkSession, rows: list, schema: str) -> DataFrame:
 
 
 def parameters(spark: SparkSession) -> DataFrame:
-    """(ord, variable, units, upper, lower, grib2_code, aliases)"""
-    return rows_of(spark, [(i, *p) for i, p in enumerate(PARAMETERS)], "ord int, variable string, units string, upper double, lower double, grib2_code string, aliases array<string>")
+    """(ord, variable, units, upper, lower, grib2_code, aliases, description)"""
+    return rows_of(spark, [(i, *p, DESCRIPTIONS[p[0]]) for i, p in enumerate(PARAMETERS)], "ord int, variable string, units string, upper double, lower double, grib2_code string, aliases array<string>, description string")
 
 
 def aliases(spark: SparkSession) -> DataFrame:
@@ -113,7 +142,7 @@ def models(spark: SparkSession) -> DataFrame:
 
 
 def offered(spark: SparkSession) -> DataFrame:
-    return rows_of(spark, OFFERED, "source string, offered string, model string, region string, own_hours array<int>, own_delay int, extra array<string>, max_step int, block_counts string")
+    return rows_of(spark, OFFERED, "source string, offered string, model string, region string, own_hours array<int>, own_delay int, extra array<string>, max_step int, block_counts map<string,int>")
 
 
 def regions(spark: SparkSession) -> DataFrame:
@@ -124,6 +153,12 @@ def sources(spark: SparkSession) -> DataFrame:
     return rows_of(spark, SOURCES, "source string, is_archive boolean, is_order_based boolean, connections int")
 
 
+def attributes(variables: list[str], grid: str) -> dict[str, str]:
+    """What a store says of itself: its variables and its coordinate system, as JSON."""
+    units = {p[0]: p[1] for p in PARAMETERS}
+    return {"variables": json.dumps({v: {"description": DESCRIPTIONS[v], "units": units[v]} for v in variables}), "coord_system": json.dumps(CRS.get(grid, {}))}
+
+
 def sql_value(x) -> str:
     if x is None:
         return "null"
@@ -141,6 +176,3 @@ def sql_table(name: str, columns: str, rows: list) -> str:
 
 ALIAS_SQL = sql_table("aliases", "alias, variable, alias_ord", [(a, p[0], i * 10 + j) for i, p in enumerate(PARAMETERS) for j, a in enumerate(p[5])])
 PARAMETER_SQL = sql_table("params", "ord, variable, units, upper, lower, grib2_code", [(i, *p[:5]) for i, p in enumerate(PARAMETERS)])
-REGION_SQL = sql_table("regions", "region, north, west, south, east, suffix", REGIONS)
-MODEL_SQL = sql_table("models", "model, name, resolution, hours, delay, first_step, last_step, step_by, variables, n_stats, members, grid, ny, nx", [(k, n, r, h, d, *s, sorted(v), len(st), m, g, sum(c for *_, c in y), sum(c for *_, c in x)) for k, n, r, h, d, s, v, st, m, g, y, x in MODELS])
-OFFERED_SQL = sql_table("offered", "source, offered, model, region, own_hours, own_delay, extra, max_step, block_counts", OFFERED)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import catalog
 from ..sources.tables import hours
+from .errors import errors
 
 # Pieces of file names in the archive of the global and the UKV model.
 GLOBAL_STUBS = ["Total_Downward_Surface_SW_Flux", "high_cloud_amount", "low_cloud_amount", "medium_cloud_amount", "relative_humidity_1_5m", "snow_depth", "temperature_1_5m", "visibility_1_5m", "wind_u_10m", "wind_v_10m"]
@@ -64,7 +65,7 @@ def archive_requests(cells: DataFrame, run: str = "init_time") -> DataFrame:
     """
     lists = cells.groupBy(run).agg(
         F.array_join(F.array_sort(F.collect_set("code")), "/").alias("params"), F.array_join(F.transform(F.sort_array(F.collect_set("step")), lambda s: s.cast("string")), "/").alias("steps"),
-        F.max("lat_e4").alias("n"), F.min("lon_e4").alias("w"), F.min("lat_e4").alias("s"), F.max("lon_e4").alias("e"), F.first("kind").alias("kind"),
+        F.max("lat_e4").alias("n"), F.min("lon_e4").alias("w"), F.min("lat_e4").alias("s"), F.max("lon_e4").alias("e"), F.min("kind").alias("kind"),
     )
     types = F.when(F.col("kind") == "stat", F.array(F.lit("em"), F.lit("es"))).when(F.col("kind") == "member", F.array(F.lit("pf"))).otherwise(F.array(F.lit("fc")))
     rows = lists.withColumn("field_type", F.explode(types)).withColumn("stream", F.when(F.col("kind") == "plain", "oper").otherwise("enfo"))
@@ -74,10 +75,15 @@ def archive_requests(cells: DataFrame, run: str = "init_time") -> DataFrame:
     return rows.select(run, "params", "steps", area.alias("area"), "stream", "field_type", number.alias("number"), name.alias("filename"))
 
 
-def to_fetch(manifest: DataFrame, cached: DataFrame, key: str = "key", need_bytes: bool = True) -> DataFrame:
-    """Rows of the manifest that no cached file has; with need_bytes empty files don't count."""
-    have = cached.where(F.col("length") > 0) if need_bytes else cached
-    return manifest.join(have.select(key), key, "left_anti")
+# Sources that fetch an empty file again.
+NEEDS_BYTES = ["ECMWF-Realtime-S3", "MetOffice-Weather-Datahub"]
+
+
+def to_fetch(manifest: DataFrame, cached: DataFrame, key: str = "key", source: str = "source") -> DataFrame:
+    """Rows of the manifest that no cached file has; for some sources empty files don't count."""
+    have = cached.groupBy(key).agg(F.max(F.coalesce("length", F.lit(0))).alias("_length")).select(F.col(key).alias("_key"), "_length")
+    done = (F.col(key) == F.col("_key")) & (~F.col(source).isin(NEEDS_BYTES) | (F.col("_length") > 0))
+    return manifest.join(have, done, "left_anti")
 
 
 def size_mismatches(manifest: DataFrame, cached: DataFrame, key: str = "key") -> DataFrame:
@@ -86,17 +92,15 @@ def size_mismatches(manifest: DataFrame, cached: DataFrame, key: str = "key") ->
     return both.where(F.when(F.col("exact"), F.col("length") != F.col("remote_bytes")).otherwise(F.col("length") < F.col("remote_bytes"))).select(key, "remote_bytes", "length")
 
 
-def raw_path(source: str, url: str, run: str, root: str = "raw") -> Column:
-    """Where a fetched file goes, by source."""
+def raw_path(source: str, model: str, url: str, run: str, root: str = "raw") -> Column:
+    """Where a fetched file goes: a folder for source and model, in which one source nests by run, and a name by source."""
     parts = F.split(F.col(url), "/")
     base, above = F.element_at(parts, -1), F.element_at(parts, -2)
-    folder = F.concat(F.lit(f"{root}/"), F.col(source), F.lit("/"))
-    return (
-        F.when(F.col(source) == "NOAA-GFS-S3", F.concat(folder, F.date_format(run, "yyyy/MM/dd/HH"), F.lit("/"), base, F.lit(".grib")))
-        .when(F.col(source) == "MetOffice-Weather-Datahub", F.concat(folder, F.date_format(run, "yyyyMMddHH"), F.lit("/"), above, F.lit(".grib")))
-        .when(F.col(source) == "ECMWF-Realtime-S3", F.concat(folder, F.date_format(run, "yyyyMMddHH"), F.lit("/"), F.regexp_replace(base, r"\.[^.]*$", ""), F.lit(".grib")))
-        .otherwise(F.concat(folder, F.date_format(run, "yyyyMMddHH"), F.lit("/"), base))
-    )
+    own = (
+        F.when(F.col(source) == "NOAA-GFS-S3", F.concat(F.date_format(run, "yyyy/MM/dd/HH"), F.lit("/"), base, F.lit(".grib"))).when(F.col(source) == "MetOffice-Weather-Datahub", F.concat(above, F.lit(".grib")))
+        .when(F.col(source) == "ECMWF-Realtime-S3", F.concat(F.regexp_replace(base, r"(?<=.)\.[^.]+$", ""), F.lit(".grib"))).otherwise(base)
+    )
+    return F.concat_ws("/", F.lit(root), F.col(source), F.col(model), F.lit("raw"), own)
 
 
 def route(url: str) -> Column:
@@ -104,9 +108,14 @@ def route(url: str) -> Column:
     return F.when(F.contains(url, F.lit("global-grib")), "global").when(F.contains(url, F.lit("ukv-grib")), "ukv").otherwise("error")
 
 
+def unknown_kinds(files: DataFrame, url: str) -> DataFrame:
+    """Error rows of files that no conversion takes."""
+    return errors(files.where(route(url) == "error"), "convert", "unknown kind", None, url)
+
+
 def runs_without_files(runs: DataFrame, manifest: DataFrame, run: str = "init_time") -> DataFrame:
     """Error rows of runs for which nothing is listed."""
-    return runs.join(manifest.select(run), run, "left_anti").select(run, F.lit("listing").alias("stage"), F.lit("no files").alias("rule"))
+    return errors(runs.join(manifest.select(run), run, "left_anti"), "listing", "no files", run)
 
 
 def gfs_steps() -> list[int]:

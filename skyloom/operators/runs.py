@@ -1,30 +1,119 @@
-"""Runs from listing to summary: all wanted runs in one pass."""
+"""Runs from listing to summary: all wanted runs in one pass, failures as rows, only whole runs published."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import storage
 from . import axes, normalise, quality
+from .errors import errors, together
+
+CELLS = "step int, lat_e4 int, lon_e4 int, value double, init_time timestamp_ntz, variable string"
+
+
+@dataclass(frozen=True)
+class Rules:
+    """When runs pass: the share of pieces that may fail, of an image that may lack, and of images that may lack more."""
+
+    of_pieces: float = 0.06
+    of_image: float = 0.05
+    of_images: float = 0.02
+    delete_on_failure: bool = True
 
 
-def consume(fields: DataFrame, runs: DataFrame, variables: list[str], steps: list[int], area: int, of_image: float = 0.05, of_images: float = 0.02) -> DataFrame:
-    """(init_time, n_cells, n_images, bad_images, missing_share, ok) of every wanted run, from raw fields.
+@dataclass
+class Consumed:
+    """runs: a row for each wanted run; errors: what went wrong; written: cells that were published, seconds it took."""
+
+    runs: DataFrame
+    errors: DataFrame
+    written: int
+    seconds: float
+
+
+def status(outcome: DataFrame, verdict: DataFrame, delete_on_failure: bool) -> DataFrame:
+    """outcome with status: `fetch_failed` where pieces failed or none came; where images lack too much `deleted_invalid`, or `kept_invalid` if nothing is to be deleted; else `ok`."""
+    failed = F.lit("deleted_invalid" if delete_on_failure else "kept_invalid")
+    both = outcome.join(verdict.select("init_time", "n_images", "bad_images", F.col("ok").alias("_good")), "init_time", "left")
+    return both.withColumn("status", F.when(~F.col("ok"), "fetch_failed").when(~F.coalesce("_good", F.lit(False)), failed).otherwise("ok")).drop("ok", "_good")
 
-    Fields become canonical cells, the expected images are found missing in part or whole, and each run gets its verdict.
+
+def pieces_of(fields: DataFrame, allowed: list[str], kind: str) -> tuple[DataFrame, DataFrame]:
+    """Canonical cells with their run, file (url) and piece (file and variable), and the error rows of files that name a parameter twice or hold nothing wanted."""
+    wrapped = fields.withColumn("lon_e4", normalise.wrap_longitude(F.col("lon_e4")).cast("int"))
+    sets = normalise.named(wrapped).select("init_time", "url", "dataset_no", F.coalesce(F.col("variable").isin(allowed), F.lit(False)).alias("_kept"), F.lit(kind).alias("_kind"))
+    each = sets.groupBy("init_time", "url", "dataset_no", "_kind").agg(F.max("_kept").alias("_kept"))
+    kept, clashes = normalise.settle_clashes(normalise.rename_else_drop(wrapped, allowed), ["init_time", "url"])
+    cells = normalise.merge_first_wins(kept, storage.KEYS, "dataset_no").select(*storage.KEYS, "value", "url", F.concat_ws("/", "url", "variable").alias("piece"))
+    return cells, clashes.unionByName(normalise.nothing_relevant(each, "init_time", "url", "_kept", "_kind"))
+
+
+def consume(
+    spark: SparkSession, path: str, model: str, axis: DataFrame, runs: DataFrame, fetch: Callable[[DataFrame], DataFrame], allowed: list[str], kind: str = "gfs", rules: Rules = Rules(), attributes: dict[str, str] | None = None
+) -> Consumed:
+    """Takes up the wanted runs that the store at path lacks.
+
+    fetch gives the raw fields (init_time, url, dataset_no, alias, step, lat_e4, lon_e4, value) of the runs it is given:
+    only those whose corner is missing, so that a second call goes on where the first one stopped. Fields become cells
+    and pieces, pieces are laid into the model's axes, and each run is judged by its pieces and then by its images. Cells
+    are staged; only runs that pass are published, or those that are kept all the same. A row for each run goes to
+    path + ".runs", error rows to path + ".errors".
+
+    runs: (init_time, status, n, n_failed, bytes, rule, sample, n_images, bad_images); runs that were there before have
+    the status `stored`. A store that can't be made leaves every run `store_failed`.
     """
-    wanted = fields.join(runs, "init_time", "left_semi")
-    cells = normalise.normalise_fields(wanted, variables).where(F.col("step").isin(steps))
-    shares = quality.missing_share(axes.expected_images(runs, steps, variables), cells, area)
-    facts = shares.groupBy("init_time").agg(
-        F.count("*").alias("n_images"), F.count_if(F.col("share") > of_image).alias("bad_images"), F.sum((1 - F.col("share")) * area).alias("_cells"), F.avg("share").alias("missing_share"),
+    began = time.time()
+    images, _, failed = storage.create(spark, path, model, runs, axis, allowed, attributes)
+    wanted = runs.select("init_time").distinct()
+    if failed.limit(1).count():
+        return Consumed(wanted.withColumn("status", F.lit("store_failed")), failed, 0, time.time() - began)
+    outer = axis.where("dim <> 'init_time'").select("dim", "idx", "num", "str").unionByName(axes.ordered(axes.ticks(images.select("init_time"))))
+    outer = _kept(outer, "axes")
+    stored = storage.found(spark, path, CELLS)
+    missing = _kept(wanted if stored is None else quality.missing_runs(wanted, stored, outer), "missing")
+    cells, said = pieces_of(fetch(missing), allowed, kind)
+    cells = _kept(cells, "cells")
+    region = _kept(axes.regions(axes.ticks(cells.drop("url"), ("piece",)), outer, "piece"), "regions")
+    bad = region.where("rule is not null").select("piece").distinct().withColumn("failed", F.lit(True))
+    sizes = cells.groupBy("init_time", "piece").agg((F.count("value") * 4).alias("bytes"))
+    pieces = sizes.join(bad, "piece", "left").select("init_time", F.col("piece").alias("url"), F.coalesce("failed", F.lit(False)).alias("failed"), "bytes")
+    files = said.where("stage = 'convert'").select(F.col("run").alias("init_time"), "url", F.lit(True).alias("failed"), F.lit(0).cast("long").alias("bytes"))
+    results = quality.outcome(missing, _kept(pieces.unionByName(files), "pieces"), "init_time", rules.of_pieces)
+    good = cells.join(bad, "piece", "left_anti")
+    asked = images.join(missing, "init_time", "left_semi")
+    shares = quality.missing_share(asked, good, F.col("area"))
+    judged = _kept(status(results, quality.verdict(shares, ["init_time"], rules.of_image, rules.of_images), rules.delete_on_failure), "judged")
+    passing, written = judged.where("status in ('ok', 'kept_invalid')").select("init_time"), 0
+    if passing.limit(1).count():
+        seen = Observation()
+        passed = good.join(passing, "init_time", "left_semi").select(*storage.KEYS, "value")
+        storage.write(passed.observe(seen, F.count(F.lit(1)).alias("n")), path)
+        written = seen.get["n"]
+    old = wanted.join(missing, "init_time", "left_anti").select("init_time", F.lit("stored").alias("status"))
+    rows = judged.unionByName(old, allowMissingColumns=True)
+    rows.write.mode("append").parquet(f"{path}.runs")
+    where = region.join(cells.select("piece", "init_time").distinct(), "piece")
+    together(said, axes.region_errors(where, "piece", "init_time"), errors(judged.where("rule is not null"), "outcome", F.col("rule"), "init_time", None, "sample")).write.mode("append").parquet(f"{path}.errors")
+    return Consumed(rows, spark.read.parquet(f"{path}.errors"), written, time.time() - began)
+
+
+def summary(spark: SparkSession, path: str, done: Consumed) -> DataFrame:
+    """(store, status, n_cells, size_kb, size_mb, seconds, written) of each run; seconds and written are those of the whole call."""
+    stored = storage.found(spark, path, CELLS)
+    counts = stored.groupBy("init_time").agg(F.count("*").alias("n_cells")) if stored is not None else done.runs.select("init_time", F.lit(0).cast("long").alias("n_cells")).limit(0)
+    rows = done.runs.select("init_time", "status").join(counts, "init_time", "left").withColumn("n_cells", F.coalesce("n_cells", F.lit(0)))
+    return rows.select(
+        F.date_format("init_time", "yyyyMMddHH").alias("store"), "status", "n_cells", storage.size_kb(F.col("n_cells")).alias("size_kb"), storage.size_mb(F.col("n_cells")).alias("size_mb"), F.lit(done.seconds).alias("seconds"), F.lit(done.written).cast("long").alias("written"),
     )
-    ok = F.col("bad_images") / F.col("n_images") <= of_images
-    return facts.select("init_time", F.round("_cells").cast("long").alias("n_cells"), "n_images", "bad_images", F.round("missing_share", 6).alias("missing_share"), ok.alias("ok"))
 
 
-def status(judged: DataFrame, fetched: DataFrame, delete_on_failure: bool = False) -> DataFrame:
-    """(init_time, status): fetch failures are dropped; runs that fail the checks are deleted if asked, else kept and marked."""
-    both = judged.join(fetched.select("init_time", F.col("ok").alias("_fetched")), "init_time", "left")
-    failed = F.lit("deleted_invalid" if delete_on_failure else "kept_invalid")
-    return both.select("init_time", F.when(~F.coalesce("_fetched", F.lit(False)), "fetch_failed").when(~F.col("ok"), failed).otherwise("ok").alias("status"))
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """df written to shared storage and read back: later stages, and executors that are lost, don't run it again."""
+    path = storage.new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,16 +1,20 @@
 """Queries over quality and runs."""
 
+from datetime import date, datetime
+
 from pyspark.sql import functions as F
 
 from ..functions import catalog
+from ..operators import axes as a
+from ..operators import models as m
 from ..operators import quality as q
 from ..operators import runs as r
 from ..sources import storage as s
 from ..sources import tables as t
 from ..streaming import live
-from .axes import CELLS, EXPECTED_SQL, STEPS, VARIABLES, expected, known
+from .axes import CELLS, EXPECTED_SQL, STEPS, VARIABLES, VARIABLES_SQL, expected, known, ticks_sql
 from .registry import query
-from .stores import CANONICAL_SQL, canonical
+from .stores import CANONICAL_SQL, canonical, model_axis
 
 AREA = 150
 # images of this data hold a few cells of their area: the share that an image may lack is set for that
@@ -28,28 +32,27 @@ def missing_share(spark, folder):
     return shares(spark, folder).withColumn("share", F.round("share", 6))
 
 
-VERDICT_SQL = f"verdict as (select init_time, count(*) as n_images, sum((share > {LACK})::int)::bigint as bad_images, sum((share > {LACK})::int) / count(*)::double <= 0.3 as ok from shares group by 1)"
-
-
-def verdict(spark, folder):
-    return q.verdict(shares(spark, folder), ["init_time"], LACK, 0.3)
-
-
-@query("select vec_id, label, round(lack, 6) as share, lack > 0.05 as bad from (select vec_id, label, sum((value is null)::int) / 64.0::double as lack from flat group by 1, 2)", t.FLAT_SQL)
+@query("select vec_id, label, round(lack, 6) as share, lack > 0.05 as bad from (select e.vec_id, e.label, coalesce(sum((value is null)::int) / count(*) filter (where pos is not null)::double, 1.0) as lack from embeddings e left join flat f using (vec_id) group by 1, 2)", t.FLAT_SQL)
 def dense_missing_share(spark, folder):
-    images = t.flat_vectors(spark, folder).where(F.size("value") == 64).withColumn("lack", q.dense_missing_share("value"))
+    images = t.flat_vectors(spark, folder).withColumn("lack", q.dense_missing_share("value"))
     return images.select("vec_id", "label", F.round("lack", 6).alias("share"), (F.col("lack") > 0.05).alias("bad"))
 
 
-@query("select init_time, n_images, bad_images, ok from verdict", *SHARES, VERDICT_SQL)
+@query(f"""select strftime(init_time, '%Y%m%d%H') as store, count(*) as n_images, sum((share > {LACK})::int)::bigint as bad_images, sum((share > {LACK})::int) / count(*)::double <= 0.3 as ok from shares group by 1
+  union all select 'label ' || label, count(*), sum((lack > 0.05)::int), sum((lack > 0.05)::int) / count(*)::double <= 0.02 from (select label, vec_id, sum((value is null)::int) / count(*)::double as lack from flat group by 1, 2) group by 1""", *SHARES, t.FLAT_SQL)
 def store_verdict(spark, folder):
-    return verdict(spark, folder)
+    """Stores of one run each, by thresholds for sparse images, and stores of dense images by the usual ones."""
+    sparse = q.verdict(shares(spark, folder), ["init_time"], LACK, 0.3).withColumn("store", F.date_format("init_time", "yyyyMMddHH"))
+    dense = q.verdict(t.flat_vectors(spark, folder).select("label", q.dense_missing_share("value").alias("share")), ["label"]).withColumn("store", F.concat(F.lit("label "), "label"))
+    columns = ["store", "n_images", "bad_images", "ok"]
+    return sparse.select(*columns).unionByName(dense.select(*columns))
 
 
-@query("select distinct init_time from field_ev where init_time not in (select init_time from known where step < 2 and iy < 2 and ix < 2 and variable in ('cloud_cover_total', 'downward_shortwave_radiation_flux_gl') and value is not null)", *CELLS)
+@query("""select distinct init_time from field_ev where init_time not in (select init_time from known k where value is not null
+  and (select count(distinct step) from known j where j.step < k.step) < 2 and (select count(distinct lat_e4) from known j where j.lat_e4 > k.lat_e4) < 2 and (select count(distinct lon_e4) from known j where j.lon_e4 < k.lon_e4) < 2
+  and (select count(distinct variable) from known j where j.variable < k.variable) < 2)""", *CELLS)
 def missing_init_times(spark, folder):
-    corner = (F.col("step") < 2) & (F.col("iy") < 2) & (F.col("ix") < 2) & F.col("variable").isin(VARIABLES[:2])
-    return q.missing_runs(t.field_events(spark, folder).select("init_time").distinct(), known(spark, folder), corner)
+    return q.missing_runs(t.field_events(spark, folder).select("init_time").distinct(), known(spark, folder), model_axis(spark, folder))
 
 
 SCAN_SQL = "select variable, round(avg(value), 4) as mean, count(value) as n, sum((value is null)::int) > 0 as has_nulls, round(sum((value not between least(lower, upper) and greatest(lower, upper))::int) / count(value)::double, 6) as outside_share, sum((value not between least(lower, upper) and greatest(lower, upper))::int) / count(value)::double <= 0.05 as is_valid from fld_li join aliases using (alias) join params using (variable) group by 1"
@@ -57,14 +60,20 @@ LINES = (t.LINES_SQL, catalog.ALIAS_SQL, catalog.PARAMETER_SQL)
 
 
 def scanned(spark, folder):
+    """All lines by parameter; those of one flag come under a name that is no parameter's."""
     names = catalog.aliases(spark).select("alias", "variable")
-    found = q.scan(t.field_lines(spark, folder).join(F.broadcast(names), "alias"))
-    return found.withColumns({"mean": F.round("mean", 4), "outside_share": F.round("outside_share", 6)})
+    lines = t.field_lines(spark, folder).withColumn("alias", F.when(F.col("l_orderkey") % 97 == 0, "odd").otherwise(F.col("alias"))).join(F.broadcast(names), "alias", "left")
+    found, said = q.scan(lines.withColumn("variable", F.coalesce("variable", "alias")))
+    return found.withColumns({"mean": F.round("mean", 4), "outside_share": F.round("outside_share", 6)}), said
+
 
+EVEN = (t.LINES_SQL.replace("from lineitem)", "from lineitem where l_orderkey % 97 <> 0)"), catalog.ALIAS_SQL, catalog.PARAMETER_SQL)
 
-@query(f"select variable, mean, n, has_nulls from ({SCAN_SQL})", *LINES)
+
+@query(f"select variable, mean, n, has_nulls, null::varchar as rule from ({SCAN_SQL}) union all select distinct 'odd', null::double, null::bigint, null::boolean, 'unknown parameter' from lineitem where l_orderkey % 97 = 0", *EVEN)
 def parameter_scan(spark, folder):
-    return scanned(spark, folder).select("variable", "mean", "n", "has_nulls")
+    found, said = scanned(spark, folder)
+    return found.select("variable", "mean", "n", "has_nulls").unionByName(said.select(F.col("detail").alias("variable"), "rule"), allowMissingColumns=True)
 
 
 @query("select round(avg(value), 4) as store_mean, count(*) as n from fld_li", t.LINES_SQL)
@@ -72,65 +81,107 @@ def store_mean(spark, folder):
     return t.field_lines(spark, folder).agg(F.round(F.avg("value"), 4).alias("store_mean"), F.count("*").alias("n"))
 
 
-@query(f"select variable, outside_share, is_valid from ({SCAN_SQL})", *LINES)
+@query(f"select variable, outside_share, is_valid from ({SCAN_SQL})", *EVEN)
 def limit_check(spark, folder):
-    return scanned(spark, folder).select("variable", "outside_share", "is_valid")
+    return scanned(spark, folder)[0].select("variable", "outside_share", "is_valid")
 
 
-@query("""select ix, step, a.n as stored, b.n as expected from (select ix, step, count(*) as n from fld_li where flag <> 'R' group by 1, 2) a
-  full join (select ix, step, count(*) as n from fld_li where value > 20 group by 1, 2) b using (ix, step) where a.n is distinct from b.n""", t.LINES_SQL)
-def axis_diff(spark, folder):
-    lines = t.field_lines(spark, folder)
-    count = lambda rows: rows.groupBy("ix", "step").agg(F.count("*").alias("n"))
-    return q.axis_diff(count(lines.where("flag <> 'R'")), count(lines.where("value > 20")), ["ix", "step"], "n")
+# each run's axes against those of all runs
+RUN_SQL = ticks_sql("run_axes", "(select *, strftime(init_time, '%Y%m%d%H') as run from known)", "run")
 
 
-OUTCOME_SQL = "outcome as (select init_time, count(*) as n, sum((event_id % 17 = 0)::int)::bigint as n_failed, sum(case when event_id % 17 <> 0 then event_id % 1000 else 0 end)::bigint as bytes, sum((event_id % 17 = 0)::int) / count(*)::double <= 0.06 as ok from field_ev group by 1)"
+@query("""select coalesce(a.run, b.run) as run, coalesce(a.dim, b.dim) as dim, coalesce(a.idx, b.idx) as idx, coalesce(a.str, printf('%.4f', a.num)) as stored, coalesce(b.str, printf('%.4f', b.num)) as expected
+  from (select * from run_axes where dim <> 'init_time') a full join (select run, w.dim, w.idx, w.num, w.str from (select distinct run from run_axes) d, whole w where w.dim <> 'init_time') b on a.run = b.run and a.dim = b.dim and a.idx = b.idx
+  where coalesce(a.str, printf('%.4f', a.num)) is distinct from coalesce(b.str, printf('%.4f', b.num))""", *CELLS, ticks_sql("whole", "known"), RUN_SQL)
+def axis_diff(spark, folder):
+    cells = known(spark, folder)
+    stored = a.ordered(a.ticks(cells.withColumn("run", F.date_format("init_time", "yyyyMMddHH")), ("run",)), ("run",)).where("dim <> 'init_time'")
+    return q.axis_diff(stored, a.ordered(a.ticks(cells)).where("dim <> 'init_time'"), "run")
 
 
-def outcomes(spark, folder):
-    pieces = t.field_events(spark, folder).select("init_time", (F.col("event_id") % 17 == 0).alias("failed"), (F.col("event_id") % 1000).alias("bytes"))
-    return q.outcome(pieces, "init_time")
+OUTCOME_SQL = """pieces as (select init_time, init_time::date || '/' || event_id as url, event_id % 17 = 0 as failed, event_id % 1000 as bytes from field_ev),
+asked as (select distinct init_time from field_ev union select distinct init_time + interval 31 day from field_ev),
+outcome as (select init_time, coalesce(n, 0) as n, coalesce(n_failed, 0)::bigint as n_failed, coalesce(bytes, 0)::bigint as bytes, case when n is null then 'no pieces' when n_failed / n::double > 0.06 then 'too many failures' end as rule, coalesce(sample, '') as sample from asked
+  left join (select init_time, count(*) as n, sum(failed::int) as n_failed, sum(case when failed then 0 else bytes end) as bytes from pieces group by 1) using (init_time)
+  left join (select init_time, string_agg(url, ' ' order by url) as sample from (select *, row_number() over (partition by init_time order by url) as k from pieces where failed) where k <= 5 group by 1) using (init_time))"""
 
 
-@query("select * from outcome", t.FIELD_SQL, OUTCOME_SQL)
+@query("select init_time, n, n_failed, bytes, rule is null as ok, rule, sample from outcome", t.FIELD_SQL, OUTCOME_SQL)
 def ingest_outcome(spark, folder):
-    return outcomes(spark, folder)
-
-
-CONSUMED_SQL = f"""consumed as (select init_time, sum(round((1 - share) * {AREA}))::bigint as n_cells, count(*) as n_images, sum((share > {LACK})::int)::bigint as bad_images, round(avg(share), 6) as missing_share,
-  sum((share > {LACK})::int) / count(*)::double <= 0.3 as ok from shares group by 1)"""
-
-
-def consumed(spark, folder, runs=None):
     fields = t.field_events(spark, folder)
-    runs = fields.select("init_time").distinct() if runs is None else runs
-    return r.consume(fields, runs, VARIABLES, STEPS, AREA, LACK, 0.3)
-
-
-@query("select * from consumed", *SHARES, CONSUMED_SQL)
+    pieces = fields.select("init_time", F.concat(F.date_format("init_time", "yyyy-MM-dd/"), "event_id").alias("url"), (F.col("event_id") % 17 == 0).alias("failed"), (F.col("event_id") % 1000).alias("bytes"))
+    runs = fields.select("init_time").distinct()
+    return q.outcome(runs.union(runs.select(F.col("init_time") + F.expr("interval 31 days"))), pieces, "init_time")
+
+
+# A whole run: wanted run times of a period; files whose pieces (of a variable) must lie in the axes, ticks in a row; 6 % of them may fail;
+# images of what did not fail; verdict and status. The events' files fail oftener than real ones, hence another tolerance there.
+def consumed_sql(cells: str, period: str, steps: str, variables: str, area: str, lack: float, images: float, fail: float = 0.06) -> str:
+    """Common tables up to `consumed`, for cells (init_time, url, variable, step, outside, value: one each)."""
+    return f"""cell as ({cells}), wanted as ({period}), mine as (select c.* from cell c join wanted using (init_time)),
+    piece as (select init_time, url, variable, count(*) as n, bool_or(outside) as outside, max(step) - min(step) + 1 <> count(distinct step) as gaps from mine group by all),
+    facts as (select init_time, count(*) as n, sum((outside or gaps)::int)::bigint as n_failed, sum(case when outside or gaps then 0 else n * 4 end)::bigint as bytes from piece group by 1),
+    good as (select m.* from mine m join piece p using (init_time, url, variable) where not p.outside and not gaps),
+    filled as (select init_time, step, variable, 1 - count(*) filter (where good.init_time is not null) / {area}::double as share from (select init_time, s::int as step, v as variable from wanted, unnest({steps}) a(s), unnest({variables}) b(v)) i left join good using (init_time, step, variable) group by all),
+    shown as (select init_time, count(*) as n_images, sum((share > {lack})::int)::bigint as bad_images from filled group by 1),
+    consumed as (select init_time, coalesce(n, 0) as n, coalesce(n_failed, 0) as n_failed, coalesce(bytes, 0) as bytes, case when n is null then 'no pieces' when n_failed / n::double > {fail} then 'too many failures' end as rule, n_images, bad_images,
+      case when n is null or n_failed / n::double > {fail} then 'fetch_failed' when bad_images / n_images::double > {images} then 'kept_invalid' else 'ok' end as status from wanted left join facts using (init_time) left join shown using (init_time)),
+    published as (select g.* from good g join consumed using (init_time) where status <> 'fetch_failed')"""
+
+
+RULES = r.Rules(of_pieces=0.09, of_image=LACK, of_images=0.5, delete_on_failure=False)
+EVENT_CELLS_SQL = "select distinct on (init_time, step, variable, lat_e4, lon_e4) init_time, user_id as url, variable, step, ix = 14 as outside, value from known order by init_time, step, variable, lat_e4, lon_e4, event_id"
+MONTH_SQL = "select d + to_hours(h::int) as init_time from generate_series(timestamp '2024-01-01', timestamp '2024-01-31', interval 1 day) as x(d), unnest([0, 6, 12, 18]) as y(h)"
+EVENTS_CONSUMED = (*CELLS, consumed_sql(EVENT_CELLS_SQL, MONTH_SQL, str(STEPS), f"[{VARIABLES_SQL}]", "(select count(distinct lat_e4) * least(count(distinct lon_e4), 14) from known)", LACK, 0.5, 0.09))
+
+
+def _consumed(spark, folder, period, path=None):
+    """The store of the events' files for a period; its grid ends before the last longitude of some files."""
+    axis = model_axis(spark, folder).where("not (dim = 'longitude' and idx > 13)")
+    runs = m.wanted_runs(spark, period, datetime(2024, 2, 1), [0, 6, 12, 18], 300)
+    fetch = lambda missing: t.field_files(spark, folder).join(F.broadcast(missing), "init_time", "left_semi")
+    path = path or s.new_path(spark, "store")
+    return path, r.consume(spark, path, "events", axis, runs, fetch, VARIABLES, "ukv", RULES, catalog.attributes(VARIABLES, "latlon"))
+
+
+@query("select init_time, status, n, n_failed, bytes, rule, n_images, bad_images from consumed", *EVENTS_CONSUMED)
 def consume_run(spark, folder):
-    return consumed(spark, folder)
+    """A month of runs from files to published store."""
+    return _consumed(spark, folder, date(2024, 1, 1))[1].runs.select("init_time", "status", "n", "n_failed", "bytes", "rule", "n_images", "bad_images")
 
 
-MONTH = "init_time >= timestamp '2024-01-01' and init_time < timestamp '2024-02-01'"
+LINE_CELLS_SQL = "select distinct on (init_time, step, variable, lat_e4, lon_e4) init_time, l_orderkey as url, variable, step, lon_e4 = 4000 as outside, value from fld_li join aliases using (alias) order by init_time, step, variable, lat_e4, lon_e4, l_orderkey * 8 + step, value"
+LINE_MONTH_SQL = "select d + to_hours(h::int) as init_time from generate_series(timestamp '1995-03-01', timestamp '1995-03-31', interval 1 day) as x(d), unnest([0, 12]) as y(h)"
 
 
-@query(f"select * from consumed where {MONTH}", *SHARES, CONSUMED_SQL)
+@query("select init_time, status, n, n_failed, bytes, rule, n_images, bad_images from consumed", t.LINES_SQL, catalog.ALIAS_SQL, consumed_sql(LINE_CELLS_SQL, LINE_MONTH_SQL, "[1, 2, 3, 4, 5, 6, 7]", "['cloud_cover_total', 'temperature_sl', 'visibility_sl']", "12", 0.95, 0.99, 0.25))
 def archive_month(spark, folder):
-    runs = t.field_events(spark, folder).select("init_time").distinct().where("init_time >= timestamp_ntz '2024-01-01' and init_time < timestamp_ntz '2024-02-01'")
-    return consumed(spark, folder, runs)
+    """One month of the many that the line items have, twice a day; the second run of a day has no files."""
+    names = ["cloud_cover_total", "temperature_sl", "visibility_sl"]
+    row = lambda d, values, kind: spark.createDataFrame([(d, i, *((float(v), None) if kind == "num" else (None, v))) for i, v in enumerate(values)], "dim string, idx int, num double, str string")
+    axis = row("step", range(1, 8), "num").union(row("variable", names, "str")).union(row("latitude", [60.0, 59.9, 59.8], "num")).union(row("longitude", [0.0, 0.1, 0.2, 0.3], "num"))
+    fetch = lambda missing: t.line_files(spark, folder).join(F.broadcast(missing), "init_time", "left_semi")
+    runs = m.wanted_runs(spark, date(1995, 3, 1), datetime(1995, 4, 1), [0, 12], 0)
+    done = r.consume(spark, s.new_path(spark, "store"), "lines", axis, runs, fetch, names, "ukv", r.Rules(of_pieces=0.25, of_image=0.95, of_images=0.99, delete_on_failure=False))
+    return done.runs.select("init_time", "status", "n", "n_failed", "bytes", "rule", "n_images", "bad_images")
 
 
-@query("select init_time, case when not coalesce(o.ok, false) then 'fetch_failed' when not c.ok then 'kept_invalid' else 'ok' end as status from consumed c left join outcome o using (init_time)", *SHARES, CONSUMED_SQL, OUTCOME_SQL)
+@query("select init_time, case when day(init_time) <= 10 and first_ok then 'stored' else status end as status from (select *, init_time in (select init_time from published where step < 2 and variable in ('cloud_cover_total', 'downward_shortwave_radiation_flux_gl') and url % 10 < 2 and url // 10 < 2) as first_ok from consumed)", *EVENTS_CONSUMED)
 def run_status(spark, folder):
-    return r.status(consumed(spark, folder), outcomes(spark, folder))
+    """The month asked for again after its first ten days have been taken up: only runs whose corner is missing are fetched."""
+    axis = model_axis(spark, folder).where("not (dim = 'longitude' and idx > 13)")
+    runs = m.wanted_runs(spark, date(2024, 1, 1), datetime(2024, 2, 1), [0, 6, 12, 18], 300)
+    fetch = lambda missing: t.field_files(spark, folder).join(F.broadcast(missing), "init_time", "left_semi")
+    path = s.new_path(spark, "store")
+    r.consume(spark, path, "events", axis, runs.where(F.dayofmonth("init_time") <= 10), fetch, VARIABLES, "ukv", RULES)
+    return r.consume(spark, path, "events", axis, runs, fetch, VARIABLES, "ukv", RULES).runs.select("init_time", "status")
 
 
-@query("select strftime(init_time, '%Y%m%d%H') as store, n_cells, floor(floor(n_cells * 4 / 1024) / 1024)::bigint as size_mb from consumed", *SHARES, CONSUMED_SQL)
+@query("""select strftime(init_time, '%Y%m%d%H') as store, status, count(p.init_time) as n_cells, (count(p.init_time) * 4 // 1024)::bigint as size_kb, (count(p.init_time) * 4 // 1024 // 1024)::bigint as size_mb, true as timed, (select count(*) from published) as written
+  from consumed left join published p using (init_time) group by 1, 2""", *EVENTS_CONSUMED)
 def run_summary(spark, folder):
-    rows = consumed(spark, folder)
-    return rows.select(F.date_format("init_time", "yyyyMMddHH").alias("store"), "n_cells", F.floor(F.floor(F.col("n_cells") * 4 / 1024) / 1024).cast("long").alias("size_mb"))
+    path, done = _consumed(spark, folder, date(2024, 1, 1))
+    return r.summary(spark, path, done).select("store", "status", "n_cells", "size_kb", "size_mb", (F.col("seconds") > 0).alias("timed"), "written")
 
 
 @query("select init_time, step, variable, lat_e4, lon_e4, value from canonical", *CELLS, CANONICAL_SQL)
@@ -140,4 +191,3 @@ def live_ingest(spark, folder):
     landing, store, marks = (s.new_path(spark, name) for name in ("landing", "store", "marks"))
     fields.write.parquet(landing)
     return live.follow(spark, landing, fields.schema, store, VARIABLES, marks).select(*s.KEYS, "value")
-

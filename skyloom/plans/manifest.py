@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from ..functions import catalog
 from ..operators import manifest as m
+from ..operators.errors import together
+from ..sources import storage
 from ..sources import tables as t
 from .registry import query
 
@@ -28,12 +30,13 @@ def gfs_manifest_paths(spark, folder):
     return m.runs_of(t.field_events(spark, folder)).select("init_time", m.gfs_folder("init_time").alias("path"))
 
 
-@query(f"select init_time, '/global-grib/' || strftime(init_time, '%Y/%m/%d/%Y%m%d%H') || '_WSGlobal17km_' || stub || '_' || area || '_000144.grib' as url from runs, unnest({catalog.sql_value(m.GLOBAL_STUBS)}) as a(stub), unnest({catalog.sql_value(m.AREAS)}) as b(area)", t.FIELD_SQL, RUNS_SQL)
+@query("""select init_time, '/global-grib/' || strftime(init_time, '%Y/%m/%d/%Y%m%d%H') || '_WSGlobal17km_' || stub || '_Area' || chr(64 + area::int) || '_000144.grib' as url from runs, generate_series(1, 8) as a(area),
+  (values ('Total_Downward_Surface_SW_Flux'), ('high_cloud_amount'), ('low_cloud_amount'), ('medium_cloud_amount'), ('relative_humidity_1_5m'), ('snow_depth'), ('temperature_1_5m'), ('visibility_1_5m'), ('wind_u_10m'), ('wind_v_10m')) as b(stub)""", t.FIELD_SQL, RUNS_SQL)
 def area_manifest(spark, folder):
     return m.area_manifest(m.runs_of(t.field_events(spark, folder)))
 
 
-@query(f"select init_time, '/ukv-grib/' || strftime(init_time, '%Y/%m/%d/%Y%m%d%H%M') || '_u1096_ng_umqv_' || stub as url from runs, unnest({catalog.sql_value(m.UKV_STUBS)}) as a(stub)", t.FIELD_SQL, RUNS_SQL)
+@query("""select init_time, '/ukv-grib/' || strftime(init_time, '%Y/%m/%d/%Y%m%d%H%M') || '_u1096_ng_umqv_Wholesale' || n || late || '.grib' as url from runs, (values ('1'), ('2')) as a(n), (values (''), ('T54')) as b(late)""", t.FIELD_SQL, RUNS_SQL)
 def ukv_manifest(spark, folder):
     return m.ukv_manifest(m.runs_of(t.field_events(spark, folder)))
 
@@ -61,9 +64,18 @@ def archive_requests(spark, folder):
     return m.archive_requests(cells)
 
 
-@query("select key, gfs_name, remote_bytes from listed where not exists (select 1 from cached where cached.key = listed.key and length > 0)", t.ORDERS_SQL, t.CACHE_SQL)
+_SOURCES = [s[0] for s in catalog.SOURCES]
+SOURCE_SQL = "sourced as (select *, case key % 5 when 0 then 'CEDA' when 1 then 'NOAA-GFS-S3' when 2 then 'ECMWF-Realtime-S3' when 3 then 'ECMWF-MARS' else 'MetOffice-Weather-Datahub' end as source from listed)"
+
+
+def _sourced(spark, folder):
+    source = F.element_at(F.array(*map(F.lit, _SOURCES)), (F.col("key") % 5 + 1).cast("int"))
+    return t.listed_orders(spark, folder).withColumn("source", source)
+
+
+@query("select key, source, gfs_name, remote_bytes from sourced s where not exists (select 1 from cached where cached.key = s.key and (length > 0 or source not in ('ECMWF-Realtime-S3', 'MetOffice-Weather-Datahub')))", t.ORDERS_SQL, t.CACHE_SQL, SOURCE_SQL)
 def files_to_fetch(spark, folder):
-    return m.to_fetch(t.listed_orders(spark, folder), t.cached_files(spark, folder)).select("key", "gfs_name", "remote_bytes")
+    return m.to_fetch(_sourced(spark, folder), t.cached_files(spark, folder)).select("key", "source", "gfs_name", "remote_bytes")
 
 
 @query("select key, remote_bytes, length from listed join cached using (key) where case when key % 2 = 0 then length <> remote_bytes else length < remote_bytes end", t.ORDERS_SQL, t.CACHE_SQL)
@@ -71,37 +83,59 @@ def size_mismatches(spark, folder):
     return m.size_mismatches(t.listed_orders(spark, folder).withColumn("exact", F.col("key") % 2 == 0), t.cached_files(spark, folder))
 
 
-_SOURCES = [s[0] for s in catalog.SOURCES]
-
-
-@query(f"""select key, source, case source when 'NOAA-GFS-S3' then 'raw/' || source || '/' || strftime(init_time, '%Y/%m/%d/%H') || '/' || gfs_name || '.grib'
-  when 'MetOffice-Weather-Datahub' then 'raw/' || source || '/' || strftime(init_time, '%Y%m%d%H') || '/' || key || '.grib'
-  when 'ECMWF-Realtime-S3' then 'raw/' || source || '/' || strftime(init_time, '%Y%m%d%H') || '/' || regexp_replace(gfs_name, '\\.[^.]*$', '') || '.grib'
-  else 'raw/' || source || '/' || strftime(init_time, '%Y%m%d%H') || '/' || gfs_name end as path
-  from (select *, {catalog.sql_value(_SOURCES)}[(key % 5) + 1] as source from listed)""", t.ORDERS_SQL)
+@query("""select key, source, 'raw/' || source || '/' || model || '/raw/' || case source when 'NOAA-GFS-S3' then strftime(init_time, '%Y/%m/%d/%H') || '/' || gfs_name || '.grib' when 'MetOffice-Weather-Datahub' then key || '.grib'
+  when 'ECMWF-Realtime-S3' then left(gfs_name, length(gfs_name) - strpos(reverse(gfs_name), '.')::int) || '.grib' else gfs_name end as path
+  from (select *, case when key % 2 = 0 then 'um-global' else 'hres-ifs_uk' end as model from sourced)""", t.ORDERS_SQL, SOURCE_SQL)
 def raw_paths(spark, folder):
-    source = F.element_at(F.array(*map(F.lit, _SOURCES)), (F.col("key") % 5 + 1).cast("int"))
-    rows = t.listed_orders(spark, folder).withColumn("source", source).withColumn("url", F.concat(F.lit("s3://files/"), F.col("key").cast("string"), F.lit("/"), F.col("gfs_name")))
-    return rows.select("key", "source", m.raw_path("source", "url", "init_time").alias("path"))
+    rows = _sourced(spark, folder).withColumn("url", F.concat(F.lit("s3://files/"), F.col("key").cast("string"), F.lit("/"), F.col("gfs_name")))
+    rows = rows.withColumn("model", F.when(F.col("key") % 2 == 0, "um-global").otherwise("hres-ifs_uk"))
+    return rows.select("key", "source", m.raw_path("source", "model", "url", "init_time").alias("path"))
 
 
-@query("select event_id, event_type, value from events")
+@query("select 'enfo-pf_' || (vec_id // 8) as file_name, (vec_id % 8)::int as dataset_no, short_name, init_time as time, len(value)::int as n, round(list_sum(value::double[]), 3) + 0.0 as total from raw", t.RAW_SQL)
 def read_fields(spark, folder):
+    """Lands messages as raw files of a binary format, one for each task, and reads these through a decoder."""
+
     def decode(frames):
-        """Rows as they are; stands where a decoder of binary files goes."""
-        yield from frames
+        import io
+
+        import pyarrow.parquet as pq
 
-    rows = t.read_fields(spark, f"{folder}/events.parquet").select("event_id", "event_type", "value")
-    return rows.mapInPandas(decode, rows.schema)
+        for frame in frames:
+            for content in frame["content"]:
+                yield pq.read_table(io.BytesIO(content)).to_pandas()
+
+    messages = t.raw_messages(spark, folder)
+    landing = storage.new_path(spark, "raw")
+    messages.repartition(16, "file_name").write.parquet(landing)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in messages.schema)
+    rows = t.read_fields(spark, landing, decode, kinds)
+    total = F.aggregate("value", F.lit(0.0), lambda x, v: x + v.cast("double"))
+    return rows.select("file_name", "dataset_no", "short_name", "time", F.size("value").alias("n"), (F.round(total, 3) + 0.0).alias("total"))
+
+
+URL_SQL = "urls as (select key, ['/global-grib/', '/ukv-grib/', '/other/'][(key % 3) + 1] || gfs_name as url from listed)"
+
+
+def _urls(spark, folder):
+    place = F.element_at(F.array(F.lit("/global-grib/"), F.lit("/ukv-grib/"), F.lit("/other/")), (F.col("key") % 3 + 1).cast("int"))
+    return t.listed_orders(spark, folder).select("key", F.concat(place, "gfs_name").alias("url"))
 
 
 @query("""select key, case when contains(url, 'global-grib') then 'global' when contains(url, 'ukv-grib') then 'ukv' else 'error' end as kind
-  from (select key, ['/global-grib/', '/ukv-grib/', '/other/'][(key % 3) + 1] || gfs_name as url from listed)""", t.ORDERS_SQL)
+  from urls""", t.ORDERS_SQL, URL_SQL)
 def route_kind(spark, folder):
-    place = F.element_at(F.array(F.lit("/global-grib/"), F.lit("/ukv-grib/"), F.lit("/other/")), (F.col("key") % 3 + 1).cast("int"))
-    return t.listed_orders(spark, folder).select("key", F.concat(place, "gfs_name").alias("url")).select("key", m.route("url").alias("kind"))
+    return _urls(spark, folder).select("key", m.route("url").alias("kind"))
+
+
+NO_FILES_SQL = "select distinct init_time from fld_li where init_time not in (select init_time from listed where init_time is not null)"
 
 
-@query("select init_time, 'listing' as stage, 'no files' as rule from (select distinct init_time from fld_li) where init_time not in (select init_time from listed where init_time is not null)", t.LINES_SQL, t.ORDERS_SQL)
+@query(f"select init_time as run, 'listing' as stage, 'no files' as rule from ({NO_FILES_SQL})", t.LINES_SQL, t.ORDERS_SQL)
 def runs_without_files(spark, folder):
-    return m.runs_without_files(m.runs_of(t.field_lines(spark, folder)), t.listed_orders(spark, folder))
+    return m.runs_without_files(m.runs_of(t.field_lines(spark, folder)), t.listed_orders(spark, folder)).select("run", "stage", "rule")
+
+
+@query(f"select init_time as run, null::varchar as url, 'listing' as stage, 'no files' as rule, null::varchar as detail from ({NO_FILES_SQL}) union all select null, url, 'convert', 'unknown kind', null from urls where contains(url, '/other/')", t.LINES_SQL, t.ORDERS_SQL, URL_SQL)
+def ingest_errors(spark, folder):
+    return together(m.runs_without_files(m.runs_of(t.field_lines(spark, folder)), t.listed_orders(spark, folder)), m.unknown_kinds(_urls(spark, folder), "url"))

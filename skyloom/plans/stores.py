@@ -2,19 +2,36 @@
 
 from pyspark.sql import functions as F
 
+from ..functions import catalog
+from ..operators import axes as a
 from ..operators import normalise as n
 from ..sources import storage as s
 from ..sources import tables as t
-from .axes import CELLS, EXPECTED_SQL, expected, known
+from .axes import CELLS, EXPECTED_SQL, VARIABLES, known
 from .registry import query
 
 
-@query("select init_time, step, variable from expected", t.FIELD_SQL, EXPECTED_SQL)
+STORE_SQL = f"""images as (select init_time, step, variable, null::varchar as ensemble_stat, null::int as ensemble_member, (select count(distinct lat_e4) * count(distinct lon_e4) from known)::bigint as area from expected)"""
+
+
+def model_axis(spark, folder):
+    """The axes of a model whose grid is that of the events, without runs."""
+    return a.ordered(a.ticks(known(spark, folder).select("step", "variable", "lat_e4", "lon_e4")))
+
+
+@query("""select 'image' as what, init_time, step, variable, area from images union all select 'first: new store', null, null, null, 0 union all select 'then: used again', null, null, null, (select sum(area) * 4 // 1024 from images)
+  union all select 'different model', null, null, null, null union all select 'no runs', null, null, null, null""", *CELLS, EXPECTED_SQL, STORE_SQL)
 def create_store(spark, folder):
-    images = expected(spark, folder)
-    path = s.new_path(spark, "store")
-    first = s.create(images.where(F.hour("init_time") < 12), path)
-    return s.create(images, path, first)
+    """A store for the morning's runs, made again for all; then asked for by another model, and for no runs."""
+    runs, axis, path = t.field_events(spark, folder).select("init_time").distinct(), model_axis(spark, folder), s.new_path(spark, "store")
+    said = catalog.attributes(VARIABLES, "latlon")
+    _, first, _ = s.create(spark, path, "events", runs.where(F.hour("init_time") < 12), axis, VARIABLES, said)
+    images, then, _ = s.create(spark, path, "events", runs, axis, VARIABLES, said)
+    other = s.create(spark, path, "another", runs, axis, VARIABLES)[2].unionByName(s.create(spark, s.new_path(spark, "store"), "events", runs.where("false"), axis, VARIABLES)[2])
+    none = lambda *c: [F.lit(None).cast(k).alias(n) for n, k in zip(("init_time", "step", "variable"), ("timestamp_ntz", "int", "string"), strict=True)]
+    about = first.select(F.lit("first: new store").alias("what"), *none(), F.col("size_kb").alias("area")).unionByName(then.where("reused").select(F.lit("then: used again").alias("what"), *none(), F.col("size_kb").alias("area")))
+    rows = images.select(F.lit("image").alias("what"), "init_time", "step", "variable", "area")
+    return rows.unionByName(about).unionByName(other.select(F.col("rule").alias("what"), *none(), F.lit(None).cast("long").alias("area")))
 
 
 CANONICAL_SQL = "canonical as (select init_time, step, variable, lat_e4, lon_e4, min(event_id) as event_id, arg_min(value, event_id) as value from known group by all)"
@@ -24,34 +41,39 @@ def canonical(spark, folder):
     return n.merge_first_wins(known(spark, folder), s.KEYS, "event_id").select(*s.KEYS, "event_id", "value")
 
 
+def _stored(spark, cells):
+    path = s.new_path(spark, "store")
+    s.write(cells, path)
+    return s.read(spark, path, cells.schema), path
+
+
 @query("select init_time, step, variable, lat_e4, lon_e4, value + case when event_id % 3 = 0 then 1000 else 0 end as value from canonical", *CELLS, CANONICAL_SQL)
 def region_upsert(spark, folder):
     cells = canonical(spark, folder).withColumn("seq", F.lit(0))
-    path = s.new_path(spark, "store")
-    store = s.create(cells, path)
+    store, path = _stored(spark, cells)
     pieces = cells.where("event_id % 3 = 0").withColumns({"value": F.col("value") + 1000, "seq": F.lit(1)})
     return s.upsert(store, pieces, path).select(*s.KEYS, "value")
 
 
 @query("select init_time, step, variable, lat_e4, lon_e4, value from canonical where variable = 'temperature_sl' and init_time >= timestamp '2024-01-10' and step < 3", *CELLS, CANONICAL_SQL)
 def select_cells(spark, folder):
-    path = s.new_path(spark, "store")
-    store = s.create(canonical(spark, folder), path)
+    store, _ = _stored(spark, canonical(spark, folder))
     return store.where((F.col("variable") == "temperature_sl") & (F.col("init_time") >= F.lit("2024-01-10").cast("timestamp_ntz")) & (F.col("step") < 3)).select(*s.KEYS, "value")
 
 
 @query("select init_time, count(*) as n_cells from canonical where day(init_time) > 5 group by 1", *CELLS, CANONICAL_SQL)
 def drop_run(spark, folder):
-    store = s.create(canonical(spark, folder), s.new_path(spark, "store"))
-    gone = store.where(F.dayofmonth("init_time") <= 5).select("init_time").distinct()
-    return s.drop_runs(store, gone, s.new_path(spark, "store")).groupBy("init_time").agg(F.count("*").alias("n_cells"))
+    cells = canonical(spark, folder)
+    store, path = _stored(spark, cells)
+    s.drop_runs(spark, path, store.where(F.dayofmonth("init_time") <= 5).select("init_time"))
+    return s.read(spark, path, cells.schema).groupBy("init_time").agg(F.count("*").alias("n_cells"))
 
 
-@query("select label, floor(floor(sum(n) * 4 / 1024) / 1024)::bigint as size_mb, sum(n)::bigint as n_values from (select label, vec_id, count(*) * 1000 as n from flat group by 1, 2) group by 1", t.FLAT_SQL)
+@query("select label, count(*) as n_images, (sum(n) * 4 // 1024)::bigint as size_kb, (sum(n) * 4 // 1024 // 1024)::bigint as size_mb, sum(n)::bigint as n_values from (select label, len(embedding) as n from embeddings) group by 1")
 def store_size(spark, folder):
-    images = t.flat_vectors(spark, folder).where(F.size("value") == 64)
-    n_values = F.size("value").cast("long") * 1000  # each image stands for a thousand of its size
-    return images.groupBy("label").agg(s.size_mb(n_values).cast("long").alias("size_mb"), F.sum(n_values).alias("n_values"))
+    images = t.flat_vectors(spark, folder).withColumn("n", F.greatest(F.size("value"), F.lit(0)).cast("long"))
+    facts = images.groupBy("label").agg(F.count("*").alias("n_images"), F.sum("n").alias("n_values"))
+    return facts.select("label", "n_images", s.size_kb(F.col("n_values")).alias("size_kb"), s.size_mb(F.col("n_values")).alias("size_mb"), "n_values")
 
 
 CELL_SQL = "cells as (select init_time, step, variable, iy, ix, value from (select *, row_number() over (partition by init_time, step, variable, iy, ix order by event_id) as r from known) where r = 1)"

@@ -4,25 +4,45 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators import axes
+from ..operators.errors import SCHEMA, errors
+
 KEYS = ["init_time", "step", "variable", "lat_e4", "lon_e4"]
 PARTS = ["init_time", "variable"]
+ABOUT = "model string, attributes map<string, string>"
+
+
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A new folder in the storage that all executors share; a temporary one only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    """A new folder under spark.checkpoint.dir, which all executors see. Without the setting only a session on one machine goes on, in a folder there."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
+        base = _own_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def write(cells: DataFrame, path: str, sort: tuple[str, ...] = ("step",), writers: int = 1) -> None:
-    """Writes whole run and variable partitions; others in the folder stay. `writers` tasks share a partition, dealt by step, where grids are large."""
-    spread = cells.repartition(*PARTS, F.col("step") % writers) if writers > 1 else cells.repartition(*PARTS)
-    spread.sortWithinPartitions(*PARTS, *sort).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).parquet(path)
+def write(cells: DataFrame, path: str) -> None:
+    """Writes whole run and variable partitions, in canonical order inside; others in the folder stay.
+
+    Large partitions are written by several tasks and small ones together by one, as Spark finds their sizes.
+    """
+    order = [*(c for c in ("step", "ensemble_stat", "ensemble_member") if c in cells.columns), *(F.desc(c) for c in ("lat_e4", "y_osgb", "y_laea") if c in cells.columns), *(c for c in ("lon_e4", "x_osgb", "x_laea") if c in cells.columns)]
+    spread = cells.sparkSession.sql(f"select /*+ rebalance({', '.join(PARTS)}) */ * from {{cells}}", cells=cells)
+    spread.sortWithinPartitions(*PARTS, *order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).parquet(path)
 
 
 def read(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -30,11 +50,58 @@ def read(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def create(expected: DataFrame, path: str, existing: DataFrame | None = None) -> DataFrame:
-    """Writes the expected images of runs that the store does not have yet, and reads all back."""
-    new = expected if existing is None else expected.join(existing.select("init_time").distinct(), "init_time", "left_anti")
-    write(new, path)
-    return read(expected.sparkSession, path, expected.schema)
+def found(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """What is stored at a path, or None if there is nothing."""
+    try:
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def create(spark: SparkSession, path: str, model: str, runs: DataFrame, axis: DataFrame, known: list[str], attributes: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A store for a model's runs at path, or the one that is there: (expected images, about, errors).
+
+    axis: the model's (dim, idx, num, str) without runs. Images are those of all runs that the store is asked to hold, old
+    ones included; about has (model, reused, size_kb): 0 for a new store, the whole logical size for one that is used again.
+    No runs, a store of another model, and axes that don't come back whole give an error row and no images. The skeleton
+    is kept beside the cells, at path + ".images" and ".about".
+    """
+    empty = spark.createDataFrame([], SCHEMA)
+    kept, old = found(spark, f"{path}.about"), None
+    whole = runs.select("init_time").distinct().withColumn("_all", F.lit(0))
+    if not whole.limit(1).count():
+        return _no_images(spark), _about(spark, model, False, 0), _failure(spark, path, "no runs")
+    if kept is not None:
+        name = kept.first()["model"]
+        if name != model:
+            return _no_images(spark), _about(spark, model, True, 0), _failure(spark, path, "different model", name)
+        old = found(spark, f"{path}.images")
+    run_axis = axes.ordered(axes.ticks(whole.select("init_time")))
+    images = axes.skeleton(axis.where("dim <> 'init_time'").select("dim", "idx", "num", "str").unionByName(run_axis).withColumn("_all", F.lit(0)), "_all")
+    images = images.select(F.timestamp_seconds("init_seconds").cast("timestamp_ntz").alias("init_time"), "step", "variable", "ensemble_stat", "ensemble_member", "area")
+    new = images if old is None else images.join(old.select("init_time").distinct(), "init_time", "left_anti")
+    new.write.mode("append").parquet(f"{path}.images")
+    if kept is None:
+        spark.createDataFrame([(model, attributes or {})], ABOUT).coalesce(1).write.parquet(f"{path}.about")
+    back = spark.read.schema(images.schema).parquet(f"{path}.images")
+    held = axes.ticks(back.withColumn("_all", F.lit(0)), ("_all",)).unionByName(axis.where(F.col("dim").isin(axes.SPACE)).select(F.lit(0).alias("_all"), "dim", "num", "str"))
+    breach = axes.validate(axes.ordered(held, ("_all",)), "_all", known).where("breach is not null")
+    size = back.agg(F.coalesce(F.sum("area"), F.lit(0))).first()[0] * 4 // 1024 if kept is not None else 0
+    return back, _about(spark, model, kept is not None, size), empty.unionByName(errors(breach, "store", F.col("breach"), None, F.lit(path)))
+
+
+def _no_images(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "init_time timestamp_ntz, step int, variable string, ensemble_stat string, ensemble_member int, area long")
+
+
+def _about(spark: SparkSession, model: str, reused: bool, size_kb: int) -> DataFrame:
+    return spark.createDataFrame([(model, reused, int(size_kb))], "model string, reused boolean, size_kb long")
+
+
+def _failure(spark: SparkSession, path: str, rule: str, detail: str | None = None) -> DataFrame:
+    return spark.createDataFrame([(None, path, "store", rule, detail)], SCHEMA)
 
 
 def upsert(store: DataFrame, pieces: DataFrame, path: str, order: str = "seq") -> DataFrame:
@@ -48,37 +115,79 @@ def upsert(store: DataFrame, pieces: DataFrame, path: str, order: str = "seq") -
     staged = new_path(store.sparkSession, "staged")
     both.write.parquet(staged)  # what is overwritten must not be read at the same time
     write(store.sparkSession.read.schema(both.schema).parquet(staged), path)
+    remove(store.sparkSession, staged)
     return read(store.sparkSession, path, store.schema)
 
 
-def drop_runs(store: DataFrame, runs: DataFrame, path: str) -> DataFrame:
-    """The store without some runs, written to a new path."""
-    write(store.join(runs, "init_time", "left_anti"), path)
-    return read(store.sparkSession, path, store.schema)
+def _folder(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path there."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Deletes what is at a path, with all below it. False if there was nothing."""
+    fs, place = _folder(spark, path)
+    return fs.delete(place, True)
 
 
-def size_mb(values: Column, bytes_each: int = 4) -> Column:
+def drop_store(spark: SparkSession, path: str) -> None:
+    """Deletes a store, its skeleton too."""
+    for end in ("", ".images", ".about"):
+        remove(spark, path + end)
+
+
+def drop_runs(spark: SparkSession, path: str, runs: DataFrame) -> int:
+    """Deletes the folders of some runs (init_time); nothing else is read or written. The number of folders that went.
+
+    Run times come to the driver: at most as many as the store has folders.
+    """
+    fs, place = _folder(spark, path)
+    if not fs.exists(place):
+        return 0
+    gone = {str(r.init_time) for r in runs.select("init_time").distinct().collect()}
+    mine = [f.getPath() for f in fs.listStatus(place) if unquote(f.getPath().getName()).removeprefix("init_time=") in gone]
+    return sum(fs.delete(f, True) for f in mine)
+
+
+def size_kb(n_values: Column, bytes_each: int = 4) -> Column:
+    """Kilobytes of so many values, floored as stores report them."""
+    return F.floor(n_values * bytes_each / 1024).cast("long")
+
+
+def size_mb(n_values: Column, bytes_each: int = 4) -> Column:
     """Megabytes as stores report them: kilobytes, then megabytes, both floored."""
-    return F.floor(F.floor(F.sum(values) * bytes_each / 1024) / 1024)
+    return F.floor(size_kb(n_values, bytes_each) / 1024).cast("long")
+
 
+def block_sizes(shape: DataFrame, counts: DataFrame, by: str) -> DataFrame:
+    """shape (by, dim, length) with `block`, the ticks of a block, and `rule`.
 
-def block_sizes(lengths: dict[str, int], counts: dict[str, int] | None = None) -> dict[str, int]:
-    """Ticks of a block for each dimension: 1 for short axes and for run, step and variable, else all; a count divides the axis."""
-    out = {d: 1 if n <= 8 or d in ("init_time", "step", "variable") else n for d, n in lengths.items()}
-    for d, c in (counts or {}).items():
-        if d in lengths:
-            if not 0 < c <= lengths[d]:
-                raise ValueError(f"{c} blocks over {lengths[d]} ticks of {d}")
-            out[d] = lengths[d] // c
-    return out
+    A block holds 1 tick of axes of up to 8 and of run, step and variable, else the whole axis. counts (by, dim, count)
+    divide an axis, floored; a count of none or of more than there are ticks gives no block but the rule `block count`.
+    """
+    usual = F.when((F.col("length") <= 8) | F.col("dim").isin("init_time", "step", "variable"), F.lit(1)).otherwise(F.col("length"))
+    bad = (F.col("count") < 1) | (F.col("count") > F.col("length"))
+    block = F.when(F.col("count").isNull(), usual).when(~bad, F.floor(F.col("length") / F.col("count"))).cast("int")
+    return shape.join(counts.select(by, "dim", "count"), [by, "dim"], "left").select(*shape.columns, block.alias("block"), F.when(bad, "block count").alias("rule"))
 
 
 def pack(cells: DataFrame, keys: list[str], by: int, bx: int) -> DataFrame:
-    """Blocks (keys, cy, cx, value array) of by * bx cells in row order; missing cells are null. A block is as large as its two sizes say."""
-    place = (F.col("iy") % by) * bx + F.col("ix") % bx
-    cut = cells.select(*keys, F.expr(f"cast(iy div {by} as int)").alias("cy"), F.expr(f"cast(ix div {bx} as int)").alias("cx"), place.cast("int").alias("p"), "value")
-    sets = cut.groupBy(*keys, "cy", "cx").agg(F.map_from_entries(F.collect_list(F.struct("p", "value"))).alias("m"))
-    return sets.select(*keys, "cy", "cx", F.transform(F.sequence(F.lit(0), F.lit(by * bx - 1)), lambda p: F.try_element_at("m", p)).alias("value"))
+    """Blocks (keys, cy, cx, value array) of by * bx cells in row order; missing cells are null.
+
+    A block is as large as its two sizes say, and is filled in one pass over its cells in order: the nulls before a cell
+    are as many as places lie between it and the one before. Of repeated places the greatest value stays.
+    """
+    at = (F.col("iy") % by) * bx + F.col("ix") % bx
+    cut = cells.select(*keys, F.expr(f"cast(iy div {by} as int)").alias("cy"), F.expr(f"cast(ix div {bx} as int)").alias("cx"), at.cast("int").alias("p"), "value")
+    once = cut.groupBy(*keys, "cy", "cx", "p").agg(F.max("value").alias("value"))
+    rows = once.groupBy(*keys, "cy", "cx").agg(F.sort_array(F.collect_list(F.struct("p", "value"))).alias("s"))
+    none = F.lit(None).cast(cells.schema["value"].dataType)
+    before = lambda i: F.when(i > 0, F.get("s", i - 1)["p"]).otherwise(-1)
+    parts = F.transform("s", lambda c, i: F.concat(F.array_repeat(none, c["p"] - before(i) - 1), F.array(c["value"])))
+    rest = F.array_repeat(none, F.lit(by * bx - 1) - F.element_at("s", -1)["p"])
+    return rows.select(*keys, "cy", "cx", F.concat(F.flatten(parts), rest).alias("value"))
 
 
 def unpack(blocks: DataFrame, keys: list[str], by: int, bx: int) -> DataFrame:

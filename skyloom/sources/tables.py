@@ -18,7 +18,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def read_fields(spark: SparkSession, path: str, decode: Callable[[Iterator], Iterator] | None = None, schema: str = MESSAGES) -> DataFrame:
     """Decoded messages of many raw files: Parquet that has them, or any files through the user's decoder.
 
-    decode takes and yields pandas frames, of (path, content) rows and of rows in `schema`; files are read in parallel.
+    decode takes and yields pandas frames, of (path, content) rows and of rows in `schema`; files are read in parallel,
+    each whole by one task, as raw formats ask for.
     """
     if decode is None:
         return spark.read.parquet(path)
@@ -36,14 +37,20 @@ def field_events(spark: SparkSession, folder: str) -> DataFrame:
         F.window("ts", "6 hours").start.cast("timestamp_ntz").alias("init_time"), (F.hour("ts") % 6).cast("int").alias("step"),
         F.when(F.col("event_type") == "click", "t2m").when(F.col("event_type") == "error", "dswrf").when(F.col("event_type") == "purchase", "tcc").when(F.col("event_type") == "signup", "u10").otherwise("junk").alias("alias"),
         (600000 - (F.col("user_id") % 10) * 1000).cast("int").alias("lat_e4"), (-50000 + F.expr("user_id div 10") * 1000).cast("int").alias("lon_e4"),
-        (F.col("user_id") % 10).cast("int").alias("iy"), F.expr("user_id div 10").cast("int").alias("ix"), "value", "event_id",
+        (F.col("user_id") % 10).cast("int").alias("iy"), F.expr("user_id div 10").cast("int").alias("ix"), "value", "event_id", "user_id",
     )
 
 
+def field_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw fields of many files, one for each run and user: what a fetch of these runs gives."""
+    e = field_events(spark, folder)
+    return e.select("init_time", F.concat(F.date_format("init_time", "yyyyMMddHH"), F.lit("/"), "user_id").alias("url"), F.col("event_id").alias("dataset_no"), "alias", "step", "lat_e4", "lon_e4", "value")
+
+
 FIELD_SQL = """field_ev as (select time_bucket(interval '6 hours', ts) as init_time, (hour(ts) % 6)::int as step,
   case event_type when 'click' then 't2m' when 'error' then 'dswrf' when 'purchase' then 'tcc' when 'signup' then 'u10' else 'junk' end as alias,
   (600000 - (user_id % 10) * 1000)::int as lat_e4, (-50000 + (user_id // 10) * 1000)::int as lon_e4,
-  (user_id % 10)::int as iy, (user_id // 10)::int as ix, value, event_id from events)"""
+  (user_id % 10)::int as iy, (user_id // 10)::int as ix, value, event_id, user_id from events)"""
 
 
 def flat_vectors(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,9 +59,25 @@ def flat_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "embeddings").select("vec_id", "label", F.transform("embedding", gap).alias("value"))
 
 
+def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Decoded messages as MESSAGES has them: 8 x 8 images of vectors, eight to a file, some under an unknown name or of a wrong size."""
+    e, short = table(spark, folder, "embeddings"), F.array(*map(F.lit, ["t2m", "tas", "unknown", "tcc", "vis", "prate"]))
+    return e.select(
+        F.concat(F.lit("enfo-pf_"), F.expr("vec_id div 8").cast("string")).alias("file_name"), (F.col("vec_id") % 8).cast("int").alias("dataset_no"),
+        F.element_at(short, (F.col("label") % 6 + 1).cast("int")).alias("short_name"), F.when(F.col("vec_id") % 2 == 0, 194).otherwise(7).alias("parameter_number"), F.lit("surface").alias("type_of_level"), F.lit(0).alias("level"),
+        F.lit("instant").alias("step_type"), (F.lit("2024-01-01").cast("timestamp_ntz") + hours(F.expr("vec_id div 64").cast("int"))).alias("time"), F.when(F.col("vec_id") % 3 > 0, (F.col("vec_id") % 3).cast("int")).alias("step"),
+        (F.expr("vec_id div 8") % 8).cast("int").alias("number"), F.lit(8).alias("ny"), F.lit(8).alias("nx"), F.lit(0).alias("lat_first"), F.lit(0).alias("lon_first"),
+        F.when(F.col("vec_id") % 29 == 0, F.slice("embedding", 1, 63)).otherwise(F.col("embedding")).alias("value"),
+    )
+
+
+RAW_SQL = """raw as (select vec_id, 'enfo-pf_' || (vec_id // 8) as file_name, (vec_id % 8)::int as dataset_no, ['t2m', 'tas', 'unknown', 'tcc', 'vis', 'prate'][(label % 6) + 1] as short_name,
+  case when vec_id % 2 = 0 then 194 else 7 end as parameter_number, timestamp '2024-01-01' + to_hours((vec_id // 64)::int) as init_time, (vec_id % 3)::int as step, (vec_id // 8 % 8)::int as number,
+  case when vec_id % 29 = 0 then embedding[1:63] else embedding end as value from embeddings)"""
+
 FLAT_SQL = """flat as (select vec_id, label, (pos - 1)::int as pos,
   case when vec_id % 5 = 0 and (vec_id * 64 + pos - 1) % 17 = 0 then null else embedding[pos] end as value
-  from embeddings, unnest(generate_series(1, 64)) as g(pos) where len(embedding) = 64)"""
+  from embeddings, unnest(generate_series(1, len(embedding))) as g(pos))"""
 
 
 def field_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -62,12 +85,20 @@ def field_lines(spark: SparkSession, folder: str) -> DataFrame:
     flag = F.col("l_returnflag")
     return table(spark, folder, "lineitem").select(
         F.col("l_shipdate").alias("init_time"), F.col("l_linenumber").alias("step"), F.col("l_suppkey").cast("int").alias("ix"), "l_orderkey", F.col("l_returnflag").alias("flag"),
+        (F.lit(600000) - (F.col("l_orderkey") % 3) * 1000).cast("int").alias("lat_e4"), ((F.col("l_suppkey") % 5) * 1000).cast("int").alias("lon_e4"),
         F.when(flag == "A", "tcc").when(flag == "N", "t").otherwise("vis").alias("alias"),
         F.when(flag == "A", F.col("l_discount") * 12).when(flag == "N", F.col("l_quantity") * 1.5).otherwise(F.col("l_extendedprice")).alias("value"),
     )
 
 
+def line_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw fields of the line items, a file for each run and order."""
+    file = F.concat(F.date_format("init_time", "yyyyMMddHH"), F.lit("/"), F.col("l_orderkey").cast("string"))
+    return field_lines(spark, folder).select(F.col("init_time").cast("timestamp_ntz").alias("init_time"), file.alias("url"), (F.col("l_orderkey") * 8 + F.col("step")).alias("dataset_no"), "alias", F.col("step").cast("int").alias("step"), "lat_e4", "lon_e4", F.col("value").cast("double").alias("value"))
+
+
 LINES_SQL = """fld_li as (select l_shipdate as init_time, l_linenumber as step, l_suppkey::int as ix, l_orderkey, l_returnflag as flag,
+  (600000 - (l_orderkey % 3) * 1000)::int as lat_e4, ((l_suppkey % 5) * 1000)::int as lon_e4,
   case l_returnflag when 'A' then 'tcc' when 'N' then 't' else 'vis' end as alias,
   case l_returnflag when 'A' then l_discount * 12 when 'N' then l_quantity * 1.5 else l_extendedprice end as value from lineitem)"""
 

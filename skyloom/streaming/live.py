@@ -19,20 +19,11 @@ def follow(spark: SparkSession, landing: str, schema, store: str, variables: lis
 
     def take(batch: DataFrame, number: int) -> None:
         cells = normalise.normalise_fields(batch, variables).withColumn("seq", F.lit(number).cast("long"))
-        try:
-            old = storage.read(batch.sparkSession, store, cells.schema)
-            old.limit(1).count()
-        except Exception as e:  # the first batch finds no store
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            old = batch.sparkSession.createDataFrame([], cells.schema)
-        storage.upsert(old, cells, store)
+        old = storage.found(batch.sparkSession, store, cells.schema)
+        if old is None:  # the first batch finds no store
+            storage.write(cells, store)
+        else:
+            storage.upsert(old, cells, store)
 
     stream.parquet(landing).writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(store)
-
-
-def hourly(events: DataFrame, late: str = "2 hours") -> DataFrame:
-    """(hour, alias, n, mean) of a stream of cells as they arrive, with a watermark for late ones. Times with a zone are needed here."""
-    timed = events.withColumn("_at", F.col("init_time").cast("timestamp")).withWatermark("_at", late)
-    return timed.groupBy(F.window("_at", "6 hours").start.alias("start"), "alias").agg(F.count("*").alias("n"), F.avg("value").alias("mean"))

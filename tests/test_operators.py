@@ -1,13 +1,16 @@
 """Operators on small tables with known answers."""
 
-from datetime import datetime, timedelta
+import time
+from datetime import date, datetime, timedelta
 
-import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from skyloom.functions import catalog
 from skyloom.operators import axes, manifest, models, normalise, quality, runs
-from skyloom.sources import storage
+from skyloom.sources import storage, tables
+from skyloom.streaming import live
 
 RUN = datetime(2021, 1, 1)
 CELL = "init_time timestamp_ntz, step int, variable string, lat_e4 int, lon_e4 int, value double"
@@ -18,36 +21,99 @@ def cells(spark, runs_=3, steps=range(12), variables=("a", "b", "c"), lats=(60,
     return spark.createDataFrame(rows, CELL)
 
 
-def region(spark, inner):
-    outer = axes.ordered(axes.ticks(cells(spark)))
+def region(spark, inner, outer=None):
+    outer = axes.ordered(axes.ticks(cells(spark))) if outer is None else outer
     found = axes.regions(axes.ticks(inner.withColumn("piece", F.lit("p")), ("piece",)), outer, "piece")
-    return {r.dim: (r.start, r.stop, r.ok) for r in found.collect()}
+    return {r.dim: (r.start, r.stop, r.rule) for r in found.collect()}
 
 
-def test_region_of_a_subset(spark):
+def test_regions_of_subsets(spark):
     got = region(spark, cells(spark, 1, range(6)))
-    assert got["init_time"] == (0, 1, True) and got["step"] == (0, 6, True) and got["latitude"] == (0, 3, True)
+    assert got == {"init_time": (0, 1, None), "step": (0, 6, None), "variable": (0, 3, None), "latitude": (0, 3, None), "longitude": (0, 3, None)}
+    got = region(spark, cells(spark).where(F.hour("init_time") > 0))
+    assert got["init_time"] == (1, 3, None) and got["step"] == (0, 12, None)
+
+
+def test_regions_with_gaps_or_outside(spark):
+    assert region(spark, cells(spark, steps=(1, 3, 5)))["step"] == (1, 6, "gaps")
+    assert region(spark, cells(spark, lats=(60, 63)))["latitude"][2] == "outside"
+    assert region(spark, cells(spark, steps=(15,)))["step"] == (None, None, "outside")
+    assert region(spark, cells(spark, lats=(12, 13)))["latitude"] == (None, None, "outside")
+
+
+def test_regions_need_the_same_dimensions_and_no_longer_axes(spark):
+    assert {x[2] for x in region(spark, cells(spark).drop("lat_e4", "lon_e4")).values()} == {"dimensions"}
+    assert {x[2] for x in region(spark, cells(spark).withColumn("ensemble_member", F.lit(1))).values()} == {"dimensions"}
+    assert region(spark, cells(spark, lats=(60, 61, 62, 63)))["latitude"][2] == "longer"
+    empty = axes.ticks(cells(spark).withColumn("piece", F.lit("p")), ("piece",)).where("dim <> 'step'").unionByName(spark.createDataFrame([("p", "step", None, None)], "piece string, dim string, num double, str string"))
+    found = axes.regions(empty, axes.ordered(axes.ticks(cells(spark))), "piece")
+    assert {r.dim: r.rule for r in found.collect()}["step"] == "empty"
+    said = axes.region_errors(found, "piece").collect()
+    assert [(r.url, r.stage, r.rule, r.detail) for r in said] == [("p", "region", "empty", "step")]
+
+
+def test_regions_of_metres_members_and_statistics(spark):
+    whole = [(RUN, s, "a", e, m, y, x) for s in range(3) for e in ("mean", "std") for m in (1, 2, 3) for y in (4000, 2000, 0) for x in (0, 2000)]
+    schema = "init_time timestamp_ntz, step int, variable string, ensemble_stat string, ensemble_member int, y_osgb int, x_osgb int"
+    outer = spark.createDataFrame(whole, schema)
+    inner = outer.where("ensemble_member > 1 and y_osgb < 4000 and ensemble_stat = 'std'")
+    got = region(spark, inner, axes.ordered(axes.ticks(outer)))
+    assert got["ensemble_member"] == (1, 3, None) and got["y_osgb"] == (1, 3, None) and got["x_osgb"] == (0, 2, None) and got["ensemble_stat"] == (1, 2, None)
+    axis = axes.ordered(axes.ticks(outer.withColumn("g", F.lit("g")), ("g",)), ("g",))
+    assert [r.breach for r in axes.validate(axis, "g", ["a"]).collect()] == [None]
+    assert [(r.dim, r.length) for r in axes.shape(axis, "g").orderBy("place").collect()] == [("init_time", 1), ("step", 3), ("variable", 1), ("ensemble_stat", 2), ("ensemble_member", 3), ("y_osgb", 3), ("x_osgb", 2)]
+    images = axes.skeleton(axis, "g")
+    assert images.count() == 3 * 2 * 3 and {r.area for r in images.collect()} == {6}
+
+
+def test_axes_are_judged_as_they_are_given(spark):
+    def breach(*drop, **ticks_):
+        given = {"init_time": [0.0], "step": [0.0, 72.0], "variable": ["temperature_sl"], "latitude": [61.0, 60.0], "longitude": [10.0, 11.0]} | ticks_
+        rows = [("g", d, i, *((None, v) if isinstance(v, str) else (v, None))) for d, values in given.items() if d not in drop for i, v in enumerate(values)]
+        rows += [("g", d, None, None, None) for d, values in given.items() if not values]
+        return axes.validate(spark.createDataFrame(rows, "g string, dim string, idx int, num double, str string"), "g", ["temperature_sl"]).first().breach
+
+    assert breach() is None and breach("step") == "missing dimension" and breach(step=[]) == "empty dimension" and breach(variable=["odd"]) == "unknown variable" and breach(depth=[1.0]) == "unknown dimension"
+    assert breach(latitude=[60.0, 61.0]) == "latitude order" and breach(longitude=[11.0, 10.0]) == "longitude order"
+    for dim, rising in (("y_osgb", False), ("x_osgb", True), ("y_laea", False), ("x_laea", True)):
+        assert breach(**{dim: [0.0, 2000.0]}) == (None if rising else f"{dim} order") and breach(**{dim: [2000.0, 0.0]}) == (f"{dim} order" if rising else None)
+
+
+def test_gaps_name_both_sides_and_what_is_outside(spark):
+    inner = axes.ticks(cells(spark, steps=(1, 3, 5, 15)).withColumn("piece", F.lit("p")), ("piece",))
+    found = axes.gaps(inner, axes.ordered(axes.ticks(cells(spark))), "piece").where("dim = 'step'").collect()
+    assert sorted((r.kind, r.before, r.after, r.tick) for r in found if r.kind == "gap") == [("gap", 1, 3, None), ("gap", 3, 5, None)]
+    assert [r.tick for r in found if r.kind == "outside"] == ["15.0000"]
 
 
-def test_region_with_gaps_or_outside(spark):
-    assert region(spark, cells(spark, steps=(1, 3, 5)))["step"] == (1, 6, False)
-    assert not region(spark, cells(spark, lats=(60, 63)))["latitude"][2]
-    assert region(spark, cells(spark, lats=(12, 13)))["latitude"] == (None, None, False)
+def test_crop(spark):
+    rows = [("g", y, x) for y in range(800000, -800000, -1000) for x in range(150000, -150000, -1000) if (y % 10000 == 0 or 599000 < y <= 606000) and (x % 10000 == 0 or x > 99000)]
+    data = spark.createDataFrame(rows, "g string, lat_e4 int, lon_e4 int").unionByName(spark.createDataFrame([("flat", None, None)], "g string, lat_e4 int, lon_e4 int"))
+    def cut(*box, group="g"):
+        kept, said = axes.crop(data, spark.createDataFrame([(group, *map(float, box))], "g string, north double, west double, south double, east double"), "g")
+        return kept, [r.rule for r in said.collect()]
 
+    kept, said = cut(60.5, 10, 60, 10.5)
+    assert (kept.select("lat_e4").distinct().count(), kept.select("lon_e4").distinct().count(), said) == (6, 6, [])
+    for box, rule in (((60, 10, 61, 11), "no such box"), ((91, 0, 0, 10), "no such box"), ((10, 20, 0, 10), "no such box"), ((89, -10, 0, 10), "outside the data"), ((60, -20, 50, 10), "outside the data")):
+        kept, said = cut(*box)
+        assert kept.count() == 0 and said == [rule]
+    assert cut(60, 10, 59, 11, group="flat")[1] == ["no latitude or longitude"]
+    assert data.where(axes.inside(60.5, 10.0, 60.0, 10.5)).count() == 36
 
-def test_gaps_name_both_sides(spark):
-    inner = axes.ticks(cells(spark, steps=(1, 3, 5)).withColumn("piece", F.lit("p")), ("piece",))
-    found = axes.gaps(inner, axes.ordered(axes.ticks(cells(spark))), "piece").where("dim = 'step'").collect()
-    assert sorted((r.before, r.after) for r in found) == [(1, 3), (3, 5)]
 
+def test_named_regions(spark):
+    ask = [("ECMWF_HRES_IFS_0P1DEGREE", "uk"), ("ECMWF_HRES_IFS_0P1DEGREE", "india"), ("ECMWF_HRES_IFS_0P1DEGREE", "nowhere"), ("MO_UM_UKV_2KM_OSGB", "uk")]
+    got = models.named_regions(spark.createDataFrame(ask, "model string, region string"), catalog.models(spark), catalog.regions(spark))
+    assert {(r.region, r.name): (r.ny, r.nx, r.rule) for r in got.collect()} == {
+        ("uk", "hres-ifs_uk"): (141, 151, None), ("india", "hres-ifs_india"): (291, 301, None), ("nowhere", "hres-ifs"): (1801, 3601, "unknown region"), ("uk", "um-ukv"): (None, None, "no latitude or longitude"),
+    }
 
-def test_crop(spark):
-    lat = [(RUN, 0, "a", y, x, 1.0) for y in (605000, 600000, 599000, 594000) for x in (100000, 105000, 106000)]
-    got = axes.crop(spark.createDataFrame(lat, CELL), 60.5, 10.0, 60.0, 10.5)
-    assert got.count() == 4
-    for box in ((60, 10, 61, 11), (91, 0, 0, 10), (10, 20, 0, 10)):
-        with pytest.raises(ValueError):
-            axes.crop(got, *box)
+
+def test_periods(spark):
+    runs_of = lambda period: sorted(r.init_time for r in models.wanted_runs(spark, period, datetime(2021, 1, 2, 0), [0, 6, 12, 18], 60).collect())
+    assert runs_of(None) == [datetime(2021, 1, 1, 18)] and runs_of(datetime(2020, 5, 1, 3)) == [datetime(2020, 5, 1, 3)]
+    assert len(runs_of(date(2024, 2, 1))) == 116 and runs_of(date(2024, 2, 9))[0] == datetime(2024, 2, 1)
 
 
 def test_latest_run(spark):
@@ -94,7 +160,41 @@ def test_longitudes_wrap_by_floored_modulo(spark):
 def test_grid_sizes_that_do_not_fit(spark):
     flat = spark.createDataFrame([(1, [1.0, 2.0, 3.0, 4.0]), (2, [1.0]), (3, None)], "k int, v array<float>")
     assert normalise.unflatten(flat, ["k"], "v", 2, 2).count() == 4
-    assert {r.k for r in normalise.wrong_length(flat, ["k"], "v", 2, 2).collect()} == {2, 3}
+    assert {(r.url, r.rule) for r in normalise.wrong_length(flat, "k", "v", 2, 2).collect()} == {("2", "size"), ("3", "size")}
+    grid = spark.createDataFrame([("a", y, x) for y in range(2) for x in range(3)] + [("b", 0, 0)], "f string, iy int, ix int")
+    placed, said = normalise.expected_grid(grid, "f", (10, -2, 2), (0, 2, 3))
+    assert {(r.iy, r.ix, r.y, r.x) for r in placed.collect()} == {(1 - y, x, 10 - 2 * (1 - y), 2 * x) for y in range(2) for x in range(3)}
+    assert [(r.url, r.rule, r.detail) for r in said.collect()] == [("b", "size", "1x1")]
+
+
+def test_names_that_clash_in_a_file(spark):
+    rows = [("f", "t2m", 1.0), ("f", "tas", 2.0), ("f", "tcc", 3.0), ("g", "tas", 4.0), ("g", "junk", 5.0)]
+    kept, said = normalise.settle_clashes(normalise.rename_else_drop(spark.createDataFrame(rows, "file string, alias string, v double"), ["temperature_sl", "cloud_cover_total"]), ["file"])
+    assert sorted(r.v for r in kept.collect()) == [1.0, 3.0, 4.0]
+    assert [(r.url, r.rule, r.detail) for r in said.collect()] == [("f", "several short names", "temperature_sl: t2m, tas")]
+
+
+def test_equal_messages_come_once_from_the_first_data_set(spark):
+    rows = [("u10", 10, "heightAboveGround", "instant", 2), ("u10", 10, "heightAboveGround", "instant", 1), ("t", 2, "surface", "instant", 1), ("sdwe", 0, "surface", "instant", 1), ("tcc", 0, "lowCloudLayer", "avg", 1), ("sdswrf", 0, "surface", "avg", 3)]
+    messages = spark.createDataFrame(rows, "short_name string, level int, type_of_level string, step_type string, dataset_no int")
+    got = normalise.wanted_messages(messages, ["short_name", "level", "type_of_level", "step_type"], "dataset_no").collect()
+    assert sorted((r.short_name, r.dataset_no) for r in got) == [("sdswrf", 3), ("u10", 1)]
+
+
+def test_which_files_hold_nothing_wanted(spark):
+    rows = [(RUN, k + str(i), k, kept) for k in ("global", "ukv", "realtime", "gfs") for i, sets in enumerate(([True], [True, False], [False])) for kept in sets]
+    said = normalise.nothing_relevant(spark.createDataFrame(rows, "run timestamp_ntz, file string, kind string, kept boolean"), "run", "file", "kept", "kind")
+    assert sorted(r.url for r in said.collect()) == ["gfs2", "global1", "global2", "realtime2"]
+
+
+def test_raw_paths_and_what_is_fetched(spark):
+    rows = [("CEDA", "s3://a/b/x.grib"), ("NOAA-GFS-S3", "s3://a/b/gfs.f003"), ("ECMWF-Realtime-S3", "s3://a/b/A2D.1"), ("ECMWF-MARS", "y.grib"), ("MetOffice-Weather-Datahub", "https://o/file_id/data")]
+    df = spark.createDataFrame([(s, "m", u, RUN) for s, u in rows], "source string, model string, url string, run timestamp_ntz")
+    got = [r.p.split("/m/raw/")[1] for r in df.select(manifest.raw_path("source", "model", "url", "run").alias("p")).collect()]
+    assert got == ["x.grib", "2021/01/01/00/gfs.f003.grib", "A2D.grib", "y.grib", "file_id.grib"]
+    listed = spark.createDataFrame([(1, "CEDA"), (2, "ECMWF-Realtime-S3"), (3, "ECMWF-Realtime-S3"), (4, "CEDA")], "key int, source string")
+    have = spark.createDataFrame([(1, 0), (2, 0), (3, 5), (3, 0)], "key int, length long")
+    assert sorted(r.key for r in manifest.to_fetch(listed, have).collect()) == [2, 4]
 
 
 def test_blocks_round_trip_and_sizes(spark):
@@ -103,40 +203,162 @@ def test_blocks_round_trip_and_sizes(spark):
     packed = storage.pack(df, ["k"], 4, 4)
     assert packed.count() == 6 and packed.where("size(value) <> 16").count() == 0
     assert sorted(storage.unpack(packed, ["k"], 4, 4).collect()) == sorted(df.collect())
-    assert storage.block_sizes({"init_time": 9, "step": 48, "latitude": 181, "longitude": 8}, {"latitude": 8}) == {"init_time": 1, "step": 1, "latitude": 22, "longitude": 1}
-    with pytest.raises(ValueError):
-        storage.block_sizes({"latitude": 4}, {"latitude": 5})
+    lengths = spark.createDataFrame([("g", d, n) for d, n in (("init_time", 9), ("step", 48), ("latitude", 181), ("longitude", 8), ("y_laea", 4), ("x_laea", 40))], "g string, dim string, length int")
+    counts = spark.createDataFrame([("g", "latitude", 8), ("g", "y_laea", 5), ("g", "x_laea", 0)], "g string, dim string, count int")
+    got = {r.dim: (r.block, r.rule) for r in storage.block_sizes(lengths, counts, "g").collect()}
+    assert got == {"init_time": (1, None), "step": (1, None), "latitude": (22, None), "longitude": (1, None), "y_laea": (None, "block count"), "x_laea": (None, "block count")}
+
+
+def test_a_large_block_is_packed_in_one_pass(spark):
+    many = spark.range(40000).where("id % 3 > 0").selectExpr("1 as k", "cast(id div 200 as int) iy", "cast(id % 200 as int) ix", "cast(id as double) value")
+    began = time.time()
+    block = storage.pack(many, ["k"], 200, 200).collect()
+    assert len(block) == 1 and block[0].value == [None if i % 3 == 0 else float(i) for i in range(40000)] and time.time() - began < 20
 
 
 def test_store_keeps_untouched_partitions_and_last_write_wins(spark):
     first = cells(spark, 2, range(2)).withColumn("seq", F.lit(0))
     path = storage.new_path(spark, "t")
-    store = storage.create(first, path)
+    storage.write(first, path)
+    store = storage.read(spark, path, first.schema)
     later = first.where("variable = 'a' and step = 0").withColumns({"value": F.lit(5.0), "seq": F.lit(1)}).limit(3)
     got = storage.upsert(store, later, path)
     assert got.count() == first.count() and got.where("value = 5").count() == 3
 
 
 def test_missing_runs_and_verdict(spark):
-    four = spark.createDataFrame([(RUN + timedelta(hours=6 * i),) for i in range(4)], "init_time timestamp_ntz")
-    have = four.where(F.hour("init_time").isin(0, 12)).select("init_time", F.lit(0).alias("step"), F.lit(1.0).alias("value"))
-    missing = quality.missing_runs(four, have, F.col("step") < 2)
-    assert sorted(r.init_time.hour for r in missing.collect()) == [6, 18]
+    whole = cells(spark, 4, range(4), ("a",), lats=range(60, 72), lons=range(18))
+    runs_, axis = whole.select("init_time").distinct(), axes.ordered(axes.ticks(whole.drop("init_time")))
+    missing = lambda have: sorted(r.init_time.hour for r in quality.missing_runs(runs_, have, axis).collect())
+    assert missing(whole.where("false")) == [0, 3, 6, 9] and missing(whole.where(F.hour("init_time").isin(0, 6))) == [3, 9] and missing(whole) == []
+    assert missing(whole.where("step > 1")) == [0, 3, 6, 9] == missing(whole.where("lat_e4 < 700000"))  # only the first two ticks count
     shares = spark.createDataFrame([("x", 0.06 if i < 2 else 0.05) for i in range(100)] + [("y", 0.06 if i < 3 else 0.0) for i in range(100)], "m string, share double")
     assert {r.m: r.ok for r in quality.verdict(shares, ["m"]).collect()} == {"x": True, "y": False}
 
 
+def test_outcome_of_pieces(spark):
+    rows = [(RUN, f"u{i:02d}", i < 6, 10) for i in range(100)] + [(RUN + timedelta(hours=6), f"u{i:02d}", i < 7, 10) for i in range(100)]
+    two = spark.createDataFrame([(RUN + timedelta(hours=6 * i),) for i in range(3)], "init_time timestamp_ntz")
+    got = {r.init_time.hour: tuple(r)[1:] for r in quality.outcome(two, spark.createDataFrame(rows, "init_time timestamp_ntz, url string, failed boolean, bytes int"), "init_time").collect()}
+    assert got[0] == (100, 6, 940, True, None, "u00 u01 u02 u03 u04") and got[6][1:5] == (7, 930, False, "too many failures") and got[12] == (0, 0, 0, False, "no pieces", "")
+
+
+def test_axes_that_differ(spark):
+    a, b = (axes.ordered(axes.ticks(cells(spark, 1, s))) for s in ((0, 1, 2), (0, 1, 3, 4)))
+    assert sorted((r.dim, r.idx, r.stored, r.expected) for r in quality.axis_diff(a, b).collect()) == [("step", 2, "2.0000", "3.0000"), ("step", 3, None, "4.0000")]
+
+
 def test_limits_of_wind_direction_count_as_turned(spark):
-    df = spark.createDataFrame([("wind_direction_10m", 90.0), ("wind_direction_10m", 400.0), ("temperature_sl", None)], "variable string, value double")
-    got = {r.variable: (r.outside_share, r.is_valid, r.has_nulls) for r in quality.scan(df).collect()}
+    df = spark.createDataFrame([("wind_direction_10m", 90.0), ("wind_direction_10m", 400.0), ("temperature_sl", None), ("odd", 1.0)], "variable string, value double")
+    found, said = quality.scan(df)
+    got = {r.variable: (r.outside_share, r.is_valid, r.has_nulls) for r in found.collect()}
+    assert [(r.rule, r.detail) for r in said.collect()] == [("unknown parameter", "odd")]
     assert got == {"wind_direction_10m": (0.5, False, False), "temperature_sl": (None, False, True)}
 
 
-def test_whole_run(spark):
-    fields = cells(spark, 1, range(2), ("t", "junk"), (60, 61), (10, 11)).withColumns({"alias": F.col("variable"), "event_id": F.monotonically_increasing_id()}).drop("variable")
-    two = spark.createDataFrame([(RUN,), (RUN + timedelta(hours=6),)], "init_time timestamp_ntz")
-    got = {r.init_time: (r.n_cells, r.bad_images, r.ok) for r in runs.consume(fields, two, ["temperature_sl"], [0, 1], 4).collect()}
-    assert got == {RUN: (8, 0, True), RUN + timedelta(hours=6): (0, 2, False)}
+def store_of(spark, hours_=(0, 6, 12, 18)):
+    """Raw fields of four runs, their wanted runs, and the model's axes."""
+    rows = [(RUN + timedelta(hours=h), f"{h}/{s}", 0, a, s, y * 10000, x * 10000, 1.0) for h in hours_ for s in range(4) for a in ("t", "junk") for y in (61, 60) for x in (10, 11, 12)]
+    fields = spark.createDataFrame(rows, "init_time timestamp_ntz, url string, dataset_no int, alias string, step int, lat_e4 int, lon_e4 int, value double")
+    axis = axes.ordered(axes.ticks(fields.where("alias = 't'").withColumn("variable", F.lit("temperature_sl")).drop("init_time")))
+    return fields, fields.select("init_time").distinct(), axis
+
+
+def take_up(spark, path, fields, runs_, axis, seen, model="m", **rules):
+    def fetch(missing):
+        seen.append(sorted(r.init_time.hour for r in missing.collect()))
+        return fields.join(missing, "init_time", "left_semi")
+
+    return runs.consume(spark, path, model, axis, runs_, fetch, ["temperature_sl"], "gfs", runs.Rules(**rules))
+
+
+def test_runs_are_taken_up_once_and_others_later(spark):
+    fields, runs_, axis = store_of(spark)
+    path, seen = storage.new_path(spark, "store"), []
+    done = take_up(spark, path, fields.where(F.hour("init_time").isin(0, 12)), runs_, axis, seen)
+    assert {r.init_time.hour: (r.status, r.rule, r.bytes) for r in done.runs.collect()} == {0: ("ok", None, 96), 6: ("fetch_failed", "no pieces", 0), 12: ("ok", None, 96), 18: ("fetch_failed", "no pieces", 0)}
+    assert done.written == 48 and {(r.run.hour, r.rule) for r in done.errors.where("stage = 'outcome'").collect()} == {(6, "no pieces"), (18, "no pieces")}
+    again = take_up(spark, path, fields, runs_, axis, seen)
+    assert seen == [[0, 6, 12, 18], [6, 18]] and {r.init_time.hour: r.status for r in again.runs.collect()} == {0: "stored", 6: "ok", 12: "stored", 18: "ok"}
+    assert spark.read.parquet(path).count() == 4 * 24
+    third = take_up(spark, path, fields, runs_, axis, seen)
+    assert seen[2] == [] and {r.status for r in third.runs.collect()} == {"stored"}
+    told = runs.summary(spark, path, third).collect()
+    assert {(r.n_cells, r.size_kb, r.size_mb, r.written) for r in told} == {(24, 0, 0, 0)} and all(r.seconds > 0 for r in told)
+
+
+def test_runs_that_fail_are_not_published(spark):
+    fields, runs_, axis = store_of(spark)
+    hour = F.hour("init_time")
+    bad = fields.withColumn("lon_e4", F.when((hour == 6) & (F.col("step") == 2), 990000).otherwise(F.col("lon_e4"))).where(~((hour == 12) & (F.col("step") == 3) & (F.col("lat_e4") == 610000)))
+    path = storage.new_path(spark, "store")
+    got = take_up(spark, path, bad, runs_, axis, [])
+    assert {r.init_time.hour: (r.status, r.n_failed) for r in got.runs.collect()} == {0: ("ok", 0), 6: ("fetch_failed", 1), 12: ("deleted_invalid", 0), 18: ("ok", 0)}
+    assert [(r.run.hour, r.rule, r.detail) for r in got.errors.where("stage = 'region'").collect()] == [(6, "outside", "longitude")]
+    assert {r.init_time.hour for r in spark.read.parquet(path).select("init_time").distinct().collect()} == {0, 18}
+    path = storage.new_path(spark, "store")
+    kept = take_up(spark, path, bad, runs_, axis, [], delete_on_failure=False)
+    assert {r.init_time.hour: r.status for r in kept.runs.collect()}[12] == "kept_invalid" and spark.read.parquet(path).where(hour == 12).count() == 21
+
+
+def test_stores_know_their_model(spark):
+    fields, runs_, axis = store_of(spark)
+    path = storage.new_path(spark, "store")
+    images, about, said = storage.create(spark, path, "m", runs_, axis, ["temperature_sl"], catalog.attributes(["temperature_sl"], "osgb"))
+    assert (images.count(), images.first().area, about.first().reused, about.first().size_kb, said.count()) == (16, 6, False, 0, 0)
+    _, about, said = storage.create(spark, path, "m", runs_, axis, ["temperature_sl"])
+    assert about.first().reused and about.first().size_kb == 16 * 6 * 4 // 1024 and said.count() == 0
+    assert [r.rule for r in storage.create(spark, path, "other", runs_, axis, ["temperature_sl"])[2].collect()] == ["different model"]
+    assert [r.rule for r in storage.create(spark, path, "m", runs_.where("false"), axis, ["temperature_sl"])[2].collect()] == ["no runs"]
+    assert [r.rule for r in storage.create(spark, storage.new_path(spark, "s"), "m", runs_, axis, ["visibility_sl"])[2].collect()] == ["unknown variable"]
+    failed = take_up(spark, path, fields, runs_, axis, [], model="other")
+    assert {r.status for r in failed.runs.collect()} == {"store_failed"}
+    said = spark.read.parquet(f"{path}.about").first().attributes
+    assert '"scale_factor_at_central_meridian": 0.0' in said["coord_system"] and '"units": "C"' in said["variables"]
+    storage.drop_store(spark, path)
+    assert storage.found(spark, f"{path}.about") is None
+
+
+def test_runs_are_deleted_without_touching_others(spark):
+    first = cells(spark, 3, range(2))
+    path = storage.new_path(spark, "store")
+    storage.write(first, path)
+    assert storage.drop_runs(spark, path, first.where(F.hour("init_time") == 3).select("init_time")) == 1
+    assert {r.init_time.hour for r in spark.read.schema(first.schema).parquet(path).select("init_time").distinct().collect()} == {0, 6}
+    assert storage.drop_runs(spark, storage.new_path(spark, "none"), first.select("init_time")) == 0
+
+
+def test_messages_of_binary_files(spark):
+    import io
+
+    import pandas as pd
+
+    path = storage.new_path(spark, "raw")
+    spark.createDataFrame([(f"{i},{i * 2}",) for i in range(40)], "value string").repartition(4).write.text(path)
+
+    def decode(frames):
+        for frame in frames:
+            for content in frame["content"]:
+                yield pd.read_csv(io.BytesIO(content), names=["a", "b"])
+
+    got = tables.read_fields(spark, path, decode, "a long, b long")
+    assert sorted((r.a, r.b) for r in got.collect()) == [(i, 2 * i) for i in range(40)] and got.rdd.getNumPartitions() > 0
+
+
+def test_fields_land_while_a_store_is_followed(spark):
+    fields = store_of(spark)[0].withColumn("event_id", F.monotonically_increasing_id())
+    landing, store, marks = (storage.new_path(spark, x) for x in ("landing", "store", "marks"))
+    fields.where("step < 2").write.parquet(landing)
+    assert live.follow(spark, landing, fields.schema, store, ["temperature_sl"], marks).count() == 48
+    fields.where("step >= 1").withColumn("value", F.lit(7.0)).write.mode("append").parquet(landing)
+    got = live.follow(spark, landing, fields.schema, store, ["temperature_sl"], marks)
+    assert got.count() == 96 and got.where("value = 7").count() == 72
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.integers(0, 8), st.integers(1, 4))
+def test_the_region_of_a_slice_is_the_slice(spark, start, n):
+    assert region(spark, cells(spark, 1, range(start, start + n), ("a",)), axes.ordered(axes.ticks(cells(spark, 1, range(12), ("a",)))))["step"] == (start, start + n, None)
 
 
 def test_without_the_text_subpackage(tmp_path):
