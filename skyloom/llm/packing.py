@@ -34,6 +34,22 @@ def cuts(totals: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return doc, ends - length - np.repeat(np.cumsum(totals) - totals, counts), length
 
 
+class Grown:
+    """An array that grows at its end, by doubling."""
+
+    def __init__(self, kind: type):
+        self.room, self.n = np.zeros(1024, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        if self.n + len(more) > len(self.room):
+            self.room = np.concatenate([self.room[: self.n], np.zeros(max(len(self.room), len(more)), self.room.dtype)])
+        self.room[self.n : self.n + len(more)] = more
+        self.n += len(more)
+
+    def __getitem__(self, at):
+        return self.room[at]
+
+
 class WordTokenizer:
     """Ids of a tokenizer whose tokens never reach over white space: every different word is encoded once.
 
@@ -54,17 +70,18 @@ class WordTokenizer:
         mark = self.inner.encode(self.MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
         self.special = [x.content for x in self.inner.get_added_tokens_decoder().values()]
+        self.special_start = {x[0] for x in self.special}
         self.most = most
         self.clear()
 
     def clear(self) -> None:
         self.place: dict[int, int] = {}
-        self.flat, self.heads, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.body, self.at, self.size = np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.heads, self.counts = Grown(np.uint32), Grown(np.int64), Grown(np.int32)
+        self.body, self.at, self.size = Grown(np.uint8), Grown(np.int64), Grown(np.int32)
 
     def apart(self, word: str) -> bool:
         """Whether a word holds a special token, or the mark, also only after normalisation (U+1FEF becomes the mark)."""
-        if self.mark is None or self.MARK in word or any(x in word for x in self.special):
+        if self.mark is None or self.MARK in word or (not self.special_start.isdisjoint(word) and any(x in word for x in self.special)):
             return True
         return not word.isascii() and not is_normalized("NFC", word) and (self.inner.normalizer is None or self.MARK in self.inner.normalizer.normalize_str(word))
 
@@ -83,7 +100,9 @@ class WordTokenizer:
 
     def new(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some words, and how many each has."""
-        alone = np.array([self.apart(w) for w in found], bool)
+        whole = "\n".join(found)
+        plain = whole.isascii() and self.mark is not None and not any(x in whole for x in [self.MARK, *self.special])
+        alone = np.zeros(len(found), bool) if plain else np.array([self.apart(w) for w in found], bool)
         rest = [w for w, x in zip(found, alone, strict=True) if not x]
         made = [self.each([found[i] for i in np.flatnonzero(alone)]), *(self.together(rest[at : at + 4096]) for at in range(0, len(rest), 4096))]
         counts = np.zeros(len(found), np.int64)
@@ -94,10 +113,10 @@ class WordTokenizer:
 
     def keep(self, ids: np.ndarray, counts: np.ndarray, body: np.ndarray, size: np.ndarray) -> None:
         """Takes words, with their ids and bytes, into the cache's arrays."""
-        self.heads = np.concatenate([self.heads, len(self.flat) + np.cumsum(counts) - counts])
-        self.at = np.concatenate([self.at, len(self.body) + np.cumsum(size) - size])
-        self.flat, self.counts = np.concatenate([self.flat, ids]), np.concatenate([self.counts, counts])
-        self.body, self.size = np.concatenate([self.body, body]), np.concatenate([self.size, size])
+        self.heads.add(self.flat.n + np.cumsum(counts) - counts)
+        self.at.add(self.body.n + np.cumsum(size) - size)
+        for held, more in ((self.flat, ids), (self.counts, counts), (self.body, body), (self.size, size)):
+            held.add(more)
 
     def same(self, data: np.ndarray, starts: np.ndarray, size: np.ndarray, known: np.ndarray) -> np.ndarray:
         """Whether words have the bytes of the cached ones."""
@@ -114,7 +133,7 @@ class WordTokenizer:
             return np.zeros(0, np.uint32), bounds
         codes, where, which = alike(data, starts, stops)
         first, size = starts[where], (stops - starts)[where]
-        if len(self.counts) + len(codes) > self.most:
+        if self.counts.n + len(codes) > self.most:
             self.clear()
         known = np.fromiter(map(self.place.get, codes.tolist(), itertools.repeat(-1)), np.int64, len(codes))
         hit = np.flatnonzero(known >= 0)
@@ -123,7 +142,7 @@ class WordTokenizer:
             raw, new = data.tobytes(), known[miss] == -1
             found = [raw[a : a + n] for a, n in zip(first[miss].tolist(), size[miss].tolist(), strict=True)]
             ids, counts = self.new([x.decode() for x in found])
-            known[miss] = len(self.counts) + np.arange(len(miss))
+            known[miss] = self.counts.n + np.arange(len(miss))
             self.place.update(zip(codes[miss[new]].tolist(), known[miss[new]].tolist(), strict=True))
             self.keep(ids, counts, np.frombuffer(b"".join(found), np.uint8), size[miss])
         own = known[which]

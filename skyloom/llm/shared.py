@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one numpy pass works on; bounds the memory of a Python worker whatever the batch.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:

@@ -17,6 +17,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 PRIME = 2**61 - 1
+#: Powers that are kept for the next call: a chunk of texts has not many more bytes.
+KEPT = 1 << 20
 #: Numbers of 64 bits that a pass works on at a time.
 NEAR = 1 << 15
 #: Bytes of a run whose prefix sums can't overflow; longer ones are coded in parts of this size.
@@ -26,7 +28,7 @@ _61, _31, _30 = np.uint64(61), np.uint64(31), np.uint64(30)
 _rng = np.random.default_rng(20240229)
 _BASE = int(_rng.integers(2**59, 2**60)) * 2 + 1
 _BASE_INVERSE = pow(_BASE, -1, PRIME)
-_VALUE = np.arange(1, 257, dtype=np.uint64)
+_VALUE = np.arange(1, 257, dtype=np.uint16)
 _VALUE_LOWER = _VALUE[LOWER]
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64)
 _powers: dict[int, np.ndarray] = {}
@@ -51,21 +53,22 @@ def _power(base: int, n: int) -> np.ndarray:
     known = _powers.get(base, np.ones(1, np.uint64))
     while len(known) < n:
         known = np.concatenate([known, _times(known, np.uint64(pow(base, len(known), PRIME)))])
-    _powers[base] = known if len(known) <= 1 << 22 else known[: 1 << 21].copy()
+    _powers[base] = known if len(known) <= 2 * KEPT else known[:KEPT].copy()
     return known[:n]
 
 
-@lru_cache(2)
-def _kept_halves(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return (power := _power(_BASE, n)) >> _31, power & _LOW31
+@lru_cache(1)
+def _kept_halves() -> tuple[np.ndarray, np.ndarray]:
+    power = _power(_BASE, KEPT)
+    return (power >> _31).astype(np.uint32), (power & _LOW31).astype(np.uint32)
 
 
 def _halves(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the base, cut in 30 and 31 bits."""
-    if n > 1 << 22:
-        return _kept_halves.__wrapped__(n)
-    high, low = _kept_halves(1 << 22 if n > 1 << 18 else 1 << 18)
-    return high[:n], low[:n]
+    if n <= KEPT:
+        return tuple(x[:n] for x in _kept_halves())
+    power = _power(_BASE, n)
+    return (power >> _31).astype(np.uint32), (power & _LOW31).astype(np.uint32)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -86,7 +89,7 @@ class Coder:
         value, (high, low) = (_VALUE_LOWER if lower else _VALUE)[data], _halves(n)
         self.high, self.low = np.zeros(n + 1, np.uint64), np.zeros(n + 1, np.uint64)
         for part, sums in ((high, self.high[1:]), (low, self.low[1:])):
-            np.multiply(part, value, out=sums)
+            np.multiply(part, value, out=sums, dtype=np.uint64)
             np.cumsum(sums, out=sums)
         self.back = _power(_BASE_INVERSE, n + 1)
 
