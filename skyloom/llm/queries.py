@@ -57,7 +57,7 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dealt = sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=16)
+    dealt = sharding.read_shards(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=16)
     body = F.coalesce("text", F.lit(""))
     return dealt.select("doc_id", (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(F.encode(body, "utf-8")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 

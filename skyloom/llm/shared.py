@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import cache
 from urllib.parse import urlparse
 
 import numpy as np
@@ -15,15 +19,21 @@ from pyspark.sql import DataFrame, SparkSession
 CHUNK_BYTES = 1 << 20
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder name under spark.checkpoint.dir, which all executors see.
 
-    Only where the setting is absent (local tests) a temporary folder stands in for it.
+    Where the setting is absent, a session on one machine (tests) uses a folder there; on a cluster this raises.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not (spark.sparkContext.master + "[").startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
+        base = _own_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -34,15 +44,54 @@ def seen_by_workers(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+_open = threading.local()
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What saved() writes inside is deleted at the end, also after a failure; what lasting() writes stays for the caller."""
+    outer, _open.paths = getattr(_open, "paths", None), []
+    try:
+        yield
+    finally:
+        mine, _open.paths = _open.paths, outer
+        for path in mine:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in shared storage."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def lasting(df: DataFrame, name: str) -> DataFrame:
     """Writes df to shared storage and reads it back: cuts the lineage and survives lost executors.
 
-    Shuffle files of queries that have ended go at once, as nothing reads them again.
+    Shuffle files of the query go as soon as it has ended, as nothing reads them again; the session's setting for that
+    is put back.
     """
-    df.sparkSession.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    return _written(df, shared_dir(df.sparkSession, name))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    spark = df.sparkSession
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before) if before is not None else spark.conf.unset(CLEAN_UP)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """As lasting(), until the end of the scratch() that it is in."""
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if getattr(_open, "paths", None) is not None:
+        _open.paths.append(path)
+    return _written(df, path)
 
 
 def without(df: DataFrame, *names: str) -> DataFrame:
@@ -85,6 +134,8 @@ def chunks(batch: pa.RecordBatch, column: str, most: int = CHUNK_BYTES):
 
 def binary(body: np.ndarray, ends: np.ndarray) -> pa.Array:
     """An Arrow binary column from one run of bytes and n + 1 byte offsets."""
+    if len(ends) and ends[-1] >= 2**31:
+        raise ValueError(f"{int(ends[-1])} bytes of results in one chunk: a single text that large must be cut before")
     return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(np.ascontiguousarray(ends, np.int32)), pa.py_buffer(np.ascontiguousarray(body))])
 
 

@@ -65,17 +65,31 @@ def test_bpe_is_what_the_library_gives_and_decodes(spark):
     assert bpe.decode(bpe.encode(table(spark, []), BPE), BPE).count() == 0
 
 
-def test_shards_are_even_whole_and_repeatable(spark):
-    df = table(spark, ODD * 20, extra=False)
+def test_shards_are_even_whole_and_the_same_for_any_split(spark):
+    df = table(spark, ODD * 20, extra=False).unionByName(spark.createDataFrame([(None, "copy", None, 1)] * 300 + [(5, ODD[5], "clash", 10)] * 40, "doc_id long, text string, shard string, n_bytes int"))
     got = sharding.shard(df, shards=7, bucket_bytes=2000).collect()
     assert Counter((r.doc_id, r.text) for r in got) == Counter((r.doc_id, r.text) for r in df.collect())
     slots = defaultdict(list)
     for r in got:
         slots[r.shard].append(r.slot)
     assert all(sorted(x) == list(range(len(x))) for x in slots.values()) and max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
-    again = sharding.shard(df, shards=7, bucket_bytes=2000)
-    assert {(r.doc_id, r.shard, r.slot) for r in got} == {(r.doc_id, r.shard, r.slot) for r in again.collect()}
+    where = Counter((r.doc_id, r.text, r.shard, r.slot) for r in got)
+    for parts in (1, 5):  # the same places however the rows are split and ordered
+        again = sharding.read_shards(df.orderBy(F.rand(3)).repartition(parts), shards=7, bucket_bytes=2000)
+        assert Counter((r.doc_id, r.text, r.shard, r.slot) for r in again.collect()) == where
+    assert Counter((r.doc_id, r.text, r.shard, r.slot) for r in sharding.shard(df, shards=7, seed=18, bucket_bytes=2000).collect()) != where
+    assert max(Counter((r.shard, r.doc_id) for r in got if r.doc_id is None).values()) < 80  # copies are scattered
     assert sharding.shard(table(spark, [], False)).count() == 0
+    starts = {r._bucket: r._start for r in sharding.starts_of(spark.range(10000).selectExpr("cast(id as int) as _bucket", "id % 7 as _n")).collect()}
+    assert starts == {i: int(x) for i, x in enumerate(np.cumsum([i % 7 for i in range(10000)]) - np.array([i % 7 for i in range(10000)]))}
+
+
+def test_written_shards_hold_slots_in_order(spark, tmp_path):
+    sharding.write_shards(sharding.shard(table(spark, ODD * 9), shards=3, bucket_bytes=4000), f"file://{tmp_path}/out")
+    for folder in (tmp_path / "out").glob("shard=*"):
+        for file in folder.glob("*.parquet"):
+            slots = spark.read.parquet(f"file://{file}").select("slot").toPandas()["slot"].tolist()
+            assert slots == sorted(slots)
 
 
 def test_pieces_are_powers_of_two_and_hold_all_ids(spark):
