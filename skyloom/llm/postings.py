@@ -3,6 +3,9 @@
 Vectors are dealt to the lists of their nearest centroids; those near a boundary go to several. Lists that grow large
 are cut in blocks. A query walks a graph of the centroids, which fits in memory, keeps the lists whose distance is
 within a ratio of the nearest one's, and is compared with every vector in them.
+
+The graph holds so many centroids at most; of more vectors each list is divided again, by centroids of its own that are
+fitted and applied where the list is, so that lists keep their size however many vectors there are.
 """
 
 from __future__ import annotations
@@ -16,13 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import saved
+from .shared import lasting, saved, scratch
 from .vectors import classes, matrix, sample, unit, usable
 
 
 @dataclass(frozen=True)
 class Settings:
-    """sample_rows bounds what the centroids are fitted on, most_lists how many there are (and what each executor holds)."""
+    """sample_rows bounds what the centroids are fitted on, most_lists how many the graph has (and what each executor holds).
+
+    A list that is divided again has at most most_parts parts, and is worked on by `share` rows at a time.
+    """
 
     neighbours: int = 5
     list_rows: int = 64
@@ -36,6 +42,8 @@ class Settings:
     probe_ratio: float = 1.4
     edges: int = 24
     block: int = 256
+    most_parts: int = 4_096
+    share: int = 65_536
     seed: int = 3
 
 
@@ -119,36 +127,91 @@ def _lists(rows: DataFrame, c: np.ndarray, near: np.ndarray | None, wanted: int,
                 far = np.sqrt(np.maximum(2 - 2 * cos, 1e-6))
                 row, col = np.nonzero((far <= ratio * np.maximum(far[:, :1], usual)) & (cos > -1.5))
                 picked = batch.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([*picked.columns, pa.array(top[row, col].astype(np.int32))], ["node", "vec", "list"])
+                yield pa.RecordBatch.from_arrays([*picked.columns, pa.array(top[row, col].astype(np.int64))], ["node", "vec", "list"])
+
+    return rows.select("node", "vec").mapInArrow(run, f"node long, vec {rows.schema['vec'].dataType.simpleString()}, list long")
+
+
+def _fitted(posted: DataFrame, parts: int, s: Settings) -> DataFrame:
+    """(list, own): centroids inside each list, packed, fitted on up to eight vectors for each."""
+    nth = F.row_number().over(W.partitionBy("list").orderBy(F.xxhash64("node"), "node"))
+    some = posted.select("list", "vec", nth.alias("_n")).where(F.col("_n") <= 8 * parts)
+
+    def fit(group: pa.Table) -> pa.Table:
+        x = unit(matrix(group.column("vec")))
+        own = centroids(x, min(parts, max(1, len(x) // 8)), s).astype(np.float32)
+        return pa.table({"list": group.column("list").slice(0, 1), "own": pa.array([own.tobytes()], pa.binary())})
+
+    return saved(some.groupBy("list").applyInArrow(fit, "list long, own binary"), "own")
 
-    return rows.select("node", "vec").mapInArrow(run, "node long, vec array<float>, list int")
+
+def _divided(rows: DataFrame, own: DataFrame, parts: int, wanted: int, ratio: float, s: Settings) -> DataFrame:
+    """rows (node, vec, list) in the parts of their lists: those of the nearest own centroids, up to `wanted` within `ratio`."""
+    shares = rows.groupBy("list").agg(F.ceil(F.count("*") / s.share).cast("int").alias("_shares"))
+    shares = saved(shares, "shares")
+    left = rows.join(shares, "list").select("list", F.pmod(F.xxhash64("node", F.lit(5)), "_shares").cast("int").alias("_share"), "node", "vec")
+    right = own.join(shares.withColumnRenamed("_shares", "_many"), "list").select("list", F.explode(F.sequence(F.lit(0), F.col("_many") - 1)).alias("_share"), "own")
+
+    def assign(group: pa.Table, held: pa.Table) -> pa.Table:
+        if not group.num_rows or not held.num_rows:
+            return group.select(["node", "vec", "list"]).slice(0, 0)
+        x = unit(matrix(group.column("vec"))).astype(np.float32)
+        c = np.frombuffer(held.column("own")[0].as_py(), np.float32).reshape(-1, x.shape[1])
+        made = []
+        for at in range(0, len(x), 4096):
+            cos = x[at : at + 4096] @ c.T
+            top = np.argsort(-cos, axis=1, kind="stable")[:, :wanted]
+            far = np.sqrt(np.maximum(2 - 2 * np.take_along_axis(cos, top, 1), 1e-6))
+            row, col = np.nonzero(far <= ratio * far[:, :1])
+            made.append((row + at, top[row, col]))
+        row, part = (np.concatenate(z) for z in zip(*made, strict=True))
+        picked = group.select(["node", "vec", "list"]).take(pa.array(row))
+        return picked.set_column(2, "list", pa.array(picked.column("list").to_numpy() * parts + part))
+
+    kind = rows.schema["vec"].dataType.simpleString()
+    return left.groupBy("list", "_share").cogroup(right.groupBy("list", "_share")).applyInArrow(assign, f"node long, vec {kind}, list long")
 
 
 def search(vectors: DataFrame, queries: DataFrame, s: Settings = Settings(), key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of queries its nearest rows of vectors but itself, by cosine in double precision.
 
     Ties go to the smaller key. Equal vectors are one entry of the index with as many of its least keys as can matter,
-    and equal queries are searched once. Rows that can't be compared (see vectors.usable) take no part on either side;
-    an empty side gives an empty result. Repeated keys count once.
+    and equal queries are searched once. Rows that can't be compared (see vectors.usable) take no part on either side,
+    nor do queries of another length than the vectors'; an empty side gives an empty result. Repeated keys count once.
+    Other columns of both tables are not looked at.
     """
-    rows = usable(vectors, key, vector)
+    with scratch(vectors.sparkSession):
+        return lasting(_search(vectors, queries, s, key, vector), "nearest")
+
+
+def _search(vectors: DataFrame, queries: DataFrame, s: Settings, key: str, vector: str) -> DataFrame:
+    rows, length = usable(vectors, key, vector)
     index = classes(rows.dropDuplicates(["key", "h1", "h2"]), s.neighbours + 1)
     n = index.count()
-    asked = saved(usable(queries, key, vector).dropDuplicates(["key", "h1", "h2"]), "asked")
+    asked = saved(usable(queries, key, vector, length)[0].dropDuplicates(["key", "h1", "h2"]), "asked")
     ask = classes(asked)
     if not n:
         return rows.where("false").select(F.col("key").alias("query_id"), F.lit(0).alias("rank"), F.col("key").alias("vec_id"), F.lit(0.0).alias("score"))
     many = min(s.most_lists, max(s.least_lists, n // s.list_rows))
+    parts = min(s.most_parts, -(-n // (many * s.list_rows)) if many == s.most_lists else 1)
     some = unit(sample(index, s.sample_rows))
     c = centroids(some, many, s)
     usual = usual_distance(some, c)
-    posted = saved(_lists(index.withColumn("vec", F.col("vec").cast("array<float>")), c, None, s.copies, s.copy_ratio, usual), "posted")
-    blocks = saved(posted.groupBy("list").agg(F.ceil(F.count("*") / s.block).cast("int").alias("blocks")), "blocks")
     probes = max(s.copies * 4, int(np.ceil(s.probe_factor * len(c) ** 0.5)))
-    probed = _lists(ask.withColumn("vec", F.col("vec").cast("array<float>")), c, graph(c, min(s.edges, len(c) - 1)), probes, s.probe_ratio, usual)
-    inside = posted.join(F.broadcast(blocks), "list").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    wanting = probed.join(F.broadcast(blocks), "list").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    both = inside.select("list", "block", "node", "vec", F.lit(False).alias("asks")).unionByName(wanting.select("list", "block", "node", "vec", F.lit(True).alias("asks")))
+    posted = saved(_lists(index, c, None, s.copies, s.copy_ratio, usual), "posted")
+    probed = _lists(ask, c, graph(c, min(s.edges, len(c) - 1)), probes, s.probe_ratio, usual)
+    if parts > 1:
+        own, probed = _fitted(posted, parts, s), saved(probed, "probed")
+        posted = saved(_divided(posted, own, parts, s.copies, s.copy_ratio, s), "divided")
+        probed = _divided(probed, own, parts, max(s.copies * 4, int(np.ceil(s.probe_factor * parts**0.5))), s.probe_ratio, s)
+    probed = saved(probed, "probes")
+    # both sides of a list are cut in blocks, and every block of vectors meets every block of queries
+    size = lambda df, name: df.groupBy("list").agg(F.ceil(F.count("*") / s.block).cast("int").alias(name))
+    blocks = saved(size(posted, "blocks").join(size(probed, "turns"), "list"), "blocks")
+    upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    mine = lambda c: F.pmod(F.xxhash64("node"), c).cast("int")
+    inside = posted.join(blocks, "list").select("list", mine("blocks").alias("block"), upto("turns").alias("turn"), "node", "vec", F.lit(False).alias("asks"))
+    wanting = probed.join(blocks, "list").select("list", upto("blocks").alias("block"), mine("turns").alias("turn"), "node", "vec", F.lit(True).alias("asks"))
 
     def compare(group: pa.Table) -> pa.Table:
         asks = group.column("asks").to_numpy(zero_copy_only=False)
@@ -158,20 +221,16 @@ def search(vectors: DataFrame, queries: DataFrame, s: Settings = Settings(), key
             return pa.table({"q": pa.array([], pa.int64()), "node": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         norm, keep = np.sqrt((x * x).sum(1)), min(s.neighbours + 1, len(v))
         v = v[np.argsort(node[v], kind="stable")]
-        made = []
-        for at in range(0, len(q), 512):
-            some = q[at : at + 512]
-            score = (x[some] @ x[v].T) / (norm[some][:, None] * norm[v][None, :])
-            top = np.argsort(-score, axis=1, kind="stable")[:, :keep]
-            made.append((np.repeat(node[some], keep), node[v][top].reshape(-1), np.take_along_axis(score, top, 1).reshape(-1)))
-        return pa.table({name: np.concatenate(col) for name, col in zip(("q", "node", "score"), zip(*made, strict=True), strict=True)})
-
-    near = both.groupBy("list", "block").applyInArrow(compare, "q long, node long, score double")
+        score = (x[q] @ x[v].T) / (norm[q][:, None] * norm[v][None, :])
+        top = np.argsort(-score, axis=1, kind="stable")[:, :keep]
+        return pa.table({"q": np.repeat(node[q], keep), "node": node[v][top].reshape(-1), "score": np.take_along_axis(score, top, 1).reshape(-1)})
+
+    near = inside.unionByName(wanting).groupBy("list", "block", "turn").applyInArrow(compare, "q long, node long, score double")
     near = near.groupBy("q", "node").agg(F.max("score").alias("score"))
     best = near.withColumn("_n", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "node"))).where(F.col("_n") <= s.neighbours + 1)
     best = saved(best.select("q", "node", "score"), "best")
     every = best.join(index.select("node", "ids"), "node").select("q", "score", F.explode("ids").alias("id"))
     who = asked.select("key", "h1", "h2").join(ask.select("h1", "h2", F.col("node").alias("q")), ["h1", "h2"]).select(F.col("key").alias("query_id"), "q")
-    pairs = who.join(every, "q").where("id <> query_id").select("query_id", F.col("id").alias("vec_id"), "score")
+    pairs = who.join(every, "q").where("id <> query_id").groupBy("query_id", F.col("id").alias("vec_id")).agg(F.max("score").alias("score"))
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= s.neighbours).select("query_id", "rank", "vec_id", "score")

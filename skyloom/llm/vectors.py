@@ -7,28 +7,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shared import saved
 
 
-def usable(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(key, vec, h1, h2) of the rows that can be compared, h1 and h2 hashes of the vector.
+def usable(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", length: int | None = None) -> tuple[DataFrame, int]:
+    """(key, vec, h1, h2) of the rows that can be compared, h1 and h2 hashes of the vector; and the vectors' length.
 
     Left out are rows without a key, null vectors, vectors that are zero or hold null or non-finite components, and
-    vectors of another length than most.
+    vectors of another length. Without `length` it is the one that most rows have, the greater of two as common: a table
+    has one. Components stay double where they are, others become float.
     """
+    exact = isinstance(vectors.schema[vector].dataType.elementType, (T.DoubleType, T.LongType, T.DecimalType))
     v = F.col(vector).cast("array<double>")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = vectors.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).where(fine).select(F.col(key).cast("long").alias("key"), F.col(vector).alias("vec"))
-    lengths = rows.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    rows = rows.where(F.size("vec") == (lengths[0] if lengths else 0))
-    return rows.select("key", "vec", F.xxhash64("vec").alias("h1"), F.hash(F.reverse("vec"), F.lit(7)).alias("h2"))
+    rows = vectors.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).where(fine).select(F.col(key).cast("long").alias("key"), F.col(vector).cast("array<double>" if exact else "array<float>").alias("vec"))
+    if length is None:
+        most = rows.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
+        length = most[0] if most else 0
+    rows = rows.where(F.size("vec") == length)
+    return rows.select("key", "vec", F.xxhash64("vec").alias("h1"), F.hash(F.reverse("vec"), F.lit(7)).alias("h2")), length
 
 
 def classes(rows: DataFrame, ids: int = 1) -> DataFrame:
     """(h1, h2, node, ids, vec), one row for each different vector: its least key and its `ids` least keys. Written to shared storage."""
     first = rows.withColumn("_n", F.row_number().over(W.partitionBy("h1", "h2").orderBy("key"))).where(F.col("_n") <= ids)
-    own = first.groupBy("h1", "h2").agg(F.sort_array(F.collect_list("key")).alias("ids"), F.first("vec").alias("vec"))
+    own = first.groupBy("h1", "h2").agg(F.sort_array(F.collect_list("key")).alias("ids"), F.max("vec").alias("vec"))
     return saved(own.select("h1", "h2", F.col("ids")[0].alias("node"), "ids", "vec"), "classes")
 
 
