@@ -2,7 +2,9 @@
 
 Terms of a text are its lower-cased words without marks around them, and their first 4, 5 and 6 bytes, each hashed to
 a slot. The machine adds a weight for each slot that occurs and, for every pair of slots, the product of their factors:
-what single words don't say (an insult near the mention of a group) it learns from pairs.
+what single words don't say (an insult near the mention of a group) it learns from pairs. No term is dropped for telling
+nothing alone: weights are pulled to zero by an absolute penalty (follow the regularised leader), which only terms that
+go on telling something overcome, and factors by a square one.
 """
 
 from __future__ import annotations
@@ -25,19 +27,23 @@ PREFIXES = (4, 5, 6)
 class Settings:
     """most_rows bounds the labelled sample that one task fits; the smallest hashes of the keys are taken.
 
-    A slot counts if it occurs in least_rows rows and its shares in both classes differ by least_z standard errors.
-    lean is the weight of a row of label 1.
+    A slot has a weight if it occurs in least_rows rows, and factors if it does in factor_rows: fewer rows hold no pair
+    often enough. A row of label 1 weighs as much as the other label's share asks for, lean at most; sparse, in units of
+    that weight, is what a slot's summed slope must exceed for its weight to differ from zero.
     """
 
     most_rows: int = 16_000
     slot_bits: int = 18
     factors: int = 4
     least_rows: int = 3
-    least_z: float = 4.0
+    factor_rows: int = 30
     epochs: int = 12
     batch: int = 128
-    rate: float = 0.2
-    shrink: float = 2e-5
+    rate: float = 1.0
+    sparse: float = 5.0
+    factor_rate: float = 0.03
+    shrink: float = 1e-3
+    start: float = 0.005
     lean: float = 8.0
     seed: int = 11
 
@@ -93,44 +99,44 @@ def logistic(x: np.ndarray) -> np.ndarray:
 
 
 def fit_sample(label: np.ndarray, slots: list[np.ndarray], s: Settings) -> Model:
-    """AdaGrad on logistic loss over sparse rows in a fixed order."""
-    size = 1 << s.slot_bits
-    rng = np.random.default_rng(s.seed)
+    """Weights by FTRL-proximal and factors by AdaGrad, on logistic loss over sparse rows in a fixed order."""
+    size, rng = 1 << s.slot_bits, np.random.default_rng(s.seed)
     seen = np.bincount(np.concatenate(slots) if slots else np.zeros(0, np.int64), minlength=size)
-    hits = np.bincount(np.concatenate(slots) if slots else np.zeros(0, np.int64), np.repeat(label, [len(x) for x in slots]) if slots else None, size)
-    ones, zeros = max(label.sum(), 1), max((1 - label).sum(), 1)
-    part = seen / max(len(slots), 1)
-    z = np.abs(hits / ones - (seen - hits) / zeros) / np.sqrt(np.maximum(part * (1 - part), 1e-9) * (1 / ones + 1 / zeros))
-    useful = (seen >= s.least_rows) & (z >= s.least_z)
-    names = np.flatnonzero(useful)
+    names = np.flatnonzero(seen >= s.least_rows)
     place = np.full(size, -1, np.int64)
     place[names] = np.arange(len(names))
-    rows = [place[x[useful[x]]] for x in slots]
-    w, v = np.zeros(len(names)), rng.normal(0, 0.005, (s.factors, len(names)))
+    rows = [place[x[seen[x] >= s.least_rows]] for x in slots]
+    paired = seen[names] >= s.factor_rows
     share = np.clip(label.mean() if len(label) else 0.0, 1e-3, 1 - 1e-3)
-    bias = float(np.log(share / (1 - share)))
-    gw, gv, gb = np.full(len(names), 1e-2), np.full(v.shape, 1e-2), 1e-2
+    lean = float(np.clip((1 - share) / share, 1, s.lean))
+    bias, gb = float(np.log(share / (1 - share))), 1e-2
+    w, pull, square = np.zeros(len(names)), np.zeros(len(names)), np.zeros(len(names))
+    v = rng.normal(0, s.start, (s.factors, len(names))) * paired
+    gv = np.full(v.shape, 1e-2)
     for _ in range(s.epochs):
         order = rng.permutation(len(rows))
         for at in range(0, len(order), s.batch):
             some = order[at : at + s.batch]
-            slot = np.concatenate([rows[i] for i in some])
-            doc = np.repeat(np.arange(len(some)), [len(rows[i]) for i in some])
+            slot, doc = np.concatenate([rows[i] for i in some]), np.repeat(np.arange(len(some)), [len(rows[i]) for i in some])
             touched, where = np.unique(slot, return_inverse=True)
             vs = v[:, slot]
             sums = np.stack([np.bincount(doc, x, len(some)) for x in vs])
             x = bias + np.bincount(doc, w[slot], len(some)) + 0.5 * (sums**2).sum(0) - 0.5 * np.bincount(doc, (vs * vs).sum(0), len(some))
-            slope = (logistic(x) - label[some]) * np.where(label[some] > 0, s.lean, 1.0) / len(some)
+            slope = (logistic(x) - label[some]) * np.where(label[some] > 0, lean, 1.0)
             each = slope[doc]
-            g = np.bincount(where, each, len(touched)) + s.shrink * w[touched]
-            gw[touched] += g * g
-            w[touched] -= s.rate * g / np.sqrt(gw[touched])
+            g = np.bincount(where, each, len(touched))
+            root, more = np.sqrt(square[touched]), np.sqrt(square[touched] + g * g)
+            pull[touched] += g - (more - root) / s.rate * w[touched]
+            square[touched] += g * g
+            z = pull[touched]
+            w[touched] = np.where(np.abs(z) <= s.sparse * lean, 0.0, -(z - np.sign(z) * s.sparse * lean) * s.rate / (1 + more))
             for f in range(s.factors):
-                g = np.bincount(where, each * (sums[f][doc] - vs[f]), len(touched)) + s.shrink * v[f, touched]
+                g = (np.bincount(where, each * (sums[f][doc] - vs[f]), len(touched)) / len(some) + s.shrink * v[f, touched]) * paired[touched]
                 gv[f, touched] += g * g
-                v[f, touched] -= 0.1 * s.rate * g / np.sqrt(gv[f, touched])
-            gb += slope.sum() ** 2
-            bias -= s.rate * slope.sum() / np.sqrt(gb)
+                v[f, touched] -= s.factor_rate * g / np.sqrt(gv[f, touched])
+            step = slope.mean()
+            gb += step * step
+            bias -= 0.2 * step / np.sqrt(gb)
     weight, factor = np.zeros(size, np.float32), np.zeros((s.factors, size), np.float32)
     weight[names], factor[:, names] = w, v
     return Model(bias, weight, factor, size)
@@ -139,29 +145,32 @@ def fit_sample(label: np.ndarray, slots: list[np.ndarray], s: Settings) -> Model
 def fit(labelled: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text", label: str = "label") -> Model:
     """A model of rows (key, text, label 0 or 1). Null labels are left out; without rows every score is the prior's.
 
-    The sample has most_rows rows at most, those with the smallest hashes of their keys, and one task fits it. What goes
-    to the driver is the model, whose size the settings fix.
+    The sample has most_rows rows at most, those with the smallest hashes of their keys, and one task fits it: texts are
+    cut into terms where they are, and only their slots, as many as a text has different terms, go there. Null texts are
+    empty, very long ones whole, repeated rows count each time. What goes to the driver is the model, whose size the
+    settings fix.
     """
     s = settings
-    rows = labelled.where(f"{label} is not null").select(F.xxhash64(key).alias("_hash"), text, F.col(label).cast("double").alias("_label"))
-    some = rows.orderBy("_hash", "_label", text).limit(s.most_rows)
+    rows = labelled.where(f"{label} is not null").select(F.xxhash64(key).alias("_hash"), F.xxhash64(text).alias("_tie"), F.col(label).cast("double").alias("_label"), text)
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, text):
                 doc, slot = terms(part, text, s.slot_bits)
                 edges = np.searchsorted(doc, np.arange(part.num_rows + 1))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(slot.astype(np.int32)))], ["_hash", "_label", "slots"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(slot.astype(np.int32)))], ["_hash", "_tie", "_label", "slots"])
+
+    some = rows.mapInArrow(collect, "_hash long, _tie long, _label double, slots array<int>").orderBy("_hash", "_label", "_tie").limit(s.most_rows)
 
     def learn(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("_hash", "ascending"), ("_label", "ascending")])
+        group = group.sort_by([("_hash", "ascending"), ("_label", "ascending"), ("_tie", "ascending")])
         lists = group.column("slots").combine_chunks()
         flat, edges = lists.values.to_numpy(), lists.offsets.to_numpy()
         m = fit_sample(group.column("_label").to_numpy(), [flat[a:b].astype(np.int64) for a, b in zip(edges, edges[1:], strict=False)], s)
         used = np.flatnonzero((m.weight != 0) | (m.factor != 0).any(0))
         return pa.table({"bias": [m.bias], "slot": [used.astype(np.int32).tobytes()], "weight": [m.weight[used].tobytes()], "factor": [m.factor[:, used].tobytes()]})
 
-    found = some.mapInArrow(collect, "_hash long, _label double, slots array<int>").groupBy(F.lit(0).alias("_all")).applyInArrow(learn, "bias double, slot binary, weight binary, factor binary").collect()
+    found = some.groupBy(F.lit(0).alias("_all")).applyInArrow(learn, "bias double, slot binary, weight binary, factor binary").collect()
     size = 1 << s.slot_bits
     model = Model(-1.0, np.zeros(size, np.float32), np.zeros((s.factors, size), np.float32), size)
     for r in found:
@@ -172,7 +181,10 @@ def fit(labelled: DataFrame, settings: Settings = Settings(), key: str = "doc_id
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
-    """docs with `score`, 0 to 1, from the whole text; null and empty texts get the score of no terms. Clashing columns give way."""
+    """docs with `score`, 0 to 1, from the whole text, however long; null and empty texts get the score of no terms.
+
+    Repeated rows are scored alike, an empty table gives an empty result, and a column of docs called as the score gives way.
+    """
     plain, sent = without(docs, name), docs.sparkSession.sparkContext.broadcast(model)
     bits = model.slots.bit_length() - 1
 

@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from skyloom.llm import bpe, kneser_ney, packing, repeats, setsketch, sharding, toxicity
+from skyloom.llm import bpe, kneser_ney, packing, queries, repeats, setsketch, sharding, toxicity
 from skyloom.llm import words as text_words
 from skyloom.llm.words import Coder, alike, codes_at, loads, shingles, window_codes, words
 
@@ -362,6 +362,34 @@ def test_toxicity_learns_words_and_pairs(spark):
     assert prior.select(F.countDistinct("score")).first()[0] == 1 and prior.count() == len(ODD)
 
 
+def test_the_machine_is_the_sum_over_all_pairs():
+    rng = np.random.default_rng(8)
+    model = toxicity.Model(-0.3, rng.normal(size=50).astype(np.float32), rng.normal(size=(3, 50)).astype(np.float32), 50)
+    texts = [sorted(rng.choice(50, n, replace=False)) for n in (0, 1, 2, 7, 20)]
+    doc, slot = np.repeat(np.arange(5), [len(t) for t in texts]), np.array([x for t in texts for x in t], np.int64)
+    want = [model.bias + sum(model.weight[i] for i in t) + sum(float(model.factor[:, i] @ model.factor[:, j]) for a, i in enumerate(t) for j in t[a + 1 :]) for t in texts]
+    assert np.allclose(toxicity.raw_scores(model, doc, slot, 5), want, rtol=1e-5, atol=1e-5)
+
+
+def test_pairs_that_tell_nothing_alone_are_learned():
+    rng = np.random.default_rng(9)
+    both = rng.integers(0, 2, (6000, 2))
+    label = (both[:, 0] == both[:, 1]).astype(float)  # neither term has a share that differs between the labels
+    rows = [np.array([3, *([7] if a else []), *([9] if b else [])], np.int64) for a, b in both]
+    model = toxicity.fit_sample(label[:4000], rows[:4000], toxicity.Settings(slot_bits=5))
+    doc, slot = np.repeat(np.arange(2000), [len(x) for x in rows[4000:]]), np.concatenate(rows[4000:])
+    score = toxicity.raw_scores(model, doc, slot, 2000)
+    assert score[label[4000:] == 1].min() > score[label[4000:] == 0].max()
+
+
+def test_held_out_toxic_documents_are_told_from_others(spark):
+    got = queries.op6_toxicity(spark, "/root/testdata/sf0.1").where("held_out").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id").where("toxic is not null").select("score", "toxic", "predicted").toPandas()
+    rank = got.score.rank()
+    ones = got.toxic == 1
+    area = (rank[ones].sum() - ones.sum() * (ones.sum() + 1) / 2) / (ones.sum() * (~ones).sum())
+    assert area > 0.97 and got.predicted[ones].mean() > 0.7 and got.predicted[~ones].mean() < 0.01
+
+
 def test_crc_of_text_is_that_of_the_contract(spark):
     from skyloom.llm.queries import remainder
 
