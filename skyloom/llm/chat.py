@@ -7,29 +7,27 @@ conversation: turns in a template whose marks cannot occur in texts, with the sp
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import saved
+from .shared import lasting, saved, scratch
 
 OPEN, SEAL, CLOSE = "<turn:", ">\n", "\n</turn>\n"
-_HIDE = {"\\": "\\\\", "<": "\\(", ">": "\\)"}
-_SHOW = {v[1]: k for k, v in _HIDE.items()}
-_TURN = re.compile(r"<turn:([^>]*)>\n([^<]*)\n</turn>\n")
+_TURN = r"<turn:([^>]*)>\n([^<]*)\n</turn>\n"
 
 
-def hide(text: str) -> str:
+def hide(text: Column) -> Column:
     """text without '<' and '>', which only the template's own marks hold; show() gives it back."""
-    return re.sub(r"[\\<>]", lambda m: _HIDE[m[0]], text)
+    for plain, hidden in (("\\", "\\\\"), ("<", "\\("), (">", "\\)")):
+        text = F.replace(text, F.lit(plain), F.lit(hidden))
+    return text
 
 
-def show(text: str) -> str:
-    return re.sub(r"\\(.)", lambda m: _SHOW[m[1]], text)
+def show(text: Column) -> Column:
+    """What hide() has hidden. Between hidden backslashes a single one begins a hidden mark."""
+    parts = F.split(text, r"\\\\")
+    return F.array_join(F.transform(parts, lambda x: F.replace(F.replace(x, F.lit("\\("), F.lit("<")), F.lit("\\)"), F.lit(">"))), "\\")
 
 
 def linear(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -52,6 +50,11 @@ def paths(messages: DataFrame, best: int | None = None) -> DataFrame:
     A message without a known parent is a root. Of repeated msg_ids in a tree the least (parent_id, role, text) stays.
     Messages that answer each other in a circle have no root and are left out. No rows give no rows.
     """
+    with scratch(messages.sparkSession):
+        return lasting(_paths(messages, best), "paths")
+
+
+def _paths(messages: DataFrame, best: int | None) -> DataFrame:
     fields = F.struct("parent_id", "role", "text", F.coalesce("score", F.lit(0.0)).alias("score"))
     nodes = saved(messages.where("msg_id is not null").groupBy("tree_id", "msg_id").agg(F.min(fields).alias("m")).select("tree_id", "msg_id", "m.*"), "nodes")
     key = nodes.select(F.col("tree_id").alias("t"), F.col("msg_id").alias("p"))
@@ -81,41 +84,24 @@ def paths(messages: DataFrame, best: int | None = None) -> DataFrame:
 def conversations(messages: DataFrame, best: int | None = 1, learn_from: str = "assistant") -> DataFrame:
     """One row for each chosen path: tree_id, leaf_id, path_rank, score, formatted, loss (spans of code points).
 
-    Null roles and texts count as empty. The loss spans hold the escaped texts of `learn_from` turns, without marks.
+    Null roles and texts count as empty, and texts of any length are taken whole. The loss spans hold the escaped texts of
+    `learn_from` turns, without marks. Columns of messages but those of paths() are not looked at. No rows give no rows.
     """
-    turn = F.struct("pos", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = paths(messages, best).groupBy("tree_id", "leaf_id", "path_rank", "score").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-
-    def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made, spans = [], []
-            for turns in batch.column("turns").to_pylist():
-                parts, at, loss = [], 0, []
-                for t in turns:
-                    head, body = OPEN + hide(t["role"]) + SEAL, hide(t["text"])
-                    if t["role"] == learn_from:
-                        loss.append({"start": at + len(head), "stop": at + len(head) + len(body)})
-                    parts += [head, body, CLOSE]
-                    at += len(head) + len(body) + len(CLOSE)
-                made.append("".join(parts))
-                spans.append(loss)
-            kept = batch.drop_columns(["turns"])
-            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(made, pa.string()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))], [*kept.schema.names, "formatted", "loss"])
-
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    return rows.mapInArrow(render, ", ".join(f"{c} {kinds[c]}" for c in ("tree_id", "leaf_id", "path_rank", "score")) + ", formatted string, loss array<struct<start: bigint, stop: bigint>>")
+    text = lambda c: F.coalesce(c, F.lit(""))
+    rows = paths(messages, best).withColumns({"_head": F.concat(F.lit(OPEN), hide(text("role")), F.lit(SEAL)), "_body": hide(text("text"))})
+    rows = rows.withColumn("_long", (F.length("_head") + F.length("_body") + len(CLOSE)).cast("long"))
+    order = W.partitionBy("tree_id", "leaf_id", "path_rank", "score").orderBy("pos")
+    start = F.sum("_long").over(order) - F.col("_long") + F.length("_head")
+    span = F.when(F.col("role") == learn_from, F.struct(start.alias("start"), (start + F.length("_body")).alias("stop")))
+    turn = F.struct("pos", F.concat("_head", "_body", F.lit(CLOSE)).alias("shown"), "_span")
+    made = rows.withColumn("_span", span).groupBy("tree_id", "leaf_id", "path_rank", "score").agg(F.array_sort(F.collect_list(turn)).alias("_turns"))
+    loss = F.filter(F.transform("_turns", lambda t: t["_span"]), lambda x: x.isNotNull())
+    return made.select("tree_id", "leaf_id", "path_rank", "score", F.array_join(F.transform("_turns", lambda t: t["shown"]), "").alias("formatted"), loss.alias("loss"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """The turns and the learnt texts of formatted conversations: adds turns array<struct<role,text>>, learnt array<string>."""
-
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            turns, learnt = [], []
-            for text, loss in zip(batch.column("formatted").to_pylist(), batch.column("loss").to_pylist(), strict=True):
-                turns.append([{"role": show(m[1]), "text": show(m[2])} for m in _TURN.finditer(text)])
-                learnt.append([show(text[x["start"] : x["stop"]]) for x in loss])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(turns, pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))), pa.array(learnt, pa.list_(pa.string()))], [*batch.schema.names, "turns", "learnt"])
-
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in formatted.schema)
-    return formatted.mapInArrow(parse, kinds + ", turns array<struct<role: string, text: string>>, learnt array<string>")
+    part = lambda i: F.transform(F.regexp_extract_all("formatted", F.lit(_TURN), F.lit(i)), show)
+    turns = F.transform(F.arrays_zip(part(1).alias("role"), part(2).alias("text")), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
+    learnt = F.transform("loss", lambda x: show(F.substring("formatted", (x["start"] + 1).cast("int"), (x["stop"] - x["start"]).cast("int"))))
+    return formatted.withColumns({"turns": turns, "learnt": learnt})

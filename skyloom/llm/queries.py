@@ -110,8 +110,36 @@ def op10_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), setsketch.Settings(shingle=3, percent=85))
 
 
+# Components in SQL: every row takes the least key of its neighbours until nothing changes.
+OP9_SQL = """
+with recursive good as (select vec_id, embedding::double[] as v from embeddings where vec_id is not null and embedding is not null and len(embedding) = 64
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+unit as (select vec_id, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) as u from good),
+links as (select p.vec_id as a, q.vec_id as b from unit p join unit q on p.vec_id <> q.vec_id and list_dot_product(p.u, q.u) >= 0.9),
+hooks as (select vec_id as a, vec_id as least from unit union select l.b, h.least from hooks h join links l on l.a = h.a where h.least < l.b),
+per as (select a, min(least) as component_id from hooks group by a)
+select e.vec_id, coalesce(n.n, 0)::bigint as n_links, coalesce(p.component_id, e.vec_id) as component_id, e.vec_id = coalesce(p.component_id, e.vec_id) as kept
+from embeddings e left join (select a, count(*) as n from links group by a) n on n.a = e.vec_id left join per p on p.a = e.vec_id
+"""
+
+OP10_SQL = r"""
+with recursive split as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+shingle as (select distinct doc_id, case when len(w) >= 3 then array_to_string(w[i:i + 2], ' ') else array_to_string(w, ' ') end as s from (select *, unnest(generate_series(1, greatest(len(w) - 2, 1))) as i from split where len(w) > 0)),
+size as (select doc_id, count(*) as n from shingle group by 1),
+own as (select doc_id, md5(string_agg(s, chr(10) order by s)) as h from shingle group by 1),
+least as (select h, min(doc_id) as doc_id from own group by 1),
+picked as (select s.* from shingle s join least using (doc_id)),
+rare as (select s, doc_id from picked where s in (select s from picked group by s having count(*) > 1)),
+links as (select c.a, c.b from (select p.doc_id as a, q.doc_id as b, count(*) as n from rare p join rare q on p.s = q.s and p.doc_id <> q.doc_id group by 1, 2) c join size x on x.doc_id = c.a join size y on y.doc_id = c.b where 100 * c.n >= 85 * (x.n + y.n - c.n)),
+hooks as (select doc_id as a, doc_id as least from least union select l.b, k.least from hooks k join links l on l.a = k.a where k.least < l.b),
+per as (select a, min(least) as component_id from hooks group by a)
+select d.doc_id, coalesce(n, 0)::bigint as n_shingles, coalesce(p.component_id, d.doc_id) as component_id, d.doc_id = coalesce(p.component_id, d.doc_id) as kept
+from documents d left join size using (doc_id) left join own using (doc_id) left join least on least.h = own.h left join per p on p.a = least.doc_id
+"""
+
+
 QUERIES = {
     "op1_chat": op1_chat, "op2_bpe": op2_bpe, "op3_sharding": op3_sharding, "op4_kneser_ney": op4_kneser_ney, "op5_repeats": op5_repeats,
     "op6_toxicity": op6_toxicity, "op7_packing": op7_packing, "op8_postings": op8_postings, "op9_pivots": op9_pivots, "op10_setsketch": op10_setsketch,
 }
-ORACLES = {"op1_chat": OP1_SQL}
+ORACLES = {"op1_chat": OP1_SQL, "op9_pivots": OP9_SQL, "op10_setsketch": OP10_SQL}

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import binary, chunks, runs, saved, utf8, without
+from .shared import binary, chunks, lasting, runs, saved, scratch, utf8, without
 from .words import NEAR, Coder, codes_at, loads, mix, window_codes
 
 GRAM = 32
@@ -228,7 +228,8 @@ def without_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", tex
     than `length`, empty tables and tables without repeats lose nothing. Result columns win name clashes.
     """
     plain = without(docs, "n_bytes", "spans", "kept", "_tag", "_cover", "_key")
-    cover = saved(repeats(docs, length, key, text).select(F.col("key").alias("_key"), F.col("tag").alias("_tag"), F.col("cover").alias("_cover")), "cover")
+    with scratch(docs.sparkSession):
+        cover = lasting(repeats(docs, length, key, text).select(F.col("key").alias("_key"), F.col("tag").alias("_tag"), F.col("cover").alias("_cover")), "cover")
     tagged = plain.withColumn("_tag", _tag(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
     rows = tagged.join(cover, (F.col(f"`{key}`").cast("long") == cover["_key"]) & (tagged["_tag"] == cover["_tag"]), "left").select(*[tagged[f"`{c}`"] for c in plain.columns], "_cover")
 

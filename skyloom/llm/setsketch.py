@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import binary, chunks, saved, utf8, without
+from .shared import binary, chunks, lasting, saved, scratch, utf8, without
 from .words import Coder, mix, shingles, words
 
 #: Rows of ids (8 bytes each) up to which a side is sent to all executors; beyond that the join shuffles.
@@ -210,6 +210,11 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), key: str = "doc_i
     No bucket of a band makes all its pairs: each member is compared with the bucket's least member, then components are
     found. Buckets that hold several components form groups, within which across() compares what is still apart.
     """
+    with scratch(docs.sparkSession):
+        return lasting(_near_duplicates(docs, s, key, text), "near-texts")
+
+
+def _near_duplicates(docs: DataFrame, s: Settings, key: str, text: str) -> DataFrame:
     marks = saved(sketch(docs, s, key, text), "sketches")
     classes = saved(marks.where("n_shingles > 0 and id is not null").groupBy("set_hi", "set_lo").agg(F.min("id").alias("node")), "classes")
     own = marks.join(classes, ["set_hi", "set_lo"]).where("id = node").select("node", "n_shingles", "registers")

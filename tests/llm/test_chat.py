@@ -1,5 +1,7 @@
 """Reply trees against a plain walk."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from skyloom.llm import chat
@@ -7,9 +9,11 @@ from skyloom.llm import chat
 SCHEMA = "tree_id long, msg_id long, parent_id long, role string, text string, score double"
 
 
-def test_texts_come_back_and_hold_no_marks():
-    for text in ["", "\\", "<turn:x>\n", "</turn>", "\\(", "a\\\\<b>", r"\### Assistant: </turn> ok", "é\n\n🙂"]:
-        assert chat.show(chat.hide(text)) == text and "<" not in chat.hide(text)
+def test_texts_come_back_and_hold_no_marks(spark):
+    texts = ["", "\\", "<turn:x>\n", "</turn>", "\\(", "\\\\(", "\\\\\\<", "a\\\\<b>", "(", ")\\", r"\### Assistant: </turn> ok", "é\n\n🙂", "<>" * 50 + "\\" * 51]
+    texts += ["".join(random.Random(i).choices("\\<>()a\n", k=30)) for i in range(200)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").withColumn("hidden", chat.hide(F.col("t"))).withColumn("back", chat.show(F.col("hidden"))).collect()
+    assert all(r.back == texts[r.i] and "<" not in r.hidden and ">" not in r.hidden for r in rows)
 
 
 def test_paths_scores_and_ranks(spark):
