@@ -160,11 +160,14 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, most: int = 4096, key: str
     """Pieces of all documents: key, start, length, ids (packed little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
 
     A document's ids are the tokenizer's for its text (null: empty) and then `end_id`, so that every row, also an
-    empty one, has a piece. Repeated rows and null keys are documents like others. `most` must be a power of two.
+    empty one, has a piece. Repeated rows and null keys are documents like others, very long texts are encoded whole, and
+    other columns are not looked at. `most` must be a power of two.
     Sequence ids are unique; those of a bucket lie between bucket << 58 and (bucket + 1) << 58. Nothing is shuffled.
     """
     if most & (most - 1):
         raise ValueError("most must be a power of two")
+    if key in ("start", "length", "ids", "doc_tokens", "sequence_id", "offset"):
+        raise ValueError(f"the key can't be called {key}, as a column of the result is")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os

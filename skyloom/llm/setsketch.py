@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import binary, chunks, lasting, saved, scratch, utf8, without
+from .shared import binary, chunks, lasting, saved, scratch, utf8
 from .words import Coder, mix, shingles, words
 
 #: Rows of ids (8 bytes each) up to which a side is sent to all executors; beyond that the join shuffles.
@@ -253,4 +253,4 @@ def one_of_each(docs: DataFrame, s: Settings = Settings(), key: str = "doc_id",
     """The rows of docs whose document is kept; rows without a key stay."""
     judged = near_duplicates(docs, s, key, text)
     gone = judged.where(F.col(key).isNotNull() & ~F.col("kept")).select(F.col(key).alias("_gone")).distinct()
-    return without(docs).join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs[f"`{key}`"].cast("long") == gone["_gone"], "left_anti")

@@ -86,3 +86,38 @@ def test_pieces_hold_the_ids_of_the_texts(spark, docs):
         found.setdefault(r.doc_id, []).append((r.start, np.frombuffer(r.ids, "<u4").tolist()))
     for i, r in rows_of(docs).items():
         assert [x for _, ids in sorted(found[i]) for x in ids] == [*t.encode(r.text or "", add_special_tokens=False).ids, 2]
+
+
+ODD_ROWS = [(1, "é" * 90, "s", 5, "a", [1], "k", 7), (1, "é" * 90, "s", 5, "a", [1], "k", 7), (2, "é" * 90 + "end", "s", None, None, None, None, None), (None, "é" * 90, "t", 1, "b", [], "", 0), (3, None, None, None, "c", None, "z", 1), (4, "", "s", 0, "d", [2], "y", 2), (5, "long word " * 30000, "s", 9, "e", [3], "x", 3)]
+ODD_SCHEMA = "doc_id long, text string, source string, n_bytes int, score string, spans array<int>, kept string, _cover int"
+
+
+@pytest.mark.parametrize("stage", [s for _, s in corpus_pipeline.STAGES[:-1]], ids=[n for n, _ in corpus_pipeline.STAGES[:-1]])
+def test_stages_leave_other_columns_alone(spark, stage):
+    """Clashing names, no n_chars, repeated rows, null keys, a very long text, and no rows at all."""
+    docs = spark.createDataFrame(ODD_ROWS, ODD_SCHEMA)
+    got = stage(spark, docs, DATA)
+    assert got.columns == docs.columns and got.schema.simpleString() == docs.schema.simpleString()
+    others = [tuple(r)[2:] for r in got.collect()]
+    assert all(o in [r[2:] for r in ODD_ROWS] for o in others) and len(others) >= 5
+    empty = stage(spark, docs.where("false"), DATA)
+    assert empty.columns == docs.columns and empty.count() == 0
+
+
+def test_packing_of_odd_rows(spark):
+    docs = spark.createDataFrame(ODD_ROWS, ODD_SCHEMA)
+    got = corpus_pipeline.pack(spark, docs, DATA)
+    per = {}
+    for r in got.collect():
+        per[r.doc_id] = per.get(r.doc_id, 0) + r.length
+    assert set(per) == {1, 2, None, 3, 4, 5} and per[3] == per[4] == 1 and per[5] == 2 * 30000 + 1
+    assert corpus_pipeline.pack(spark, docs.where("false"), DATA).count() == 0
+
+
+def test_the_whole_pipeline_over_given_tables(spark):
+    got = corpus_pipeline.run(spark, DATA)
+    kept = {r.doc_id for r in got.select("doc_id").distinct().collect()}
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:2]:
+        docs = stage(spark, docs, DATA)
+    assert kept == {r.doc_id for r in docs.collect()} and 0 < len(kept) < 200
