@@ -1,10 +1,15 @@
-"""Interpolated modified Kneser-Ney language model over word bigrams.
-
-Three passes count it in Spark. (1) Words, by 64-bit code; the codes of a range are one sorted array, and a word's id
-is its place in all arrays. (2) Bigrams, as 64-bit keys of two ids, summed per task and dealt to shards by the first
-word; a frequent first word is dealt over as many shards as its count asks for. Each shard is one sorted array with
-counts, and one array of its contexts. (3) The number of different words before each word, beside the word arrays.
-Tasks write the arrays to shared storage, and scoring tasks map them into memory: no array passes through the driver.
+"""Interpolated modified Kneser-Ney language model over word trigrams.
+
+It is counted in Spark. (1) Words, by 64-bit code; the codes of a range are one sorted array, and a word's id is its place
+in all arrays. (2) Trigrams, summed per task and dealt to shards by their first two words; contexts that can be frequent,
+as both their words are, are dealt over as many shards as these ask for. A shard is one sorted array of 64-bit hashes with
+counts, and one of the contexts that occur more than once. (3) Bigrams, by the number of different words before them, in
+sorted arrays of two 32-bit ids, dealt by their first word likewise. (4) The number of different words before each word,
+beside the word arrays. Tasks write the arrays to shared storage, and scoring tasks map them into memory: no array passes
+through the driver.
+
+Texts begin with one start mark and end with one end token. The first token is judged by bigrams, counted as they occur;
+the others by trigrams. A context that occurred once is not stored: it is known from its bigram.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import mapped, planes, put, summed, unplanes
-from .shared import chunks, shared_dir, utf8, without
+from .shared import chunks, saved, scratch, shared_dir, utf8, without
 from .words import Coder, mix, words
 
 #: The code of the token that ends every text.
@@ -26,7 +31,8 @@ END = np.uint64(0x9D3A5C0E2B7F4611)
 #: Tokens that a counting task gathers before it sums and sends them on.
 GATHER = 3_000_000
 #: Bytes of text for each shard, of which a shard's memory follows.
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 16 << 20
+_32, _LOW32 = np.uint64(32), np.uint64(2**32 - 1)
 
 
 @dataclass
@@ -39,7 +45,9 @@ class Model:
     bases: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
     cuts1: np.ndarray = field(default_factory=lambda: np.zeros(4))
     cuts2: np.ndarray = field(default_factory=lambda: np.zeros(4))
+    cuts3: np.ndarray = field(default_factory=lambda: np.zeros(4))
     pairs: int = 0
+    shared: int = 0
 
     # --- words
     def range_of(self, codes: np.ndarray) -> np.ndarray:
@@ -70,11 +78,28 @@ class Model:
         """The id that stands before a text's first token."""
         return self.words
 
+    @property
+    def before(self) -> int:
+        """What stands before the start."""
+        return self.words + 1
+
     def shard_of(self, first: np.ndarray, second: np.ndarray, count: np.ndarray) -> np.ndarray:
         """count: how often the first word occurs; over a quarter of a shard's share, it is dealt on by the second."""
         ways = np.maximum(1, np.minimum(self.shards, 4 * count * self.shards // max(1, self.tokens))).astype(np.uint64)
         return ((mix(first.astype(np.uint64)) % np.uint64(self.shards) + mix(second.astype(np.uint64) + np.uint64(7)) % ways) % np.uint64(self.shards)).astype(np.int64)
 
+    # --- trigrams
+    def ways_of(self, contexts: np.ndarray, counts) -> np.ndarray:
+        """Over how many shards each context (two ids) is dealt; counts: occurrences of sorted different words."""
+        words, back = np.unique(np.concatenate([contexts >> _32, contexts & _LOW32]), return_inverse=True)
+        often = counts(words.astype(np.int64))[back]
+        least = np.minimum(often[: len(contexts)], often[len(contexts) :])
+        return np.maximum(1, np.minimum(self.shards, 4 * least * self.shards // max(1, self.tokens)))
+
+    def triple_shard(self, contexts: np.ndarray, last: np.ndarray, ways: np.ndarray) -> np.ndarray:
+        n = np.uint64(self.shards)
+        return ((mix(contexts) % n + mix(last.astype(np.uint64) + np.uint64(7)) % ways.astype(np.uint64)) % n).astype(np.int64)
+
     def discount(self, cuts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return np.concatenate([[0.0], cuts[1:]])[np.minimum(counts, 3)]
 
@@ -96,6 +121,27 @@ def tokens(part: pa.RecordBatch, text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(codes, bounds[1:], END), bounds + np.arange(len(bounds))
 
 
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    if len(counts) and counts.max() >= 2**32:
+        raise OverflowError("one task has counted over 2^32 of one n-gram")
+    return counts.astype("<u4")
+
+
+def triple_code(contexts: np.ndarray, last: np.ndarray) -> np.ndarray:
+    return mix(mix(contexts) + last.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _triples(contexts: np.ndarray, last: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Codes, contexts, last words and summed counts of different trigrams, by code."""
+    code = triple_code(contexts, last)
+    order = np.argsort(code, kind="stable")
+    code = code[order]
+    heads = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
+    total = np.diff(np.append(heads, len(code))) if counts is None else np.add.reduceat(counts[order].astype(np.int64), heads) if len(code) else np.zeros(0, np.int64)
+    first = order[heads]
+    return code[heads], contexts[first], last[first], total
+
+
 def _blobs(group: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
     """Rows (part, keys, counts) of sorted keys; one row for each part."""
     order = np.argsort(group, kind="stable")
@@ -103,7 +149,7 @@ def _blobs(group: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> pa.Record
     heads = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, np.int64)
     edges = [*heads.tolist(), len(group)]
     cut = [(keys[a:b], counts[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
-    return pa.RecordBatch.from_arrays([pa.array(group[heads].astype(np.int32)), pa.array([planes(k.astype("<u8")).tobytes() for k, _ in cut], pa.binary()), pa.array([planes(np.minimum(n, 2**32 - 1).astype("<u4")).tobytes() for _, n in cut], pa.binary())], ["part", "keys", "counts"])
+    return pa.RecordBatch.from_arrays([pa.array(group[heads].astype(np.int32)), pa.array([planes(k.astype("<u8")).tobytes() for k, _ in cut], pa.binary()), pa.array([planes(_narrow(n)).tobytes() for _, n in cut], pa.binary())], ["part", "keys", "counts"])
 
 
 def _gathered(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -158,27 +204,32 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         sizes[r.part], model.tokens = r.n, model.tokens + r.total
     model.bases = np.concatenate([[0], np.cumsum(sizes)])
     model.words = int(model.bases[-1])
-    if model.words >= 2**32 - 1:
+    if model.words >= 2**32 - 2:
         raise ValueError("over 2^32 different words: ids need wider keys")
     if not model.tokens:
         return model
 
-    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counted = lambda ids: _context_counts(model, ids)
+
+    def count_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, n = [], 0
 
         def flush():
-            keys, counts = np.unique(np.concatenate(kept), return_counts=True)
-            first, second = keys >> np.uint64(32), keys & np.uint64(2**32 - 1)
-            return _blobs(model.shard_of(first, second, _context_counts(model, first.astype(np.int64))), keys, counts)
+            _, contexts, last, counts = _triples(*(np.concatenate(x) for x in zip(*kept, strict=True)))
+            shard = model.triple_shard(contexts, last, model.ways_of(contexts, counted))
+            order = np.argsort(shard, kind="stable")
+            contexts, last, counts = contexts[order], last[order], _narrow(counts)[order]
+            heads = np.flatnonzero(np.diff(shard[order], prepend=-1))
+            edges = [*heads.tolist(), len(order)]
+            cut = lambda x, kind: pa.array([planes(x[a:b].astype(kind)).tobytes() for a, b in zip(edges, edges[1:], strict=False)], pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(shard[order][heads].astype(np.int32)), cut(contexts, "<u8"), cut(last, "<u4"), cut(counts, "<u4")], ["part", "contexts", "last", "counts"])
 
         for batch in batches:
             for part in chunks(batch, text):
                 codes, bounds = tokens(part, text)
                 different, which = np.unique(codes, return_inverse=True)
-                ids = model.ids(different)[which]
-                before = np.concatenate([[model.start], ids[:-1]])
-                before[bounds[:-1]] = model.start
-                kept.append((before.astype(np.uint64) << np.uint64(32)) | ids.astype(np.uint64))
+                ids = model.ids(different)[which].astype(np.uint64)
+                kept.append((_contexts(model, ids, bounds), ids.astype(np.uint32)))
                 n += len(ids)
                 if n >= GATHER:
                     yield flush()
@@ -186,6 +237,78 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         if n:
             yield flush()
 
+    def write_triples(group: pa.Table) -> pa.Table:
+        """Arrays of one shard. Out: its bigrams with the number of different words before them, its part of contexts that shards share, its numbers of counts 1 to 4."""
+        columns = [np.concatenate([unplanes(x, kind) for x in group.column(c).to_pylist()]) for c, kind in (("contexts", np.uint64), ("last", np.uint32), ("counts", np.uint32))]
+        code, contexts, last, counts = _triples(*columns)
+        shard = group.column("part")[0].as_py()
+        inner = contexts >> _32 != np.uint64(model.before)  # first tokens have no trigram
+        pair = np.where(inner, ((contexts & _LOW32) << _32) | last, (np.uint64(model.start) << _32) | last)
+        pairs, times = summed(pair, np.where(inner, 1, counts))
+        code, contexts, counts = code[inner], contexts[inner], counts[inner]
+        put(model.folder, f"triple-{shard}", code)
+        put(model.folder, f"tripled-{shard}", np.minimum(counts, 255).astype(np.uint8))
+        over = np.flatnonzero(counts >= 255)
+        put(model.folder, f"triple-over-{shard}", np.stack([over, counts[over]]))
+        order = np.argsort(contexts, kind="stable")
+        own, many = contexts[order], counts[order]
+        heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.zeros(0, np.int64)
+        stats = np.stack([np.add.reduceat(x.astype(np.int64), heads) for x in (many, many == 1, many == 2, many >= 3)]) if len(own) else np.zeros((4, 0), np.int64)
+        own = own[heads]
+        lone = model.ways_of(own, counted) == 1
+        _put_contexts(model, f"of-{shard}", own[lone], stats[:, lone])
+        first, second = pairs >> _32, pairs & _LOW32
+        rows = _blobs(model.shard_of(first, second, counted(first.astype(np.int64))), pairs, times)
+        n, shared = rows.num_rows, own[~lone].astype(np.int64).tolist()
+        none = lambda kind: pa.array([None] * (len(shared) + 1), kind)
+        return pa.table({
+            **{c: pa.concat_arrays([rows.column(c), none(rows.schema.field(c).type)]) for c in ("part", "keys", "counts")},
+            "context": pa.array([*([None] * n), *shared, None], pa.int64()),
+            "sums": pa.array([*([None] * n), *stats[:, ~lone].T.tolist(), [int((counts == i).sum()) for i in range(1, 5)]], pa.list_(pa.int64())),
+        })
+
+    shape = f"{BLOB}, context long, sums array<long>"
+    triples = texts.mapInArrow(count_triples, "part int, contexts binary, last binary, counts binary").groupBy("part").applyInArrow(write_triples, shape)
+    with scratch(spark):
+        triples = saved(triples, "triples")
+        pick = [F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(4)]
+        one = triples.where("part is null and context is null").agg(*pick).first()
+        model.cuts3 = discounts([one[i] or 0 for i in range(4)])
+        both = triples.where("context is not null").groupBy("context").agg(*pick)
+
+        def write_shared(group: pa.Table) -> pa.Table:
+            group = group.sort_by("context")
+            own = group.column("context").to_numpy().view(np.uint64)
+            order = np.argsort(own)
+            _put_contexts(model, f"with-{group.column('home')[0].as_py()}", own[order], np.stack([group.column(f"s{i}").to_numpy() for i in range(4)])[:, order])
+            return pa.table({"n": [len(own)]})
+
+        home = F.pmod(F.col("context"), F.lit(model.shards)).cast("int")
+        shared_contexts = both.withColumn("home", home).groupBy("home").applyInArrow(write_shared, "n long").agg(F.sum("n").alias("n")).first()[0] or 0
+        model.shared = int(shared_contexts)
+        _count_pairs(spark, model, triples, sizes)
+    return model
+
+
+def _contexts(model: Model, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The two words before each token as one number; before a text's first token stands the start, and before that nothing."""
+    one = np.concatenate([[np.uint64(model.start)], ids[:-1]])
+    one[bounds[:-1]] = model.start
+    two = np.concatenate([[np.uint64(model.before)], one[:-1]])
+    two[bounds[:-1]] = model.before
+    return (two << _32) | one
+
+
+def _put_contexts(model: Model, name: str, contexts: np.ndarray, stats: np.ndarray) -> None:
+    """Contexts that occur more than once, sorted, with their sums; the others are known from their bigrams."""
+    more = stats[0] > 1
+    put(model.folder, f"contexts-{name}", contexts[more])
+    put(model.folder, f"follow-{name}", stats[:, more].astype(np.uint32 if not more.any() or stats.max() < 2**32 else np.int64))
+
+
+def _count_pairs(spark, model: Model, triples: DataFrame, sizes: np.ndarray) -> None:
+    """Writes the arrays of bigrams and of words with their different predecessors."""
+
     def write_pairs(group: pa.Table) -> pa.Table:
         """Arrays of one shard. Out: its numbers of counts 1 to 4, contexts that other shards share, words with their different predecessors here."""
         keys, counts = _gathered(group)
@@ -211,10 +334,8 @@ def train(docs: DataFrame, text: str = "text") -> Model:
             "sums": pa.array([*([None] * rows.num_rows), *stats[:, ~lone].T.tolist(), [int((counts == i).sum()) for i in range(1, 5)]], pa.list_(pa.int64())),
         })
 
-    out = texts.mapInArrow(count_pairs, BLOB).groupBy("part").applyInArrow(write_pairs, f"{BLOB}, context long, sums array<long>")
-    path = shared_dir(spark, "pairs")
-    out.write.parquet(path)
-    out = spark.read.schema(out.schema).parquet(path)
+    out = triples.where("part is not null").select("part", "keys", "counts").groupBy("part").applyInArrow(write_pairs, f"{BLOB}, context long, sums array<long>")
+    out = saved(out, "pairs")
     pick = [F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(4)]
     one = out.where("part is null and context is null").agg(*pick).first()
     model.cuts2 = discounts([one[i] for i in range(4)])
@@ -235,14 +356,13 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     cuts = discounts(kinds[1:5])
     rest = cuts[1] * kinds[1] + cuts[2] * kinds[2] + cuts[3] * kinds[5]
     model.cuts1 = np.array([rest / model.pairs, *cuts[1:]])
-    return model
 
 
 def _context_counts(model: Model, first: np.ndarray) -> np.ndarray:
-    """Occurrences of sorted first ids; the start counts as every text's end does, hence as dealt over all shards."""
+    """Occurrences of sorted first ids; the start, and what stands before it, count as every token does, hence as dealt over all shards."""
     different, which = np.unique(first, return_inverse=True)
     counts = model.by_id("count", different[different < model.start])
-    return np.append(counts, [model.tokens] * int((different == model.start).sum())).astype(np.int64)[which]
+    return np.append(counts, [model.tokens] * int((different >= model.start).sum())).astype(np.int64)[which]
 
 
 def _ways(model: Model, ids: np.ndarray) -> np.ndarray:
@@ -255,21 +375,23 @@ class Scorer:
     def __init__(self, model: Model):
         self.m = model
 
-    def found(self, keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
-        """Counts of sorted different pair keys."""
+    def found(self, keys: np.ndarray, shard: np.ndarray, names: str = "pair", counts_of: str = "often", rest: str = "over") -> np.ndarray:
+        """Counts of different n-grams by key."""
         m, out = self.m, np.zeros(len(keys), np.int64)
         order = np.argsort(shard, kind="stable")
         edges = np.searchsorted(shard[order], np.arange(m.shards + 1))
         for s in np.flatnonzero(np.diff(edges)):
             rows = order[edges[s] : edges[s + 1]]
             try:
-                known = mapped(m.folder, f"pair-{s}")
-            except FileNotFoundError:  # a shard to which no pair was dealt
+                known = mapped(m.folder, f"{names}-{s}")
+            except FileNotFoundError:  # a shard to which nothing was dealt
+                continue
+            if not len(known):
                 continue
             at = np.minimum(np.searchsorted(known, keys[rows]), len(known) - 1)
-            counts = np.where(known[at] == keys[rows], mapped(m.folder, f"often-{s}")[at], 0).astype(np.int64)
+            counts = np.where(known[at] == keys[rows], mapped(m.folder, f"{counts_of}-{s}")[at], 0).astype(np.int64)
             if (big := np.flatnonzero(counts == 255)).size:
-                where, value = mapped(m.folder, f"over-{s}")
+                where, value = mapped(m.folder, f"{rest}-{s}")
                 counts[big] = value[np.searchsorted(where, at[big])]
             out[rows] = counts
         return out
@@ -307,7 +429,7 @@ class Scorer:
         prior = np.concatenate([[m.start], each[:-1]])
         prior[bounds[:-1]] = m.start
         follow, rest = np.zeros(len(each), np.int64), np.ones(len(each))
-        share = np.zeros(len(each))
+        share, found = np.zeros(len(each)), np.zeros(len(each), np.int64)
         usable = np.flatnonzero(prior >= 0) if m.tokens else np.zeros(0, np.int64)
         if len(usable):
             contexts, at = np.unique(prior[usable], return_inverse=True)
@@ -318,9 +440,56 @@ class Scorer:
             first, second = (keys >> np.uint64(32)).astype(np.int64), keys & np.uint64(2**32 - 1)
             n = self.found(keys, m.shard_of(first, second, _context_counts(m, first)))[back]
             share[both] = np.maximum(n - m.discount(m.cuts2, n), 0) / follow[both]
-        own = np.log10(share + rest * low)
+            found[both] = n
+        probability = share + rest * low
+        if m.tokens:
+            probability = self.trigrams(each, bounds, found > 0, probability)
+        own = np.log10(probability)
         return tuple(np.add.reduceat(x, bounds[:-1]) if len(bounds) > 1 else np.zeros(0, x.dtype) for x in ((counts[which] > 0).astype(np.int64), base, own))
 
+    def trigrams(self, ids: np.ndarray, bounds: np.ndarray, known: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """Probabilities by trigrams; known: whether each token's bigram was counted; lower: probabilities by bigrams."""
+        m, out = self.m, lower.copy()
+        seen = np.concatenate([[False], known[:-1]])
+        seen[bounds[:-1]] = False
+        at = np.flatnonzero(seen)  # tokens whose two words before were counted, and so were followed by something
+        if not len(at):
+            return out
+        contexts = _contexts(m, np.where(ids < 0, m.start, ids).astype(np.uint64), bounds)[at]
+        names, back = np.unique(contexts, return_inverse=True)
+        total, left = self.follow(names, ways := m.ways_of(names, lambda x: _context_counts(m, x)))
+        share = np.zeros(len(at))
+        whole = np.flatnonzero(ids[at] >= 0)
+        if len(whole):
+            pair = np.stack([back[whole].astype(np.uint64), ids[at][whole].astype(np.uint64)])
+            keys, again = np.unique((pair[0] << _32) | pair[1], return_inverse=True)
+            context, last = (keys >> _32).astype(np.int64), keys & _LOW32
+            n = self.found(triple_code(names[context], last), m.triple_shard(names[context], last, ways[context]), "triple", "tripled", "triple-over")[again]
+            share[whole] = np.maximum(n - m.discount(m.cuts3, n), 0) / total[back[whole]]
+        out[at] = share + left[back] * lower[at]
+        return out
+
+    def follow(self, contexts: np.ndarray, ways: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For sorted different contexts that were counted: how often something follows, and the probability that is left."""
+        m, sums = self.m, np.zeros((4, len(contexts)), np.int64)
+        sums[:2] = 1  # what isn't stored was followed once
+        shared = ways > 1
+        home = np.where(shared, 0, (mix(contexts) % np.uint64(m.shards)).astype(np.int64))
+        parts = [(f"of-{s}", np.flatnonzero((home == s) & ~shared)) for s in np.unique(home[~shared])]
+        if shared.any() and m.shared:
+            place = contexts[shared].view(np.int64) % m.shards
+            parts += [(f"with-{s}", np.flatnonzero(shared)[place == s]) for s in np.unique(place)]
+        for name, rows in parts:
+            try:
+                known, kept = mapped(m.folder, f"contexts-{name}"), mapped(m.folder, f"follow-{name}")
+            except FileNotFoundError:
+                continue
+            if len(known):
+                at = np.minimum(np.searchsorted(known, contexts[rows]), len(known) - 1)
+                hit = known[at] == contexts[rows]
+                sums[:, rows[hit]] = kept[:, at[hit]]
+        return sums[0], (m.cuts3[1:, None] * sums[1:]).sum(0) / sums[0]
+
 
 def perplexity(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """docs less its text, with n_tokens, n_known, train_tokens, base_score, score and perplexity.
