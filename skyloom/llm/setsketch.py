@@ -152,29 +152,24 @@ def verified(pairs: DataFrame, docs: DataFrame, s: Settings, key: str, text: str
 def across(groups: DataFrame, nodes: DataFrame, docs: DataFrame, s: Settings, key: str, text: str) -> DataFrame:
     """Links between documents of one group that are not connected yet; groups: (node, grp, root), root the component so far.
 
-    The documents outside a group's largest component are its queries, and are compared with all its documents, in
-    blocks: sizes first, then the likelihood of the sketches, then the full sets. Only links come out of a task, one for
-    each query and component.
+    The documents outside a group's largest component are its queries, and are compared with all its documents in blocks,
+    in two passes. The first has sizes and sketches only, and says which documents of two blocks have a likely partner in
+    the other. The second has the full sets, of these documents alone, and gives the links, one for each query and
+    component. Rows that leave a task are no more than those that came, whatever pairs they make.
     """
     sizes = saved(groups.groupBy("grp", "root").agg(F.count("*").alias("c")), "sizes")
     most = sizes.groupBy("grp").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.sum("c").alias("n"), (F.sum("c") - F.max("c")).alias("q"))
     most = saved(most.select("grp", "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("jn"), F.ceil(F.col("q") / BLOCK).cast("int").alias("in")).where("in > 0"), "most")
-    rows = saved(groups.join(most, "grp"), "rows")
-    sets = full_sets(docs, saved(rows.select(F.col("node").alias("id")).distinct(), "needed"), s, key, text)
-    full = rows.join(sets.withColumnRenamed("id", "node"), "node").join(nodes.select("node", "registers"), "node")
+    rows = groups.join(most, "grp").join(nodes.select("node", F.col("n_shingles").alias("size"), "registers"), "node")
     upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     mine = lambda c: F.pmod(F.xxhash64("node"), c).cast("int")
-    asking = full.where("root <> main").select("grp", mine("in").alias("i"), upto("jn").alias("j"), F.lit(True).alias("asks"), "node", "root", "codes", "registers")
-    asked = full.select("grp", upto("in").alias("i"), mine("jn").alias("j"), F.lit(False).alias("asks"), "node", "root", "codes", "registers")
+    asking = rows.where("root <> main").select("grp", mine("in").alias("i"), upto("jn").alias("j"), F.lit(True).alias("asks"), "node", "root", "size", "registers")
+    asked = rows.select("grp", upto("in").alias("i"), mine("jn").alias("j"), F.lit(False).alias("asks"), "node", "root", "size", "registers")
 
-    def compare(table: pa.Table) -> pa.Table:
-        asks = table.column("asks").to_numpy(zero_copy_only=False)
-        node, root = table.column("node").to_numpy(), table.column("root").to_numpy()
-        lists = table.column("codes").combine_chunks()
-        edges, flat = lists.offsets.to_numpy(), lists.flatten().to_numpy().view(np.uint64)
-        edges = edges - edges[0]
-        size = np.diff(edges)
-        reg = np.frombuffer(utf8(table.column("registers"))[0].tobytes(), "<u2").reshape(len(node), -1)
+    def pairs_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the queries and others of two blocks that are likely to be linked and aren't connected."""
+        asks, root, size = (table.column(c).to_numpy(zero_copy_only=False) for c in ("asks", "root", "size"))
+        reg = np.frombuffer(utf8(table.column("registers"))[0].tobytes(), "<u2").reshape(len(root), -1)
         other, pairs = np.flatnonzero(~asks), []
         for q in np.flatnonzero(asks):
             some = other[(root[other] != root[q]) & (100 * np.minimum(size[other], size[q]) >= s.percent * np.maximum(size[other], size[q]))]
@@ -182,21 +177,37 @@ def across(groups: DataFrame, nodes: DataFrame, docs: DataFrame, s: Settings, ke
             pairs.append(np.stack([np.full(len(some), q), some, above, below]))
         q, m, above, below = np.concatenate(pairs, axis=1) if pairs else np.zeros((4, 0), np.int64)
         near = estimate(size[q].astype(float), size[m].astype(float), above, below, reg.shape[1] - above - below, s.base) >= s.percent / 100 - s.margin
-        q, m = q[near], m[near]
+        return q[near], m[near]
+
+    def likely_rows(table: pa.Table) -> pa.Table:
+        return table.take(pa.array(np.unique(np.concatenate(pairs_of(table)))))
+
+    kind = "grp long, i int, j int, asks boolean, node long, root long, size long, registers binary"
+    some = saved(asking.unionByName(asked).groupBy("grp", "i", "j").applyInArrow(likely_rows, kind), "likely")
+    sets = full_sets(docs, saved(some.select(F.col("node").alias("id")).distinct(), "needed"), s, key, text)
+
+    def compare(table: pa.Table) -> pa.Table:
+        node, root = table.column("node").to_numpy(), table.column("root").to_numpy()
+        lists = table.column("codes").combine_chunks()
+        edges, flat = lists.offsets.to_numpy(), lists.flatten().to_numpy().view(np.uint64)
+        edges = edges - edges[0]
+        long = np.diff(edges)  # of the set at hand: rows with one key may have several
+        q, m = pairs_of(table)
         names, place = np.unique(flat, return_inverse=True)
         mark, a, b = np.zeros(len(names), bool), [], []
         for query in np.unique(q):
-            own, some = place[edges[query] : edges[query + 1]], m[q == query]
+            own, near = place[edges[query] : edges[query + 1]], m[q == query]
             mark[own] = True
-            both = np.add.reduceat(mark[np.concatenate([place[edges[x] : edges[x + 1]] for x in some])], np.cumsum(size[some]) - size[some], dtype=np.int64)
+            both = np.add.reduceat(mark[np.concatenate([place[edges[x] : edges[x + 1]] for x in near])], np.cumsum(long[near]) - long[near], dtype=np.int64)
             mark[own] = False
-            hit = some[100 * both >= s.percent * (size[query] + size[some] - both)]
+            hit = near[100 * both >= s.percent * (long[query] + long[near] - both)]
             hit = hit[np.unique(root[hit], return_index=True)[1]]
             a += [int(node[query])] * len(hit)
             b += node[hit].tolist()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return saved(asking.unionByName(asked).groupBy("grp", "i", "j").applyInArrow(compare, "a long, b long"), "links")
+    full = some.join(sets.select(F.col("id").alias("node"), "codes"), "node").select("grp", "i", "j", "asks", "node", "root", "size", "registers", "codes")
+    return saved(full.groupBy("grp", "i", "j").applyInArrow(compare, "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, s: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -108,6 +108,12 @@ def test_pieces_are_powers_of_two_and_hold_all_ids(spark):
     assert [list(length[doc == d]) for d in range(4)] == [[1], [4096], [4096, 1], [4096, 4096, 1024, 512, 256, 16]] and list(start[doc == 3])[-1] == 9984
 
 
+def test_buckets_hold_sequences_of_one_length(spark, tmp_path):
+    packing.write_buckets(packing.pack(table(spark), WORDS), f"file://{tmp_path}/buckets")
+    back = spark.read.parquet(f"file://{tmp_path}/buckets")
+    assert back.where("octet_length(ids) <> 4 * length").count() == 0 and {f"length={r.length}" for r in back.select("length").distinct().collect()} == {p.name for p in (tmp_path / "buckets").glob("length=*")}
+
+
 def test_a_word_that_normalises_to_the_mark_leaves_other_words_their_ids(spark):
     from tokenizers import Tokenizer
 
@@ -341,6 +347,37 @@ def test_near_duplicates_with_odd_keys(spark):
     assert setsketch.one_of_each(df).count() == 5
 
 
+def test_rows_with_one_key_and_several_texts_link_by_each(spark):
+    """Groups of several components whose documents hold more than one text."""
+    rng = np.random.default_rng(21)
+    base = list(rng.choice([f"w{i}" for i in range(400)], 150))
+
+    def copy(edits):
+        words_ = list(base)
+        for at in rng.choice(len(base), edits, replace=False):
+            words_[at] = f"new{rng.integers(1 << 30)}"
+        return " ".join(words_)
+
+    rows = [(i % 25, copy(int(rng.integers(1, 9)))) for i in range(50)] + [(60 + i, " ".join(rng.choice([f"v{j}" for j in range(300)], 50))) for i in range(5)]
+    got = setsketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), setsketch.Settings(shingle=3, percent=85)).collect()
+    sets, up = {}, {k: k for k, _ in rows}
+    for n, (k, t) in enumerate(rows):
+        w = split(t)
+        sets[n] = (k, {tuple(w[j : j + 3]) for j in range(len(w) - 2)})
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for k, a in sets.values():
+        for m, b in sets.values():
+            if 100 * len(a & b) >= 85 * len(a | b):
+                x, y = top(k), top(m)
+                up[max(x, y)] = min(x, y)
+    assert {(r.doc_id, r.component_id) for r in got} == {(k, top(k)) for k in up} and len(got) == len(rows)
+
+
 def test_sketches_merge_and_estimate():
     s = setsketch.Settings(registers=256)
     maker, rng = setsketch.Sketcher(s), np.random.default_rng(3)
