@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skyloom.llm import packing, repeats, setsketch, toxicity
 from skyloom.llm.queries import toxicity_model, vocabulary
-from skyloom.llm.shared import lasting, seen_by_workers
+from skyloom.llm.shared import lasting, seen_by_workers, spread
 
 
 def _aside(docs: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
@@ -75,7 +75,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of sf_dir; what a stage returns is written and read again for the next one."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     for name, stage in STAGES[:-1]:
         docs = lasting(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -355,7 +355,7 @@ def test_fields_land_while_a_store_is_followed(spark):
     assert got.count() == 96 and got.where("value = 7").count() == 72
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.integers(0, 8), st.integers(1, 4))
 def test_the_region_of_a_slice_is_the_slice(spark, start, n):
     assert region(spark, cells(spark, 1, range(start, start + n), ("a",)), axes.ordered(axes.ticks(cells(spark, 1, range(12), ("a",)))))["step"] == (start, start + n, None)
