@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat, kneser_ney, packing, pivots, postings, repeats, setsketch, sharding, toxicity
-from .shared import seen_by_workers
+from .shared import seen_by_workers, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     seen_by_workers(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    found = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(found.select("doc_id", "text")) if name == "documents" else found
 
 
 def vocabulary(name: str) -> str:

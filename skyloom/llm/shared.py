@@ -94,6 +94,12 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return _written(df, path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt over all cores where it is read in fewer parts than there are (one small file); else as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """df less the columns whose names an operator's results take; the results win such clashes."""
     taken = {n.lower() for n in names}
