@@ -2,7 +2,7 @@
 
 It is counted in Spark. (1) Words, by 64-bit code; the codes of a range are one sorted array, and a word's id is its place
 in all arrays. (2) Trigrams, summed per task and dealt to shards by their first two words; contexts that can be frequent,
-as both their words are, are dealt over as many shards as these ask for. A shard is one sorted array of 64-bit hashes with
+as both their words are, are dealt over as many shards as these ask for. A shard is one sorted array of hashes with
 counts, and one of the contexts that occur more than once. (3) Bigrams, by the number of different words before them, in
 sorted arrays of two 32-bit ids, dealt by their first word likewise. (4) The number of different words before each word,
 beside the word arrays. Tasks write the arrays to shared storage, and scoring tasks map them into memory: no array passes
@@ -29,9 +29,9 @@ from .words import Coder, mix, words
 #: The code of the token that ends every text.
 END = np.uint64(0x9D3A5C0E2B7F4611)
 #: Tokens that a counting task gathers before it sums and sends them on.
-GATHER = 3_000_000
+GATHER = 1_500_000
 #: Bytes of text for each shard, of which a shard's memory follows.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 12 << 20
 _32, _LOW32 = np.uint64(32), np.uint64(2**32 - 1)
 
 
@@ -127,6 +127,19 @@ def _narrow(counts: np.ndarray) -> np.ndarray:
     return counts.astype("<u4")
 
 
+def find_code(high: np.ndarray, low: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Places of the first 48 bits of codes among sorted ones, kept as 32 and 16 bits; -1 where they aren't there."""
+    wanted = (code >> _32).astype(np.uint32)
+    a, b = np.searchsorted(high, wanted, "left"), np.searchsorted(high, wanted, "right")
+    ending, out = (code >> np.uint64(16)).astype(np.uint16), np.full(len(code), -1, np.int64)
+    while (some := np.flatnonzero(a < b)).size:
+        hit = low[a[some]] == ending[some]
+        out[some[hit]] = a[some[hit]]
+        a[some] += 1
+        a[some[hit]] = b[some[hit]]
+    return out
+
+
 def triple_code(contexts: np.ndarray, last: np.ndarray) -> np.ndarray:
     return mix(mix(contexts) + last.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -198,7 +211,8 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         put(model.folder, f"count-{r}", counts.astype(np.uint32 if counts.max() < 2**32 else np.int64))
         return pa.table({"part": pa.array([r], pa.int32()), "n": [len(codes)], "total": [int(counts.sum())]})
 
-    found = texts.mapInArrow(count_words, BLOB).groupBy("part").applyInArrow(write_words, "part int, n long, total long").collect()
+    with scratch(spark):
+        found = saved(texts.mapInArrow(count_words, BLOB).groupBy("part").applyInArrow(write_words, "part int, n long, total long"), "words").collect()
     sizes = np.zeros(model.ranges, np.int64)
     for r in found:
         sizes[r.part], model.tokens = r.n, model.tokens + r.total
@@ -217,7 +231,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         def flush():
             _, contexts, last, counts = _triples(*(np.concatenate(x) for x in zip(*kept, strict=True)))
             shard = model.triple_shard(contexts, last, model.ways_of(contexts, counted))
-            order = np.argsort(shard, kind="stable")
+            order = np.lexsort((contexts, shard))  # neighbours are alike, which compresses
             contexts, last, counts = contexts[order], last[order], _narrow(counts)[order]
             heads = np.flatnonzero(np.diff(shard[order], prepend=-1))
             edges = [*heads.tolist(), len(order)]
@@ -246,7 +260,8 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         pair = np.where(inner, ((contexts & _LOW32) << _32) | last, (np.uint64(model.start) << _32) | last)
         pairs, times = summed(pair, np.where(inner, 1, counts))
         code, contexts, counts = code[inner], contexts[inner], counts[inner]
-        put(model.folder, f"triple-{shard}", code)
+        put(model.folder, f"triple-{shard}", (code >> _32).astype(np.uint32))
+        put(model.folder, f"triple-low-{shard}", (code >> np.uint64(16)).astype(np.uint16))
         put(model.folder, f"tripled-{shard}", np.minimum(counts, 255).astype(np.uint8))
         over = np.flatnonzero(counts >= 255)
         put(model.folder, f"triple-over-{shard}", np.stack([over, counts[over]]))
@@ -301,9 +316,10 @@ def _contexts(model: Model, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def _put_contexts(model: Model, name: str, contexts: np.ndarray, stats: np.ndarray) -> None:
     """Contexts that occur more than once, sorted, with their sums; the others are known from their bigrams."""
-    more = stats[0] > 1
-    put(model.folder, f"contexts-{name}", contexts[more])
-    put(model.folder, f"follow-{name}", stats[:, more].astype(np.uint32 if not more.any() or stats.max() < 2**32 else np.int64))
+    small = stats.max(0) < 256 if stats.size else np.zeros(0, bool)
+    for kind, rows in (("small", small & (stats[0] > 1)), ("large", ~small)):
+        put(model.folder, f"contexts-{kind}-{name}", contexts[rows])
+        put(model.folder, f"follow-{kind}-{name}", stats[:, rows].astype(np.uint8 if kind == "small" else np.uint32 if not rows.any() or stats.max() < 2**32 else np.int64))
 
 
 def _count_pairs(spark, model: Model, triples: DataFrame, sizes: np.ndarray) -> None:
@@ -375,23 +391,23 @@ class Scorer:
     def __init__(self, model: Model):
         self.m = model
 
-    def found(self, keys: np.ndarray, shard: np.ndarray, names: str = "pair", counts_of: str = "often", rest: str = "over") -> np.ndarray:
-        """Counts of different n-grams by key."""
+    def found(self, keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
+        """Counts of different pair keys."""
         m, out = self.m, np.zeros(len(keys), np.int64)
         order = np.argsort(shard, kind="stable")
         edges = np.searchsorted(shard[order], np.arange(m.shards + 1))
         for s in np.flatnonzero(np.diff(edges)):
             rows = order[edges[s] : edges[s + 1]]
             try:
-                known = mapped(m.folder, f"{names}-{s}")
+                known = mapped(m.folder, f"pair-{s}")
             except FileNotFoundError:  # a shard to which nothing was dealt
                 continue
             if not len(known):
                 continue
             at = np.minimum(np.searchsorted(known, keys[rows]), len(known) - 1)
-            counts = np.where(known[at] == keys[rows], mapped(m.folder, f"{counts_of}-{s}")[at], 0).astype(np.int64)
+            counts = np.where(known[at] == keys[rows], mapped(m.folder, f"often-{s}")[at], 0).astype(np.int64)
             if (big := np.flatnonzero(counts == 255)).size:
-                where, value = mapped(m.folder, f"{rest}-{s}")
+                where, value = mapped(m.folder, f"over-{s}")
                 counts[big] = value[np.searchsorted(where, at[big])]
             out[rows] = counts
         return out
@@ -464,11 +480,31 @@ class Scorer:
             pair = np.stack([back[whole].astype(np.uint64), ids[at][whole].astype(np.uint64)])
             keys, again = np.unique((pair[0] << _32) | pair[1], return_inverse=True)
             context, last = (keys >> _32).astype(np.int64), keys & _LOW32
-            n = self.found(triple_code(names[context], last), m.triple_shard(names[context], last, ways[context]), "triple", "tripled", "triple-over")[again]
+            n = self.tripled(triple_code(names[context], last), m.triple_shard(names[context], last, ways[context]))[again]
             share[whole] = np.maximum(n - m.discount(m.cuts3, n), 0) / total[back[whole]]
         out[at] = share + left[back] * lower[at]
         return out
 
+    def tripled(self, codes: np.ndarray, shard: np.ndarray) -> np.ndarray:
+        """Counts of different trigrams by code."""
+        m, out = self.m, np.zeros(len(codes), np.int64)
+        order = np.argsort(shard, kind="stable")
+        edges = np.searchsorted(shard[order], np.arange(m.shards + 1))
+        for s in np.flatnonzero(np.diff(edges)):
+            rows = order[edges[s] : edges[s + 1]]
+            try:
+                high, low = mapped(m.folder, f"triple-{s}"), mapped(m.folder, f"triple-low-{s}")
+            except FileNotFoundError:  # a shard to which nothing was dealt
+                continue
+            at = find_code(high, low, codes[rows])
+            hit = np.flatnonzero(at >= 0)
+            counts = mapped(m.folder, f"tripled-{s}")[at[hit]].astype(np.int64)
+            if (big := np.flatnonzero(counts == 255)).size:
+                where, value = mapped(m.folder, f"triple-over-{s}")
+                counts[big] = value[np.searchsorted(where, at[hit][big])]
+            out[rows[hit]] = counts
+        return out
+
     def follow(self, contexts: np.ndarray, ways: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For sorted different contexts that were counted: how often something follows, and the probability that is left."""
         m, sums = self.m, np.zeros((4, len(contexts)), np.int64)
@@ -479,7 +515,7 @@ class Scorer:
         if shared.any() and m.shared:
             place = contexts[shared].view(np.int64) % m.shards
             parts += [(f"with-{s}", np.flatnonzero(shared)[place == s]) for s in np.unique(place)]
-        for name, rows in parts:
+        for name, rows in [(f"{kind}-{name}", rows) for name, rows in parts for kind in ("small", "large")]:
             try:
                 known, kept = mapped(m.folder, f"contexts-{name}"), mapped(m.folder, f"follow-{name}")
             except FileNotFoundError:
