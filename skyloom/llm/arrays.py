@@ -37,8 +37,19 @@ def put(folder: str, name: str, array: np.ndarray) -> None:
     store.move(f"{path}/{other}", f"{path}/{name}.npy")
 
 
-@lru_cache(4096)
+_latest: list[str] = [""]
+
+
 def mapped(folder: str, name: str) -> np.ndarray:
+    """folder/name.npy mapped into memory. A worker lets go of an earlier model's arrays when it meets another's folder."""
+    if folder != _latest[0]:
+        _map.cache_clear()
+        _latest[0] = folder
+    return _map(folder, name)
+
+
+@lru_cache(2048)
+def _map(folder: str, name: str) -> np.ndarray:
     """folder/name.npy mapped into memory. From a store without paths it is first copied to an unlinked local file."""
     if (path := local_path(folder)) is not None:
         return np.load(f"{path}/{name}.npy", mmap_mode="r")
