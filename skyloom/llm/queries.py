@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, kneser_ney, packing, pivots, postings, repeats, setsketch, sharding, toxicity
+from . import bpe, chat, extract, kneser_ney, packing, phrases, pivots, postings, repeats, setsketch, sharding, toxicity, walsh
 from .shared import seen_by_workers, spread
 
 
@@ -111,6 +111,20 @@ def op10_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), setsketch.Settings(shingle=3, percent=85))
 
 
+def op11_walsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = walsh.encode(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return walsh.with_label_errors(coded).select(F.col("key").alias("vec_id"), "code", "error", "label_error", F.lit(walsh.digest(coded.books)).alias("codebooks_sha256"))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen_by_workers(spark)
+    return phrases.collocations(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op13_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))).select("page_id", "url", "text", "n_chars")
+
+
 # Components in SQL: every row takes the least key of its neighbours until nothing changes.
 OP9_SQL = """
 with recursive good as (select vec_id, embedding::double[] as v from embeddings where vec_id is not null and embedding is not null and len(embedding) = 64
@@ -138,9 +152,43 @@ select d.doc_id, coalesce(n, 0)::bigint as n_shingles, coalesce(p.component_id,
 from documents d left join size using (doc_id) left join own using (doc_id) left join least on least.h = own.h left join per p on p.a = least.doc_id
 """
 
+# A round of assignment in SQL: every part against its codebook's entries; then the floored means.
+_ASSIGN = "{to} as (select vec_id, row, part, x, min(far) as far, arg_min(entry, far * 64 + entry) as entry from (select p.*, b.entry, list_sum(list_transform(generate_series(1, len(x)), lambda i: (x[i] - b.e[i]) * (x[i] - b.e[i]))) as far from parts p join {book} b using (part)) group by 1, 2, 3, 4)"
+_LEARN = """{to} as (select b.part, b.entry, coalesce(m.e, b.e) as e from {book} b left join (select part, entry, list(e order by i) as e from (
+  select part, entry, i, floor_div(sum(x[i]), count(*)) as e from {of}, generate_series(1, (select max(len(x)) from parts)) g(i) group by all) group by 1, 2) m using (part, entry))"""
+OP11_SQL = f"""
+with kept as (select vec_id, label, row_number() over (order by vec_id nulls last, embedding) as row, list_transform(embedding, lambda c: floor(c::double * 256)::bigint) as v from embeddings
+  where embedding is not null and len(embedding) = 64 and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+parts as (select vec_id, row, p as part, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] as x from kept, generate_series(0, 15) g(p)),
+book0 as (select part, row - 1 as entry, x as e from parts where row <= 64),
+{_ASSIGN.format(to='near1', book='book0')}, {_LEARN.format(to='book1', book='book0', of='near1')},
+{_ASSIGN.format(to='near2', book='book1')}, {_LEARN.format(to='book2', book='book1', of='near2')}, {_ASSIGN.format(to='near3', book='book2')},
+coded as (select row, string_agg(lower(printf('%02x', entry)), '' order by part) as code, sum(far)::bigint as error from near3 group by 1),
+said as (select sha256(coalesce(string_agg(array_to_string(e, ','), ',' order by part, entry), '')) as codebooks_sha256 from book2)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256 from kept join coded using (row), said
+""".replace("floor_div(sum(x[i]), count(*))", "((sum(x[i]) - ((sum(x[i]) % count(*)) + count(*)) % count(*)) // count(*))::bigint")
+
+OP12_SQL = r"""
+with split as (select doc_id, row_number() over () as d, coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents),
+pieces as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from split),
+grams as (select lang, k, array_to_string(w[i:i + k - 1], ' ') as g from (select *, unnest(generate_series(1, len(w))) as i from pieces), generate_series(1, 3) t(k) where i + k - 1 <= len(w)),
+f as materialized (select lang, k, g, count(*) as n from grams group by 1, 2, 3),
+size as (select lang, sum(n)::bigint as n from f where k = 1 group by 1),
+candidate as materialized (select lang, k, g, string_split(g, ' ') as w, n as a from f where k > 1 and n >= 10),
+halves as (select lang, k, g, a, j, array_to_string(w[1:j], ' ') as g1, array_to_string(w[j + 1:], ' ') as g2 from candidate, generate_series(1, 2) t(j) where j < k),
+first as materialized (select c.*, x.n as l from halves c join f x on x.lang = c.lang and x.g = c.g1),
+cut as (select c.*, y.n as r, (1000000 * c.a::hugeint * c.a // (c.l::hugeint * y.n))::bigint as score from first c join f y on y.lang = c.lang and y.g = c.g2),
+lowest as (select lang, g, a, arg_min(l, score * 4 + j) as l, arg_min(r, score * 4 + j) as r, min(score) as score from cut group by 1, 2, 3),
+inside as (select lang, array_to_string(w[i:i + 1], ' ') as g, max(a) as most from candidate, generate_series(1, 2) t(i) where k = 3 group by 1, 2),
+kept as (select o.lang, o.g as phrase, a, l, r, score from lowest o left join inside i on i.lang = o.lang and i.g = o.g where most is null or 100 * most < 50 * a),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank, phrase, a, l, r, n, score from ranked join size using (lang) where rank <= 2000
+"""
+
 
 QUERIES = {
     "op1_chat": op1_chat, "op2_bpe": op2_bpe, "op3_sharding": op3_sharding, "op4_kneser_ney": op4_kneser_ney, "op5_repeats": op5_repeats,
     "op6_toxicity": op6_toxicity, "op7_packing": op7_packing, "op8_postings": op8_postings, "op9_pivots": op9_pivots, "op10_setsketch": op10_setsketch,
+    "op11_walsh": op11_walsh, "op12_phrases": op12_phrases, "op13_extract": op13_extract,
 }
-ORACLES = {"op1_chat": OP1_SQL, "op9_pivots": OP9_SQL, "op10_setsketch": OP10_SQL}
+ORACLES = {"op1_chat": OP1_SQL, "op9_pivots": OP9_SQL, "op10_setsketch": OP10_SQL, "op11_walsh": OP11_SQL, "op12_phrases": OP12_SQL}
