@@ -53,17 +53,21 @@ RADIATION = ["sdswrf", "sdlwrf"]
 DROPPED = ["t", "sdwe"]
 
 
-def wanted_messages(messages: DataFrame, key: list[str] | None = None, order: str | None = None) -> DataFrame:
-    """Messages that any of the five filters takes, less the dropped names (`t`: on several levels; `sdwe`: there twice).
-
-    One scan judges all filters, so that a message which several take comes once. With a key, of messages that share it
-    the first in order stays, as data sets are merged.
-    """
+def is_wanted() -> Column:
+    """Whether any of the five filters takes a message, and it isn't one of the dropped names (`t`: on several levels; `sdwe`: there twice)."""
     name, level, kind, step = F.col("short_name"), F.col("level"), F.col("type_of_level"), F.col("step_type")
     clouds = name.isin(CLOUDS) & (level == 0) & kind.isin(CLOUD_LAYERS) & (step == "instant")
     surface = kind.isin(SURFACES) & level.isin(SURFACE_LEVELS) & (step == "instant")
     radiation = (kind == "surface") & (step == "avg") & name.isin(RADIATION)
-    kept = messages.where((clouds | name.isin(WINDS) | surface | radiation) & ~name.isin(DROPPED))
+    return (clouds | name.isin(WINDS) | surface | radiation) & ~name.isin(DROPPED)
+
+
+def wanted_messages(messages: DataFrame, key: list[str] | None = None, order: str | None = None) -> DataFrame:
+    """Messages that the filters take. One scan judges them all, so that a message which several take comes once.
+
+    With a key, of messages that share it the first in order stays, as data sets are merged.
+    """
+    kept = messages.where(is_wanted())
     return merge_first_wins(kept, key, order) if key else kept
 
 

@@ -9,16 +9,19 @@ from pyspark.sql import functions as F
 from ..functions import catalog
 from . import axes
 from .errors import errors
-
-IMAGE = ["init_time", "step", "variable"]
+from .layout import layout_of
 
 
 def missing_share(expected: DataFrame, cells: DataFrame, area: int | Column) -> DataFrame:
-    """expected images with `share`, the part of their area cells that no cell has; images without any cell or area lack it all."""
-    have = cells.where("value is not null").groupBy(*IMAGE).agg(F.count("*").alias("_n"))
+    """expected images with `share`, the part of their area cells that no cell has; images without any cell or area lack it all.
+
+    An image is what the cells' layout says: of a run, step and variable, and of a statistic or member where they have one.
+    """
+    image = layout_of(cells.columns).image
+    have = cells.where("value is not null").groupBy(*image).agg(F.count("*").alias("_n"))
     size = area if isinstance(area, Column) else F.lit(area)
     share = F.when(size > 0, 1.0 - F.coalesce("_n", F.lit(0)) / size).otherwise(1.0)
-    return expected.join(have, IMAGE, "left").select(*IMAGE, share.alias("share"))
+    return expected.join(have, image, "left").select(*image, share.alias("share"))
 
 
 def dense_missing_share(values: str) -> Column:

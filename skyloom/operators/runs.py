@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources import storage
+from ..sources import storage, versions
 from . import axes, normalise, quality
 from .errors import errors, together
+from .layout import Layout, layout_of, layout_on
 
-CELLS = "step int, lat_e4 int, lon_e4 int, value double, init_time timestamp_ntz, variable string"
+#: Raw fields of the wanted runs to canonical cells and error rows; both may read what storage.kept() has written.
+Convert = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
 
 
 @dataclass(frozen=True)
@@ -28,7 +31,7 @@ class Rules:
 
 @dataclass
 class Consumed:
-    """runs: a row for each wanted run; errors: what went wrong; written: cells that were published, seconds it took."""
+    """runs: a row for each wanted run; errors: all that went wrong at this store so far; written: cells that were published, seconds it took."""
 
     runs: DataFrame
     errors: DataFrame
@@ -43,77 +46,110 @@ def status(outcome: DataFrame, verdict: DataFrame, delete_on_failure: bool) -> D
     return both.withColumn("status", F.when(~F.col("ok"), "fetch_failed").when(~F.coalesce("_good", F.lit(False)), failed).otherwise("ok")).drop("ok", "_good")
 
 
+def within_files(fields: DataFrame) -> DataFrame:
+    """One cell of those that are equal within a file: that of its first data set. Columns: the layout's keys, value, url."""
+    keys = [*layout_of(fields.columns).keys, "url"]
+    return fields.groupBy(*keys).agg(F.min(F.struct("dataset_no", "value"))["value"].alias("value"))
+
+
+def between_files(cells: DataFrame) -> DataFrame:
+    """One cell of those that are equal in several files: that of the file which is written last, in the order of their urls."""
+    keys = layout_of(cells.columns).keys
+    return cells.groupBy(*keys).agg(F.max(F.struct("url", "value"))["value"].alias("value"))
+
+
 def pieces_of(fields: DataFrame, allowed: list[str], kind: str) -> tuple[DataFrame, DataFrame]:
-    """Canonical cells with their run, file (url) and piece (file and variable), and the error rows of files that name a parameter twice or hold nothing wanted."""
-    wrapped = fields.withColumn("lon_e4", normalise.wrap_longitude(F.col("lon_e4")).cast("int"))
-    sets = normalise.named(wrapped).select("init_time", "url", "dataset_no", F.coalesce(F.col("variable").isin(allowed), F.lit(False)).alias("_kept"), F.lit(kind).alias("_kind"))
-    each = sets.groupBy("init_time", "url", "dataset_no", "_kind").agg(F.max("_kept").alias("_kept"))
-    kept, clashes = normalise.settle_clashes(normalise.rename_else_drop(wrapped, allowed), ["init_time", "url"])
-    cells = normalise.merge_first_wins(kept, storage.KEYS, "dataset_no").select(*storage.KEYS, "value", "url", F.concat_ws("/", "url", "variable").alias("piece"))
+    """Canonical cells with their file (url) and piece (file and variable), and the error rows of files that name a parameter twice or hold nothing wanted.
+
+    fields: init_time, url, dataset_no, alias, value and a column for every other dimension. They are read once.
+    """
+    known = normalise.named(fields).withColumn("_kept", F.coalesce(F.col("variable").isin(allowed), F.lit(False)))
+    if "lon_e4" in fields.columns:
+        known = known.withColumn("lon_e4", normalise.wrap_longitude(F.col("lon_e4")).cast("int"))
+    known = storage.kept(known, "fields")
+    each = known.groupBy("init_time", "url", "dataset_no").agg(F.max("_kept").alias("_kept")).withColumn("_kind", F.lit(kind))
+    kept, clashes = normalise.settle_clashes(known.where("_kept").drop("_kept"), ["init_time", "url"])
+    cells = within_files(kept).withColumn("piece", F.concat_ws("/", "url", "variable"))
     return cells, clashes.unionByName(normalise.nothing_relevant(each, "init_time", "url", "_kept", "_kind"))
 
 
 def consume(
-    spark: SparkSession, path: str, model: str, axis: DataFrame, runs: DataFrame, fetch: Callable[[DataFrame], DataFrame], allowed: list[str], kind: str = "gfs", rules: Rules = Rules(), attributes: dict[str, str] | None = None
+    spark: SparkSession, path: str, model: str, axis: DataFrame, runs: DataFrame, fetch: Callable[[DataFrame], DataFrame], allowed: list[str], kind: str = "gfs", rules: Rules = Rules(), attributes: dict[str, str] | None = None, convert: Convert | None = None
 ) -> Consumed:
     """Takes up the wanted runs that the store at path lacks.
 
-    fetch gives the raw fields (init_time, url, dataset_no, alias, step, lat_e4, lon_e4, value) of the runs it is given:
-    only those whose corner is missing, so that a second call goes on where the first one stopped. Fields become cells
-    and pieces, pieces are laid into the model's axes, and each run is judged by its pieces and then by its images. Cells
-    are staged; only runs that pass are published, or those that are kept all the same. A row for each run goes to
-    path + ".runs", error rows to path + ".errors".
-
-    runs: (init_time, status, n, n_failed, bytes, rule, sample, n_images, bad_images); runs that were there before have
-    the status `stored`. A store that can't be made leaves every run `store_failed`.
+    fetch gives the raw fields of the runs it is given: only those whose corner is missing, so that a second call goes on
+    where the first one stopped. convert makes cells of them (init_time and the other keys, value, url, piece) and error
+    rows; without it they are decoded fields, as pieces_of takes them. Cells of whatever dimensions the model's axes have
+    go the same way. Of equal cells in a file the first data set's stays. Pieces are laid into the axes; a file that its
+    conversion fails fails as a whole and counts once. Each run is judged by its pieces and then by its images; of equal
+    cells in good pieces of several files the last file's stays. Only runs that pass are published, or those that are
+    kept all the same, each whole (see versions). A row for each run goes to path + ".runs", error rows to path + ".errors".
+
+    runs: (init_time, status, n, n_failed, bytes, rule, sample, misaligned, n_images, bad_images), misaligned being the
+    pieces whose region starts or stops inside a block of the store; runs that were there before have the status `stored`.
+    A store that can't be made leaves every run `store_failed`. Intermediates are deleted when it returns.
     """
-    began = time.time()
+    began, call = time.time(), uuid.uuid4().hex
     images, _, failed = storage.create(spark, path, model, runs, axis, allowed, attributes)
     wanted = runs.select("init_time").distinct()
     if failed.limit(1).count():
         return Consumed(wanted.withColumn("status", F.lit("store_failed")), failed, 0, time.time() - began)
-    outer = axis.where("dim <> 'init_time'").select("dim", "idx", "num", "str").unionByName(axes.ordered(axes.ticks(images.select("init_time"))))
-    outer = _kept(outer, "axes")
-    stored = storage.found(spark, path, CELLS)
-    missing = _kept(wanted if stored is None else quality.missing_runs(wanted, stored, outer), "missing")
-    cells, said = pieces_of(fetch(missing), allowed, kind)
-    cells = _kept(cells, "cells")
-    region = _kept(axes.regions(axes.ticks(cells.drop("url"), ("piece",)), outer, "piece"), "regions")
+    layout, small = layout_on(axis), []
+
+    def hold(df: DataFrame) -> DataFrame:
+        """A table of axes, regions or pieces, kept in memory while it is used; a lost part is made again from the cells."""
+        small.append(df.persist())
+        return df
+
+    with storage.scratch(spark):
+        outer = hold(axis.where("dim <> 'init_time'").select("dim", "idx", "num", "str").unionByName(axes.ordered(axes.ticks(images.select("init_time")))))
+        stored = versions.found(spark, path, layout.schema)
+        missing = hold(wanted if stored is None else quality.missing_runs(wanted, stored, outer))
+        cells, said = (convert or (lambda fields: pieces_of(fields, allowed, kind)))(fetch(missing))
+        cells = storage.kept(cells, "cells")
+        judged, passed, region = _judge(cells, said, missing, outer, images, rules, hold)
+        judged = hold(judged)
+        passing = judged.where("status in ('ok', 'kept_invalid')").select("init_time")
+        written = versions.size(spark, path, versions.publish(passed.join(passing, "init_time", "left_semi"), path))
+        old = wanted.join(missing, "init_time", "left_anti").select("init_time", F.lit("stored").alias("status"))
+        judged.unionByName(old, allowMissingColumns=True).withColumn("call", F.lit(call)).write.mode("append").parquet(f"{path}.runs")
+        where = region.join(cells.select("piece", "init_time").distinct(), "piece")
+        told = together(said, axes.region_errors(where, "piece", "init_time"), errors(judged.where("rule is not null"), "outcome", F.col("rule"), "init_time", None, "sample"))
+        told.write.mode("append").parquet(f"{path}.errors")
+        for df in small:
+            df.unpersist()
+    rows = spark.read.parquet(f"{path}.runs").where(F.col("call") == call).drop("call")
+    return Consumed(rows, spark.read.parquet(f"{path}.errors"), written, time.time() - began)
+
+
+def _judge(cells: DataFrame, said: DataFrame, missing: DataFrame, outer: DataFrame, images: DataFrame, rules: Rules, hold: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(runs with their status, unique cells of good pieces, regions of all pieces).
+
+    Files that a conversion failed are known before pieces count: their pieces are no results, and their cells meet no others.
+    """
+    files = hold(said.where("stage = 'convert'").select(F.col("run").alias("init_time"), "url").distinct())
+    whole = cells.join(files, ["init_time", "url"], "left_anti")
+    region = hold(axes.regions(axes.ticks(whole.drop("url"), ("piece",)), outer, "piece"))
+    blocks = storage.block_sizes(axes.shape(outer.withColumn("_all", F.lit(0)), "_all"), outer.select(F.lit(0).alias("_all"), "dim", F.lit(None).cast("int").alias("count")).limit(0), "_all")
+    odd = axes.misaligned(region, blocks).select("piece").distinct().withColumn("_odd", F.lit(1))
     bad = region.where("rule is not null").select("piece").distinct().withColumn("failed", F.lit(True))
-    sizes = cells.groupBy("init_time", "piece").agg((F.count("value") * 4).alias("bytes"))
-    pieces = sizes.join(bad, "piece", "left").select("init_time", F.col("piece").alias("url"), F.coalesce("failed", F.lit(False)).alias("failed"), "bytes")
-    files = said.where("stage = 'convert'").select(F.col("run").alias("init_time"), "url", F.lit(True).alias("failed"), F.lit(0).cast("long").alias("bytes"))
-    results = quality.outcome(missing, _kept(pieces.unionByName(files), "pieces"), "init_time", rules.of_pieces)
-    good = cells.join(bad, "piece", "left_anti")
+    sizes = whole.groupBy("init_time", "piece").agg((F.count("value") * 4).alias("bytes"))
+    pieces = sizes.join(bad, "piece", "left").join(odd, "piece", "left").select("init_time", F.col("piece").alias("url"), F.coalesce("failed", F.lit(False)).alias("failed"), "bytes", "_odd")
+    pieces = hold(pieces.unionByName(files.select("init_time", "url", F.lit(True).alias("failed"), F.lit(0).cast("long").alias("bytes"), F.lit(None).cast("int").alias("_odd"))))
+    results = quality.outcome(missing, pieces, "init_time", rules.of_pieces).join(pieces.where("not failed").groupBy("init_time").agg(F.count("_odd").alias("misaligned")), "init_time", "left")
+    results = results.withColumn("misaligned", F.coalesce("misaligned", F.lit(0)).cast("long"))
+    passed = between_files(whole.join(bad, "piece", "left_anti"))
     asked = images.join(missing, "init_time", "left_semi")
-    shares = quality.missing_share(asked, good, F.col("area"))
-    judged = _kept(status(results, quality.verdict(shares, ["init_time"], rules.of_image, rules.of_images), rules.delete_on_failure), "judged")
-    passing, written = judged.where("status in ('ok', 'kept_invalid')").select("init_time"), 0
-    if passing.limit(1).count():
-        seen = Observation()
-        passed = good.join(passing, "init_time", "left_semi").select(*storage.KEYS, "value")
-        storage.write(passed.observe(seen, F.count(F.lit(1)).alias("n")), path)
-        written = seen.get["n"]
-    old = wanted.join(missing, "init_time", "left_anti").select("init_time", F.lit("stored").alias("status"))
-    rows = judged.unionByName(old, allowMissingColumns=True)
-    rows.write.mode("append").parquet(f"{path}.runs")
-    where = region.join(cells.select("piece", "init_time").distinct(), "piece")
-    together(said, axes.region_errors(where, "piece", "init_time"), errors(judged.where("rule is not null"), "outcome", F.col("rule"), "init_time", None, "sample")).write.mode("append").parquet(f"{path}.errors")
-    return Consumed(rows, spark.read.parquet(f"{path}.errors"), written, time.time() - began)
+    shares = quality.missing_share(asked, passed, F.col("area"))
+    return status(results, quality.verdict(shares, ["init_time"], rules.of_image, rules.of_images), rules.delete_on_failure), passed, region
 
 
-def summary(spark: SparkSession, path: str, done: Consumed) -> DataFrame:
+def summary(spark: SparkSession, path: str, done: Consumed, layout: Layout) -> DataFrame:
     """(store, status, n_cells, size_kb, size_mb, seconds, written) of each run; seconds and written are those of the whole call."""
-    stored = storage.found(spark, path, CELLS)
+    stored = versions.found(spark, path, layout.schema)
     counts = stored.groupBy("init_time").agg(F.count("*").alias("n_cells")) if stored is not None else done.runs.select("init_time", F.lit(0).cast("long").alias("n_cells")).limit(0)
     rows = done.runs.select("init_time", "status").join(counts, "init_time", "left").withColumn("n_cells", F.coalesce("n_cells", F.lit(0)))
     return rows.select(
         F.date_format("init_time", "yyyyMMddHH").alias("store"), "status", "n_cells", storage.size_kb(F.col("n_cells")).alias("size_kb"), storage.size_mb(F.col("n_cells")).alias("size_mb"), F.lit(done.seconds).alias("seconds"), F.lit(done.written).cast("long").alias("written"),
     )
-
-
-def _kept(df: DataFrame, name: str) -> DataFrame:
-    """df written to shared storage and read back: later stages, and executors that are lost, don't run it again."""
-    path = storage.new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -98,13 +98,14 @@ def encode_times(spark, folder):
 PIECE_SQL = """pieces as (select *, strftime(init_time, '%Y%m%d%H') || '/' || variable as piece from known where step >= 1 and iy < 9 and variable <> 'wind_u_component_10m'
   union all select *, strftime(init_time, '%Y%m%d') || '/' || variable from known where variable = 'wind_u_component_10m')"""
 EACH_SQL = ticks_sql("every", "pieces", "piece") + ", each as (select * from every where not (dim = 'longitude' and piece like '%12/cloud_cover_total'))"
-REGION_SQL = """met as (select e.piece, e.dim, e.num, e.str, o.idx from each e left join inner_whole o on e.dim = o.dim and e.num is not distinct from o.num and e.str is not distinct from o.str),
+REGION_SQL = """met as materialized (select e.piece, e.dim, e.num, e.str, o.idx from each e left join inner_whole o on e.dim = o.dim and e.num is not distinct from o.num and e.str is not distinct from o.str),
 facts as (select piece, dim, min(idx) as start, max(idx) + 1 as stop, count(*) as n, count(*) - count(idx) as lost from met group by 1, 2),
 region as (select piece, dim, start, stop, case when (select count(*) from facts g where g.piece = f.piece) <> 5 then 'dimensions' when n > (select count(*) from inner_whole w where w.dim = f.dim) then 'longer'
   when lost > 0 then 'outside' when stop - start <> n then 'gaps' end as rule from facts f)"""
 # the outer axes end before the last longitude and step
 OUTER_SQL = "inner_whole as (select * from whole where not (dim = 'longitude' and num > 0.85) and not (dim = 'step' and num > 4))"
 PIECES = (*WHOLE, OUTER_SQL, PIECE_SQL, EACH_SQL, REGION_SQL)
+MET = (*WHOLE, OUTER_SQL, PIECE_SQL, EACH_SQL, REGION_SQL.split(",\nfacts as")[0])
 
 
 def pieces(spark, folder):
@@ -133,7 +134,7 @@ def determine_region(spark, folder):
 
 
 @query("""select piece, dim, 'gap' as kind, before, idx as after, null::varchar as tick from (select piece, dim, idx, lag(idx) over (partition by piece, dim order by idx) as before from met where idx is not null) where idx > before + 1
-  union all select piece, dim, 'outside', null, null, coalesce(str, printf('%.4f', num)) from met where idx is null""", *PIECES)
+  union all select piece, dim, 'outside', null, null, coalesce(str, printf('%.4f', num)) from met where idx is null""", *MET)
 def region_gaps(spark, folder):
     return a.gaps(inner_axes(spark, folder), outer_axes(spark, folder), "piece")
 

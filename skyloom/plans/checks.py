@@ -9,10 +9,12 @@ from ..operators import axes as a
 from ..operators import models as m
 from ..operators import quality as q
 from ..operators import runs as r
+from ..operators.layout import layout_of, layout_on
 from ..sources import storage as s
 from ..sources import tables as t
+from ..sources import versions
 from ..streaming import live
-from .axes import CELLS, EXPECTED_SQL, STEPS, VARIABLES, VARIABLES_SQL, expected, known, ticks_sql
+from .axes import CELLS, EXPECTED_SQL, GRIDS_SQL, STEPS, VARIABLES, VARIABLES_SQL, expected, gridded, known, ticks_sql
 from .registry import query
 from .stores import CANONICAL_SQL, canonical, model_axis
 
@@ -114,47 +116,130 @@ def ingest_outcome(spark, folder):
     return q.outcome(runs.union(runs.select(F.col("init_time") + F.expr("interval 31 days"))), pieces, "init_time")
 
 
-# A whole run: wanted run times of a period; files whose pieces (of a variable) must lie in the axes, ticks in a row; 6 % of them may fail;
-# images of what did not fail; verdict and status. The events' files fail oftener than real ones, hence another tolerance there.
-def consumed_sql(cells: str, period: str, steps: str, variables: str, area: str, lack: float, images: float, fail: float = 0.06) -> str:
-    """Common tables up to `consumed`, for cells (init_time, url, variable, step, outside, value: one each)."""
-    return f"""cell as ({cells}), wanted as ({period}), mine as (select c.* from cell c join wanted using (init_time)),
-    piece as (select init_time, url, variable, count(*) as n, bool_or(outside) as outside, max(step) - min(step) + 1 <> count(distinct step) as gaps from mine group by all),
-    facts as (select init_time, count(*) as n, sum((outside or gaps)::int)::bigint as n_failed, sum(case when outside or gaps then 0 else n * 4 end)::bigint as bytes from piece group by 1),
-    good as (select m.* from mine m join piece p using (init_time, url, variable) where not p.outside and not gaps),
-    filled as (select init_time, step, variable, 1 - count(*) filter (where good.init_time is not null) / {area}::double as share from (select init_time, s::int as step, v as variable from wanted, unnest({steps}) a(s), unnest({variables}) b(v)) i left join good using (init_time, step, variable) group by all),
+# A whole run: wanted run times of a period; files that a conversion fails go whole and count once; pieces of the others (of a
+# variable) must lie in the axes, ticks in a row; a share of both may fail; then cells of good pieces meet, the last file's stay;
+# images of these; verdict and status. The events' files fail oftener than real ones, hence another tolerance there.
+PLACE = ["lat_e4", "lon_e4"]
+
+
+def consumed_sql(cells: str, period: str, images: str, area: str, lack: float, bad: float, fail: float = 0.06, keys: list[str] = PLACE, failing: str = "select null::timestamp as init_time, null as url where false", gaps: str = "max(step) - min(step) + 1 <> count(distinct step)") -> str:
+    """Common tables up to `published`, for cells (init_time, url, variable, step, keys, outside, value: one each in a file)."""
+    image = ["init_time", "step", "variable", *(k for k in keys if k.startswith("ensemble"))]
+    names, place = ", ".join(image), ", ".join(["init_time", "step", "variable", *keys])
+    return f"""cell as ({cells}), wanted as ({period}), failing as ({failing}), lost as (select f.* from failing f join wanted using (init_time)),
+    mine as (select c.* from cell c join wanted using (init_time) anti join failing f on f.init_time = c.init_time and f.url = c.url),
+    piece as (select init_time, url, variable, count(*) as n, bool_or(outside) as outside, {gaps} as gaps from mine group by all),
+    result as (select init_time, outside or gaps as failed, n * 4 as bytes from piece union all select init_time, true, 0 from lost),
+    facts as (select init_time, count(*) as n, sum(failed::int)::bigint as n_failed, sum(case when failed then 0 else bytes end)::bigint as bytes from result group by 1),
+    good as (select {", ".join("m." + k for k in ["init_time", "step", "variable", *keys])}, arg_max(m.value, m.url::varchar) as value from mine m join piece p using (init_time, url, variable) where not p.outside and not gaps group by all),
+    image as ({images}),
+    filled as (select {", ".join("i." + c for c in image)}, 1 - count(g.value) / {area}::double as share from image i left join good g on {" and ".join(f"g.{c} = i.{c}" for c in image)} group by all),
     shown as (select init_time, count(*) as n_images, sum((share > {lack})::int)::bigint as bad_images from filled group by 1),
     consumed as (select init_time, coalesce(n, 0) as n, coalesce(n_failed, 0) as n_failed, coalesce(bytes, 0) as bytes, case when n is null then 'no pieces' when n_failed / n::double > {fail} then 'too many failures' end as rule, n_images, bad_images,
-      case when n is null or n_failed / n::double > {fail} then 'fetch_failed' when bad_images / n_images::double > {images} then 'kept_invalid' else 'ok' end as status from wanted left join facts using (init_time) left join shown using (init_time)),
+      case when n is null or n_failed / n::double > {fail} then 'fetch_failed' when bad_images / n_images::double > {bad} then 'kept_invalid' else 'ok' end as status from wanted left join facts using (init_time) left join shown using (init_time)),
     published as (select g.* from good g join consumed using (init_time) where status <> 'fetch_failed')"""
 
 
+def image_sql(steps: str, variables: str) -> str:
+    return f"select init_time, s::int as step, v as variable from wanted, unnest({steps}) a(s), unnest({variables}) b(v)"
+
+
+OUTCOME = ["init_time", "status", "n", "n_failed", "bytes", "rule", "n_images", "bad_images"]
+CONSUMED_SQL = f"select {', '.join(OUTCOME)} from consumed"
 RULES = r.Rules(of_pieces=0.09, of_image=LACK, of_images=0.5, delete_on_failure=False)
-EVENT_CELLS_SQL = "select distinct on (init_time, step, variable, lat_e4, lon_e4) init_time, user_id as url, variable, step, ix = 14 as outside, value from known order by init_time, step, variable, lat_e4, lon_e4, event_id"
+EVENT_CELLS_SQL = "select distinct on (init_time, user_id, step, variable) init_time, user_id as url, variable, step, lat_e4, lon_e4, ix = 14 as outside, value from known order by init_time, user_id, step, variable, event_id"
 MONTH_SQL = "select d + to_hours(h::int) as init_time from generate_series(timestamp '2024-01-01', timestamp '2024-01-31', interval 1 day) as x(d), unnest([0, 6, 12, 18]) as y(h)"
-EVENTS_CONSUMED = (*CELLS, consumed_sql(EVENT_CELLS_SQL, MONTH_SQL, str(STEPS), f"[{VARIABLES_SQL}]", "(select count(distinct lat_e4) * least(count(distinct lon_e4), 14) from known)", LACK, 0.5, 0.09))
+EVENT_IMAGES_SQL, EVENT_AREA_SQL = image_sql(str(STEPS), f"[{VARIABLES_SQL}]"), "(select count(distinct lat_e4) * least(count(distinct lon_e4), 14) from known)"
+
+
+def events_consumed(fail: float, failing: str | None = None) -> tuple[str, ...]:
+    return (*CELLS, consumed_sql(EVENT_CELLS_SQL, MONTH_SQL, EVENT_IMAGES_SQL, EVENT_AREA_SQL, LACK, 0.5, fail, **({"failing": failing} if failing else {})))
+
+
+EVENTS_CONSUMED = events_consumed(0.09)
 
 
-def _consumed(spark, folder, period, path=None):
+def _consumed(spark, folder, period, kind="ukv", rules=RULES):
     """The store of the events' files for a period; its grid ends before the last longitude of some files."""
     axis = model_axis(spark, folder).where("not (dim = 'longitude' and idx > 13)")
     runs = m.wanted_runs(spark, period, datetime(2024, 2, 1), [0, 6, 12, 18], 300)
     fetch = lambda missing: t.field_files(spark, folder).join(F.broadcast(missing), "init_time", "left_semi")
-    path = path or s.new_path(spark, "store")
-    return path, r.consume(spark, path, "events", axis, runs, fetch, VARIABLES, "ukv", RULES, catalog.attributes(VARIABLES, "latlon"))
+    path = s.new_path(spark, "store")
+    return path, r.consume(spark, path, "events", axis, runs, fetch, VARIABLES, kind, rules, catalog.attributes(VARIABLES, "latlon"))
 
 
-@query("select init_time, status, n, n_failed, bytes, rule, n_images, bad_images from consumed", *EVENTS_CONSUMED)
+@query(CONSUMED_SQL, *EVENTS_CONSUMED)
 def consume_run(spark, folder):
     """A month of runs from files to published store."""
-    return _consumed(spark, folder, date(2024, 1, 1))[1].runs.select("init_time", "status", "n", "n_failed", "bytes", "rule", "n_images", "bad_images")
+    return _consumed(spark, folder, date(2024, 1, 1))[1].runs.select(*OUTCOME)
+
+
+# files (of a user) that hold some, or nothing but, events of an unknown kind
+HOLDS_JUNK_SQL = "select init_time, user_id as url from field_ev group by 1, 2 having {} (alias = 'junk')"
+
+
+@query(CONSUMED_SQL, *events_consumed(0.45, HOLDS_JUNK_SQL.format("bool_or")))
+def consume_any_fails(spark, folder):
+    """The same month where a file fails by any of its data sets that holds nothing wanted."""
+    return _consumed(spark, folder, date(2024, 1, 1), "global", r.Rules(0.45, LACK, 0.5, False))[1].runs.select(*OUTCOME)
+
+
+@query(CONSUMED_SQL, *events_consumed(0.25, HOLDS_JUNK_SQL.format("bool_and")))
+def consume_all_fail(spark, folder):
+    """The same month where a file fails if all of its data sets hold nothing wanted."""
+    return _consumed(spark, folder, date(2024, 1, 1), "gfs", r.Rules(0.25, LACK, 0.5, False))[1].runs.select(*OUTCOME)
+
+
+# Two models that aren't degrees and nothing else: members on OSGB metres, statistics on LAEA metres. A file is a run's events of a user.
+METRES_SQL = """files as (select init_time, user_id as url, event_id, step, variable, ensemble_stat, ensemble_member, y::int as y, x::int as x, value from grids join (select event_id, value from events) using (event_id) where grid = '{grid}')"""
+
+
+def _metres_sql(grid: str, extra: str, lack: float, fail: float) -> tuple[str, ...]:
+    keys = [extra, "y", "x"]
+    cells = f"select init_time, url, variable, step, {', '.join(keys)}, false as outside, arg_min(value, event_id) as value from files group by all"
+    images = f"select init_time, step, variable, {extra} from wanted, (select distinct step from files), (select distinct variable from files), (select distinct {extra} from files)"
+    area = "(select count(distinct y) * count(distinct x) from files)"
+    gaps = f"max(step) - min(step) + 1 <> count(distinct step)" + (" or max(ensemble_member) - min(ensemble_member) + 1 <> count(distinct ensemble_member)" if extra == "ensemble_member" else "")
+    return (*CELLS, GRIDS_SQL, METRES_SQL.format(grid=grid), consumed_sql(cells, "select distinct init_time from files", images, area, lack, 0.9, fail, keys, gaps=gaps))
+
+
+def _metres(spark, folder, grid, extra, y, x, rules):
+    """(path, layout, outcome) of consuming one of these models from its files, with axes as its cells have them."""
+    files = gridded(spark, folder).where(F.col("grid") == grid).join(t.table(spark, folder, "events").select("event_id", "value"), "event_id")
+    short = F.create_map(*[F.lit(v) for pair in zip(VARIABLES, ["tcc", "dswrf", "t2m", "u10"], strict=True) for v in pair])
+    files = files.select("init_time", F.concat(F.date_format("init_time", "yyyyMMddHH"), F.lit("/"), "user_id").alias("url"), F.col("event_id").alias("dataset_no"), F.element_at(short, F.col("variable")).alias("alias"), "step", extra, y, x, "value", "variable")
+    axis = a.ordered(a.ticks(files.drop("init_time", "url", "value")))
+    path, runs = s.new_path(spark, "store"), files.select("init_time").distinct()
+    fetch = lambda missing: files.drop("variable").join(F.broadcast(missing), "init_time", "left_semi")
+    return path, layout_on(axis), r.consume(spark, path, grid, axis, runs, fetch, VARIABLES, "ukv", rules, catalog.attributes(VARIABLES, grid))
+
+
+@query("""select init_time, status, n_images, bad_images, null::int as ensemble_member, null::bigint as n_cells, null::double as total from consumed
+  union all select init_time, null, null, null, ensemble_member, count(*), round(sum(value + case when ensemble_member = 2 then 1000 else 0 end), 4) from published group by init_time, ensemble_member""", *_metres_sql("osgb", "ensemble_member", 0.99, 0.4))
+def consume_members(spark, folder):
+    """Members on a metre grid: consumed, judged, one member written again over what is stored, and all read back."""
+    path, layout, done = _metres(spark, folder, "osgb", "ensemble_member", "y_osgb", "x_osgb", r.Rules(0.4, 0.99, 0.9, False))
+    versions.upsert(versions.found(spark, path, layout.schema).where("ensemble_member = 2").withColumn("value", F.col("value") + 1000), path)
+    stored = versions.found(spark, path, layout.schema).groupBy("init_time", "ensemble_member").agg(F.count("*").alias("n_cells"), F.round(F.sum("value"), 4).alias("total"))
+    return done.runs.select("init_time", "status", "n_images", "bad_images").unionByName(stored, allowMissingColumns=True)
+
+
+@query("""select init_time, status, n_images, bad_images, null::int as step, null::varchar as variable, null::varchar as ensemble_stat, null::double as share from consumed
+  union all select init_time, null, null, null, step, variable, ensemble_stat, round(share, 6) from filled join consumed using (init_time) where status <> 'fetch_failed'""", *_metres_sql("laea", "ensemble_stat", 0.99, 0.2))
+def consume_statistics(spark, folder):
+    """Statistics on a metre grid: consumed, judged, and the shares of what was stored."""
+    path, layout, done = _metres(spark, folder, "laea", "ensemble_stat", "y_laea", "x_laea", r.Rules(0.2, 0.99, 0.9, False))
+    there = done.runs.where("status <> 'fetch_failed'").select("init_time")
+    images = spark.read.parquet(f"{path}.images").join(there, "init_time", "left_semi")
+    shares = q.missing_share(images, versions.found(spark, path, layout.schema), F.col("area")).withColumn("share", F.round("share", 6))
+    return done.runs.select("init_time", "status", "n_images", "bad_images").unionByName(shares, allowMissingColumns=True)
 
 
-LINE_CELLS_SQL = "select distinct on (init_time, step, variable, lat_e4, lon_e4) init_time, l_orderkey as url, variable, step, lon_e4 = 4000 as outside, value from fld_li join aliases using (alias) order by init_time, step, variable, lat_e4, lon_e4, l_orderkey * 8 + step, value"
+LINE_CELLS_SQL = "select distinct on (init_time, l_orderkey, step, variable, lat_e4, lon_e4) init_time, l_orderkey as url, variable, step, lat_e4, lon_e4, lon_e4 = 4000 as outside, value from fld_li join aliases using (alias) order by init_time, l_orderkey, step, variable, lat_e4, lon_e4, l_orderkey * 8 + step, value"
 LINE_MONTH_SQL = "select d + to_hours(h::int) as init_time from generate_series(timestamp '1995-03-01', timestamp '1995-03-31', interval 1 day) as x(d), unnest([0, 12]) as y(h)"
 
 
-@query("select init_time, status, n, n_failed, bytes, rule, n_images, bad_images from consumed", t.LINES_SQL, catalog.ALIAS_SQL, consumed_sql(LINE_CELLS_SQL, LINE_MONTH_SQL, "[1, 2, 3, 4, 5, 6, 7]", "['cloud_cover_total', 'temperature_sl', 'visibility_sl']", "12", 0.95, 0.99, 0.25))
+@query(CONSUMED_SQL, t.LINES_SQL, catalog.ALIAS_SQL, consumed_sql(LINE_CELLS_SQL, LINE_MONTH_SQL, image_sql("[1, 2, 3, 4, 5, 6, 7]", "['cloud_cover_total', 'temperature_sl', 'visibility_sl']"), "12", 0.95, 0.99, 0.25))
 def archive_month(spark, folder):
     """One month of the many that the line items have, twice a day; the second run of a day has no files."""
     names = ["cloud_cover_total", "temperature_sl", "visibility_sl"]
@@ -163,10 +248,10 @@ def archive_month(spark, folder):
     fetch = lambda missing: t.line_files(spark, folder).join(F.broadcast(missing), "init_time", "left_semi")
     runs = m.wanted_runs(spark, date(1995, 3, 1), datetime(1995, 4, 1), [0, 12], 0)
     done = r.consume(spark, s.new_path(spark, "store"), "lines", axis, runs, fetch, names, "ukv", r.Rules(of_pieces=0.25, of_image=0.95, of_images=0.99, delete_on_failure=False))
-    return done.runs.select("init_time", "status", "n", "n_failed", "bytes", "rule", "n_images", "bad_images")
+    return done.runs.select(*OUTCOME)
 
 
-@query("select init_time, case when day(init_time) <= 10 and first_ok then 'stored' else status end as status from (select *, init_time in (select init_time from published where step < 2 and variable in ('cloud_cover_total', 'downward_shortwave_radiation_flux_gl') and url % 10 < 2 and url // 10 < 2) as first_ok from consumed)", *EVENTS_CONSUMED)
+@query("select init_time, case when day(init_time) <= 10 and first_ok then 'stored' else status end as status from (select *, init_time in (select init_time from published where step < 2 and variable in ('cloud_cover_total', 'downward_shortwave_radiation_flux_gl') and lat_e4 > 598000 and lon_e4 < -48000) as first_ok from consumed)", *EVENTS_CONSUMED)
 def run_status(spark, folder):
     """The month asked for again after its first ten days have been taken up: only runs whose corner is missing are fetched."""
     axis = model_axis(spark, folder).where("not (dim = 'longitude' and idx > 13)")
@@ -181,7 +266,7 @@ def run_status(spark, folder):
   from consumed left join published p using (init_time) group by 1, 2""", *EVENTS_CONSUMED)
 def run_summary(spark, folder):
     path, done = _consumed(spark, folder, date(2024, 1, 1))
-    return r.summary(spark, path, done).select("store", "status", "n_cells", "size_kb", "size_mb", (F.col("seconds") > 0).alias("timed"), "written")
+    return r.summary(spark, path, done, layout_of(s.KEYS)).select("store", "status", "n_cells", "size_kb", "size_mb", (F.col("seconds") > 0).alias("timed"), "written")
 
 
 @query("select init_time, step, variable, lat_e4, lon_e4, value from canonical", *CELLS, CANONICAL_SQL)

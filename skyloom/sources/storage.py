@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators import axes
 from ..operators.errors import SCHEMA, errors
+from ..operators.layout import layout_of
 
+#: The keys of cells on a grid of degrees without members.
 KEYS = ["init_time", "step", "variable", "lat_e4", "lon_e4"]
-PARTS = ["init_time", "variable"]
 ABOUT = "model string, attributes map<string, string>"
 
 
@@ -29,20 +32,44 @@ def new_path(spark: SparkSession, name: str) -> str:
     """A new folder under spark.checkpoint.dir, which all executors see. Without the setting only a session on one machine goes on, in a folder there."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if not (spark.sparkContext.master + "[").startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
         base = _own_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_open = threading.local()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What kept() writes inside is deleted at the end, also after a failure."""
+    outer, _open.paths = getattr(_open, "paths", None), []
+    try:
+        yield
+    finally:
+        mine, _open.paths = _open.paths, outer
+        for path in mine:
+            remove(spark, path)
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df written to shared storage and read back, until the end of the scratch() it is in: later stages, and executors that are lost, don't run it again."""
+    path = new_path(df.sparkSession, name)
+    if getattr(_open, "paths", None) is not None:
+        _open.paths.append(path)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write(cells: DataFrame, path: str) -> None:
-    """Writes whole run and variable partitions, in canonical order inside; others in the folder stay.
+    """Writes whole folders (run and variable), in canonical order inside, members and statistics one after another; others at the path stay.
 
-    Large partitions are written by several tasks and small ones together by one, as Spark finds their sizes.
+    Large folders are written by several tasks and small ones together by one, as Spark finds their sizes.
     """
-    order = [*(c for c in ("step", "ensemble_stat", "ensemble_member") if c in cells.columns), *(F.desc(c) for c in ("lat_e4", "y_osgb", "y_laea") if c in cells.columns), *(c for c in ("lon_e4", "x_osgb", "x_laea") if c in cells.columns)]
-    spread = cells.sparkSession.sql(f"select /*+ rebalance({', '.join(PARTS)}) */ * from {{cells}}", cells=cells)
-    spread.sortWithinPartitions(*PARTS, *order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).parquet(path)
+    layout = layout_of(cells.columns)
+    spread = cells.sparkSession.sql(f"select /*+ rebalance({', '.join(layout.parts)}) */ * from {{cells}}", cells=cells)
+    spread.sortWithinPartitions(*layout.parts, *layout.order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*layout.parts).parquet(path)
 
 
 def read(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -105,21 +132,24 @@ def _failure(spark: SparkSession, path: str, rule: str, detail: str | None = Non
 
 
 def upsert(store: DataFrame, pieces: DataFrame, path: str, order: str = "seq") -> DataFrame:
-    """The store at path after writing pieces: of equal cells the last written one wins, and only touched partitions are written.
+    """The store at path after writing pieces: of equal cells the last written one wins, and only touched folders are written.
 
-    store: cells with `order`; pieces: the same columns.
+    store: cells with `order`; pieces: the same columns. Cells are equal if they are in all dimensions that they have. Of
+    equal cells with the same order the greatest values stay. Folders are overwritten in place; versions.upsert leaves
+    readers the old ones.
     """
-    touched = pieces.select(*PARTS).distinct()
-    old = store.join(touched, PARTS, "left_semi")
-    both = old.unionByName(pieces).withColumn("_n", F.row_number().over(W.partitionBy(*KEYS).orderBy(F.desc(order)))).where("_n = 1").drop("_n")
-    staged = new_path(store.sparkSession, "staged")
-    both.write.parquet(staged)  # what is overwritten must not be read at the same time
-    write(store.sparkSession.read.schema(both.schema).parquet(staged), path)
-    remove(store.sparkSession, staged)
+    layout = layout_of(store.columns)
+    rest = [c for c in store.columns if c not in (*layout.keys, order)]
+    touched = pieces.select(*layout.parts).distinct()
+    old = store.join(touched, layout.parts, "left_semi")
+    last = old.unionByName(pieces).groupBy(*layout.keys).agg(F.max(F.struct(order, *rest)).alias("_last"))
+    with scratch(store.sparkSession):
+        staged = kept(last.select(*layout.keys, "_last.*").select(*store.columns), "staged")  # what is overwritten must not be read at the same time
+        write(staged, path)
     return read(store.sparkSession, path, store.schema)
 
 
-def _folder(spark: SparkSession, path: str):
+def folder(spark: SparkSession, path: str):
     """The Hadoop file system of a path, and the path there."""
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)
@@ -128,7 +158,7 @@ def _folder(spark: SparkSession, path: str):
 
 def remove(spark: SparkSession, path: str) -> bool:
     """Deletes what is at a path, with all below it. False if there was nothing."""
-    fs, place = _folder(spark, path)
+    fs, place = folder(spark, path)
     return fs.delete(place, True)
 
 
@@ -143,7 +173,7 @@ def drop_runs(spark: SparkSession, path: str, runs: DataFrame) -> int:
 
     Run times come to the driver: at most as many as the store has folders.
     """
-    fs, place = _folder(spark, path)
+    fs, place = folder(spark, path)
     if not fs.exists(place):
         return 0
     gone = {str(r.init_time) for r in runs.select("init_time").distinct().collect()}

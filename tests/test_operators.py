@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from skyloom.functions import catalog
 from skyloom.operators import axes, manifest, models, normalise, quality, runs
-from skyloom.sources import storage, tables
+from skyloom.operators.layout import layout_of
+from skyloom.sources import storage, tables, versions
 from skyloom.streaming import live
 
 RUN = datetime(2021, 1, 1)
@@ -256,6 +257,13 @@ def test_limits_of_wind_direction_count_as_turned(spark):
     assert got == {"wind_direction_10m": (0.5, False, False), "temperature_sl": (None, False, True)}
 
 
+GRID = layout_of(storage.KEYS)
+
+
+def stored(spark, path):
+    return versions.found(spark, path, GRID.schema)
+
+
 def store_of(spark, hours_=(0, 6, 12, 18)):
     """Raw fields of four runs, their wanted runs, and the model's axes."""
     rows = [(RUN + timedelta(hours=h), f"{h}/{s}", 0, a, s, y * 10000, x * 10000, 1.0) for h in hours_ for s in range(4) for a in ("t", "junk") for y in (61, 60) for x in (10, 11, 12)]
@@ -280,10 +288,10 @@ def test_runs_are_taken_up_once_and_others_later(spark):
     assert done.written == 48 and {(r.run.hour, r.rule) for r in done.errors.where("stage = 'outcome'").collect()} == {(6, "no pieces"), (18, "no pieces")}
     again = take_up(spark, path, fields, runs_, axis, seen)
     assert seen == [[0, 6, 12, 18], [6, 18]] and {r.init_time.hour: r.status for r in again.runs.collect()} == {0: "stored", 6: "ok", 12: "stored", 18: "ok"}
-    assert spark.read.parquet(path).count() == 4 * 24
+    assert stored(spark, path).count() == 4 * 24
     third = take_up(spark, path, fields, runs_, axis, seen)
     assert seen[2] == [] and {r.status for r in third.runs.collect()} == {"stored"}
-    told = runs.summary(spark, path, third).collect()
+    told = runs.summary(spark, path, third, GRID).collect()
     assert {(r.n_cells, r.size_kb, r.size_mb, r.written) for r in told} == {(24, 0, 0, 0)} and all(r.seconds > 0 for r in told)
 
 
@@ -295,10 +303,126 @@ def test_runs_that_fail_are_not_published(spark):
     got = take_up(spark, path, bad, runs_, axis, [])
     assert {r.init_time.hour: (r.status, r.n_failed) for r in got.runs.collect()} == {0: ("ok", 0), 6: ("fetch_failed", 1), 12: ("deleted_invalid", 0), 18: ("ok", 0)}
     assert [(r.run.hour, r.rule, r.detail) for r in got.errors.where("stage = 'region'").collect()] == [(6, "outside", "longitude")]
-    assert {r.init_time.hour for r in spark.read.parquet(path).select("init_time").distinct().collect()} == {0, 18}
+    assert {r.init_time.hour for r in stored(spark, path).select("init_time").distinct().collect()} == {0, 18}
     path = storage.new_path(spark, "store")
     kept = take_up(spark, path, bad, runs_, axis, [], delete_on_failure=False)
-    assert {r.init_time.hour: r.status for r in kept.runs.collect()}[12] == "kept_invalid" and spark.read.parquet(path).where(hour == 12).count() == 21
+    assert {r.init_time.hour: r.status for r in kept.runs.collect()}[12] == "kept_invalid" and stored(spark, path).where(hour == 12).count() == 21
+
+
+def test_a_failed_piece_takes_no_cells_of_others_with_it(spark):
+    """Two files share cells; the one that is read first has a tick outside: the other one's cells are all published."""
+    _, runs_, axis = store_of(spark, (0,))
+    row = lambda url, step, lon, v: (RUN, url, 0, "t", step, 610000, lon * 10000, v)
+    fields = spark.createDataFrame([row("f1", 0, 10, 1.0), row("f1", 0, 11, 1.0), row("f1", 0, 99, 1.0), *(row("f2", 0, x, 2.0) for x in (10, 11, 12)), row("f2", 0, 10, 9.0)], store_of(spark, (0,))[0].schema)
+    fields = fields.withColumn("dataset_no", (F.col("value") == 9).cast("int"))
+    path = storage.new_path(spark, "store")
+    got = take_up(spark, path, fields, runs_, axis, [], of_pieces=0.5, of_images=1.0)
+    run = got.runs.first()
+    assert (run.status, run.n, run.n_failed, run.bytes, got.written) == ("ok", 2, 1, 12, 3)
+    assert sorted((r.lon_e4, r.value) for r in stored(spark, path).collect()) == [(100000, 2.0), (110000, 2.0), (120000, 2.0)]
+
+
+def test_the_later_file_wins_cells_that_two_good_files_have(spark):
+    fields, runs_, axis = store_of(spark, (0,))
+    later = fields.where("step = 1 and lat_e4 = 600000").withColumns({"url": F.lit("z"), "value": F.lit(7.0)})
+    path = storage.new_path(spark, "store")
+    got = take_up(spark, path, later.unionByName(fields), runs_, axis, [])
+    assert got.runs.first().status == "ok" and stored(spark, path).where("value = 7").count() == 3 and got.written == 24
+
+
+def test_a_file_fails_as_a_whole_and_counts_once(spark):
+    """One empty data set fails a file of kind `global`: none of its cells is published."""
+    fields, runs_, axis = store_of(spark, (0,))
+    name = F.when(F.col("alias") == "junk", F.when(F.col("step") == 2, "junk").otherwise("t2m")).otherwise("t")
+    path = storage.new_path(spark, "store")
+    fetch = lambda missing: fields.where("alias = 't' or step = 2").withColumns({"alias": name, "dataset_no": (F.col("alias") == "junk").cast("int")})
+    got = runs.consume(spark, path, "m", axis, runs_, fetch, ["temperature_sl"], "global", runs.Rules(of_pieces=0.5, of_images=1.0))
+    run = got.runs.first()
+    assert (run.status, run.n, run.n_failed) == ("ok", 4, 1) and {r.step for r in stored(spark, path).select("step").distinct().collect()} == {0, 1, 3}
+    assert [(r.url, r.rule) for r in got.errors.where("stage = 'convert'").collect()] == [("0/2", "nothing relevant")]
+
+
+def members_of(spark, values=(1, 2, 3)):
+    one = cells(spark, 1, range(2), ("temperature_sl",))
+    return one.withColumn("ensemble_member", F.explode(F.array(*map(F.lit, values))))
+
+
+def test_members_are_judged_one_by_one(spark):
+    whole = members_of(spark, (1, 2))
+    images = whole.select("init_time", "step", "variable", "ensemble_member").distinct()
+    share = lambda have: {(r.step, r.ensemble_member): r.share for r in quality.missing_share(images, have, 9).collect()}
+    assert share(whole.where("ensemble_member = 1")) == {(0, 1): 0.0, (1, 1): 0.0, (0, 2): 1.0, (1, 2): 1.0}
+    assert set(share(whole).values()) == {0.0}
+
+
+def test_writing_one_member_leaves_the_others(spark):
+    whole = members_of(spark).withColumn("seq", F.lit(0))
+    path = storage.new_path(spark, "store")
+    storage.write(whole, path)
+    got = storage.upsert(storage.read(spark, path, whole.schema), whole.where("ensemble_member = 2").withColumns({"value": F.lit(5.0), "seq": F.lit(1)}), path)
+    assert {(r.ensemble_member, r.value): r["count"] for r in got.groupBy("ensemble_member", "value").count().collect()} == {(1, 1.0): 18, (2, 5.0): 18, (3, 1.0): 18}
+    versioned = storage.new_path(spark, "store")
+    schema = layout_of(whole.columns).schema
+    versions.publish(whole.drop("seq"), versioned)
+    versions.upsert(whole.where("ensemble_member = 2 and step = 1").drop("seq").withColumn("value", F.lit(5.0)), versioned)
+    assert versions.found(spark, versioned, schema).where("value = 5").count() == 9 and versions.found(spark, versioned, schema).count() == 54
+
+
+def test_members_on_metres_are_consumed(spark):
+    rows = [(RUN, f"{m}/{s}", 0, "t", s, m, y, x, 1.0) for m in (1, 2) for s in range(3) for y in (2000, 0) for x in (0, 2000, 4000)]
+    fields = spark.createDataFrame(rows, "init_time timestamp_ntz, url string, dataset_no int, alias string, step int, ensemble_member int, y_osgb int, x_osgb int, value double")
+    axis = axes.ordered(axes.ticks(fields.withColumn("variable", F.lit("temperature_sl")).drop("init_time", "url", "value")))
+    path = storage.new_path(spark, "store")
+    take = lambda have: runs.consume(spark, path, "m", axis, fields.select("init_time").distinct(), lambda _: have, ["temperature_sl"], "gfs", runs.Rules(of_images=0.4))
+    first = take(fields.where("ensemble_member = 1")).runs.first()
+    assert (first.status, first.n_images, first.bad_images) == ("deleted_invalid", 6, 3) and versions.found(spark, path, layout_of(fields.columns).schema) is None
+    assert take(fields).runs.first().status == "ok" and take(fields).runs.first().status == "stored"
+
+
+def test_a_write_that_dies_leaves_the_old_run(spark, monkeypatch):
+    first = cells(spark, 2, range(2))
+    path, schema = storage.new_path(spark, "store"), layout_of(first.columns).schema
+    versions.publish(first, path)
+    whole = lambda: {(r.init_time.hour, r.value): r["count"] for r in versions.found(spark, path, schema).groupBy("init_time", "value").count().collect()}
+    n = first.where(F.hour("init_time") == 0).count()
+    reader = versions.found(spark, path, schema)
+    with monkeypatch.context() as m:
+        m.setattr(versions, "name_once", lambda *a: 1 / 0)
+        try:
+            versions.publish(first.where(F.hour("init_time") == 0).withColumn("value", F.lit(2.0)), path)
+        except ZeroDivisionError:
+            pass
+    assert whole() == {(0, 1.0): n, (3, 1.0): n} and versions.sweep(spark, path) == 3
+    versions.publish(first.where(F.hour("init_time") == 0).withColumn("value", F.lit(2.0)), path, "again")
+    assert whole() == {(0, 2.0): n, (3, 1.0): n} and reader.where("value = 1").count() == 2 * n  # who began before reads on
+    versions.publish(first.where(F.hour("init_time") == 0).withColumn("value", F.lit(2.0)), path, "again")
+    assert whole() == {(0, 2.0): n, (3, 1.0): n} and versions.sweep(spark, path) == 3 and versions.sweep(spark, path) == 0
+    assert versions.drop_runs(spark, path, first.where(F.hour("init_time") == 3).select("init_time")) == 1 and whole() == {(0, 2.0): n}
+    with monkeypatch.context() as m:  # another writer takes the name first: what it left is kept
+        once, others = versions.name_once, [first.where(F.hour("init_time") == 3)]
+        m.setattr(versions, "name_once", lambda *a: (versions.publish(others.pop(), path) if others else None, once(*a))[1])
+        versions.publish(first.where(F.hour("init_time") == 0).withColumn("value", F.lit(3.0)), path)
+    assert whole() == {(0, 3.0): n, (3, 1.0): n}
+
+
+def test_consume_leaves_nothing_behind_and_decodes_once(spark, tmp_path):
+    fields, runs_, axis = store_of(spark)
+    shared, decoded = f"file://{tmp_path}/own", spark.sparkContext.accumulator(0)
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", shared)
+
+    def decode(frames):
+        for f in frames:
+            decoded.add(len(f))
+            yield f
+
+    try:
+        path = storage.new_path(spark, "store")
+        done = runs.consume(spark, path, "m", axis, runs_, lambda missing: fields.join(missing, "init_time", "left_semi").mapInPandas(decode, fields.schema), ["temperature_sl"])
+        assert done.runs.count() == 4 and decoded.value == fields.count()
+        assert {p.name.split("-")[0] for p in (tmp_path / "own").iterdir()} == {"store"}
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
 
 
 def test_stores_know_their_model(spark):
