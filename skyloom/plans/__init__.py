@@ -1,6 +1,6 @@
 """The registered queries of the forecast library."""
 
-from . import axes, checks, manifest, models, normalise, stores
+from . import axes, checks, convert, manifest, models, normalise, stores
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "axes", "checks", "manifest", "models", "normalise", "stores"]
+__all__ = ["ORACLES", "QUERIES", "axes", "checks", "convert", "manifest", "models", "normalise", "stores"]
