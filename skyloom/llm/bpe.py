@@ -221,7 +221,8 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """docs less its text, with `ids` and `offsets`: packed little-endian unsigned 32-bit numbers, one for each token.
 
     offsets hold the byte in the text where each token begins. Null texts count as empty and give empty results;
-    a text of any length is encoded whole. Columns of docs called ids or offsets give way. Rows stay as they are.
+    a text of any length is encoded whole. Columns of docs called ids or offsets give way. Rows stay as they are,
+    repeated ones too, and an empty table stays empty.
     """
     plain = without(docs, "ids", "offsets")
     kept = [c for c in plain.columns if c != text]
@@ -238,7 +239,7 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
-    """encoded with `decoded` binary: the bytes of its packed ids. Null ids count as none."""
+    """encoded with `decoded` binary: the bytes of its packed ids. Null ids count as none; a column of that name gives way; an empty table stays empty."""
     plain = without(encoded, "decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

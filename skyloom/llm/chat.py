@@ -33,7 +33,8 @@ def show(text: Column) -> Column:
 def linear(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """Conversations as trees of one branch: each row answers the one before it, by turn.
 
-    Equal turns follow by role, then text, nulls first; repeated rows stay separate turns.
+    Equal turns follow by role, then text, nulls first; repeated rows stay separate turns. Texts of any length stay whole,
+    other columns are not looked at, and an empty table gives no rows.
     """
     order = W.partitionBy(conversation).orderBy(turn, role, text)
     return turns.select(
@@ -48,7 +49,8 @@ def paths(messages: DataFrame, best: int | None = None) -> DataFrame:
     messages: tree_id, msg_id, parent_id, role, text, score. A path's score is the sum of its messages' scores (null: 0);
     path_rank is 1 for the best of its tree, ties to the smaller leaf; `best` keeps so many of each tree.
     A message without a known parent is a root. Of repeated msg_ids in a tree the least (parent_id, role, text) stays.
-    Messages that answer each other in a circle have no root and are left out. No rows give no rows.
+    Messages that answer each other in a circle have no root and are left out. No rows give no rows. Texts of any length
+    stay whole, and other columns are not looked at.
     """
     with scratch(messages.sparkSession):
         return lasting(_paths(messages, best), "paths")
@@ -100,7 +102,11 @@ def conversations(messages: DataFrame, best: int | None = 1, learn_from: str = "
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """The turns and the learnt texts of formatted conversations: adds turns array<struct<role,text>>, learnt array<string>."""
+    """The turns and the learnt texts of formatted conversations: adds turns array<struct<role,text>>, learnt array<string>.
+
+    Columns of these names give way, others stay. A null or empty conversation has no turns, or none that is known; texts of
+    any length come back whole, repeated rows alike, and an empty table stays empty.
+    """
     part = lambda i: F.transform(F.regexp_extract_all("formatted", F.lit(_TURN), F.lit(i)), show)
     turns = F.transform(F.arrays_zip(part(1).alias("role"), part(2).alias("text")), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
     learnt = F.transform("loss", lambda x: show(F.substring("formatted", (x["start"] + 1).cast("int"), (x["stop"] - x["start"]).cast("int"))))

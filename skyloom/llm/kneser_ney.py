@@ -178,6 +178,8 @@ BLOB = "part int, keys binary, counts binary"
 def train(docs: DataFrame, text: str = "text") -> Model:
     """Counts a model over all texts of docs (null: empty). Without rows every word is unknown to it.
 
+    Texts of any length count whole, repeated rows as often as they are there, and other columns are not looked at.
+
     The driver gets a few numbers for each range and shard, of which there is one for each SHARD_BYTES of text.
     """
     spark = docs.sparkSession
@@ -538,7 +540,8 @@ def perplexity(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """docs less its text, with n_tokens, n_known, train_tokens, base_score, score and perplexity.
 
     Every text ends with one end token, so that empty and null texts have a score too. Words never counted share what
-    discounting leaves. Result columns win name clashes; repeated rows are scored alike.
+    discounting leaves. Result columns win name clashes; repeated rows are scored alike, texts of any length whole, and an
+    empty table stays empty.
     """
     names = ["n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"]
     plain = without(docs, *names)

@@ -161,7 +161,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, most: int = 4096, key: str
 
     A document's ids are the tokenizer's for its text (null: empty) and then `end_id`, so that every row, also an
     empty one, has a piece. Repeated rows and null keys are documents like others, very long texts are encoded whole, and
-    other columns are not looked at. `most` must be a power of two.
+    other columns are not looked at. An empty table gives no pieces. `most` must be a power of two.
     Sequence ids are unique; those of a bucket lie between bucket << 58 and (bucket + 1) << 58. Nothing is shuffled.
     """
     if most & (most - 1):

@@ -225,7 +225,9 @@ def without_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", tex
     """docs with n_bytes, spans (array of start, stop in bytes: longest removed runs) and kept (binary: the bytes left).
 
     With whole_characters a character of which a byte is left stays whole. Null texts count as empty; texts shorter
-    than `length`, empty tables and tables without repeats lose nothing. Result columns win name clashes.
+    than `length`, empty tables and tables without repeats lose nothing. Result columns win name clashes. Texts of any
+    length are cut whole; of repeated rows the ones with the smaller key stay, those with one key lose only what they
+    repeat of themselves and of smaller keys.
     """
     plain = without(docs, "n_bytes", "spans", "kept", "_tag", "_cover", "_key")
     with scratch(docs.sparkSession):

@@ -216,7 +216,8 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), key: str = "doc_i
     component_id is the smallest key that links lead to, the document's own included; kept marks the documents whose key it is.
     Texts without words (null and empty ones too) have no shingles and link with nothing. Equal sets are one class before
     any pair is made. Rows with the same key count as one document with the links of all its texts. A row without a key
-    links with nothing and has no component. An empty table gives an empty result.
+    links with nothing and has no component. An empty table gives an empty result. Texts of any length count whole, and
+    other columns are not looked at.
 
     No bucket of a band makes all its pairs: each member is compared with the bucket's least member, then components are
     found. Buckets that hold several components form groups, within which across() compares what is still apart.

@@ -89,12 +89,19 @@ def _dealt(placed: DataFrame, starts: DataFrame, schema: T.StructType, shards: i
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """Writes sharded records as one folder for each shard. A file holds a bucket's records, whose slots there follow one another; nothing is shuffled again."""
+    """Writes sharded records as one folder for each shard. A file holds a bucket's records, whose slots there follow one another; nothing is shuffled again.
+
+    Null and long texts and repeated rows are records like others. An empty table writes a folder without records.
+    """
     sharded.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 
 def read_shards(df: DataFrame, **settings) -> DataFrame:
-    """The records of df as they stand in shards that have been written to shared storage."""
+    """The records of df as they stand in shards that have been written to shared storage.
+
+    All columns come back with `shard` and `slot`, null and long texts whole, repeated rows as often as they are there; an
+    empty table gives none.
+    """
     dealt = shard(df, **settings)
     path = shared_dir(df.sparkSession, "shards")
     write_shards(dealt, path)
