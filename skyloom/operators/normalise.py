@@ -117,10 +117,10 @@ def normalise_messages(messages: DataFrame, allowed: list[str], y: tuple[int, in
     return placed, clashes.unionByName(wrong_length(kept, "file_name", "value", y[2], x[2]))
 
 
-def normalise_fields(fields: DataFrame, allowed: list[str]) -> DataFrame:
-    """Canonical cells of raw fields: known names, wrapped longitudes, first data set first, columns in canonical order."""
-    known = rename_else_drop(fields, allowed).withColumn("lon_e4", wrap_longitude(F.col("lon_e4")))
-    cells = merge_first_wins(known, ["init_time", "step", "variable", "lat_e4", "lon_e4"], "event_id")
+def normalise_fields(fields: DataFrame, allowed: list[str], order: str = "event_id") -> DataFrame:
+    """Canonical cells of raw fields: known names, wrapped longitudes, of equal cells the first in order, columns in canonical order."""
+    known = rename_else_drop(fields, allowed).withColumn("lon_e4", wrap_longitude(F.col("lon_e4")).cast("int"))
+    cells = merge_first_wins(known, ["init_time", "step", "variable", "lat_e4", "lon_e4"], order)
     return cells.select("init_time", "step", "variable", "lat_e4", "lon_e4", "value")
 
 

@@ -276,3 +276,14 @@ def live_ingest(spark, folder):
     landing, store, marks = (s.new_path(spark, name) for name in ("landing", "store", "marks"))
     fields.write.parquet(landing)
     return live.follow(spark, landing, fields.schema, store, VARIABLES, marks).select(*s.KEYS, "value")
+
+
+@query(f"{CONSUMED_SQL} where n > 0", *EVENTS_CONSUMED)
+def live_runs(spark, folder):
+    """The month's files land in three parts and are picked up one by one; each run is judged when the last of its files is there."""
+    files, axis = t.field_files(spark, folder).where("init_time < timestamp '2024-02-01'"), model_axis(spark, folder).where("not (dim = 'longitude' and idx > 13)")
+    landing, store, marks = (s.new_path(spark, name) for name in ("landing", "store", "marks"))
+    for part in range(3):
+        files.where(F.pmod(F.hash("url"), F.lit(3)) == part).coalesce(1).write.mode("append").parquet(landing)
+    expected = files.groupBy("init_time").agg(F.count_distinct("url").alias("n_files"))
+    return live.follow_runs(spark, landing, files.schema, store, "events", axis, expected, VARIABLES, marks, files_each=1, kind="ukv", rules=RULES).select(*OUTCOME)

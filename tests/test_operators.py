@@ -498,3 +498,31 @@ def test_without_the_text_subpackage(tmp_path):
     said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"], cwd=copy, capture_output=True, text=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": f"{copy}:{':'.join(p for p in sys.path if p and p != ROOT)}"})
     assert said.returncode == 0, said.stderr
     assert int(said.stdout.split()[0]) == int(said.stdout.split()[1]) > 60
+
+
+def test_live_runs_are_judged_once_when_whole_or_late(spark):
+    """Run 0 is whole with the second part, run 6 never is and is judged late, run 12 comes in one part; a replay changes nothing."""
+    fields, runs_, axis = store_of(spark, (0, 6, 12))
+    hour, step = F.hour("init_time"), F.col("step")
+    parts = [fields.where(((hour == 0) & (step < 2)) | ((hour == 6) & (step == 0))), fields.where((hour == 0) & (step > 1)), fields.where(hour == 12), fields.where((hour == 6) & (step == 3))]
+    landing, path, marks = (storage.new_path(spark, n) for n in ("landing", "store", "marks"))
+    expected = fields.groupBy("init_time").agg(F.count_distinct("url").alias("n_files"))
+    take = lambda marks: live.follow_runs(spark, landing, fields.schema, path, "m", axis, expected, ["temperature_sl"], marks, patience=2, files_each=1)
+    seen = []
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(landing)
+        seen.append({r.init_time.hour: (r.status, r.n, r.bad_images) for r in take(marks).collect()})
+    assert seen == [{}, {0: ("ok", 4, 0)}, {0: ("ok", 4, 0), 6: ("deleted_invalid", 1, 3), 12: ("ok", 4, 0)}, seen[2]]
+    again = take(storage.new_path(spark, "marks"))  # all parts once more, as after a lost checkpoint
+    assert {r.init_time.hour: (r.status, r.n, r.bad_images) for r in again.collect()} == seen[2] and again.count() == 3
+    assert stored(spark, path).count() == 48
+    want = take_up(spark, storage.new_path(spark, "store"), fields.where(hour != 6), runs_.where(hour != 6), axis, []).runs.drop("sample")
+    got = again.where(hour != 6).select(want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_following_an_empty_folder_gives_an_empty_store(spark, tmp_path):
+    (tmp_path / "landing").mkdir()
+    fields = store_of(spark)[0]
+    got = live.follow(spark, f"file://{tmp_path}/landing", fields.schema, storage.new_path(spark, "store"), ["temperature_sl"], storage.new_path(spark, "marks"), order="dataset_no")
+    assert got.count() == 0 and set(storage.KEYS) < set(got.columns)
