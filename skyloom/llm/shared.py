@@ -116,9 +116,23 @@ def lean() -> None:
     """
     pa.set_memory_pool(pa.system_memory_pool())
     try:
-        ctypes.CDLL(None).mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+        _libc().mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
     except (OSError, AttributeError):
-        pass
+        return
+
+
+@cache
+def _libc():
+    return ctypes.CDLL(None)
+
+
+def trim() -> None:
+    """In a worker: memory that is free goes back to the system, so that a worker which is used again doesn't hold what its largest batch had."""
+    pa.default_memory_pool().release_unused()
+    try:
+        _libc().malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        return
 
 
 def local_path(uri: str) -> str | None:
@@ -144,13 +158,14 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def chunks(batch: pa.RecordBatch, column: str, most: int = CHUNK_BYTES):
-    """Parts of a batch whose texts together have about `most` bytes; a longer text comes alone."""
+    """Parts of a batch whose texts together have about `most` bytes; a longer text comes alone. After a batch free memory goes back to the system."""
     _, ends = utf8(batch.column(batch.schema.get_field_index(column)))
     start, n = 0, batch.num_rows
     while start < n:
         stop = max(start + 1, int(np.searchsorted(ends, ends[start] + most, "right")) - 1)
         yield batch.slice(start, stop - start)
         start = stop
+    trim()
 
 
 def binary(body: np.ndarray, ends: np.ndarray) -> pa.Array:
