@@ -61,12 +61,13 @@ def order_files(listings: DataFrame, key: str, body: str, base: str = "/orders/l
 def archive_requests(cells: DataFrame, run: str = "init_time") -> DataFrame:
     """Request rows of each run from its cells (init_time, code, step, north, west, south, east, members, stats).
 
-    Runs of statistics ask for means and for deviations, runs with members for those, others for the plain forecast.
+    Runs of statistics ask for means and for deviations, runs with members for those, others for the plain forecast. Runs
+    of several kinds get no request (see mixed_kinds).
     """
     lists = cells.groupBy(run).agg(
         F.array_join(F.array_sort(F.collect_set("code")), "/").alias("params"), F.array_join(F.transform(F.sort_array(F.collect_set("step")), lambda s: s.cast("string")), "/").alias("steps"),
-        F.max("lat_e4").alias("n"), F.min("lon_e4").alias("w"), F.min("lat_e4").alias("s"), F.max("lon_e4").alias("e"), F.min("kind").alias("kind"),
-    )
+        F.max("lat_e4").alias("n"), F.min("lon_e4").alias("w"), F.min("lat_e4").alias("s"), F.max("lon_e4").alias("e"), F.min("kind").alias("kind"), F.max("kind").alias("_other"),
+    ).where(F.col("kind").eqNullSafe(F.col("_other")))
     types = F.when(F.col("kind") == "stat", F.array(F.lit("em"), F.lit("es"))).when(F.col("kind") == "member", F.array(F.lit("pf"))).otherwise(F.array(F.lit("fc")))
     rows = lists.withColumn("field_type", F.explode(types)).withColumn("stream", F.when(F.col("kind") == "plain", "oper").otherwise("enfo"))
     area = F.format_string("%.1f/%.1f/%.1f/%.1f", *(F.col(c) / 10000.0 for c in "nwse"))
@@ -75,6 +76,12 @@ def archive_requests(cells: DataFrame, run: str = "init_time") -> DataFrame:
     return rows.select(run, "params", "steps", area.alias("area"), "stream", "field_type", number.alias("number"), name.alias("filename"))
 
 
+def mixed_kinds(cells: DataFrame, run: str = "init_time") -> DataFrame:
+    """Error rows of runs whose cells are of several kinds, for which no one request can ask."""
+    kinds = cells.groupBy(run).agg(F.array_join(F.sort_array(F.collect_set("kind")), ", ").alias("_kinds"), F.min("kind").alias("_a"), F.max("kind").alias("_b")).where("_a < _b")
+    return errors(kinds, "request", "several kinds", run, None, "_kinds")
+
+
 # Sources that fetch an empty file again.
 NEEDS_BYTES = ["ECMWF-Realtime-S3", "MetOffice-Weather-Datahub"]
 
@@ -92,6 +99,12 @@ def size_mismatches(manifest: DataFrame, cached: DataFrame, key: str = "key") ->
     return both.where(F.when(F.col("exact"), F.col("length") != F.col("remote_bytes")).otherwise(F.col("length") < F.col("remote_bytes"))).select(key, "remote_bytes", "length")
 
 
+def size_errors(manifest: DataFrame, cached: DataFrame, run: str, url: str, key: str = "key") -> DataFrame:
+    """Error rows of fetched files of the wrong size; the detail says how many bytes came of how many."""
+    wrong = size_mismatches(manifest, cached, key).join(manifest.select(F.col(key).alias("_key"), F.col(run).alias("_run"), F.col(url).alias("_url")), F.col(key) == F.col("_key"))
+    return errors(wrong, "fetch", "size", "_run", "_url", F.concat_ws(" of ", "length", "remote_bytes"))
+
+
 def raw_path(source: str, model: str, url: str, run: str, root: str = "raw") -> Column:
     """Where a fetched file goes: a folder for source and model, in which one source nests by run, and a name by source."""
     parts = F.split(F.col(url), "/")

@@ -405,24 +405,31 @@ def test_a_write_that_dies_leaves_the_old_run(spark, monkeypatch):
     assert whole() == {(0, 3.0): n, (3, 1.0): n}
 
 
-def test_consume_leaves_nothing_behind_and_decodes_once(spark, tmp_path):
+def test_consume_leaves_nothing_behind_and_decodes_once(spark, tmp_path, monkeypatch):
     fields, runs_, axis = store_of(spark)
-    shared, decoded = f"file://{tmp_path}/own", spark.sparkContext.accumulator(0)
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", shared)
+    decoded, made = spark.sparkContext.accumulator(0), []
+    monkeypatch.setattr(storage, "new_path", lambda _, name: (made.append(name), f"file://{tmp_path}/own/{name}-{len(made)}")[1])
 
     def decode(frames):
         for f in frames:
             decoded.add(len(f))
             yield f
 
-    try:
-        path = storage.new_path(spark, "store")
-        done = runs.consume(spark, path, "m", axis, runs_, lambda missing: fields.join(missing, "init_time", "left_semi").mapInPandas(decode, fields.schema), ["temperature_sl"])
-        assert done.runs.count() == 4 and decoded.value == fields.count()
-        assert {p.name.split("-")[0] for p in (tmp_path / "own").iterdir()} == {"store"}
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
+    path = storage.new_path(spark, "store")
+    done = runs.consume(spark, path, "m", axis, runs_, lambda missing: fields.join(missing, "init_time", "left_semi").mapInPandas(decode, fields.schema), ["temperature_sl"])
+    assert done.runs.count() == 4 and decoded.value == fields.count()
+    assert set(made) > {"store", "cells"} and {p.name.split("-")[0] for p in (tmp_path / "own").iterdir()} == {"store"}
+
+
+def test_wrong_sizes_and_mixed_kinds_are_error_rows(spark):
+    files = spark.createDataFrame([(1, RUN, "a", 10, True), (2, RUN, "b", 10, True), (3, RUN, "c", 10, False), (4, RUN, "d", 10, False)], "key int, init_time timestamp_ntz, url string, remote_bytes long, exact boolean")
+    have = spark.createDataFrame([(1, 10), (2, 12), (3, 12), (4, 9)], "key int, length long")
+    said = manifest.size_errors(files, have, "init_time", "url")
+    assert sorted((r.url, r.stage, r.rule, r.detail) for r in said.collect()) == [("b", "fetch", "size", "12 of 10"), ("d", "fetch", "size", "9 of 10")]
+    rows = [(RUN + timedelta(hours=h), "167", s, 600000, 0, k) for h, kinds in ((0, ("stat", "stat")), (6, ("member", "plain"))) for s, k in enumerate(kinds)]
+    asked = spark.createDataFrame(rows, "init_time timestamp_ntz, code string, step int, lat_e4 int, lon_e4 int, kind string")
+    assert {r.init_time.hour for r in manifest.archive_requests(asked).collect()} == {0}
+    assert [(r.run.hour, r.rule, r.detail) for r in manifest.mixed_kinds(asked).collect()] == [(6, "several kinds", "member, plain")]
 
 
 def test_stores_know_their_model(spark):
