@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import mapped, planes, put, summed, unplanes
-from .shared import chunks, lean, saved, scratch, shared_dir, utf8, without
+from .shared import chunks, saved, scratch, shared_dir, trim, utf8, without
 from .words import Coder, mix, words
 
 #: The code of the token that ends every text.
@@ -189,7 +189,6 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     model = Model(shared_dir(spark, "ngrams"), 1 << max(4, (shards - 1).bit_length()), shards)
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lean()
         kept, n = [], 0
 
         def flush():
@@ -208,7 +207,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
             yield flush()
 
     def write_words(group: pa.Table) -> pa.Table:
-        lean()
+        trim()
         codes, counts = _gathered(group)
         r = group.column("part")[0].as_py()
         put(model.folder, f"code-{r}", codes)
@@ -230,7 +229,6 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     counted = lambda ids: _context_counts(model, ids)
 
     def count_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lean()
         kept, n = [], 0
 
         def flush():
@@ -258,7 +256,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
 
     def write_triples(group: pa.Table) -> pa.Table:
         """Arrays of one shard. Out: its bigrams with the number of different words before them, its part of contexts that shards share, its numbers of counts 1 to 4."""
-        lean()
+        trim()
         columns = [np.concatenate([unplanes(x, kind) for x in group.column(c).to_pylist()]) for c, kind in (("contexts", np.uint64), ("last", np.uint32), ("counts", np.uint32))]
         code, contexts, last, counts = _triples(*columns)
         shard = group.column("part")[0].as_py()
@@ -298,7 +296,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         both = triples.where("context is not null").groupBy("context").agg(*pick)
 
         def write_shared(group: pa.Table) -> pa.Table:
-            lean()
+            trim()
             group = group.sort_by("context")
             own = group.column("context").to_numpy().view(np.uint64)
             order = np.argsort(own)
@@ -334,7 +332,7 @@ def _count_pairs(spark, model: Model, triples: DataFrame, sizes: np.ndarray) ->
 
     def write_pairs(group: pa.Table) -> pa.Table:
         """Arrays of one shard. Out: its numbers of counts 1 to 4, contexts that other shards share, words with their different predecessors here."""
-        lean()
+        trim()
         keys, counts = _gathered(group)
         shard = group.column("part")[0].as_py()
         put(model.folder, f"pair-{shard}", keys)
@@ -368,7 +366,7 @@ def _count_pairs(spark, model: Model, triples: DataFrame, sizes: np.ndarray) ->
     put(model.folder, "sums-shared", np.array([r[1:] for r in shared], np.int64).reshape(-1, 4).T)
 
     def write_before(group: pa.Table) -> pa.Table:
-        lean()
+        trim()
         r = group.column("part")[0].as_py()
         ids, times = _gathered(group)
         all_ids = np.zeros(int(sizes[r]), np.uint32)
@@ -548,7 +546,6 @@ def perplexity(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     kept = [c for c in plain.columns if c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lean()
         scorer = Scorer(model)
         for batch in batches:
             for part in chunks(batch, text):

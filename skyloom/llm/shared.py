@@ -107,20 +107,6 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in taken])
 
 
-@cache
-def lean() -> None:
-    """In a worker: from now on arrays of a megabyte or more go back to the system when they are freed, Arrow's too.
-
-    Without it the allocator learns from the first large array to keep such memory, and a worker that is used again holds
-    what its largest task had. Where the C library has no such setting nothing changes.
-    """
-    pa.set_memory_pool(pa.system_memory_pool())
-    try:
-        _libc().mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
-    except (OSError, AttributeError):
-        return
-
-
 @cache
 def _libc():
     return ctypes.CDLL(None)
