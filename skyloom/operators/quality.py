@@ -17,8 +17,17 @@ def missing_share(expected: DataFrame, cells: DataFrame, area: int | Column) ->
 
     An image is what the cells' layout says: of a run, step and variable, and of a statistic or member where they have one.
     """
-    image = layout_of(cells.columns).image
-    have = cells.where("value is not null").groupBy(*image).agg(F.count("*").alias("_n"))
+    have = cells.where("value is not null").groupBy(*layout_of(cells.columns).image).agg(F.count("*").alias("_n"))
+    return _shares(expected, have, area)
+
+
+def blocks_missing_share(expected: DataFrame, blocks: DataFrame, area: int | Column) -> DataFrame:
+    """As missing_share, of a store of blocks: their counts are read, their values aren't."""
+    return _shares(expected, blocks.groupBy(*layout_of(blocks.columns).image).agg(F.sum("n").alias("_n")), area)
+
+
+def _shares(expected: DataFrame, have: DataFrame, area: int | Column) -> DataFrame:
+    image = layout_of(have.columns).image
     size = area if isinstance(area, Column) else F.lit(area)
     share = F.when(size > 0, 1.0 - F.coalesce("_n", F.lit(0)) / size).otherwise(1.0)
     return expected.join(have, image, "left").select(*image, share.alias("share"))

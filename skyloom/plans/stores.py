@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 from ..functions import catalog
 from ..operators import axes as a
 from ..operators import normalise as n
+from ..operators import quality as q
+from ..sources import blocks as b
 from ..sources import storage as s
 from ..sources import tables as t
-from .axes import CELLS, EXPECTED_SQL, VARIABLES, known
+from .axes import CELLS, EXPECTED_SQL, VARIABLES, expected, known
 from .registry import query
 
 
@@ -97,3 +99,33 @@ def unpack_blocks(spark, folder):
     keys = ["init_time", "step", "variable"]
     return s.unpack(s.pack(_cells(spark, folder), keys, 5, 5), keys, 5, 5)
 
+
+# tiles of 4 x 6 on the model's grid: a partial upsert of two kinds of pieces, one of which writes nulls
+UPSERT_SQL = "upserted as (select init_time, step, variable, lat_e4, lon_e4, case when event_id % 7 = 0 then null when event_id % 3 = 0 then value + 1000 else value end as value from canonical)"
+
+
+def _block_store(spark, folder):
+    axis, path, cells = model_axis(spark, folder), s.new_path(spark, "blocks"), canonical(spark, folder)
+    form = b.form_on(axis, 4, 6)
+    b.publish(cells, axis, path, form)
+    late = F.when(F.col("event_id") % 7 == 0, F.lit(None)).otherwise(F.col("value") + 1000)
+    b.upsert(cells.where("event_id % 3 = 0 or event_id % 7 = 0").withColumn("value", late), axis, path, form)
+    return b.found(spark, path, form), axis, form
+
+
+@query("select init_time, step, variable, lat_e4, lon_e4, value from upserted where value is not null", *CELLS, CANONICAL_SQL, UPSERT_SQL)
+def block_upsert(spark, folder):
+    return b.select(*_block_store(spark, folder))
+
+
+@query("""select init_time, step, variable, lat_e4, lon_e4, value from upserted where value is not null and variable in ('cloud_cover_total', 'temperature_sl') and lat_e4 between 593000 and 598000
+  and lon_e4 in (select lon_e4 from (select lon_e4, row_number() over (order by lon_e4) - 1 as ix from (select distinct lon_e4 from known)) where ix >= 3 and ix < 11) and step in (select step from (select step, row_number() over (order by step) as i from (select distinct step from known)) where i > 2)""", *CELLS, CANONICAL_SQL, UPSERT_SQL)
+def select_box(spark, folder):
+    """A box by labels in one direction and by indices in the other, of some variables and the later steps."""
+    return b.select(*_block_store(spark, folder), isel={"longitude": slice(3, 11), "step": slice(2, None)}, sel={"latitude": slice(59.8, 59.3), "variable": ["temperature_sl", "cloud_cover_total"]})
+
+
+@query("select init_time, step, variable, round(1.0::double - coalesce(n, 0) / 150.0::double, 6) as share from expected left join (select init_time, step, variable, count(value) as n from upserted group by all) using (init_time, step, variable)", *CELLS, CANONICAL_SQL, UPSERT_SQL, EXPECTED_SQL)
+def block_missing_share(spark, folder):
+    blocks, _, _ = _block_store(spark, folder)
+    return q.blocks_missing_share(expected(spark, folder), blocks, 150).withColumn("share", F.round("share", 6))

@@ -62,14 +62,29 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write(cells: DataFrame, path: str) -> None:
-    """Writes whole folders (run and variable), in canonical order inside, members and statistics one after another; others at the path stay.
+COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
+
 
-    Large folders are written by several tasks and small ones together by one, as Spark finds their sizes.
+def write_folders(rows: DataFrame, path: str, parts: list[str], order: list[Column | str], **options: str) -> None:
+    """Writes whole folders, in some order inside; others at the path stay.
+
+    Large folders are written by several tasks, as Spark finds their sizes. Partitions aren't put together: a folder lies in
+    one anyway, so that this would make no fewer files, but one task open those of hundreds of small folders in turn.
     """
+    spark = rows.sparkSession
+    spread = spark.sql(f"select /*+ rebalance({', '.join(parts)}) */ * from {{rows}}", rows=rows)
+    before = spark.conf.get(COALESCE, None)
+    spark.conf.set(COALESCE, "false")
+    try:
+        spread.sortWithinPartitions(*parts, *order).write.mode("overwrite").options(partitionOverwriteMode="dynamic", **options).partitionBy(*parts).parquet(path)
+    finally:
+        spark.conf.set(COALESCE, before) if before is not None else spark.conf.unset(COALESCE)
+
+
+def write(cells: DataFrame, path: str) -> None:
+    """Writes whole folders (run and variable), in canonical order inside, members and statistics one after another; others at the path stay."""
     layout = layout_of(cells.columns)
-    spread = cells.sparkSession.sql(f"select /*+ rebalance({', '.join(layout.parts)}) */ * from {{cells}}", cells=cells)
-    spread.sortWithinPartitions(*layout.parts, *layout.order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*layout.parts).parquet(path)
+    write_folders(cells, path, layout.parts, layout.order)
 
 
 def read(spark: SparkSession, path: str, schema) -> DataFrame:
