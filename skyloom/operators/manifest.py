@@ -105,6 +105,18 @@ def size_errors(manifest: DataFrame, cached: DataFrame, run: str, url: str, key:
     return errors(wrong, "fetch", "size", "_run", "_url", F.concat_ws(" of ", "length", "remote_bytes"))
 
 
+def fetch_errors(manifest: DataFrame, cached: DataFrame, run: str, url: str, key: str = "key", source: str = "source") -> DataFrame:
+    """Error rows of a fetch that is over: files that didn't land (`missing`), landed without bytes where their source needs some (`empty`), or have the wrong size.
+
+    An empty file is told once, as `empty`.
+    """
+    sizes = cached.groupBy(key).agg(F.max(F.coalesce("length", F.lit(0))).alias("_length")).withColumnRenamed(key, "_key")
+    lost = to_fetch(manifest, cached, key, source).join(sizes, F.col(key) == F.col("_key"), "left")
+    gone = errors(lost, "fetch", F.when(F.col("_length").isNull(), "missing").otherwise("empty"), run, url)
+    wrong = size_errors(manifest, cached, run, url, key)
+    return gone.unionByName(wrong.join(gone.select("url"), "url", "left_anti").select(*gone.columns))
+
+
 def raw_path(source: str, model: str, url: str, run: str, root: str = "raw") -> Column:
     """Where a fetched file goes: a folder for source and model, in which one source nests by run, and a name by source."""
     parts = F.split(F.col(url), "/")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -59,13 +59,17 @@ def missing_runs(runs: DataFrame, cells: DataFrame, axis: DataFrame) -> DataFram
     return runs.join(have, "init_time", "left_anti").select("init_time")
 
 
+def bounds_of(spark: SparkSession) -> DataFrame:
+    """(variable, lo, hi): the limits of all parameters, those given the wrong way round turned."""
+    return catalog.parameters(spark).select("variable", F.least("lower", "upper").alias("lo"), F.greatest("lower", "upper").alias("hi"))
+
+
 def scan(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(variable, mean, n, has_nulls, outside_share, is_valid) for every parameter that occurs, judged by its limits; and error rows of unknown ones.
 
     Limits given the wrong way round (wind direction) count as turned.
     """
-    p = catalog.parameters(cells.sparkSession).select("variable", F.least("lower", "upper").alias("lo"), F.greatest("lower", "upper").alias("hi"))
-    both = cells.join(F.broadcast(p), "variable", "left")
+    both = cells.join(F.broadcast(bounds_of(cells.sparkSession)), "variable", "left")
     facts = both.groupBy("variable").agg(
         F.avg("value").alias("mean"), F.count("value").alias("n"), (F.count_if(F.col("value").isNull()) > 0).alias("has_nulls"), F.count_if(~F.col("value").between(F.col("lo"), F.col("hi"))).alias("outside"), F.max("lo").alias("lo"),
     )

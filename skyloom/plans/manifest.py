@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import catalog
 from ..operators import manifest as m
 from ..operators.errors import together
-from ..sources import storage
+from ..sources import landing, storage
 from ..sources import tables as t
 from .registry import query
 
@@ -139,3 +139,23 @@ def runs_without_files(spark, folder):
 @query(f"select init_time as run, null::varchar as url, 'listing' as stage, 'no files' as rule, null::varchar as detail from ({NO_FILES_SQL}) union all select null, url, 'convert', 'unknown kind', null from urls where contains(url, '/other/')", t.LINES_SQL, t.ORDERS_SQL, URL_SQL)
 def ingest_errors(spark, folder):
     return together(m.runs_without_files(m.runs_of(t.field_lines(spark, folder)), t.listed_orders(spark, folder)), m.unknown_kinds(_urls(spark, folder), "url"))
+
+
+# raw files of each run and kind of event, landed as lines of text, perhaps in parts: one day's don't land, and another day's lack the lines of odd events
+LANDED_SQL = """landed as (select init_time, strftime(init_time, '%Y%m%d%H') || '/' || alias as url, sum(length(event_id::varchar) + 1)::bigint as remote_bytes,
+  (sum(length(event_id::varchar) + 1) filter (where day(init_time) <> 3 and not (day(init_time) = 6 and event_id % 2 = 1)))::bigint as length from field_ev group by 1, 2)"""
+
+
+@query("""select init_time as run, url, 'fetch' as stage, case when length is null then 'missing' else 'size' end as rule, length::varchar || ' of ' || remote_bytes::varchar as detail from landed where length is null or length <> remote_bytes
+  union all select null, 'file=' || replace(url, '/', '-'), 'listing', 'no such folder', 'file=' || replace(url, '/', '-') from landed where length is null""", t.FIELD_SQL, LANDED_SQL)
+def landed_errors(spark, folder):
+    """Lands files, lists what is there, and tells what a fetch left undone; no file is opened to tell."""
+    events = t.field_events(spark, folder).withColumn("url", F.concat(F.date_format("init_time", "yyyyMMddHH"), F.lit("/"), "alias"))
+    day, line, place = F.dayofmonth("init_time"), F.col("event_id").cast("string"), F.regexp_replace("url", "/", "-")
+    root = storage.new_path(spark, "landing")
+    events.where((day != 3) & ~((day == 6) & (F.col("event_id") % 2 == 1))).select(place.alias("file"), line.alias("value")).repartition("file").write.partitionBy("file").text(root)
+    wanted = events.groupBy("init_time", "url").agg(F.sum(F.length(line) + 1).alias("remote_bytes"))
+    files, said = landing.listing(wanted.select(F.concat(F.lit("file="), place).alias("prefix")), root, ".txt")
+    there = landing.by_folder(files, F.regexp_replace(F.element_at(F.split("folder", "="), -1), "-", "/"))
+    manifest = wanted.select("init_time", F.col("url").alias("key"), "url", F.lit("ECMWF-Realtime-S3").alias("source"), "remote_bytes", F.lit(True).alias("exact"))
+    return together(m.fetch_errors(manifest, there, "init_time", "url"), said)

@@ -7,6 +7,7 @@ from ..operators import axes as a
 from ..operators import normalise as n
 from ..operators import quality as q
 from ..sources import blocks as b
+from ..sources import states, versions
 from ..sources import storage as s
 from ..sources import tables as t
 from .axes import CELLS, EXPECTED_SQL, VARIABLES, expected, known
@@ -129,3 +130,15 @@ def select_box(spark, folder):
 def block_missing_share(spark, folder):
     blocks, _, _ = _block_store(spark, folder)
     return q.blocks_missing_share(expected(spark, folder), blocks, 150).withColumn("share", F.round("share", 6))
+
+
+@query("""select variable, round(avg(value), 6) as mean, count(value) as n, count(value) < count(*) as has_nulls, round(sum((value not between least(lower, upper) and greatest(lower, upper))::int) / count(value)::double, 6) as outside_share,
+  sum((value not between least(lower, upper) and greatest(lower, upper))::int) / count(value)::double <= 0.05 as is_valid from upserted join params using (variable) where day(init_time) > 5 group by 1""", *CELLS, catalog.PARAMETER_SQL, CANONICAL_SQL, UPSERT_SQL)
+def kept_scan(spark, folder):
+    """A scan of the sums kept with a store, after an upsert of some pieces and after runs were dropped."""
+    path, cells = s.new_path(spark, "store"), canonical(spark, folder)
+    states.publish(cells.select(*s.KEYS, "value"), path)
+    late = F.when(F.col("event_id") % 7 == 0, F.lit(None)).otherwise(F.col("value") + 1000)
+    states.upsert(cells.where("event_id % 3 = 0 or event_id % 7 = 0").select(*s.KEYS, late.alias("value")), path)
+    versions.drop_runs(spark, path, cells.where(F.dayofmonth("init_time") <= 5).select("init_time"))
+    return states.scan(states.found(spark, path)).withColumns({"mean": F.round("mean", 6), "outside_share": F.round("outside_share", 6)})

@@ -62,6 +62,17 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session for the queries that run inside; then it is put back."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
 COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
 
 
@@ -73,12 +84,8 @@ def write_folders(rows: DataFrame, path: str, parts: list[str], order: list[Colu
     """
     spark = rows.sparkSession
     spread = spark.sql(f"select /*+ rebalance({', '.join(parts)}) */ * from {{rows}}", rows=rows)
-    before = spark.conf.get(COALESCE, None)
-    spark.conf.set(COALESCE, "false")
-    try:
+    with setting(spark, COALESCE, "false"):
         spread.sortWithinPartitions(*parts, *order).write.mode("overwrite").options(partitionOverwriteMode="dynamic", **options).partitionBy(*parts).parquet(path)
-    finally:
-        spark.conf.set(COALESCE, before) if before is not None else spark.conf.unset(COALESCE)
 
 
 def write(cells: DataFrame, path: str) -> None:
