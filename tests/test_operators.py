@@ -67,6 +67,28 @@ def test_regions_of_metres_members_and_statistics(spark):
     assert images.count() == 3 * 2 * 3 and {r.area for r in images.collect()} == {6}
 
 
+def test_pieces_are_placed_as_regions_are_but_few_ticks_are_counted(spark):
+    """Only pieces that their ends leave open, or that have several runs, go through sets of ticks."""
+    parts = {
+        "whole": cells(spark, 1), "two": cells(spark, 2, (3,)), "gap": cells(spark, 1, (1, 3, 5)), "long": cells(spark, 1, (0,), ("a",), range(60, 66)),
+        "one": cells(spark, 1, (4,), ("b",), (61,), (11,)), "thin": cells(spark, 1, (0, 9), ("a",), (60,), (10,)), "out": cells(spark, 1, (0,), ("a",), (63,), (10,)), "other": cells(spark, 1, (0,), ("x",), (63,), (10,)),
+        "null": cells(spark, 1, (4,), ("b",), (61,), (11,)).withColumns({"step": F.lit(None).cast("int"), "value": F.lit(None).cast("double")}),
+    }
+    inner = None
+    for name, rows in parts.items():
+        rows = rows.withColumn("piece", F.lit(name))
+        inner = rows if inner is None else inner.unionByName(rows)
+    outer, kept, blocks = axes.ordered(axes.ticks(cells(spark))), {}, {"latitude": 3, "longitude": 3, "step": 1, "variable": 1, "init_time": 1}
+    got = axes.placed(inner, outer, "init_time", "piece", blocks, lambda df, name: kept.setdefault(name, df))
+    region = axes.regions(axes.ticks(inner, ("piece",)), outer, "piece")
+    bad = {r.url: (r.rule, r.detail) for r in axes.region_errors(region, "piece").collect()}
+    odd = {r.piece for r in axes.misaligned(region, spark.createDataFrame(list(blocks.items()), "dim string, block int")).collect()}
+    runs_ = {(r.init_time, r.piece): r.n for r in inner.groupBy("init_time", "piece").agg(F.count("value").alias("n")).collect()}
+    assert {(r.init_time, r.piece): (r.n, r.rule, r.dim, r.odd) for r in got.collect()} == {k: (n, *bad.get(k[1], (None, None)), k[1] in odd) for k, n in runs_.items()}
+    assert bad == {"gap": ("gaps", "step"), "long": ("longer", "latitude"), "thin": ("gaps", "step"), "out": ("outside", "latitude"), "other": ("outside", "variable"), "null": ("dimensions", "init_time")} and odd >= {"one"}
+    assert {r.piece for r in kept["counted"].collect()} == {"whole", "two", "gap", "long"}
+
+
 def test_axes_are_judged_as_they_are_given(spark):
     def breach(*drop, **ticks_):
         given = {"init_time": [0.0], "step": [0.0, 72.0], "variable": ["temperature_sl"], "latitude": [61.0, 60.0], "longitude": [10.0, 11.0]} | ticks_
