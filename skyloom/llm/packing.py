@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .shared import binary, chunks, runs, utf8, without
+from .shared import binary, chunks, held, runs, utf8, without
 from .words import alike, words
 
 # A sequence id holds the bucket (log2 of the length), the task and the task's count in that bucket.
@@ -75,7 +75,7 @@ class WordTokenizer:
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[int, int] = {}
+        self.codes, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # sorted; a dict of a million words takes ten times the memory
         self.flat, self.heads, self.counts = Grown(np.uint32), Grown(np.int64), Grown(np.int32)
         self.body, self.at, self.size = Grown(np.uint8), Grown(np.int64), Grown(np.int32)
 
@@ -111,6 +111,19 @@ class WordTokenizer:
         ids[own], ids[~own] = made[0][0], np.concatenate([np.zeros(0, np.uint32), *(x for x, _ in made[1:])])
         return ids, counts
 
+    def find(self, codes: np.ndarray) -> np.ndarray:
+        """Places of words in the cache by their codes; -1 for new ones."""
+        if not len(self.codes):
+            return np.full(len(codes), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return np.where(self.codes[at] == codes, self.slots[at], -1).astype(np.int64)
+
+    def add(self, codes: np.ndarray, places: np.ndarray) -> None:
+        """Makes new codes known; of words with the same code the first is found."""
+        more, first = np.unique(codes, return_index=True)
+        at = np.searchsorted(self.codes, more)
+        self.codes, self.slots = np.insert(self.codes, at, more), np.insert(self.slots, at, places[first].astype(np.int32))
+
     def keep(self, ids: np.ndarray, counts: np.ndarray, body: np.ndarray, size: np.ndarray) -> None:
         """Takes words, with their ids and bytes, into the cache's arrays."""
         self.heads.add(self.flat.n + np.cumsum(counts) - counts)
@@ -135,7 +148,7 @@ class WordTokenizer:
         first, size = starts[where], (stops - starts)[where]
         if self.counts.n + len(codes) > self.most:
             self.clear()
-        known = np.fromiter(map(self.place.get, codes.tolist(), itertools.repeat(-1)), np.int64, len(codes))
+        known = self.find(codes)
         hit = np.flatnonzero(known >= 0)
         known[hit[~self.same(data, first[hit], size[hit], known[hit])]] = -2  # another word has this code: encoded each time
         if len(miss := np.flatnonzero(known < 0)):
@@ -143,7 +156,7 @@ class WordTokenizer:
             found = [raw[a : a + n] for a, n in zip(first[miss].tolist(), size[miss].tolist(), strict=True)]
             ids, counts = self.new([x.decode() for x in found])
             known[miss] = self.counts.n + np.arange(len(miss))
-            self.place.update(zip(codes[miss[new]].tolist(), known[miss[new]].tolist(), strict=True))
+            self.add(codes[miss[new]], known[miss[new]])
             self.keep(ids, counts, np.frombuffer(b"".join(found), np.uint8), size[miss])
         own = known[which]
         each = self.counts[own]
@@ -152,7 +165,8 @@ class WordTokenizer:
 
 @cache
 def word_tokenizer(path: str) -> WordTokenizer:
-    """One for each Python worker, so that its cache serves all tasks there."""
+    """One for each Python worker, so that its cache serves all tasks there, until the worker is used by another operator."""
+    held("packing", word_tokenizer.cache_clear)
     return WordTokenizer(path)
 
 
@@ -178,7 +192,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, most: int = 4096, key: str
         task = TaskContext.get().partitionId()
         tokenizer, made = word_tokenizer(path), np.zeros(most.bit_length(), np.int64)
         for batch in batches:
-            for part in chunks(batch, text):
+            for part in chunks(batch, text, keep="packing"):
                 ids, bounds = tokenizer.encode(*utf8(part.column(part.schema.get_field_index(text))))
                 ids = np.insert(ids, bounds[1:], end_id).astype("<u4")
                 totals = np.diff(bounds) + 1

@@ -8,13 +8,14 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from skyloom.llm import bpe, kneser_ney, packing, queries, repeats, setsketch, sharding, toxicity
+from skyloom.llm import bpe, kneser_ney, packing, queries, repeats, setsketch, sharding, shared, toxicity
 from skyloom.llm import words as text_words
 from skyloom.llm.words import Coder, alike, codes_at, loads, shingles, window_codes, words
 
@@ -451,3 +452,29 @@ def test_crc_of_text_is_that_of_the_contract(spark):
 
     got = spark.createDataFrame([(7,), (None,)], "doc_id long").select("doc_id", remainder("doc_id", 7).alias("r")).collect()
     assert {r.doc_id: r.r for r in got} == {7: zlib.crc32(b"7") % 7, None: None} and hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_a_worker_lets_go_of_the_words_it_keeps_for_packing():
+    path = queries.vocabulary("word_bpe_49k.json")
+    batch = pa.RecordBatch.from_arrays([pa.array(["one two", None])], ["text"])
+    list(shared.chunks(batch, "text", keep="packing"))
+    kept = packing.word_tokenizer(path)
+    list(shared.chunks(batch, "text", keep="packing"))
+    assert packing.word_tokenizer(path) is kept
+    list(shared.chunks(batch, "text"))
+    assert packing.word_tokenizer(path) is not kept
+    shared.let_go()
+
+
+def test_ways_of_contexts_are_looked_up_part_by_part(monkeypatch):
+    model, most = kneser_ney.Model("", 16, 16, tokens=1000), []
+    contexts = np.arange(1, 1001, dtype=np.uint64) << np.uint64(32) | np.arange(1000, 0, -1).astype(np.uint64)
+
+    def counts(ids):
+        most.append(len(ids))
+        return ids
+
+    whole = model.ways_of(contexts, counts)
+    most.clear()
+    monkeypatch.setattr(kneser_ney, "PART", 64)
+    assert model.ways_of(contexts, counts).tolist() == whole.tolist() and max(most) <= 128
