@@ -9,6 +9,8 @@ import uuid
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .shared import local_path
 
@@ -67,16 +69,33 @@ def planes(values: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).reshape(-1)
 
 
-def unplanes(data: bytes, kind: type) -> np.ndarray:
+def unplanes(data: bytes | pa.Buffer, kind: type) -> np.ndarray:
     size = np.dtype(kind).itemsize
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).reshape(-1).view(kind)
 
 
+def gathered(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """The numbers of all blobs of a column, one after another; each is copied once."""
+    sizes = [pc.sum(pc.binary_length(c)).as_py() or 0 for c in column.chunks]
+    out, at = np.empty(sum(sizes) // np.dtype(kind).itemsize, kind), 0
+    for chunk in column.chunks:
+        for blob in chunk:
+            part = unplanes(blob.as_buffer(), kind)
+            out[at : at + len(part)] = part
+            at += len(part)
+    return out
+
+
+def by_shard(shard: np.ndarray) -> np.ndarray:
+    """Stable order of small numbers from 0; up to 16 bits numpy sorts them by digits."""
+    return np.argsort(shard.astype(np.uint16) if len(shard) and shard.max() < 2**16 else shard, kind="stable")
+
+
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different keys, sorted, and the sum of each one's counts."""
     if not len(keys):
         return keys, counts.astype(np.int64)
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
     heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return keys[heads], np.add.reduceat(counts.astype(np.int64), heads)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import mapped, planes, put, summed, unplanes
+from .arrays import by_shard, gathered, mapped, planes, put, summed
 from .shared import chunks, saved, scratch, shared_dir, trim, utf8, without
 from .words import Coder, mix, words
 
@@ -32,6 +32,8 @@ END = np.uint64(0x9D3A5C0E2B7F4611)
 GATHER = 1_500_000
 #: Bytes of text for each shard, of which a shard's memory follows.
 SHARD_BYTES = 12 << 20
+#: Contexts whose words are looked up at a time.
+PART = 1 << 18
 _32, _LOW32 = np.uint64(32), np.uint64(2**32 - 1)
 
 
@@ -90,7 +92,9 @@ class Model:
 
     # --- trigrams
     def ways_of(self, contexts: np.ndarray, counts) -> np.ndarray:
-        """Over how many shards each context (two ids) is dealt; counts: occurrences of sorted different words."""
+        """Over how many shards each context (two ids) is dealt; counts: occurrences of sorted different words. Part by part, which bounds what numpy holds."""
+        if len(contexts) > PART:
+            return np.concatenate([self.ways_of(contexts[at : at + PART], counts) for at in range(0, len(contexts), PART)])
         words, back = np.unique(np.concatenate([contexts >> _32, contexts & _LOW32]), return_inverse=True)
         often = counts(words.astype(np.int64))[back]
         least = np.minimum(often[: len(contexts)], often[len(contexts) :])
@@ -147,7 +151,7 @@ def triple_code(contexts: np.ndarray, last: np.ndarray) -> np.ndarray:
 def _triples(contexts: np.ndarray, last: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """Codes, contexts, last words and summed counts of different trigrams, by code."""
     code = triple_code(contexts, last)
-    order = np.argsort(code, kind="stable")
+    order = np.argsort(code)
     code = code[order]
     heads = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
     total = np.diff(np.append(heads, len(code))) if counts is None else np.add.reduceat(counts[order].astype(np.int64), heads) if len(code) else np.zeros(0, np.int64)
@@ -157,7 +161,7 @@ def _triples(contexts: np.ndarray, last: np.ndarray, counts: np.ndarray | None =
 
 def _blobs(group: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
     """Rows (part, keys, counts) of sorted keys; one row for each part."""
-    order = np.argsort(group, kind="stable")
+    order = by_shard(group)
     group, keys, counts = group[order], keys[order], counts[order]
     heads = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, np.int64)
     edges = [*heads.tolist(), len(group)]
@@ -167,9 +171,7 @@ def _blobs(group: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> pa.Record
 
 def _gathered(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """The sums of all blobs of a part."""
-    keys = [unplanes(x, np.uint64) for x in group.column("keys").to_pylist()]
-    counts = [unplanes(x, np.uint32) for x in group.column("counts").to_pylist()]
-    return summed(np.concatenate(keys), np.concatenate(counts))
+    return summed(gathered(group.column("keys"), np.uint64), gathered(group.column("counts"), np.uint32))
 
 
 BLOB = "part int, keys binary, counts binary"
@@ -234,7 +236,8 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         def flush():
             _, contexts, last, counts = _triples(*(np.concatenate(x) for x in zip(*kept, strict=True)))
             shard = model.triple_shard(contexts, last, model.ways_of(contexts, counted))
-            order = np.lexsort((contexts, shard))  # neighbours are alike, which compresses
+            order = np.argsort(contexts)  # neighbours are alike, which compresses
+            order = order[by_shard(shard[order])]
             contexts, last, counts = contexts[order], last[order], _narrow(counts)[order]
             heads = np.flatnonzero(np.diff(shard[order], prepend=-1))
             edges = [*heads.tolist(), len(order)]
@@ -257,8 +260,9 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     def write_triples(group: pa.Table) -> pa.Table:
         """Arrays of one shard. Out: its bigrams with the number of different words before them, its part of contexts that shards share, its numbers of counts 1 to 4."""
         trim()
-        columns = [np.concatenate([unplanes(x, kind) for x in group.column(c).to_pylist()]) for c, kind in (("contexts", np.uint64), ("last", np.uint32), ("counts", np.uint32))]
+        columns = [gathered(group.column(c), kind) for c, kind in (("contexts", np.uint64), ("last", np.uint32), ("counts", np.uint32))]
         code, contexts, last, counts = _triples(*columns)
+        columns.clear()
         shard = group.column("part")[0].as_py()
         inner = contexts >> _32 != np.uint64(model.before)  # first tokens have no trigram
         pair = np.where(inner, ((contexts & _LOW32) << _32) | last, (np.uint64(model.start) << _32) | last)
@@ -269,7 +273,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         put(model.folder, f"tripled-{shard}", np.minimum(counts, 255).astype(np.uint8))
         over = np.flatnonzero(counts >= 255)
         put(model.folder, f"triple-over-{shard}", np.stack([over, counts[over]]))
-        order = np.argsort(contexts, kind="stable")
+        order = np.argsort(contexts)
         own, many = contexts[order], counts[order]
         heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.zeros(0, np.int64)
         stats = np.stack([np.add.reduceat(x.astype(np.int64), heads) for x in (many, many == 1, many == 2, many >= 3)]) if len(own) else np.zeros((4, 0), np.int64)
@@ -401,7 +405,7 @@ class Scorer:
     def found(self, keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
         """Counts of different pair keys."""
         m, out = self.m, np.zeros(len(keys), np.int64)
-        order = np.argsort(shard, kind="stable")
+        order = by_shard(shard)
         edges = np.searchsorted(shard[order], np.arange(m.shards + 1))
         for s in np.flatnonzero(np.diff(edges)):
             rows = order[edges[s] : edges[s + 1]]
@@ -495,7 +499,8 @@ class Scorer:
     def tripled(self, codes: np.ndarray, shard: np.ndarray) -> np.ndarray:
         """Counts of different trigrams by code."""
         m, out = self.m, np.zeros(len(codes), np.int64)
-        order = np.argsort(shard, kind="stable")
+        order = np.argsort(codes)  # found in order, each search begins where the last one was
+        order = order[by_shard(shard[order])]
         edges = np.searchsorted(shard[order], np.arange(m.shards + 1))
         for s in np.flatnonzero(np.diff(edges)):
             rows = order[edges[s] : edges[s + 1]]
