@@ -443,6 +443,34 @@ def test_consume_leaves_nothing_behind_and_decodes_once(spark, tmp_path, monkeyp
     assert set(made) > {"store", "cells"} and {p.name.split("-")[0] for p in (tmp_path / "own").iterdir()} == {"store"}
 
 
+def test_consume_makes_its_axes_once(spark):
+    """Axes may be made of all cells of a model: what reads them again doesn't make them again."""
+    fields, runs_, axis = store_of(spark, (0,))
+    made, n = spark.sparkContext.accumulator(0), axis.count()
+
+    def make(frames):
+        for f in frames:
+            made.add(len(f))
+            yield f
+
+    done = runs.consume(spark, storage.new_path(spark, "store"), "m", axis.mapInPandas(make, axis.schema), runs_, lambda missing: fields.join(missing, "init_time", "left_semi"), ["temperature_sl"])
+    assert [r.status for r in done.runs.collect()] == ["ok"] and made.value == n
+
+
+def test_clashes_are_looked_for_where_a_parameter_has_several_names(spark, monkeypatch):
+    row = lambda url, no, name, step, v: (RUN, url, no, name, step, 610000, 100000, v)
+    rows = [row("f1", 0, "t2m", 0, 1.0), row("f1", 1, "t", 0, 2.0), row("f1", 1, "t", 1, 3.0), row("f2", 0, "t2m", 0, 4.0), *(row(f, 2, "tcc", 0, 5.0) for f in ("f1", "f2")), row("f3", 0, "junk", 0, 6.0)]
+    fields, looked, real = spark.createDataFrame(rows, store_of(spark, (0,))[0].schema), [], normalise.settle_clashes
+    monkeypatch.setattr(normalise, "settle_clashes", lambda f, *a: (looked.append({r.variable for r in f.collect()}), real(f, *a))[1])
+    with storage.scratch(spark):
+        got, said = runs.pieces_of(fields, ["temperature_sl", "cloud_cover_total"], "ukv")
+        found = {(r.url, r.variable, r.step): r.value for r in got.collect()}
+        first = {"t": {("f1", "temperature_sl", 0): 2.0, ("f1", "temperature_sl", 1): 3.0}, "t2m": {("f1", "temperature_sl", 0): 1.0}}
+        name = min(("t", "t2m"), key=lambda a: normalise.named(fields.where(F.col("alias") == a)).first().alias_ord)
+        assert found == first[name] | {("f2", "temperature_sl", 0): 4.0, ("f1", "cloud_cover_total", 0): 5.0, ("f2", "cloud_cover_total", 0): 5.0}
+        assert [(r.rule, r.detail) for r in said.collect()] == [("several short names", "temperature_sl: t, t2m")] and looked == [{"temperature_sl"}]
+
+
 def test_wrong_sizes_and_mixed_kinds_are_error_rows(spark):
     files = spark.createDataFrame([(1, RUN, "a", 10, True), (2, RUN, "b", 10, True), (3, RUN, "c", 10, False), (4, RUN, "d", 10, False)], "key int, init_time timestamp_ntz, url string, remote_bytes long, exact boolean")
     have = spark.createDataFrame([(1, 10), (2, 12), (3, 12), (4, 9)], "key int, length long")
