@@ -364,6 +364,28 @@ def test_a_file_fails_as_a_whole_and_counts_once(spark):
     assert [(r.url, r.rule) for r in got.errors.where("stage = 'convert'").collect()] == [("0/2", "nothing relevant")]
 
 
+def test_cells_of_failed_files_are_never_written(spark, monkeypatch):
+    """They leave once, before cells are written; where one wanted data set is enough, files are judged and not their data sets."""
+    fields, runs_, axis = store_of(spark, (0,))
+    written, judged, kept, judge = [], [], storage.kept, normalise.nothing_relevant
+
+    def keep(df, name):
+        out = kept(df, name)
+        if name == "cells":
+            written.append({r.url for r in out.select("url").collect()})
+        return out
+
+    monkeypatch.setattr(storage, "kept", keep)
+    monkeypatch.setattr(normalise, "nothing_relevant", lambda sets, *a: (judged.append(sets.count()), judge(sets, *a))[1])
+    mixed = fields.where("alias = 't' or step = 2").withColumn("dataset_no", (F.col("alias") == "junk").cast("int"))
+    empty = fields.where("alias = 't' or step = 2").withColumns({"dataset_no": F.col("lon_e4") + (F.col("alias") == "junk").cast("int"), "alias": F.when(F.col("step") == 2, "junk").otherwise(F.col("alias"))})
+    for kind, raw in (("global", mixed), ("gfs", mixed), ("gfs", empty)):
+        got = runs.consume(spark, storage.new_path(spark, "store"), "m", axis, runs_, lambda missing: raw, ["temperature_sl"], kind, runs.Rules(of_pieces=0.5, of_images=1.0))
+        fails = [] if (kind, raw) == ("gfs", mixed) else ["0/2"]
+        assert [(r.url, r.rule, r.detail) for r in got.errors.where("stage = 'convert'").collect()] == [(u, "nothing relevant", kind) for u in fails] and (got.runs.first().n, got.runs.first().n_failed) == (4, len(fails))
+    assert written == [{"0/0", "0/1", "0/3"}, {"0/0", "0/1", "0/2", "0/3"}, {"0/0", "0/1", "0/3"}] and judged == [5, 4, 4]
+
+
 def members_of(spark, values=(1, 2, 3)):
     one = cells(spark, 1, range(2), ("temperature_sl",))
     return one.withColumn("ensemble_member", F.explode(F.array(*map(F.lit, values))))
