@@ -5,8 +5,10 @@ in all arrays. (2) Trigrams, summed per task and dealt to shards by their first
 as both their words are, are dealt over as many shards as these ask for. A shard is one sorted array of hashes with
 counts, and one of the contexts that occur more than once. (3) Bigrams, by the number of different words before them, in
 sorted arrays of two 32-bit ids, dealt by their first word likewise. (4) The number of different words before each word,
-beside the word arrays. Tasks write the arrays to shared storage, and scoring tasks map them into memory: no array passes
-through the driver.
+beside the word arrays. Tasks write the arrays to shared storage, one file for each shard or range, and scoring tasks map
+them into memory: no array passes through the driver, which gets the words that are dealt over several shards (at most
+two for each) with their counts. Scoring looks up many texts at a time, in the order of each shard's arrays, so that what
+is done for each shard and not for each token stays small however many shards there are.
 
 Texts begin with one start mark and end with one end token. The first token is judged by bigrams, counted as they occur;
 the others by trigrams. A context that occurred once is not stored: it is known from its bigram.
@@ -14,7 +16,7 @@ the others by trigrams. A context that occurred once is not stored: it is known
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import by_shard, gathered, mapped, planes, put, summed
+from .arrays import by_shard, code_order, different_codes, gathered, mapped, near_order, planes, put, summed
 from .shared import chunks, saved, scratch, shared_dir, trim, utf8, without
 from .words import Coder, mix, words
 
@@ -30,6 +32,10 @@ from .words import Coder, mix, words
 END = np.uint64(0x9D3A5C0E2B7F4611)
 #: Tokens that a counting task gathers before it sums and sends them on.
 GATHER = 1_500_000
+#: Tokens that a scoring task looks up at a time; a longer text comes alone.
+SLICE = 1 << 19
+#: Tokens whose trigrams are sorted at a time: with the start and what is before it their words have numbers of 21 bits.
+WIDEST = (1 << 21) - 8
 #: Bytes of text for each shard, of which a shard's memory follows.
 SHARD_BYTES = 12 << 20
 #: Contexts whose words are looked up at a time.
@@ -50,6 +56,9 @@ class Model:
     cuts3: np.ndarray = field(default_factory=lambda: np.zeros(4))
     pairs: int = 0
     shared: int = 0
+    #: Sorted ids that are dealt over several shards, the start and what stands before it among them, and how often each occurs.
+    frequent: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    times: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
 
     # --- words
     def range_of(self, codes: np.ndarray) -> np.ndarray:
@@ -61,18 +70,25 @@ class Model:
         edges = np.searchsorted(self.range_of(codes), np.arange(self.ranges + 1))
         for r in np.flatnonzero(np.diff(edges)):
             if self.bases[r + 1] > self.bases[r]:
-                known, part = mapped(self.folder, f"code-{r}"), codes[edges[r] : edges[r + 1]]
+                known, part = mapped(self.folder, f"word-{r}")[0], codes[edges[r] : edges[r + 1]]
                 at = np.minimum(np.searchsorted(known, part), len(known) - 1)
                 out[edges[r] : edges[r + 1]] = np.where(known[at] == part, at + self.bases[r], -1)
         return out
 
-    def by_id(self, name: str, ids: np.ndarray) -> np.ndarray:
-        """Numbers kept beside the word arrays, for sorted ids."""
-        out = np.zeros(len(ids), np.int64)
+    def by_id(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For sorted ids of words: occurrences, and different words before them."""
+        counts, before = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
         edges = np.searchsorted(ids, self.bases)
         for r in np.flatnonzero(np.diff(edges)):
-            out[edges[r] : edges[r + 1]] = mapped(self.folder, f"{name}-{r}")[ids[edges[r] : edges[r + 1]] - self.bases[r]]
-        return out
+            rows, at = slice(edges[r], edges[r + 1]), ids[edges[r] : edges[r + 1]] - self.bases[r]
+            counts[rows], before[rows] = mapped(self.folder, f"word-{r}")[1][at], mapped(self.folder, f"before-{r}")[0][at]
+        return counts, before
+
+    def counted(self, ids: np.ndarray) -> np.ndarray:
+        """Occurrences of words that are dealt over several shards, 0 for others; the start, and what stands before it, count as every token does."""
+        ids = ids.astype(np.int64)
+        at = np.minimum(np.searchsorted(self.frequent, ids), len(self.frequent) - 1)
+        return np.where(self.frequent[at] == ids, self.times[at], 0)
 
     # --- bigrams
     @property
@@ -85,24 +101,33 @@ class Model:
         """What stands before the start."""
         return self.words + 1
 
+    @property
+    def pair_bits(self) -> int:
+        """Bits of two ids as one number."""
+        return 32 + self.before.bit_length()
+
     def shard_of(self, first: np.ndarray, second: np.ndarray, count: np.ndarray) -> np.ndarray:
         """count: how often the first word occurs; over a quarter of a shard's share, it is dealt on by the second."""
-        ways = np.maximum(1, np.minimum(self.shards, 4 * count * self.shards // max(1, self.tokens))).astype(np.uint64)
-        return ((mix(first.astype(np.uint64)) % np.uint64(self.shards) + mix(second.astype(np.uint64) + np.uint64(7)) % ways) % np.uint64(self.shards)).astype(np.int64)
+        return self._dealt(first.astype(np.uint64), second, self.ways(count))
+
+    def ways(self, counts: np.ndarray) -> np.ndarray:
+        return np.maximum(1, np.minimum(self.shards, 4 * counts * self.shards // max(1, self.tokens)))
+
+    def _dealt(self, keys: np.ndarray, last: np.ndarray, ways: np.ndarray) -> np.ndarray:
+        n, several = np.uint64(self.shards), np.flatnonzero(ways > 1)
+        out = mix(keys) % n
+        out[several] = (out[several] + mix(last[several].astype(np.uint64) + np.uint64(7)) % ways[several].astype(np.uint64)) % n
+        return out.astype(np.int64)
 
     # --- trigrams
     def ways_of(self, contexts: np.ndarray, counts) -> np.ndarray:
-        """Over how many shards each context (two ids) is dealt; counts: occurrences of sorted different words. Part by part, which bounds what numpy holds."""
+        """Over how many shards each context (two ids) is dealt; counts: occurrences of words. Part by part, which bounds what numpy holds."""
         if len(contexts) > PART:
             return np.concatenate([self.ways_of(contexts[at : at + PART], counts) for at in range(0, len(contexts), PART)])
-        words, back = np.unique(np.concatenate([contexts >> _32, contexts & _LOW32]), return_inverse=True)
-        often = counts(words.astype(np.int64))[back]
-        least = np.minimum(often[: len(contexts)], often[len(contexts) :])
-        return np.maximum(1, np.minimum(self.shards, 4 * least * self.shards // max(1, self.tokens)))
+        return self.ways(np.minimum(counts((contexts >> _32).astype(np.int64)), counts((contexts & _LOW32).astype(np.int64))))
 
     def triple_shard(self, contexts: np.ndarray, last: np.ndarray, ways: np.ndarray) -> np.ndarray:
-        n = np.uint64(self.shards)
-        return ((mix(contexts) % n + mix(last.astype(np.uint64) + np.uint64(7)) % ways.astype(np.uint64)) % n).astype(np.int64)
+        return self._dealt(contexts, last, ways)
 
     def discount(self, cuts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return np.concatenate([[0.0], cuts[1:]])[np.minimum(counts, 3)]
@@ -133,14 +158,15 @@ def _narrow(counts: np.ndarray) -> np.ndarray:
 
 def find_code(high: np.ndarray, low: np.ndarray, code: np.ndarray) -> np.ndarray:
     """Places of the first 48 bits of codes among sorted ones, kept as 32 and 16 bits; -1 where they aren't there."""
-    wanted = (code >> _32).astype(np.uint32)
-    a, b = np.searchsorted(high, wanted, "left"), np.searchsorted(high, wanted, "right")
-    ending, out = (code >> np.uint64(16)).astype(np.uint16), np.full(len(code), -1, np.int64)
-    while (some := np.flatnonzero(a < b)).size:
-        hit = low[a[some]] == ending[some]
-        out[some[hit]] = a[some[hit]]
-        a[some] += 1
-        a[some[hit]] = b[some[hit]]
+    wanted, ending = (code >> _32).astype(np.uint32), (code >> np.uint64(16)).astype(np.uint16)
+    at, out = np.searchsorted(high, wanted), np.full(len(code), -1, np.int64)
+    some = np.flatnonzero(at < len(high))
+    while (some := some[high[at[some]] == wanted[some]]).size:
+        hit = low[at[some]] == ending[some]
+        out[some[hit]] = at[some[hit]]
+        some = some[~hit]
+        at[some] += 1
+        some = some[at[some] < len(high)]
     return out
 
 
@@ -151,7 +177,7 @@ def triple_code(contexts: np.ndarray, last: np.ndarray) -> np.ndarray:
 def _triples(contexts: np.ndarray, last: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """Codes, contexts, last words and summed counts of different trigrams, by code."""
     code = triple_code(contexts, last)
-    order = np.argsort(code)
+    order = code_order(code)
     code = code[order]
     heads = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
     total = np.diff(np.append(heads, len(code))) if counts is None else np.add.reduceat(counts[order].astype(np.int64), heads) if len(code) else np.zeros(0, np.int64)
@@ -182,13 +208,14 @@ def train(docs: DataFrame, text: str = "text") -> Model:
 
     Texts of any length count whole, repeated rows as often as they are there, and other columns are not looked at.
 
-    The driver gets a few numbers for each range and shard, of which there is one for each SHARD_BYTES of text.
+    The driver gets a few numbers for each range and shard, of which there is one for each SHARD_BYTES of text (and a range
+    for four shards or fewer).
     """
     spark = docs.sparkSession
     texts = docs.select(text)
     size = texts.agg(F.sum(F.octet_length(text))).first()[0] or 0
     shards = max(16, -(-int(size) // SHARD_BYTES))
-    model = Model(shared_dir(spark, "ngrams"), 1 << max(4, (shards - 1).bit_length()), shards)
+    model = Model(shared_dir(spark, "ngrams"), 1 << max(4, (shards // 4).bit_length()), shards)
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, n = [], 0
@@ -212,8 +239,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         trim()
         codes, counts = _gathered(group)
         r = group.column("part")[0].as_py()
-        put(model.folder, f"code-{r}", codes)
-        put(model.folder, f"count-{r}", counts.astype(np.uint32 if counts.max() < 2**32 else np.int64))
+        put(model.folder, f"word-{r}", codes, counts.astype(np.uint32 if counts.max() < 2**32 else np.int64))
         return pa.table({"part": pa.array([r], pa.int32()), "n": [len(codes)], "total": [int(counts.sum())]})
 
     with scratch(spark):
@@ -228,34 +254,47 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     if not model.tokens:
         return model
 
-    counted = lambda ids: _context_counts(model, ids)
+    def find_frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in (r for batch in batches for r in batch.column(0).to_pylist() if sizes[r]):
+            counts = mapped(model.folder, f"word-{r}")[1]
+            at = np.flatnonzero(model.ways(counts.astype(np.int64)) > 1)
+            yield pa.RecordBatch.from_arrays([pa.array(at + model.bases[r]), pa.array(counts[at].astype(np.int64))], ["id", "n"])
+
+    most = spark.range(0, model.ranges, 1, min(model.ranges, spark.sparkContext.defaultParallelism)).mapInArrow(find_frequent, "id long, n long").collect()
+    most = sorted(tuple(x) for x in most) + [(model.start, model.tokens), (model.before, model.tokens)]
+    model.frequent, model.times = np.array(most, np.int64).T.copy()
 
     def count_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, n = [], 0
 
         def flush():
-            _, contexts, last, counts = _triples(*(np.concatenate(x) for x in zip(*kept, strict=True)))
-            shard = model.triple_shard(contexts, last, model.ways_of(contexts, counted))
-            order = np.argsort(contexts)  # neighbours are alike, which compresses
-            order = order[by_shard(shard[order])]
-            contexts, last, counts = contexts[order], last[order], _narrow(counts)[order]
-            heads = np.flatnonzero(np.diff(shard[order], prepend=-1))
+            codes, bounds = joined(kept)
+            first = np.zeros(len(codes), bool)
+            first[bounds[:-1]] = True
+            step = -(-len(codes) // -(-len(codes) // WIDEST))
+            for at in range(0, len(codes), step):  # the two tokens before a part come along
+                low = max(0, at - 2)
+                yield rows(codes[low : at + step], first[low : at + step], at - low)
+
+        def rows(codes: np.ndarray, first: np.ndarray, skip: int):
+            contexts, last, counts = _different(model, codes, first, skip)
+            shard = model.triple_shard(contexts, last, model.ways_of(contexts, model.counted))
+            order = by_shard(shard)  # contexts stay in order: neighbours are alike, which compresses
+            shard, contexts, last, counts = shard[order], contexts[order], last[order], counts[order]
+            heads = np.flatnonzero(np.diff(shard, prepend=-1))
             edges = [*heads.tolist(), len(order)]
-            cut = lambda x, kind: pa.array([planes(x[a:b].astype(kind)).tobytes() for a, b in zip(edges, edges[1:], strict=False)], pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(shard[order][heads].astype(np.int32)), cut(contexts, "<u8"), cut(last, "<u4"), cut(counts, "<u4")], ["part", "contexts", "last", "counts"])
+            cut = lambda x, kind: pa.array([planes(x[a:b].astype(kind, copy=False)).tobytes() for a, b in zip(edges, edges[1:], strict=False)], pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(shard[heads].astype(np.int32)), cut(contexts, "<u8"), cut(last, "<u4"), cut(counts, "<u4")], ["part", "contexts", "last", "counts"])
 
         for batch in batches:
             for part in chunks(batch, text):
-                codes, bounds = tokens(part, text)
-                different, which = np.unique(codes, return_inverse=True)
-                ids = model.ids(different)[which].astype(np.uint64)
-                kept.append((_contexts(model, ids, bounds), ids.astype(np.uint32)))
-                n += len(ids)
+                kept.append(tokens(part, text))
+                n += len(kept[-1][0])
                 if n >= GATHER:
-                    yield flush()
+                    yield from flush()
                     kept, n = [], 0
         if n:
-            yield flush()
+            yield from flush()
 
     def write_triples(group: pa.Table) -> pa.Table:
         """Arrays of one shard. Out: its bigrams with the number of different words before them, its part of contexts that shards share, its numbers of counts 1 to 4."""
@@ -265,23 +304,17 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         columns.clear()
         shard = group.column("part")[0].as_py()
         inner = contexts >> _32 != np.uint64(model.before)  # first tokens have no trigram
-        pair = np.where(inner, ((contexts & _LOW32) << _32) | last, (np.uint64(model.start) << _32) | last)
-        pairs, times = summed(pair, np.where(inner, 1, counts))
-        code, contexts, counts = code[inner], contexts[inner], counts[inner]
-        put(model.folder, f"triple-{shard}", (code >> _32).astype(np.uint32))
-        put(model.folder, f"triple-low-{shard}", (code >> np.uint64(16)).astype(np.uint16))
-        put(model.folder, f"tripled-{shard}", np.minimum(counts, 255).astype(np.uint8))
+        opening = summed((np.uint64(model.start) << _32) | last[~inner], counts[~inner])
+        code, contexts, last, counts = code[inner], contexts[inner], last[inner], counts[inner]
+        pairs, times = _tallied(((contexts & _LOW32) << _32) | last)
+        pairs, times = np.concatenate([pairs, opening[0]]), np.concatenate([times, opening[1]])  # the start's id is above all words'
         over = np.flatnonzero(counts >= 255)
-        put(model.folder, f"triple-over-{shard}", np.stack([over, counts[over]]))
-        order = np.argsort(contexts)
-        own, many = contexts[order], counts[order]
-        heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.zeros(0, np.int64)
-        stats = np.stack([np.add.reduceat(x.astype(np.int64), heads) for x in (many, many == 1, many == 2, many >= 3)]) if len(own) else np.zeros((4, 0), np.int64)
-        own = own[heads]
-        lone = model.ways_of(own, counted) == 1
-        _put_contexts(model, f"of-{shard}", own[lone], stats[:, lone])
+        arrays = [(code >> _32).astype(np.uint32), (code >> np.uint64(16)).astype(np.uint16), np.minimum(counts, 255).astype(np.uint8), np.stack([over, counts[over]])]
+        own, stats = _follow_sums(contexts, counts)
+        lone = model.ways_of(own, model.counted) == 1
+        put(model.folder, f"triple-{shard}", *arrays, *_context_arrays(own[lone], stats[:, lone]))
         first, second = pairs >> _32, pairs & _LOW32
-        rows = _blobs(model.shard_of(first, second, counted(first.astype(np.int64))), pairs, times)
+        rows = _blobs(model.shard_of(first, second, model.counted(first)), pairs, times)
         n, shared = rows.num_rows, own[~lone].astype(np.int64).tolist()
         none = lambda kind: pa.array([None] * (len(shared) + 1), kind)
         return pa.table({
@@ -304,7 +337,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
             group = group.sort_by("context")
             own = group.column("context").to_numpy().view(np.uint64)
             order = np.argsort(own)
-            _put_contexts(model, f"with-{group.column('home')[0].as_py()}", own[order], np.stack([group.column(f"s{i}").to_numpy() for i in range(4)])[:, order])
+            put(model.folder, f"with-{group.column('home')[0].as_py()}", *_context_arrays(own[order], np.stack([group.column(f"s{i}").to_numpy() for i in range(4)])[:, order]))
             return pa.table({"n": [len(own)]})
 
         home = F.pmod(F.col("context"), F.lit(model.shards)).cast("int")
@@ -314,21 +347,52 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     return model
 
 
-def _contexts(model: Model, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """The two words before each token as one number; before a text's first token stands the start, and before that nothing."""
-    one = np.concatenate([[np.uint64(model.start)], ids[:-1]])
-    one[bounds[:-1]] = model.start
-    two = np.concatenate([[np.uint64(model.before)], one[:-1]])
-    two[bounds[:-1]] = model.before
-    return (two << _32) | one
+def joined(kept: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and offsets of several parts as those of one."""
+    ends = np.cumsum([0, *(len(codes) for codes, _ in kept)])
+    return np.concatenate([codes for codes, _ in kept]), np.concatenate([[0], *(bounds[1:] + at for (_, bounds), at in zip(kept, ends[:-1], strict=True))])
+
 
+def _tallied(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys, sorted (in place), and how often each is there."""
+    keys.sort()
+    heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[heads], np.diff(np.append(heads, len(keys)))
 
-def _put_contexts(model: Model, name: str, contexts: np.ndarray, stats: np.ndarray) -> None:
-    """Contexts that occur more than once, sorted, with their sums; the others are known from their bigrams."""
-    small = stats.max(0) < 256 if stats.size else np.zeros(0, bool)
-    for kind, rows in (("small", small & (stats[0] > 1)), ("large", ~small)):
-        put(model.folder, f"contexts-{kind}-{name}", contexts[rows])
-        put(model.folder, f"follow-{kind}-{name}", stats[:, rows].astype(np.uint8 if kind == "small" else np.uint32 if not rows.any() or stats.max() < 2**32 else np.int64))
+
+def _different(model: Model, codes: np.ndarray, first: np.ndarray, skip: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts, last words and counts of the different trigrams that end at the tokens from `skip` on, by context; first: whether a token begins a text.
+
+    The words have numbers of 21 bits here, so that a trigram is one number and sorted as it is.
+    """
+    different, which = different_codes(codes)
+    start, before, bits = len(different), len(different) + 1, np.uint64(21)
+    key = np.concatenate([[start], which[:-1]]).astype(np.uint64)
+    key[first] = start
+    two = np.concatenate([[np.uint64(before)], key[:-1]])
+    two[first] = before
+    key = (two << bits | key) << bits | which.astype(np.uint64)
+    del two, which
+    key, counts = _tallied(key[skip:])
+    ids, low = np.append(model.ids(different), [model.start, model.before]).astype(np.uint64), np.uint64((1 << 21) - 1)
+    return ids[key >> (bits + bits)] << _32 | ids[key >> bits & low], ids[key & low].astype(np.uint32), counts
+
+
+def _follow_sums(contexts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different contexts, sorted, of different trigrams; for each how often something follows, and how many words once, twice and more often."""
+    own, kinds = _tallied(contexts.copy())
+    some = np.flatnonzero(counts > 1)  # few: the others are once
+    at, often = np.searchsorted(own, contexts[some]), counts[some]
+    add = lambda at, n=None: np.bincount(at, n, len(own)).astype(np.int64)
+    return own, np.stack([kinds + add(at, often - 1), kinds - add(at), add(at[often == 2]), add(at[often >= 3])])
+
+
+def _context_arrays(contexts: np.ndarray, stats: np.ndarray) -> list[np.ndarray]:
+    """Contexts that occur more than once, sorted, with their sums, twice: of small numbers and of large ones; the others are known from their bigrams."""
+    small, out = stats.max(0) < 256 if stats.size else np.zeros(0, bool), []
+    for kind, rows in ((np.uint8, small & (stats[0] > 1)), (np.uint32 if not stats.size or stats.max() < 2**32 else np.int64, ~small)):
+        out += [contexts[rows], stats[:, rows].T.astype(kind)]
+    return out
 
 
 def _count_pairs(spark, model: Model, triples: DataFrame, sizes: np.ndarray) -> None:
@@ -339,17 +403,14 @@ def _count_pairs(spark, model: Model, triples: DataFrame, sizes: np.ndarray) ->
         trim()
         keys, counts = _gathered(group)
         shard = group.column("part")[0].as_py()
-        put(model.folder, f"pair-{shard}", keys)
-        put(model.folder, f"often-{shard}", np.minimum(counts, 255).astype(np.uint8))
         over = np.flatnonzero(counts >= 255)
-        put(model.folder, f"over-{shard}", np.stack([over, counts[over]]))
         first = (keys >> np.uint64(32)).astype(np.int64)
         heads = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]]))
         ids = first[heads]
         stats = np.stack([np.add.reduceat(x.astype(np.int64), heads) for x in (counts, counts == 1, counts == 2, counts >= 3)])
-        lone = _ways(model, ids) == 1
-        put(model.folder, f"context-{shard}", ids[lone].astype(np.uint32))
-        put(model.folder, f"sums-{shard}", stats[:, lone].astype(np.uint32 if stats.max() < 2**32 else np.int64))
+        lone = model.ways(model.counted(ids)) == 1
+        sums = stats[:, lone].astype(np.uint32 if stats.max() < 2**32 else np.int64)
+        put(model.folder, f"pair-{shard}", keys, np.minimum(counts, 255).astype(np.uint8), np.stack([over, counts[over]]), ids[lone].astype(np.uint32), sums)
         last, times = np.unique(keys & np.uint64(2**32 - 1), return_counts=True)
         rows = _blobs(np.searchsorted(model.bases, last.astype(np.int64), "right") - 1, last, times)
         many = ids[~lone].tolist()
@@ -366,8 +427,7 @@ def _count_pairs(spark, model: Model, triples: DataFrame, sizes: np.ndarray) ->
     one = out.where("part is null and context is null").agg(*pick).first()
     model.cuts2 = discounts([one[i] for i in range(4)])
     shared = out.where("context is not null").groupBy("context").agg(*pick).orderBy("context").collect()  # at most 4 for each shard
-    put(model.folder, "context-shared", np.array([r[0] for r in shared], np.uint32))
-    put(model.folder, "sums-shared", np.array([r[1:] for r in shared], np.int64).reshape(-1, 4).T)
+    put(model.folder, "shared", np.array([r[0] for r in shared], np.uint32), np.array([r[1:] for r in shared], np.int64).reshape(-1, 4).T)
 
     def write_before(group: pa.Table) -> pa.Table:
         trim()
@@ -385,56 +445,38 @@ def _count_pairs(spark, model: Model, triples: DataFrame, sizes: np.ndarray) ->
     model.cuts1 = np.array([rest / model.pairs, *cuts[1:]])
 
 
-def _context_counts(model: Model, first: np.ndarray) -> np.ndarray:
-    """Occurrences of sorted first ids; the start, and what stands before it, count as every token does, hence as dealt over all shards."""
-    different, which = np.unique(first, return_inverse=True)
-    counts = model.by_id("count", different[different < model.start])
-    return np.append(counts, [model.tokens] * int((different >= model.start).sum())).astype(np.int64)[which]
-
-
-def _ways(model: Model, ids: np.ndarray) -> np.ndarray:
-    return np.maximum(1, np.minimum(model.shards, 4 * _context_counts(model, ids) * model.shards // max(1, model.tokens)))
-
-
 class Scorer:
-    """Log10 probabilities of chunks of texts under a model."""
+    """Log10 probabilities of slices of texts under a model."""
 
     def __init__(self, model: Model):
         self.m = model
 
+    def each_file(self, keys: np.ndarray, width: int, group: np.ndarray, names: Callable[[int], str]) -> Iterator[tuple[np.ndarray, tuple[np.ndarray, ...]]]:
+        """Rows of each group and the arrays of its file. In a group rows come by the top bits of their keys (of `width` bits), so that each search begins near the last one. Groups to which nothing was dealt have no file."""
+        order = near_order(keys, group, width)
+        group = group[order]
+        edges = np.append(np.flatnonzero(np.diff(group, prepend=-1)), len(group)).tolist()
+        for a, b in zip(edges, edges[1:], strict=False):
+            if (arrays := mapped(self.m.folder, names(group[a]))) is not None:
+                yield order[a:b], arrays
+
     def found(self, keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
-        """Counts of different pair keys."""
-        m, out = self.m, np.zeros(len(keys), np.int64)
-        order = by_shard(shard)
-        edges = np.searchsorted(shard[order], np.arange(m.shards + 1))
-        for s in np.flatnonzero(np.diff(edges)):
-            rows = order[edges[s] : edges[s + 1]]
-            try:
-                known = mapped(m.folder, f"pair-{s}")
-            except FileNotFoundError:  # a shard to which nothing was dealt
-                continue
-            if not len(known):
-                continue
-            at = np.minimum(np.searchsorted(known, keys[rows]), len(known) - 1)
-            counts = np.where(known[at] == keys[rows], mapped(m.folder, f"often-{s}")[at], 0).astype(np.int64)
-            if (big := np.flatnonzero(counts == 255)).size:
-                where, value = mapped(m.folder, f"over-{s}")
-                counts[big] = value[np.searchsorted(where, at[big])]
-            out[rows] = counts
+        """Counts of pair keys."""
+        out = np.zeros(len(keys), np.int64)
+        for rows, (known, often, over, *_) in self.each_file(keys, self.m.pair_bits, shard, "pair-{}".format):
+            wanted = keys[rows]
+            at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+            hit = np.flatnonzero(known[at] == wanted)
+            out[rows[hit]] = _whole(often, over, at[hit])
         return out
 
     def contexts(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For sorted different ids: how often something follows, and the probability that is left for the lower order."""
         m, sums = self.m, np.zeros((4, len(ids)), np.int64)
-        home = np.where(_ways(m, ids) > 1, -1, (mix(ids.astype(np.uint64)) % np.uint64(m.shards)).astype(np.int64))
-        for s in np.unique(home):
-            rows = np.flatnonzero(home == s)
-            try:
-                known, kept = mapped(m.folder, f"context-{s}" if s >= 0 else "context-shared"), mapped(m.folder, f"sums-{s}" if s >= 0 else "sums-shared")
-            except FileNotFoundError:
-                continue
+        home = np.where(m.ways(m.counted(ids)) > 1, m.shards, (mix(ids.astype(np.uint64)) % np.uint64(m.shards)).astype(np.int64))
+        for rows, (*_, known, kept) in self.each_file(ids.astype(np.uint64), m.pair_bits - 32, home, lambda s: f"pair-{s}" if s < m.shards else "shared"):
             if len(known):
-                at = np.minimum(np.searchsorted(known, ids[rows]), len(known) - 1)
+                at = np.minimum(np.searchsorted(known, ids[rows].astype(known.dtype)), len(known) - 1)
                 sums[:, rows] = np.where(known[at] == ids[rows], kept[:, at], 0)
         rest = (m.cuts2[1:, None] * sums[1:]).sum(0)
         return sums[0], np.where(sums[0] > 0, rest / np.maximum(sums[0], 1), 1.0)
@@ -442,101 +484,95 @@ class Scorer:
     def score(self, codes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text: known tokens, the unigram base, the model's log10 probability."""
         m = self.m
-        different, which = np.unique(codes, return_inverse=True)
+        different, which = different_codes(codes)
         ids = m.ids(different)
-        known = ids >= 0
+        known = np.flatnonzero(ids >= 0)
         counts, before = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
         if m.tokens:
-            counts[known], before[known] = m.by_id("count", ids[known]), m.by_id("before", ids[known])
+            counts[known], before[known] = m.by_id(ids[known])
             lower = (np.maximum(before - m.discount(m.cuts1, before), 0) / m.pairs) + m.cuts1[0] / (m.words + 1)
         else:
             lower = np.ones(len(ids))
-        base = np.log10((counts + 1) / (m.tokens + m.words + 1))[which]
-        each, low = ids[which], lower[which]
-        prior = np.concatenate([[m.start], each[:-1]])
-        prior[bounds[:-1]] = m.start
-        follow, rest = np.zeros(len(each), np.int64), np.ones(len(each))
-        share, found = np.zeros(len(each)), np.zeros(len(each), np.int64)
-        usable = np.flatnonzero(prior >= 0) if m.tokens else np.zeros(0, np.int64)
-        if len(usable):
-            contexts, at = np.unique(prior[usable], return_inverse=True)
-            total, left = self.contexts(contexts)
-            follow[usable], rest[usable] = total[at], left[at]
-            both = np.flatnonzero((prior >= 0) & (each >= 0) & (follow > 0))
-            keys, back = np.unique((prior[both].astype(np.uint64) << np.uint64(32)) | each[both].astype(np.uint64), return_inverse=True)
-            first, second = (keys >> np.uint64(32)).astype(np.int64), keys & np.uint64(2**32 - 1)
-            n = self.found(keys, m.shard_of(first, second, _context_counts(m, first)))[back]
-            share[both] = np.maximum(n - m.discount(m.cuts2, n), 0) / follow[both]
-            found[both] = n
-        probability = share + rest * low
+        by_text = lambda x: np.add.reduceat(x, bounds[:-1]) if len(bounds) > 1 else np.zeros(0, x.dtype)
+        known, base = by_text((counts > 0).astype(np.int64)[which]), by_text(np.log10((counts + 1) / (m.tokens + m.words + 1))[which])
+        probability = lower[which]
         if m.tokens:
-            probability = self.trigrams(each, bounds, found > 0, probability)
-        own = np.log10(probability)
-        return tuple(np.add.reduceat(x, bounds[:-1]) if len(bounds) > 1 else np.zeros(0, x.dtype) for x in ((counts[which] > 0).astype(np.int64), base, own))
-
-    def trigrams(self, ids: np.ndarray, bounds: np.ndarray, known: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        """Probabilities by trigrams; known: whether each token's bigram was counted; lower: probabilities by bigrams."""
-        m, out = self.m, lower.copy()
-        seen = np.concatenate([[False], known[:-1]])
-        seen[bounds[:-1]] = False
-        at = np.flatnonzero(seen)  # tokens whose two words before were counted, and so were followed by something
-        if not len(at):
-            return out
-        contexts = _contexts(m, np.where(ids < 0, m.start, ids).astype(np.uint64), bounds)[at]
-        names, back = np.unique(contexts, return_inverse=True)
-        total, left = self.follow(names, ways := m.ways_of(names, lambda x: _context_counts(m, x)))
-        share = np.zeros(len(at))
-        whole = np.flatnonzero(ids[at] >= 0)
-        if len(whole):
-            pair = np.stack([back[whole].astype(np.uint64), ids[at][whole].astype(np.uint64)])
-            keys, again = np.unique((pair[0] << _32) | pair[1], return_inverse=True)
-            context, last = (keys >> _32).astype(np.int64), keys & _LOW32
-            n = self.tripled(triple_code(names[context], last), m.triple_shard(names[context], last, ways[context]))[again]
-            share[whole] = np.maximum(n - m.discount(m.cuts3, n), 0) / total[back[whole]]
-        out[at] = share + left[back] * lower[at]
+            ids = np.append(ids, m.start)
+            prior = np.concatenate([[len(ids) - 1], which[:-1]])
+            prior[bounds[:-1]] = len(ids) - 1
+            at = self.pairs(ids, prior, which, bounds, probability)
+            if len(at):
+                contexts = ids[prior[at - 1]].astype(np.uint64) << _32 | ids[prior[at]].astype(np.uint64)
+                last = ids[which[at]]
+                del prior, which
+                probability[at] = self.trigrams(contexts, last, probability[at])
+        return known, base, by_text(np.log10(probability))
+
+    def pairs(self, ids: np.ndarray, prior: np.ndarray, which: np.ndarray, bounds: np.ndarray, probability: np.ndarray) -> np.ndarray:
+        """Makes probabilities by single words those by bigrams. Out: tokens whose two words before were counted, and so were followed by something.
+
+        ids: of the different words here and the start; prior, which: places of each token and of what is before it among them.
+        """
+        m = self.m
+        names = np.flatnonzero(ids >= 0)
+        follow, rest = np.zeros(len(ids), np.int64), np.ones(len(ids))
+        follow[names], rest[names] = self.contexts(ids[names])
+        often = m.counted(ids)
+        probability *= rest[prior]
+        both = np.flatnonzero((follow > 0)[prior] & (ids >= 0)[which])
+        first = prior[both]
+        keys, shard = ids[first], ids[which[both]]
+        keys, shard = keys.astype(np.uint64) << _32 | shard.astype(np.uint64), m.shard_of(keys, shard, often[first])
+        n = self.found(keys, shard)
+        probability[both] += np.maximum(n - m.discount(m.cuts2, n), 0) / follow[first]
+        seen = np.zeros(len(which) + 1, bool)
+        seen[both[n > 0] + 1] = True
+        seen[bounds] = False
+        return np.flatnonzero(seen)
+
+    def trigrams(self, contexts: np.ndarray, last: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """Probabilities by trigrams of words (-1: unknown) after contexts that were counted; lower: by bigrams."""
+        m = self.m
+        ways = m.ways_of(contexts, m.counted)
+        total, left = self.follow(contexts, ways)
+        out, whole = left * lower, np.flatnonzero(last >= 0)
+        n = self.tripled(triple_code(contexts[whole], last[whole]), m.triple_shard(contexts[whole], last[whole], ways[whole]))
+        out[whole] = np.maximum(n - m.discount(m.cuts3, n), 0) / total[whole] + out[whole]
         return out
 
     def tripled(self, codes: np.ndarray, shard: np.ndarray) -> np.ndarray:
-        """Counts of different trigrams by code."""
-        m, out = self.m, np.zeros(len(codes), np.int64)
-        order = np.argsort(codes)  # found in order, each search begins where the last one was
-        order = order[by_shard(shard[order])]
-        edges = np.searchsorted(shard[order], np.arange(m.shards + 1))
-        for s in np.flatnonzero(np.diff(edges)):
-            rows = order[edges[s] : edges[s + 1]]
-            try:
-                high, low = mapped(m.folder, f"triple-{s}"), mapped(m.folder, f"triple-low-{s}")
-            except FileNotFoundError:  # a shard to which nothing was dealt
-                continue
+        """Counts of trigrams by code."""
+        out = np.zeros(len(codes), np.int64)
+        for rows, (high, low, often, over, *_) in self.each_file(codes, 64, shard, "triple-{}".format):
             at = find_code(high, low, codes[rows])
             hit = np.flatnonzero(at >= 0)
-            counts = mapped(m.folder, f"tripled-{s}")[at[hit]].astype(np.int64)
-            if (big := np.flatnonzero(counts == 255)).size:
-                where, value = mapped(m.folder, f"triple-over-{s}")
-                counts[big] = value[np.searchsorted(where, at[hit][big])]
-            out[rows[hit]] = counts
+            out[rows[hit]] = _whole(often, over, at[hit])
         return out
 
     def follow(self, contexts: np.ndarray, ways: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For sorted different contexts that were counted: how often something follows, and the probability that is left."""
-        m, sums = self.m, np.zeros((4, len(contexts)), np.int64)
-        sums[:2] = 1  # what isn't stored was followed once
-        shared = ways > 1
-        home = np.where(shared, 0, (mix(contexts) % np.uint64(m.shards)).astype(np.int64))
-        parts = [(f"of-{s}", np.flatnonzero((home == s) & ~shared)) for s in np.unique(home[~shared])]
-        if shared.any() and m.shared:
-            place = contexts[shared].view(np.int64) % m.shards
-            parts += [(f"with-{s}", np.flatnonzero(shared)[place == s]) for s in np.unique(place)]
-        for name, rows in [(f"{kind}-{name}", rows) for name, rows in parts for kind in ("small", "large")]:
-            try:
-                known, kept = mapped(m.folder, f"contexts-{name}"), mapped(m.folder, f"follow-{name}")
-            except FileNotFoundError:
-                continue
-            if len(known):
-                at = np.minimum(np.searchsorted(known, contexts[rows]), len(known) - 1)
-                hit = known[at] == contexts[rows]
-                sums[:, rows[hit]] = kept[:, at[hit]]
-        return sums[0], (m.cuts3[1:, None] * sums[1:]).sum(0) / sums[0]
+        """For contexts that were counted: how often something follows, and the probability that is left."""
+        m = self.m
+        total, left = np.ones(len(contexts), np.int64), np.full(len(contexts), m.cuts3[1])  # what isn't stored was followed once
+        home = (mix(contexts) % np.uint64(m.shards)).astype(np.int64)
+        shared = np.flatnonzero(ways > 1)
+        home[shared] = m.shards + contexts[shared].view(np.int64) % m.shards
+        for rows, arrays in self.each_file(contexts, m.pair_bits, home, lambda s: f"triple-{s}" if s < m.shards else f"with-{s - m.shards}"):
+            wanted = contexts[rows]
+            for known, kept in (arrays[-4:-2], arrays[-2:]):
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+                    hit = np.flatnonzero(known[at] == wanted)
+                    often, once, twice, more = kept[at[hit]].T
+                    total[rows[hit]], left[rows[hit]] = often, (m.cuts3[1] * once + m.cuts3[2] * twice + m.cuts3[3] * more) / often
+        return total, left
+
+
+def _whole(often: np.ndarray, over: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Counts at some places, kept as bytes and those from 255 on beside them."""
+    counts = often[at].astype(np.int64)
+    if (big := np.flatnonzero(counts == 255)).size:
+        counts[big] = over[1][np.searchsorted(over[0], at[big])]
+    return counts
 
 
 def perplexity(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -548,15 +584,29 @@ def perplexity(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """
     names = ["n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"]
     plain = without(docs, *names)
-    kept = [c for c in plain.columns if c != text]
+    columns = [c for c in plain.columns if c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model)
+        scorer, parts, kept, n = Scorer(model), [], [], 0
+
+        def flush():
+            codes, bounds = joined(kept)
+            sizes, (known, base, own), at = np.diff(bounds), scorer.score(codes, bounds), 0
+            for part, (_, own_bounds) in zip(parts, kept, strict=True):
+                rows = slice(at, at := at + len(own_bounds) - 1)
+                n_tokens, score = sizes[rows], own[rows]
+                yield pa.RecordBatch.from_arrays([*part, pa.array(n_tokens), pa.array(known[rows]), pa.array(np.full(len(score), model.tokens)), pa.array(base[rows]), pa.array(score), pa.array(10 ** (-score / n_tokens))], [*columns, *names])
+
         for batch in batches:
             for part in chunks(batch, text):
-                codes, bounds = tokens(part, text)
-                n, (known, base, own) = np.diff(bounds), scorer.score(codes, bounds)
-                yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in kept), pa.array(n), pa.array(known), pa.array(np.full(len(n), model.tokens)), pa.array(base), pa.array(own), pa.array(10 ** (-own / n))], [*kept, *names])
+                kept.append(tokens(part, text))
+                parts.append([part.column(part.schema.get_field_index(c)) for c in columns])
+                n += len(kept[-1][0])
+                if n >= SLICE:
+                    yield from flush()
+                    parts, kept, n = [], [], 0
+        if n:
+            yield from flush()
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema if f.name != text]
     return plain.mapInArrow(run, ", ".join([*fields, "n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"]))
