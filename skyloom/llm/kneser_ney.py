@@ -174,15 +174,20 @@ def triple_code(contexts: np.ndarray, last: np.ndarray) -> np.ndarray:
     return mix(mix(contexts) + last.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def _triples(contexts: np.ndarray, last: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
-    """Codes, contexts, last words and summed counts of different trigrams, by code."""
+def _triples(columns: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """Codes, contexts, last words and summed counts of different trigrams, by code. columns: contexts, last words and counts; the list is emptied, so that each array goes when it isn't needed any more."""
+    counts, last, contexts = (columns.pop() for _ in range(3))
     code = triple_code(contexts, last)
     order = code_order(code)
     code = code[order]
-    heads = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
-    total = np.diff(np.append(heads, len(code))) if counts is None else np.add.reduceat(counts[order].astype(np.int64), heads) if len(code) else np.zeros(0, np.int64)
-    first = order[heads]
-    return code[heads], contexts[first], last[first], total
+    head = np.ones(len(code), bool)
+    head[1:] = code[1:] != code[:-1]
+    total = np.add.reduceat(counts[order], np.flatnonzero(head), dtype=np.int64) if len(code) else np.zeros(0, np.int64)
+    del counts
+    order = order[head]
+    code = code[head]
+    contexts = contexts[order]
+    return code, contexts, last[order], total
 
 
 def _blobs(group: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
@@ -299,28 +304,35 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     def write_triples(group: pa.Table) -> pa.Table:
         """Arrays of one shard. Out: its bigrams with the number of different words before them, its part of contexts that shards share, its numbers of counts 1 to 4."""
         trim()
-        columns = [gathered(group.column(c), kind) for c, kind in (("contexts", np.uint64), ("last", np.uint32), ("counts", np.uint32))]
-        code, contexts, last, counts = _triples(*columns)
-        columns.clear()
+        code, contexts, last, counts = _triples([gathered(group.column(c), kind) for c, kind in (("contexts", np.uint64), ("last", np.uint32), ("counts", np.uint32))])
         shard = group.column("part")[0].as_py()
         inner = contexts >> _32 != np.uint64(model.before)  # first tokens have no trigram
         opening = summed((np.uint64(model.start) << _32) | last[~inner], counts[~inner])
-        code, contexts, last, counts = code[inner], contexts[inner], last[inner], counts[inner]
-        pairs, times = _tallied(((contexts & _LOW32) << _32) | last)
-        pairs, times = np.concatenate([pairs, opening[0]]), np.concatenate([times, opening[1]])  # the start's id is above all words'
+        code, contexts = code[inner], contexts[inner]
+        last, counts = last[inner], counts[inner]
         over = np.flatnonzero(counts >= 255)
         arrays = [(code >> _32).astype(np.uint32), (code >> np.uint64(16)).astype(np.uint16), np.minimum(counts, 255).astype(np.uint8), np.stack([over, counts[over]])]
+        del code, inner
         own, stats = _follow_sums(contexts, counts)
+        kinds = [int((counts == i).sum()) for i in range(1, 5)]
+        del counts
         lone = model.ways_of(own, model.counted) == 1
         put(model.folder, f"triple-{shard}", *arrays, *_context_arrays(own[lone], stats[:, lone]))
+        shared, sums = own[~lone].astype(np.int64).tolist(), stats[:, ~lone].T.tolist()
+        del arrays, own, stats
+        contexts <<= _32
+        contexts |= last
+        pairs, times = _tallied(contexts)
+        del contexts, last
+        pairs, times = np.concatenate([pairs, opening[0]]), np.concatenate([times, opening[1]])  # the start's id is above all words'
         first, second = pairs >> _32, pairs & _LOW32
         rows = _blobs(model.shard_of(first, second, model.counted(first)), pairs, times)
-        n, shared = rows.num_rows, own[~lone].astype(np.int64).tolist()
+        n = rows.num_rows
         none = lambda kind: pa.array([None] * (len(shared) + 1), kind)
         return pa.table({
             **{c: pa.concat_arrays([rows.column(c), none(rows.schema.field(c).type)]) for c in ("part", "keys", "counts")},
             "context": pa.array([*([None] * n), *shared, None], pa.int64()),
-            "sums": pa.array([*([None] * n), *stats[:, ~lone].T.tolist(), [int((counts == i).sum()) for i in range(1, 5)]], pa.list_(pa.int64())),
+            "sums": pa.array([*([None] * n), *sums, kinds], pa.list_(pa.int64())),
         })
 
     shape = f"{BLOB}, context long, sums array<long>"
